@@ -1,0 +1,5 @@
+"""Empty on purpose: exports and retention deletes are bounded batch jobs.
+
+"Delta" loads are batches over a days-back filter (``tablehaul.functions.days_back``)
+written to a dated target (``tablehaul.sinks.target_uri``).
+"""
