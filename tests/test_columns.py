@@ -1,0 +1,182 @@
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablehaul.functions import days_back, file_stem, start_of_day_ms, strip_quotes, table_path
+from tablehaul.names import DUMP_SYSTEM_COLUMNS
+from tablehaul.operators import (
+    check_columns,
+    json_lines,
+    nested_to_json,
+    null_cell_counts,
+    null_cell_rows,
+    older_than,
+    pipe_lines,
+    project,
+    rename,
+    stringify,
+)
+from tablehaul.sources import key_columns, leaf_columns, with_keys
+from tests.conftest import pushed_filters
+
+
+@pytest.fixture
+def source(spark):
+    return spark.createDataFrame(
+        [(1, "x", 5, "k"), (2, None, 6, "l")], "id long, Name string, _UPT_ long, _PK_ string"
+    )
+
+
+def test_project(source):
+    assert project(source).columns == ["id", "Name", "_PK_"]
+    assert project(source, system_columns=DUMP_SYSTEM_COLUMNS).columns == ["id", "Name"]
+    assert project(source, skip=" id , name").columns == ["Name", "_PK_"]
+    assert project(source, ["_UPT_", "id"], skip_system=False).columns == ["_UPT_", "id"]
+    with pytest.raises(ValueError, match="name"):
+        project(source, "id, name")
+
+
+def test_rename(source):
+    assert rename(source, "Name:label, id: key ,,x:y, _UPT_:").columns == [
+        "key",
+        "label",
+        "_UPT_",
+        "_PK_",
+    ]
+    assert rename(source, "name:label").columns == source.columns
+    assert rename(source, {"id": "Name", "Name": "id"}).columns[:2] == ["Name", "id"]
+    with pytest.raises(ValueError, match="twice"):
+        rename(source, "id:Name")
+    with pytest.raises(ValueError, match="pair"):
+        rename(source, "id")
+
+
+def test_column_names_with_dots_and_quotes(spark):
+    df = spark.createDataFrame([(1, None)], "`a.b` int, `c``d` string")
+    assert rename(project(df, "a.b,c`d"), "a.b:x.y").columns == ["x.y", "c`d"]
+    assert stringify(df).first()["a.b"] == "1"
+    assert [tuple(r) for r in null_cell_counts(df).collect()] == [("a.b", 0), ("c`d", 1)]
+    assert [tuple(r) for r in null_cell_rows(df, "a.b").collect()] == [(1, "c`d")]
+
+
+def test_stringify_types(spark):
+    df = spark.sql(
+        """SELECT true AS b, 1 AS i, 2L AS l, 1.5f AS f, 1e10d AS d, X'C3A9' AS bin,
+                  X'41FF' AS bad, DATE'2024-01-02' AS day, CAST(NULL AS INT) AS n,
+                  array(1, NULL) AS arr, 12.30BD AS dec"""
+    )
+    row = stringify(df).first()
+    assert row.asDict() == {
+        "b": "true",
+        "i": "1",
+        "l": "2",
+        "f": "1.5",
+        "d": "1.0E10",
+        "bin": "é",
+        "bad": "A\ufffd",
+        "day": "2024-01-02",
+        "n": None,
+        "arr": "[1,null]",
+        "dec": "12.30",
+    }
+    assert stringify(df, nested="null").first().arr is None
+    assert stringify(df, null_text="null").first().n == "null"
+    assert bytes(stringify(df, binary=True).first().bin) == "é".encode()
+    assert set(dict(stringify(df, binary=True).dtypes).values()) == {"binary"}
+
+
+def test_nested_to_json(spark):
+    df = spark.sql(
+        """SELECT named_struct('a', 1, 'b', X'0102', 'none', CAST(NULL AS STRING)) AS s,
+                  map(1, map(X'41', 'x')) AS m, map(true, 1.5d) AS flags,
+                  array(map(2L, 'y')) AS ms, named_struct('m', map(3, 4)) AS sm,
+                  CAST(NULL AS STRUCT<m: MAP<INT, INT>>) AS missing, 7 AS plain"""
+    )
+    row = nested_to_json(df).first()
+    assert json.loads(row.s) == {"a": 1, "b": "AQI="}
+    assert json.loads(row.m) == {"1": {"QQ==": "x"}}
+    assert json.loads(row.flags) == {"true": 1.5}
+    assert json.loads(row.ms) == [{"2": "y"}]
+    assert json.loads(row.sm) == {"m": {"3": 4}}
+    assert row.missing is None and row.plain == 7
+    assert dict(nested_to_json(df, "s").dtypes)["m"].startswith("map")
+
+
+def test_lines(spark):
+    df = spark.createDataFrame(
+        [("a|b", None, 'q"x', ""), (None, None, None, None)],
+        "p string, n int, q string, e string",
+    )
+    assert [r.line for r in pipe_lines(df).collect()] == ['a|b||q"x|', "|||"]
+    lines = [r.line for r in json_lines(df).collect()]
+    assert json.loads(lines[0]) == {"p": "a|b", "q": 'q"x', "e": ""} and lines[1] == "{}"
+    kept = json.loads(json_lines(df, keep_nulls=True).collect()[1].line)
+    assert kept == dict.fromkeys("pnqe")
+
+
+def test_text_functions(spark):
+    df = spark.createDataFrame([("/g/t/",), ("g/t",), ("/t",), (None,)], "v string")
+    got = df.select(table_path(F.col("v")).alias("p"), file_stem(F.col("v")).alias("s"))
+    assert [tuple(r) for r in got.collect()] == [
+        ("g/t", "g_t"),
+        ("g/t", "g_t"),
+        ("t", "t"),
+        (None, None),
+    ]
+    quoted = spark.createDataFrame([("'it''s'",)], "v string")
+    assert quoted.select(strip_quotes(F.col("v"))).first()[0] == "its"
+
+
+def test_days_back(spark, uri):
+    today = date(2024, 1, 31)
+    df = spark.createDataFrame(
+        [("20240130", 1706572800000), ("20240131", 1706659200000), ("20240201", None)],
+        "day string, _UPT_ long",
+    )
+    day = [r.day for r in df.where(days_back("day", 1, today)).collect()]
+    assert day == ["20240130", "20240131", "20240201"]
+    assert [r.day for r in df.where(days_back("day", 0, today)).collect()] == ["20240131"]
+    assert [r.day for r in df.where(days_back("_UPT_", 0, today)).collect()] == ["20240131"]
+    assert df.where(days_back("_UPT_", 1, today)).count() == 2
+    assert start_of_day_ms(today) == 1706659200000
+    assert start_of_day_ms(today, "Europe/Paris") == 1706659200000 - 3_600_000
+    with pytest.raises(ValueError):
+        days_back("day", 1, today, kind="week")
+    df.write.parquet(uri("t"))
+    since = spark.read.parquet(uri("t")).where(days_back("_UPT_", 1, today))
+    assert "GreaterThanOrEqual(_UPT_,1706572800000)" in pushed_filters(since)
+
+
+def test_older_than():
+    now = datetime(2024, 1, 31, 0, 0, 1)
+    assert older_than(1, now) == ("_UPT_", "<=", 1706659201000 - 86_400_000)
+
+
+def test_keys_and_leaves(spark, uri):
+    df = spark.sql(
+        "SELECT 1 AS id, named_struct('x', 1, 'y', array(2)) AS s, map('k', 1) AS m, 2 AS z"
+    )
+    assert leaf_columns(df) == (
+        ["id", "s", "x", "s", "y", "list", "element"]
+        + ["m", "key_value", "key", "m", "key_value", "value", "z"]
+    )
+    keyed = with_keys(df, "z, id")
+    keyed.write.parquet(uri("t"))
+    assert key_columns(spark.read.parquet(uri("t"))) == ["id", "z"]
+    assert key_columns(rename(keyed, "id:key")) == ["key", "z"]
+    assert key_columns(stringify(keyed)) == ["id", "z"]
+    with pytest.raises(ValueError):
+        with_keys(df, "nope")
+
+
+def test_check_columns(source):
+    check_columns(source, [])
+    check_columns(source, ["_PK_", "_UPT_", "id", "Name"])
+    with pytest.raises(ValueError, match=r"\['name'\].*\['Name'\]"):
+        check_columns(source, ["_PK_", "_UPT_", "id", "name"])
+    with pytest.raises(ValueError, match="declared 3 columns"):
+        check_columns(source, ["_PK_", "_UPT_", "id"])
+    with pytest.raises(ValueError, match=r"\['id'\]"):
+        check_columns(source, ["_PK_", "_UPT_", "id", "id", "Name"])

@@ -1,0 +1,99 @@
+import itertools
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tablehaul.operators import all_of, any_of, keep_predicate, predicate, retain
+from tablehaul.sources import scan_table
+from tests.conftest import SF, pushed_filters, read_schema
+
+OPS = {
+    "=": lambda a, b: a == b,
+    ">": lambda a, b: a > b,
+    ">=": lambda a, b: a >= b,
+    "<": lambda a, b: a < b,
+    "<=": lambda a, b: a <= b,
+}
+
+
+def truth(pred, row):
+    """Three-valued outcome of a predicate on one row."""
+    if pred[0] in ("and", "or"):
+        parts = [truth(p, row) for p in pred[1:]]
+        decisive = pred[0] == "or"
+        if decisive in parts:
+            return decisive
+        return None if None in parts else not decisive
+    value = row[pred[0]]
+    return None if value is None else OPS[pred[1]](value, pred[2])
+
+
+LEAF = st.tuples(st.sampled_from("ab"), st.sampled_from(list(OPS)), st.integers(0, 3))
+PRED = st.recursive(
+    LEAF,
+    lambda p: st.tuples(st.sampled_from(["and", "or"]), p, p)
+    | st.tuples(st.sampled_from(["and", "or"]), p, p, p),
+    max_leaves=5,
+)
+
+
+@given(PRED)
+@settings(
+    max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+def test_predicate_and_its_complement(spark, pred):
+    values = [None, 0, 1, 2, 3]
+    data = list(itertools.product(values, values))
+    df = spark.createDataFrame(data, "a int, b int")
+    want = {r for r in data if truth(pred, dict(zip("ab", r))) is True}
+    assert {tuple(r) for r in df.where(predicate(pred)).collect()} == want
+    assert {tuple(r) for r in retain(df, pred).collect()} == set(data) - want
+
+
+def test_match_all():
+    assert all_of(None, "*:*", " ") is None
+    assert all_of(None, ("a", "=", 1)) == ("a", "=", 1)
+    assert any_of(("a", "=", 1), "*:*") is None
+    assert any_of(("a", "=", 1), ("b", "=", 2)) == ("or", ("a", "=", 1), ("b", "=", 2))
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [("a", "==", 1), ("a", "!=", 1), ("a", "like", "x"), ("a", "=", None), ("a", "="), 7],
+)
+def test_bad_predicates_are_errors(spark, bad):
+    with pytest.raises(ValueError):
+        predicate(bad)
+    with pytest.raises(ValueError):
+        keep_predicate(bad)
+
+
+def test_columns_named_and_or(spark):
+    df = spark.createDataFrame([(1, 2), (3, 4)], "`and` int, `or.x` int")
+    assert df.where(predicate(("and", "=", 1))).count() == 1
+    assert df.where(predicate(("or.x", ">", 2))).count() == 1
+
+
+def test_text_order_is_byte_order(spark):
+    df = spark.createDataFrame([("10",), ("9",), ("é",), ("Z",), (None,)], "v string")
+    got = df.where(predicate(("v", ">=", "'9'"), as_text=True)).collect()
+    assert sorted(r.v for r in got) == ["9", "Z", "é"]
+
+
+def test_comparisons_reach_the_scan(spark):
+    df = scan_table(
+        spark,
+        f"{SF}/lineitem.parquet",
+        "l_orderkey",
+        all_of(("l_shipdate", ">=", "2000-01-01"), ("l_quantity", ">", 5)),
+    )
+    filters = pushed_filters(df)
+    assert "GreaterThanOrEqual(l_shipdate" in filters
+    assert "GreaterThan(l_quantity,5.0)" in filters
+    assert "l_tax" not in read_schema(df)
+
+
+def test_kept_rows_are_filtered_in_the_scan(spark):
+    df = retain(scan_table(spark, f"{SF}/lineitem.parquet"), ("l_quantity", "<=", 5))
+    assert "Or(GreaterThan(l_quantity,5.0),IsNull(l_quantity))" in pushed_filters(df)
