@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablehaul import functions as tf
 from tablehaul import operators as ops
@@ -812,6 +811,37 @@ def q_export_verify_only(spark, sf_dir):
     return export_tables(spark, specs).select("table_name", "n_read", "n_files", "status")
 
 
+@query(
+    "export_checks",
+    """SELECT 'declared' AS table_name, count(*) AS n_read, CAST(0 AS BIGINT) AS n_null_cells,
+              'ok' AS status, '' AS message FROM orders
+       UNION ALL
+       SELECT 'sent', count(*), 0, 'failed',
+              (count(*) + 1) || ' rows were sent but ' || count(*) || ' read' FROM orders
+       UNION ALL
+       SELECT 'warned', count(*), count(*) FILTER (WHERE o_orderstatus = 'F'), 'ok',
+              'null cells: o_orderstatus ' || count(*) FILTER (WHERE o_orderstatus = 'F')
+       FROM orders
+       UNION ALL
+       SELECT 'refused', count(*), count(*) FILTER (WHERE o_orderstatus = 'F'), 'failed',
+              'null cells: o_orderstatus ' || count(*) FILTER (WHERE o_orderstatus = 'F')
+       FROM orders""",
+)
+def q_export_checks(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    nulls = orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("F")))
+    root = fresh_folder(spark, "checks")
+    specs = [
+        ExportSpec("declared", orders, root, declared_columns=tuple(orders.columns)),
+        ExportSpec("sent", orders, root, expected_rows=orders.count() + 1),
+        ExportSpec("warned", nulls, root, null_cells="warn"),
+        ExportSpec("refused", nulls, root, null_cells="fail"),
+    ]
+    return export_tables(spark, specs).select(
+        "table_name", "n_read", "n_null_cells", "status", "message"
+    )
+
+
 @query(
     "export_empty",
     """SELECT 'region' AS table_name, count(*) FILTER (WHERE r_regionkey < 0) AS n_read,
@@ -903,7 +933,7 @@ def q_delete_partitioned(spark, sf_dir):
 def q_delete_all(spark, sf_dir):
     uri = copied(spark, table(spark, sf_dir, "orders"), "all")
     n = delete_from(spark, uri, None)
-    return row_count(spark.read.parquet(uri)).select(F.lit(n).cast("long").alias("n_deleted"), "n_rows")
+    return row_count(spark.read.parquet(uri)).withColumn("n_deleted", F.lit(n).cast("long"))
 
 
 @query(
@@ -914,7 +944,7 @@ def q_delete_all(spark, sf_dir):
 def q_delete_dry_run(spark, sf_dir):
     path = table_file(sf_dir, "orders")
     n = delete_from(spark, path, ("o_totalprice", ">=", 150000), real_delete=False)
-    return row_count(spark.read.parquet(path)).select(F.lit(n).cast("long").alias("n_deleted"), "n_rows")
+    return row_count(spark.read.parquet(path)).withColumn("n_deleted", F.lit(n).cast("long"))
 
 
 @query(

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.functions.text import cell_text, json_ready
 from tablehaul.names import col, table_stem
 
 
-def pipe_line(df: DataFrame, separator: str = "|") -> Column:
-    cells = [F.coalesce(cell_text(col(f.name), f.dataType), F.lit("")) for f in df.schema.fields]
-    return F.concat_ws(separator, *cells)
-
-
 def pipe_lines(df: DataFrame, separator: str = "|") -> DataFrame:
     """One ``line`` per row: text cells with a separator between, null as empty."""
-    return df.select(pipe_line(df, separator).alias("line"))
+    cells = [F.coalesce(cell_text(col(f.name), f.dataType), F.lit("")) for f in df.schema.fields]
+    return df.select(F.concat_ws(separator, *cells).alias("line"))
 
 
 def json_lines(df: DataFrame, keep_nulls: bool = False) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablehaul.functions.dates import days_back
-from tablehaul.names import split_names
-from tablehaul.operators.lines import pipe_line
+from tablehaul.names import split_names, table_stem
+from tablehaul.operators.lines import pipe_lines
 from tablehaul.operators.predicates import matches_all, predicate
 from tablehaul.operators.project import project, rename, rename_mapping, stringify
 from tablehaul.operators.validate import check_columns, null_counters
@@ -83,20 +83,23 @@ def export_frame(spark: SparkSession, spec: ExportSpec) -> DataFrame:
     return _as_values(_selected(spark, spec), spec)
 
 
-def _counted(df: DataFrame, spec: ExportSpec) -> tuple[DataFrame, Observation]:
-    """Count rows, null cells and line breaks while the write runs, without a pass of its own.
+def _counted(df: DataFrame, spec: ExportSpec) -> tuple[DataFrame, list[Observation]]:
+    """The values to write, with counters that run along with the write.
 
-    The observed node feeds the writing stage directly, where a retried task counts once.
+    Rows and null cells are counted on the typed columns, line breaks on the finished lines.
+    The counters feed the writing stage directly, where a retried task counts once.
     """
+    rows = Observation()
     metrics = [F.count(F.lit(1)).alias("n_read")]
     if spec.null_policy != "ignore":
         metrics += null_counters(df)
-    if format_name(spec.format) == "pipe":
-        line = pipe_line(df)
-        breaks = F.length(line) - F.length(F.replace(line, F.lit("\n"), F.lit("")))
-        metrics.append(F.sum(breaks).alias("line_breaks"))
-    seen = Observation()
-    return df.observe(seen, *metrics), seen
+    values = _as_values(df.observe(rows, *metrics), spec)
+    if format_name(spec.format) != "pipe":
+        return values, [rows]
+    lines, breaks = pipe_lines(values), Observation()
+    without = F.replace("line", F.lit("\n"), F.lit(""))
+    n_breaks = F.sum(F.octet_length("line") - F.octet_length(without))
+    return lines.observe(breaks, n_breaks.alias("line_breaks")), [rows, breaks]
 
 
 def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
@@ -112,16 +115,14 @@ def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
         return result
     if spec.n_files is not None:
         df = df.repartition(spec.n_files)
-    counted, seen = _counted(df, spec)
+    values, observed = _counted(df, spec)
     start = time.monotonic()
-    write_table(
-        _as_values(counted, spec), spec.target, fmt, spec.parquet, spec.max_rows, spec.table
-    )
+    write_table(values, spec.target, fmt, spec.parquet, spec.max_rows, spec.table)
     cost_ms = int((time.monotonic() - start) * 1000)
-    found = seen.get
+    found = {name: n for seen in observed for name, n in seen.get.items()}
     result.n_read = found["n_read"]
     _add_files(spark, result, spec, cost_ms)
-    result.n_written -= found.get("line_breaks") or 0
+    result.n_written -= found.get("line_breaks", 0)
     nulls = {c: found[f"nulls_{i}"] for i, c in enumerate(df.columns) if f"nulls_{i}" in found}
     nulls = {c: n for c, n in nulls.items() if n}
     if spec.null_policy != "ignore":
@@ -205,6 +206,9 @@ def export_tables(
     _check_paths(spark, specs)
 
     def run(spec: ExportSpec) -> _Result:
+        # Each table is a pool of its own where the cluster schedules FAIR.
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", table_stem(spec.table))
+        spark.sparkContext.setJobDescription(f"export {spec.table}")
         try:
             return _export_one(spark, spec)
         except Exception as e:

@@ -43,11 +43,13 @@ def write_small_text(spark: SparkSession, uri: str, text: str) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """A folder every executor can reach, unique to this application.
 
-    It lies in ``spark.checkpoint.dir``; only where that is unset, as in tests on one
-    machine, a local folder stands in and is set for the rest of the session.
+    It lies in ``spark.checkpoint.dir``. Only where that is unset in local mode, as in tests,
+    a local folder stands in and is set for the rest of the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tablehaul-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tablehaul/{spark.sparkContext.applicationId}"
