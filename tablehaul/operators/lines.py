@@ -15,11 +15,15 @@ def pipe_lines(df: DataFrame, separator: str = "|") -> DataFrame:
     return df.select(F.concat_ws(separator, *cells).alias("line"))
 
 
+def with_text_keys(df: DataFrame) -> DataFrame:
+    """The same rows with text keys in every map, ready to be written as JSON."""
+    return df.select(*[json_ready(col(f.name), f.dataType).alias(f.name) for f in df.schema])
+
+
 def json_lines(df: DataFrame, keep_nulls: bool = False) -> DataFrame:
     """One JSON object per row in ``line``; null fields are left out unless kept."""
-    cells = [json_ready(col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
     options = {"ignoreNullFields": "false" if keep_nulls else "true"}
-    return df.select(F.to_json(F.struct(*cells), options).alias("line"))
+    return with_text_keys(df).select(F.to_json(F.struct("*"), options).alias("line"))
 
 
 def trigger_text(table: str, stamp: str, rows: int | str, prefix: str | None = None) -> str:

@@ -59,8 +59,9 @@ def predicate(pred: Pred, schema: T.StructType | None = None, as_text: bool = Fa
 
     With ``schema``, text given for a column of another type is cast to that type, so the
     literal side is folded and the comparison is pushed to the scan. ``as_text`` compares the
-    text forms by bytes instead, quotes removed from the value; for columns that are not text
-    already this cannot be pushed down.
+    text forms by bytes instead, quotes removed from the value. That is pushed down for text
+    columns and, with ``schema``, for binary ones, which have the same order. ``schema`` also
+    lets a comparison name a nested field by its dotted path.
     """
     if matches_all(pred):
         return F.lit(True)
@@ -100,13 +101,32 @@ def _is_node(pred: tuple) -> bool:
     return False
 
 
+def _field(name: str, schema: T.StructType | None) -> tuple[Column, T.DataType | None]:
+    """A column by its exact name or, within ``schema``, a nested field by its dotted path."""
+    if schema is None:
+        return col(name), None
+    if name in schema.names:
+        return col(name), schema[name].dataType
+    head, *rest = name.split(".")
+    if head not in schema.names:
+        raise ValueError(f"no column {name}")
+    column, dtype = col(head), schema[head].dataType
+    for part in rest:
+        if not isinstance(dtype, T.StructType) or part not in dtype.names:
+            raise ValueError(f"no column {name}")
+        column, dtype = column[part], dtype[part].dataType
+    return column, dtype
+
+
 def _sides(pred: tuple, schema: T.StructType | None, as_text: bool) -> tuple[Column, Column]:
     name, _, value = pred
+    left, dtype = _field(name, schema)
     if as_text:
-        return col(name).cast("string"), F.lit(str(value).replace("'", ""))
+        text = F.lit(str(value).replace("'", ""))
+        if isinstance(dtype, T.BinaryType):
+            return left, text.cast("binary")
+        return left.cast("string"), text
     right = F.lit(value)
-    if schema is not None and isinstance(value, str):
-        dtype = schema[name].dataType
-        if not isinstance(dtype, T.StringType):
-            right = right.cast(dtype)
-    return col(name), right
+    if isinstance(value, str) and dtype is not None and not isinstance(dtype, T.StringType):
+        right = right.cast(dtype)
+    return left, right

@@ -65,29 +65,32 @@ def _replace_files(
     pred: Pred | Column,
     matches: dict[str, int],
 ) -> None:
+    n_files = len(table.inputFiles())
     files = sorted(matches)
-    totals = _counts_by_file(spark, path, _read_files(spark, path, table.schema, files))
+    touched = _read_files(spark, path, table.schema, files, n_files)
+    totals = _counts_by_file(spark, path, touched)
     mixed = [f for f in files if totals[f] > matches[f]]
     run = uuid.uuid4().hex[:12]
     kept_dir = f"{path.rstrip('/')}/{KEPT}{run}"
     if mixed:
-        _write_kept(spark, path, table, pred, mixed, kept_dir)
+        _write_kept(spark, path, table, pred, mixed, n_files, kept_dir)
         expected = sum(totals[f] - matches[f] for f in mixed)
         written = spark.read.parquet(kept_dir).count()
         if written != expected:
             file_system(spark, path).delete(hadoop_path(spark, kept_dir), True)
             raise RuntimeError(f"{path}: {expected} rows should stay, {written} were written")
-    elif len(table.inputFiles()) == len(files):
+    elif len(files) == n_files:
         table.limit(0).write.parquet(kept_dir)
     _swap(spark, path, files, kept_dir, run)
 
 
 def _read_files(
-    spark: SparkSession, path: str, schema: T.StructType, files: list[str]
+    spark: SparkSession, path: str, schema: T.StructType, files: list[str], n_files: int
 ) -> DataFrame:
+    """The named files of the table, which has ``n_files``; all of them by one listing."""
     base = qualified(spark, path)
     reader = spark.read.schema(schema).option("basePath", base)
-    return reader.parquet(*[f"{base}/{f}" for f in files])
+    return reader.parquet(*([base] if len(files) == n_files else [f"{base}/{f}" for f in files]))
 
 
 def partition_columns(files: Iterable[str]) -> list[str]:
@@ -102,12 +105,14 @@ def _write_kept(
     table: DataFrame,
     pred: Pred | Column,
     files: list[str],
+    n_files: int,
     kept_dir: str,
 ) -> None:
     """Partition values are read as text, so that their folders are named as before."""
     parts = partition_columns(files)
     if not parts:
-        retain(_read_files(spark, path, table.schema, files), pred).write.parquet(kept_dir)
+        rows = _read_files(spark, path, table.schema, files, n_files)
+        retain(rows, pred).write.parquet(kept_dir)
         return
     as_text = T.StructType(
         [
@@ -115,7 +120,7 @@ def _write_kept(
             for f in table.schema.fields
         ]
     )
-    rows = _read_files(spark, path, as_text, files)
+    rows = _read_files(spark, path, as_text, files, n_files)
     typed = rows.select(
         *[
             col(f.name).cast(f.dataType).alias(f.name) if f.name in parts else col(f.name)

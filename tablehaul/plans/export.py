@@ -16,7 +16,7 @@ from tablehaul.names import split_names, table_stem
 from tablehaul.operators.lines import pipe_lines
 from tablehaul.operators.predicates import matches_all, predicate
 from tablehaul.operators.project import project, rename, rename_mapping, stringify
-from tablehaul.operators.validate import check_columns, null_counters
+from tablehaul.operators.validate import check_columns, filled_counters
 from tablehaul.plans.report import export_details, export_summary
 from tablehaul.sinks.layout import write_marker, write_trigger
 from tablehaul.sinks.writers import format_name, write_table, written_files
@@ -62,6 +62,9 @@ def _selected(spark: SparkSession, spec: ExportSpec) -> DataFrame:
     df = source_frame(spark, spec)
     check_columns(df, spec.declared_columns)
     keys = split_names(spec.keys) or key_columns(df)
+    unknown = [k for k in keys if k not in df.columns]
+    if unknown:
+        raise ValueError(f"keys not in the table: {unknown}")
     if not matches_all(spec.where):
         df = df.where(predicate(spec.where, df.schema, spec.as_text))
     if spec.days_back:
@@ -92,7 +95,7 @@ def _counted(df: DataFrame, spec: ExportSpec) -> tuple[DataFrame, list[Observati
     rows = Observation()
     metrics = [F.count(F.lit(1)).alias("n_read")]
     if spec.null_policy != "ignore":
-        metrics += null_counters(df)
+        metrics += filled_counters(df)
     values = _as_values(df.observe(rows, *metrics), spec)
     if format_name(spec.format) != "pipe":
         return values, [rows]
@@ -123,9 +126,10 @@ def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
     result.n_read = found["n_read"]
     _add_files(spark, result, spec, cost_ms)
     result.n_written -= found.get("line_breaks", 0)
-    nulls = {c: found[f"nulls_{i}"] for i, c in enumerate(df.columns) if f"nulls_{i}" in found}
-    nulls = {c: n for c, n in nulls.items() if n}
+    nulls = {}
     if spec.null_policy != "ignore":
+        counts = {c: found["n_read"] - found[f"filled_{i}"] for i, c in enumerate(df.columns)}
+        nulls = {c: n for c, n in counts.items() if n}
         result.n_null_cells = sum(nulls.values())
     _judge(result, spec, nulls)
     if result.status == "ok":

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.names import clean_table_path
-from tablehaul.operators.lines import pipe_lines
+from tablehaul.operators.lines import pipe_lines, with_text_keys
 from tablehaul.operators.project import stringify
 
 # The option names for the two Parquet page versions.
@@ -66,7 +66,7 @@ def _write_csv(df, uri, options, max_rows, table):
 
 
 def _write_json(df, uri, options, max_rows, table):
-    _writer(df, max_rows).json(uri)
+    _writer(with_text_keys(df), max_rows).json(uri)
 
 
 def _write_pipe(df, uri, options, max_rows, table):

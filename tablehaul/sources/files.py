@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -40,19 +41,24 @@ def write_small_text(spark: SparkSession, uri: str, text: str) -> None:
         out.close()
 
 
+@cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="tablehaul-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A folder every executor can reach, unique to this application.
 
     It lies in ``spark.checkpoint.dir``. Only where that is unset in local mode, as in tests,
-    a local folder stands in and is set for the rest of the session.
+    a local folder stands in.
     """
+    application_id = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tablehaul-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tablehaul/{spark.sparkContext.applicationId}"
+        root = _local_root(application_id)
+    return f"{root.rstrip('/')}/tablehaul/{application_id}"
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:

@@ -62,6 +62,8 @@ class ExportSpec:
             raise ValueError(f"values must be text, binary or typed: {self.values!r}")
         if self.null_cells not in (None, "ignore", "warn", "fail"):
             raise ValueError(f"null_cells must be ignore, warn or fail: {self.null_cells!r}")
+        if self.values == "typed" and self.null_text is not None:
+            raise ValueError("null_text needs text or binary values")
         if self.days_back and self.today is None:
             raise ValueError("days_back needs today")
         if self.convert and not self.root:

@@ -19,7 +19,7 @@ from tablehaul.operators import (
     stringify,
 )
 from tablehaul.sources import key_columns, leaf_columns, with_keys
-from tests.conftest import pushed_filters
+from tests.conftest import SF, pushed_filters
 
 
 @pytest.fixture
@@ -171,6 +171,24 @@ def test_keys_and_leaves(spark, uri):
         with_keys(df, "nope")
 
 
+def test_null_counts_can_come_from_footers(spark):
+    settings = {
+        "spark.sql.sources.useV1SourceList": "",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        counts = null_cell_counts(spark.read.parquet(f"{SF}/orders.parquet"))
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*), COUNT(o_orderkey)" in plan
+        assert {r.n_null for r in counts.collect()} == {0}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_check_columns(source):
     check_columns(source, [])
     check_columns(source, ["_PK_", "_UPT_", "id", "Name"])

@@ -112,10 +112,12 @@ def test_one_failure_does_not_stop_the_others(spark, uri):
         spark,
         ExportSpec("bad", source("region"), uri("out"), columns="nope"),
         ExportSpec("declared", source("region"), uri("out"), declared_columns=("r_name",)),
+        ExportSpec("keyless", source("region"), uri("out"), keys="r_key"),
         ExportSpec("good", source("region"), uri("out")),
     )
     assert {t: r.status for t, r in got.items()} == {
         "bad": "failed",
+        "keyless": "failed",
         "declared": "failed",
         "good": "ok",
     }
@@ -201,6 +203,7 @@ def test_option_lists():
         {"null_cells": "maybe"},
         {"days_back": ("day", 1)},
         {"root": ""},
+        {"values": "typed", "null_text": "null"},
     ],
 )
 def test_bad_specs(bad):

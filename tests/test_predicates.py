@@ -81,6 +81,30 @@ def test_text_order_is_byte_order(spark):
     assert sorted(r.v for r in got) == ["9", "Z", "é"]
 
 
+def test_text_order_of_binary_columns_reaches_the_scan(spark, uri):
+    df = spark.createDataFrame([("10",), ("9",), ("é",), ("Z",), (None,)], "v string")
+    df.select(df.v.cast("binary")).write.parquet(uri("t"))
+    dump = spark.read.parquet(uri("t"))
+    got = dump.where(predicate(("v", ">=", "'9'"), dump.schema, as_text=True))
+    assert sorted(bytes(r.v).decode() for r in got.collect()) == ["9", "Z", "é"]
+    assert "GreaterThanOrEqual(v," in pushed_filters(got)
+    typed = dump.where(predicate(("v", "=", "Z"), dump.schema))
+    assert typed.count() == 1 and "EqualTo(v," in pushed_filters(typed)
+
+
+def test_nested_fields(spark, uri):
+    df = spark.sql("SELECT id, named_struct('x', id, 'in', named_struct('y', id)) AS s FROM range(9)")
+    df.write.parquet(uri("t"))
+    t = spark.read.parquet(uri("t"))
+    got = t.where(predicate(("s.in.y", ">", "6"), t.schema))
+    assert sorted(r.id for r in got.collect()) == [7, 8]
+    assert "GreaterThan(s.in.y,6)" in pushed_filters(got)
+    assert retain(t, ("s.x", "<=", 6)).count() == 2
+    for name in ("s.z", "id.x", "none"):
+        with pytest.raises(ValueError, match="no column"):
+            predicate((name, "=", 1), t.schema)
+
+
 def test_comparisons_reach_the_scan(spark):
     df = scan_table(
         spark,

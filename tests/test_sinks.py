@@ -78,6 +78,12 @@ def test_json_reads_back(spark, nasty, uri):
     assert written_row_count(spark, uri("t"), "json").first().n_rows == len(NASTY)
 
 
+def test_json_map_keys_are_text(spark, uri):
+    df = spark.sql("SELECT map(DATE'2024-01-02', map(1, X'41')) AS m, 'x' AS t")
+    write_table(df, uri("t"), "json")
+    assert '{"m":{"2024-01-02":{"1":"QQ=="}},"t":"x"}' in data_files(uri("t"))[0].read_text()
+
+
 def test_pipe_text(spark, nasty, uri):
     write_table(nasty.where("id <= 3"), uri("t"), "pipe")
     assert data_files(uri("t"))[0].read_text() == '1||plain\n2||q"x\n3|b|c|y,z\n'

@@ -3,6 +3,7 @@ import shutil
 import pytest
 
 from tablehaul.sources import file_row_counts, is_empty, row_count, scan_dir, scan_table
+from tablehaul.sources.files import shared_folder
 from tests.conftest import SF, read_schema, table
 
 
@@ -52,3 +53,19 @@ def test_counts(spark, uri):
 def test_is_empty(spark):
     region = table(spark, "region")
     assert is_empty(region.where("r_regionkey < 0")) and not is_empty(region)
+
+
+class FakeSession:
+    """Only what choosing the shared folder looks at."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+        self.conf = type("Conf", (), {"get": lambda self, key, default: folder})()
+
+
+def test_shared_folder():
+    assert shared_folder(FakeSession("yarn", "hdfs://x/ckpt/")) == "hdfs://x/ckpt/tablehaul/app-1"
+    local = shared_folder(FakeSession("local[2]"))
+    assert local == shared_folder(FakeSession("local[2]")) and local.endswith("/tablehaul/app-1")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("yarn"))
