@@ -8,18 +8,19 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablehaul.functions.dates import days_back
-from tablehaul.names import split_names, table_stem
-from tablehaul.operators.lines import pipe_lines
+from tablehaul.functions.text import cell_text
+from tablehaul.names import col, split_names, table_stem
 from tablehaul.operators.predicates import matches_all, predicate
 from tablehaul.operators.project import project, rename, rename_mapping, stringify
 from tablehaul.operators.validate import check_columns, filled_counters
 from tablehaul.plans.report import export_details, export_summary
 from tablehaul.sinks.layout import write_marker, write_trigger
-from tablehaul.sinks.writers import format_name, write_table, written_files
+from tablehaul.sinks.writers import format_name, write_table, written_records
 from tablehaul.sources.files import exists, qualified
 from tablehaul.sources.scan import is_empty, key_columns, scan_dir, scan_table, with_keys
 from tablehaul.specs import ExportSpec
@@ -86,23 +87,31 @@ def export_frame(spark: SparkSession, spec: ExportSpec) -> DataFrame:
     return _as_values(_selected(spark, spec), spec)
 
 
-def _counted(df: DataFrame, spec: ExportSpec) -> tuple[DataFrame, list[Observation]]:
-    """The values to write, with counters that run along with the write.
+def _counted(df: DataFrame, spec: ExportSpec) -> tuple[DataFrame, Observation]:
+    """Count rows, null cells and line breaks while the write runs, without a pass of its own.
 
-    Rows and null cells are counted on the typed columns, line breaks on the finished lines.
     The counters feed the writing stage directly, where a retried task counts once.
     """
-    rows = Observation()
     metrics = [F.count(F.lit(1)).alias("n_read")]
     if spec.null_policy != "ignore":
         metrics += filled_counters(df)
-    values = _as_values(df.observe(rows, *metrics), spec)
-    if format_name(spec.format) != "pipe":
-        return values, [rows]
-    lines, breaks = pipe_lines(values), Observation()
-    without = F.replace("line", F.lit("\n"), F.lit(""))
-    n_breaks = F.sum(F.octet_length("line") - F.octet_length(without))
-    return lines.observe(breaks, n_breaks.alias("line_breaks")), [rows, breaks]
+    if format_name(spec.format) in ("csv", "pipe"):
+        metrics.append(_line_breaks(df).alias("line_breaks"))
+    seen = Observation()
+    return df.observe(seen, *metrics), seen
+
+
+def _line_breaks(df: DataFrame) -> Column:
+    """Line breaks in all cells. Only text and bytes can hold any: JSON escapes them."""
+    breaks = [
+        F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+        for text in (
+            cell_text(col(f.name), f.dataType)
+            for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))
+        )
+    ]
+    return F.sum(sum((F.coalesce(n, F.lit(0)) for n in breaks), F.lit(0)))
 
 
 def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
@@ -118,14 +127,18 @@ def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
         return result
     if spec.n_files is not None:
         df = df.repartition(spec.n_files)
-    values, observed = _counted(df, spec)
+    counted, seen = _counted(df, spec)
     start = time.monotonic()
-    write_table(values, spec.target, fmt, spec.parquet, spec.max_rows, spec.table)
+    write_table(
+        _as_values(counted, spec), spec.target, fmt, spec.parquet, spec.max_rows, spec.table
+    )
     cost_ms = int((time.monotonic() - start) * 1000)
-    found = {name: n for seen in observed for name, n in seen.get.items()}
+    found = seen.get
     result.n_read = found["n_read"]
     _add_files(spark, result, spec, cost_ms)
     result.n_written -= found.get("line_breaks", 0)
+    if fmt == "csv":
+        result.n_written -= result.n_files * (1 + sum(c.count("\n") for c in df.columns))
     nulls = {}
     if spec.null_policy != "ignore":
         counts = {c: found["n_read"] - found[f"filled_{i}"] for i, c in enumerate(df.columns)}
@@ -143,8 +156,8 @@ def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
 
 
 def _add_files(spark: SparkSession, result: _Result, spec: ExportSpec, cost_ms: int) -> None:
-    """Re-read what was written: rows, files and bytes."""
-    written = written_files(spark, spec.target, result.format)
+    """Re-read what was written: records or lines, files and bytes."""
+    written = written_records(spark, spec.target, result.format)
     row = export_summary(export_details(written, spec.table, spec.target, cost_ms)).first()
     result.n_written = 0
     result.cost_ms = cost_ms

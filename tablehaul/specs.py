@@ -64,6 +64,8 @@ class ExportSpec:
             raise ValueError(f"null_cells must be ignore, warn or fail: {self.null_cells!r}")
         if self.values == "typed" and self.null_text is not None:
             raise ValueError("null_text needs text or binary values")
+        if "\n" in (self.null_text or ""):
+            raise ValueError("null_text must be one line")
         if self.days_back and self.today is None:
             raise ValueError("days_back needs today")
         if self.convert and not self.root:

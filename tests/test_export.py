@@ -5,7 +5,7 @@ import pytest
 
 from tablehaul import ExportSpec, export_specs
 from tablehaul.plans import export_frame, export_tables
-from tablehaul.sinks import read_written
+from tablehaul.sinks import read_written, written_row_count
 from tablehaul.sinks import writers
 from tablehaul.sources import key_columns
 from tablehaul.specs import broadcast_option, days_back_option
@@ -146,6 +146,20 @@ def test_pipe_export_with_line_breaks_and_trigger(spark, uri):
     assert read_written(spark, row.target_path, "pipe").count() == 5
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "pipe", "parquet"])
+@pytest.mark.parametrize("max_rows", [None, 2])
+def test_line_breaks_do_not_upset_the_counts(spark, uri, fmt, max_rows):
+    df = spark.createDataFrame(
+        [(1, "a\nb\n\n", b"\n", ["x\ny"]), (2, None, None, None), (3, "\r\n", b"", [])] * 3,
+        "id int, `t\nu` string, b binary, l array<string>",
+    ).repartition(3)
+    spec = ExportSpec("t", df, uri("out"), format=fmt, max_rows=max_rows)
+    row = run(spark, spec)["t"]
+    assert (row.status, row.n_read, row.n_written) == ("ok", 9, 9)
+    if fmt != "pipe":
+        assert written_row_count(spark, row.target_path, fmt).first().n_rows == 9
+
+
 def test_n_files(spark, uri):
     row = run(spark, ExportSpec("t", source("orders"), uri("out"), n_files=5))["t"]
     assert row.n_files == 5 and row.status == "ok"
@@ -204,6 +218,7 @@ def test_option_lists():
         {"days_back": ("day", 1)},
         {"root": ""},
         {"values": "typed", "null_text": "null"},
+        {"null_text": "a\nb"},
     ],
 )
 def test_bad_specs(bad):
