@@ -439,7 +439,7 @@ def exported_details(spark, sf_dir) -> DataFrame:
 @query(
     "export_details",
     """SELECT 'orders' AS table_name, count(*) AS n_rows, true AS sizes_agree,
-              1.5 AS cost_min FROM orders
+              CAST(1.5 AS DOUBLE) AS cost_min FROM orders
        UNION ALL SELECT 'lineitem', count(*), true, 1.5 FROM lineitem""",
 )
 def q_export_details(spark, sf_dir):
@@ -796,6 +796,68 @@ def q_export_delta_pipe(spark, sf_dir):
     return read_written(spark, spec.target, "pipe")
 
 
+@query(
+    "export_option_lists",
+    """SELECT 'store/orders' AS table_name,
+              concat_ws('|', o_orderkey, strftime(o_orderdate, '%Y%m%d'), o_orderstatus) AS line
+       FROM orders WHERE strftime(o_orderdate, '%Y%m%d') >= '20000101'
+       UNION ALL
+       SELECT 'store/part', concat_ws('|', p_partkey, p_name, p_type, p_size)
+       FROM part WHERE p_size > 10""",
+)
+def q_export_option_lists(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    sources = {
+        "store/orders": orders.withColumn("day", F.date_format("o_orderdate", "yyyyMMdd")),
+        "store/part": table_file(sf_dir, "part"),
+    }
+    specs = export_specs(
+        "store/orders;store/part",
+        sources.__getitem__,
+        fresh_folder(spark, "lists"),
+        where=[None, ("p_size", ">", 10)],
+        columns="o_orderkey,day,o_orderstatus;",
+        skip=";p_brand, p_retailprice",
+        rename="o_orderkey:order_key;p_partkey:part_key,p_name:name",
+        days_back="day:674;",
+        today=LINEITEM_TODAY,
+        format="pipe",
+    )
+    failed = [r.message for r in export_tables(spark, specs).collect() if r.status != "ok"]
+    if failed:
+        raise RuntimeError(failed[0])
+    return union_all(
+        [
+            read_written(spark, s.target, "pipe").select(
+                F.lit(s.table).alias("table_name"), "line"
+            )
+            for s in specs
+        ]
+    )
+
+
+@query(
+    "export_csv_header",
+    """SELECT * RENAME (doc_id AS id, n_chars AS "number of, chars")
+       FROM (SELECT CAST(COLUMNS(* EXCLUDE lang) AS VARCHAR) FROM documents)""",
+)
+def q_export_csv_header(spark, sf_dir):
+    """The columns are named by the header alone."""
+    spec = ExportSpec(
+        table="documents",
+        source=table_file(sf_dir, "documents"),
+        root=fresh_folder(spark, "header"),
+        format="csv",
+        skip="lang",
+        rename={"doc_id": "id", "n_chars": "number of, chars"},
+        max_rows=1000,
+    )
+    report = export_tables(spark, [spec]).first()
+    if report.status != "ok":
+        raise RuntimeError(report.message)
+    return read_written(spark, spec.target, "csv")
+
+
 @query(
     "export_verify_only",
     """SELECT 'orders' AS table_name, count(*) AS n_read, CAST(1 AS BIGINT) AS n_files,

@@ -80,7 +80,7 @@ def _replace_files(
             file_system(spark, path).delete(hadoop_path(spark, kept_dir), True)
             raise RuntimeError(f"{path}: {expected} rows should stay, {written} were written")
     elif len(files) == n_files:
-        table.limit(0).write.parquet(kept_dir)
+        _write_empty(table, files, kept_dir)
     _swap(spark, path, files, kept_dir, run)
 
 
@@ -133,6 +133,13 @@ def _write_kept(
     kept.write.partitionBy(*parts).parquet(kept_dir)
 
 
+def _write_empty(table: DataFrame, files: list[str], kept_dir: str) -> None:
+    """A file without rows, in the folder of an old one, keeps the schema of an emptied table."""
+    folder, sep, _ = files[0].rpartition("/")
+    empty = table.drop(*partition_columns(files)).limit(0)
+    empty.write.parquet(f"{kept_dir}{sep}{folder}")
+
+
 def _move(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
     if not pairs:
         return

@@ -99,6 +99,18 @@ def test_partitioned_table_keeps_its_folders(spark, uri):
     assert {p.name for p in Path(path).iterdir() if p.is_dir()} == folders
 
 
+def test_emptied_partitioned_table_can_be_filled_again(spark, uri):
+    df = spark.createDataFrame([(i, f"x{i % 3}") for i in range(9)], "id int, p string")
+    df.write.partitionBy("p").parquet(uri("t"))
+    schema = spark.read.parquet(uri("t")).schema
+    assert delete_from(spark, uri("t"), None) == 9
+    after = spark.read.parquet(uri("t"))
+    assert after.count() == 0 and after.schema == schema
+    df.write.mode("append").partitionBy("p").parquet(uri("t"))
+    assert rows(spark.read.parquet(uri("t"))) == rows(df)
+    assert delete_from(spark, uri("t"), ("p", "=", "x1")) == 3
+
+
 def test_failed_write_leaves_the_table_as_it_was(spark, lineitem, monkeypatch):
     before = rows(spark.read.parquet(lineitem))
     monkeypatch.setattr(delete, "retain", lambda df, pred: df.where("l_orderkey < 0"))
