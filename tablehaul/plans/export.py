@@ -6,6 +6,7 @@ import time
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote, urlsplit
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -208,6 +209,11 @@ def _check_paths(spark: SparkSession, specs: list[ExportSpec]) -> None:
         for other in sources + targets[i + 1 :]:
             if target.startswith(other) or other.startswith(target):
                 raise ValueError(f"target {target} overlaps {other}")
+    for s in specs:
+        if s.convert and isinstance(s.source, DataFrame) and exists(spark, s.target):
+            folder = urlsplit(qualified(spark, s.target)).path + "/"
+            if any(unquote(urlsplit(f).path).startswith(folder) for f in s.source.inputFiles()):
+                raise ValueError(f"{s.table} is read from its target {s.target}")
 
 
 def export_tables(

@@ -106,7 +106,7 @@ class DeleteSpec:
 
 def broadcast_option(name: str, value, n: int) -> list:
     """One value per table from a ``;`` text or a list; a single value serves all tables."""
-    values = value.split(";") if isinstance(value, str) else value
+    values = value.split(";") if isinstance(value, str) and name != "where" else value
     if not isinstance(values, list):
         values = [values]
     if len(values) == 1:
@@ -143,37 +143,37 @@ def export_specs(
     skip: str | list = "",
     rename: str | list = "",
     days_back: str | list = "",
+    keys: str | list = "",
+    expected_rows: int | list | None = None,
     **common,
 ) -> list[ExportSpec]:
     """Specs for several tables from per-table option lists.
 
-    ``columns``, ``skip``, ``rename`` and ``days_back`` are ``;`` texts or lists, ``where`` is
-    a list of predicates or one for all. ``locate`` maps a table name to its source. The
-    other options are the same for every table.
+    ``columns``, ``skip``, ``rename``, ``days_back`` and ``keys`` are ``;`` texts or lists,
+    ``where`` and ``expected_rows`` are lists or one value for all. ``locate`` maps a table
+    name to its source. The other options are the same for every table.
     """
     names = table_list(tables)
-    n = len(names)
-    per_table = zip(
-        names,
-        broadcast_option("where", where if isinstance(where, list) else [where], n),
-        broadcast_option("columns", columns, n),
-        broadcast_option("skip", skip, n),
-        broadcast_option("rename", rename, n),
-        broadcast_option("days_back", days_back, n),
-    )
+    per_table = {
+        "where": where,
+        "columns": columns,
+        "skip": skip,
+        "rename": rename,
+        "days_back": days_back,
+        "keys": keys,
+        "expected_rows": expected_rows,
+    }
+    lists = {k: broadcast_option(k, v, len(names)) for k, v in per_table.items()}
+    lists["days_back"] = [days_back_option(d) for d in lists["days_back"]]
     return [
         ExportSpec(
             table=t,
             source=locate(t),
             root=root,
-            where=w,
-            columns=c,
-            skip=s,
-            rename=r,
-            days_back=days_back_option(d),
+            **{k: values[i] for k, values in lists.items()},
             **common,
         )
-        for t, w, c, s, r, d in per_table
+        for i, t in enumerate(names)
     ]
 
 

@@ -134,6 +134,8 @@ def test_paths_are_checked_before_anything_is_written(spark, uri):
     table(spark, "region").write.parquet(uri("src/t"))
     with pytest.raises(ValueError, match="overlaps"):
         export_tables(spark, [ExportSpec("t", uri("src/t"), uri("src"))])
+    with pytest.raises(ValueError, match="read from its target"):
+        export_tables(spark, [ExportSpec("t", spark.read.parquet(uri("src/t")), uri("src"))])
     assert spark.read.parquet(uri("src/t")).count() == 5
 
 
@@ -193,6 +195,8 @@ def test_option_lists():
         skip="z",
         rename="x:y;u:v",
         days_back="day:1;",
+        keys="k;u,v",
+        expected_rows=[3, None],
         where=[None, ("u", "=", "1")],
         today=date(2024, 1, 31),
         marker=True,
@@ -202,6 +206,11 @@ def test_option_lists():
     assert [s.skip for s in specs] == ["z", "z"]
     assert [s.days_back for s in specs] == [("day", 1), None]
     assert [s.target for s in specs] == ["/out/g/a", "/out/g/b"]
+    assert [s.keys for s in specs] == ["k", "u,v"]
+    assert [s.expected_rows for s in specs] == [3, None]
+    assert [s.where for s in specs] == [None, ("u", "=", "1")]
+    assert all(s.marker for s in specs)
+    assert {s.where for s in export_specs("a;b", str, "/out", where="*:*")} == {"*:*"}
     with pytest.raises(ValueError, match="columns has 3 values for 2 tables"):
         export_specs("a;b", str, "/out", columns="x;y;z")
     assert broadcast_option("x", None, 2) == [None, None]

@@ -3,6 +3,8 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tablehaul.operators import stringify
 from tablehaul.sinks import (
@@ -84,6 +86,26 @@ def test_json_map_keys_are_text(spark, uri):
     assert '{"m":{"2024-01-02":{"1":"QQ=="}},"t":"x"}' in data_files(uri("t"))[0].read_text()
 
 
+TEXT = st.none() | st.text(st.characters(exclude_categories=["Cs"]), max_size=6) | st.text(
+    "\"\\,|\n\r' \t", max_size=6
+)
+
+
+@given(st.lists(st.tuples(TEXT, TEXT), min_size=1, max_size=8))
+@settings(max_examples=40, deadline=None)
+def test_any_text_reads_back(spark, tmp_path_factory, pairs):
+    folder = tmp_path_factory.mktemp("any")
+    data = [(i, a, b) for i, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(data, "id int, a string, b string").coalesce(2)
+    for fmt in ("csv", "json", "parquet"):
+        write_table(df, str(folder / fmt), fmt)
+        back = read_written(spark, str(folder / fmt), fmt, df.schema)
+        want = [(i, a or "", b or "") for i, a, b in data] if fmt == "csv" else data
+        got = back.na.fill("") if fmt == "csv" else back
+        assert sorted(map(tuple, got.collect())) == want
+        assert written_row_count(spark, str(folder / fmt), fmt).first().n_rows == len(data)
+
+
 def test_pipe_text(spark, nasty, uri):
     write_table(nasty.where("id <= 3"), uri("t"), "pipe")
     assert data_files(uri("t"))[0].read_text() == '1||plain\n2||q"x\n3|b|c|y,z\n'
