@@ -84,7 +84,8 @@ class ExportSpec:
 
 @dataclass(frozen=True)
 class DeleteSpec:
-    """One table's retention delete. ``delete_days`` takes the place of ``where``."""
+    """One table's retention delete. ``delete_days`` takes the place of ``where``; with neither,
+    or with a match-all ``where``, every row goes."""
 
     table: str
     path: str
@@ -106,7 +107,7 @@ class DeleteSpec:
 
 def broadcast_option(name: str, value, n: int) -> list:
     """One value per table from a ``;`` text or a list; a single value serves all tables."""
-    values = value.split(";") if isinstance(value, str) and name != "where" else value
+    values = value.split(";") if isinstance(value, str) else value
     if not isinstance(values, list):
         values = [values]
     if len(values) == 1:

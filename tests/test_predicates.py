@@ -93,7 +93,9 @@ def test_text_order_of_binary_columns_reaches_the_scan(spark, uri):
 
 
 def test_nested_fields(spark, uri):
-    df = spark.sql("SELECT id, named_struct('x', id, 'in', named_struct('y', id)) AS s FROM range(9)")
+    df = spark.sql(
+        "SELECT id, named_struct('x', id, 'in', named_struct('y', id)) AS s FROM range(9)"
+    )
     df.write.parquet(uri("t"))
     t = spark.read.parquet(uri("t"))
     got = t.where(predicate(("s.in.y", ">", "6"), t.schema))
