@@ -18,7 +18,7 @@ from tablehaul.operators import (
     rename,
     stringify,
 )
-from tablehaul.sources import key_columns, leaf_columns, with_keys
+from tablehaul.sources import file_row_counts, key_columns, leaf_columns, with_keys
 from tests.conftest import SF, pushed_filters
 
 
@@ -149,6 +149,20 @@ def test_days_back(spark, uri):
     assert "GreaterThanOrEqual(_UPT_,1706572800000)" in pushed_filters(since)
 
 
+def test_days_back_prunes_partitions(spark, uri):
+    rows = [(i, f"202401{i:02d}") for i in range(10, 32)]
+    df = spark.createDataFrame(rows, "id int, day string")
+    df.coalesce(1).write.partitionBy("day").parquet(uri("t"))
+    t = spark.read.parquet(uri("t"))
+    for days, want in ((3, [28, 29, 30, 31]), (0, [31])):
+        got = t.where(days_back("day", days, date(2024, 1, 31)))
+        assert sorted(r.id for r in got.collect()) == want
+        plan = got._jdf.queryExecution().executedPlan()
+        assert "PartitionFilters: [isnotnull(day" in plan.toString()
+        read = file_row_counts(got).count()
+        assert read == len(want)
+
+
 def test_older_than():
     now = datetime(2024, 1, 31, 0, 0, 1)
     assert older_than(1, now) == ("_UPT_", "<=", 1706659201000 - 86_400_000)
