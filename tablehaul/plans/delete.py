@@ -67,7 +67,7 @@ def _replace_files(
 ) -> None:
     n_files = len(table.inputFiles())
     files = sorted(matches)
-    touched = _read_files(spark, path, table.schema, files, n_files)
+    touched = _read_files(spark, path, files, n_files, table.schema)
     totals = _counts_by_file(spark, path, touched)
     mixed = [f for f in files if totals[f] > matches[f]]
     run = uuid.uuid4().hex[:12]
@@ -80,16 +80,25 @@ def _replace_files(
             file_system(spark, path).delete(hadoop_path(spark, kept_dir), True)
             raise RuntimeError(f"{path}: {expected} rows should stay, {written} were written")
     elif len(files) == n_files:
-        _write_empty(table, files, kept_dir)
+        _write_empty(_read_files(spark, path, files, n_files), files, kept_dir)
     _swap(spark, path, files, kept_dir, run)
 
 
 def _read_files(
-    spark: SparkSession, path: str, schema: T.StructType, files: list[str], n_files: int
+    spark: SparkSession,
+    path: str,
+    files: list[str],
+    n_files: int,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """The named files of the table, which has ``n_files``; all of them by one listing."""
+    """The named files of the table, which has ``n_files``; all of them by one listing.
+
+    Without ``schema`` the files' own schemas are merged, so that columns only some of them
+    have are not lost.
+    """
     base = qualified(spark, path)
-    reader = spark.read.schema(schema).option("basePath", base)
+    reader = spark.read.option("basePath", base)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
     return reader.parquet(*([base] if len(files) == n_files else [f"{base}/{f}" for f in files]))
 
 
@@ -111,21 +120,15 @@ def _write_kept(
     """Partition values are read as text, so that their folders are named as before."""
     parts = partition_columns(files)
     if not parts:
-        rows = _read_files(spark, path, table.schema, files, n_files)
-        retain(rows, pred).write.parquet(kept_dir)
+        retain(_read_files(spark, path, files, n_files), pred).write.parquet(kept_dir)
         return
-    as_text = T.StructType(
-        [
-            T.StructField(f.name, T.StringType(), f.nullable) if f.name in parts else f
-            for f in table.schema.fields
-        ]
-    )
-    rows = _read_files(spark, path, as_text, files, n_files)
+    merged = _read_files(spark, path, files, n_files).schema
+    data = [f for f in merged.fields if f.name not in parts]
+    as_text = [T.StructField(p, T.StringType()) for p in parts]
+    rows = _read_files(spark, path, files, n_files, T.StructType(data + as_text))
     typed = rows.select(
-        *[
-            col(f.name).cast(f.dataType).alias(f.name) if f.name in parts else col(f.name)
-            for f in table.schema.fields
-        ],
+        *[col(f.name) for f in data],
+        *[col(p).cast(table.schema[p].dataType).alias(p) for p in parts],
         *[col(p).alias(f"{KEPT}{p}") for p in parts],
     )
     kept = retain(typed, pred).drop(*parts)

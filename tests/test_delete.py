@@ -111,6 +111,20 @@ def test_emptied_partitioned_table_can_be_filled_again(spark, uri):
     assert delete_from(spark, uri("t"), ("p", "=", "x1")) == 3
 
 
+@pytest.mark.parametrize("partitions", [(), ("p",)])
+def test_columns_of_some_files_only_are_kept(spark, uri, partitions):
+    old = spark.createDataFrame([(i, i % 2) for i in range(10)], "id int, p int")
+    new = old.select("id", "p", F.concat(F.lit("n"), "id").alias("note"))
+    for df in (old.coalesce(1), new.coalesce(1)):
+        df.write.mode("append").partitionBy(*partitions).parquet(uri("t"))
+    assert delete_from(spark, uri("t"), ("id", ">=", 6)) == 8
+    after = spark.read.option("mergeSchema", "true").parquet(uri("t"))
+    want = [(i, i % 2, n) for i in range(6) for n in (None, f"n{i}")]
+    assert rows(after.select("id", "p", "note")) == sorted(want, key=repr)
+    assert delete_from(spark, uri("t"), None) == 12
+    assert set(spark.read.parquet(uri("t")).columns) == {"id", "p", "note"}
+
+
 def test_failed_write_leaves_the_table_as_it_was(spark, lineitem, monkeypatch):
     before = rows(spark.read.parquet(lineitem))
     monkeypatch.setattr(delete, "retain", lambda df, pred: df.where("l_orderkey < 0"))
