@@ -7,32 +7,23 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablehaul.names import col, split_names
 
 
-def filled_counters(df: DataFrame) -> list[Column]:
-    """One counter of non-null cells per column, named by position so that any column name
-    works."""
-    return [F.count(col(c)).alias(f"filled_{i}") for i, c in enumerate(df.columns)]
-
-
 def null_cell_counts(df: DataFrame) -> DataFrame:
     """``(column_name, n_null)`` for every column: one pass, one partial row per task.
 
-    Only plain counts are used. Where the session reads Parquet through data source V2 with
-    ``spark.sql.parquet.aggregatePushdown``, they come from the footers alone.
+    The counters are named by position, so any column name works.
     """
-    counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *filled_counters(df))
+    counters = [F.count_if(col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(df.columns)]
     cells = [
-        F.struct(
-            F.lit(c).alias("column_name"), (F.col("n_rows") - F.col(f"filled_{i}")).alias("n_null")
-        )
+        F.struct(F.lit(c).alias("column_name"), F.col(f"nulls_{i}").alias("n_null"))
         for i, c in enumerate(df.columns)
     ]
-    return counted.select(F.inline(F.array(*cells)))
+    return df.agg(*counters).select(F.inline(F.array(*cells)))
 
 
 def null_cell_rows(

@@ -18,7 +18,7 @@ from tablehaul.functions.text import cell_text
 from tablehaul.names import col, split_names, table_stem
 from tablehaul.operators.predicates import matches_all, predicate
 from tablehaul.operators.project import project, rename, rename_mapping, stringify
-from tablehaul.operators.validate import check_columns, filled_counters
+from tablehaul.operators.validate import check_columns
 from tablehaul.plans.report import export_details, export_summary
 from tablehaul.sinks.layout import write_marker, write_trigger
 from tablehaul.sinks.writers import format_name, write_table, written_records
@@ -91,11 +91,12 @@ def export_frame(spark: SparkSession, spec: ExportSpec) -> DataFrame:
 def _counted(df: DataFrame, spec: ExportSpec) -> tuple[DataFrame, Observation]:
     """Count rows, null cells and line breaks while the write runs, without a pass of its own.
 
-    The counters feed the writing stage directly, where a retried task counts once.
+    The counters feed the writing stage directly, where a retried task counts once. They are
+    named by position, so any column name works.
     """
     metrics = [F.count(F.lit(1)).alias("n_read")]
     if spec.null_policy != "ignore":
-        metrics += filled_counters(df)
+        metrics += [F.count(col(c)).alias(f"filled_{i}") for i, c in enumerate(df.columns)]
     if format_name(spec.format) in ("csv", "pipe"):
         metrics.append(_line_breaks(df).alias("line_breaks"))
     seen = Observation()
