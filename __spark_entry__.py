@@ -1060,6 +1060,26 @@ def flagship(spark, sf_dir):
     return export_frame(spark, spec)
 
 
+try:
+    from tablehaul.llm.queries import QUERIES as LLM_QUERIES
+    from tablehaul.llm.queries import SQL as LLM_SQL
+except ModuleNotFoundError as e:  # that subpackage may be left out
+    if e.name not in ("tablehaul.llm", "tablehaul.llm.queries"):
+        raise
+else:
+    _QUERIES.update(LLM_QUERIES)
+    _SQL.update(LLM_SQL)
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline":
+            raise
+    else:
+        _QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The flagship query on the smallest data set."""
     return flagship(spark, "/root/testdata/sf0.001")
