@@ -69,6 +69,10 @@ def map_arrow(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFr
     return df.mapInArrow(fn, schema)
 
 
+def _array(values, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+
 def map_texts(
     df: DataFrame,
     fn: Callable[[list[str | None]], dict[str, list]],
@@ -78,7 +82,7 @@ def map_texts(
     """Columns computed from each text, beside the id.
 
     ``df`` has the columns id and text. ``fn`` gets up to ``batches`` texts at a time and
-    returns a list per field of the DDL string ``fields``.
+    returns a list or Arrow array per field of the DDL string ``fields``.
     """
     schema = T.StructType([df.schema["id"], *T.StructType.fromDDL(fields).fields])
 
@@ -91,7 +95,7 @@ def map_texts(
                 piece = part.slice(start, batches)
                 made = fn(piece.column("text").to_pylist())
                 ids = piece.column("id").cast(arrow.field(0).type)
-                arrays = [pa.array(made[f.name], f.type) for f in list(arrow)[1:]]
+                arrays = [_array(made[f.name], f.type) for f in list(arrow)[1:]]
                 yield pa.RecordBatch.from_arrays([ids, *arrays], schema=arrow)
 
     return map_arrow(df, run, schema)

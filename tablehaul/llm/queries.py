@@ -6,6 +6,14 @@ import public_tokenizers
 
 from tablehaul.llm.common import documents
 from tablehaul.llm.exact_dedup import exact_duplicates
+from tablehaul.llm.language_id import languages
+from tablehaul.llm.mixing import mixed
+from tablehaul.llm.pii import personal_data_digest
+from tablehaul.llm.quality_classifier import quality_scores
+from tablehaul.llm.quality_rules import judged
+from tablehaul.llm.secrets import secret_digest
+from tablehaul.llm.sentence_pieces import encoded
+from tablehaul.llm.simhash import near_duplicates
 from tablehaul.llm.token_counts import token_counts
 
 QUERIES = {}
@@ -14,7 +22,7 @@ SQL = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(spark, sf_dir).withColumnRenamed("id", "doc_id")
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -22,10 +30,50 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_quality_rules")
+def op1(spark, sf_dir):
+    return judged(documents(spark, sf_dir))
+
+
+@query("op2_source_mixing")
+def op2(spark, sf_dir):
+    return mixed(documents(spark, sf_dir))
+
+
+@query("op3_sentence_pieces")
+def op3(spark, sf_dir):
+    return encoded(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op4_secrets")
+def op4(spark, sf_dir):
+    return secret_digest(documents(spark, sf_dir))
+
+
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    return languages(documents(spark, sf_dir))
+
+
+@query("op6_personal_data")
+def op6(spark, sf_dir):
+    return personal_data_digest(documents(spark, sf_dir))
+
+
 @query("op7_token_counts")
 def op7(spark, sf_dir):
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return token_counts(documents(spark, sf_dir), path).withColumnRenamed("id", "doc_id")
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_simhash")
+def op8(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir))
+
+
+@query("op9_quality_classifier")
+def op9(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality_scores(documents(spark, sf_dir), labels)
 
 
 @query(
@@ -35,4 +83,4 @@ def op7(spark, sf_dir):
        FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
 )
 def op10(spark, sf_dir):
-    return exact_duplicates(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+    return exact_duplicates(documents(spark, sf_dir))
