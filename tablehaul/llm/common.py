@@ -99,3 +99,57 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays([ids, *arrays], schema=arrow)
 
     return map_arrow(df, run, schema)
+
+
+def filter_texts(
+    df: DataFrame, text_col: str, keep: Callable[[list[str | None]], list[bool]], batches: int = 512
+) -> DataFrame:
+    """The rows, with all their columns, whose text ``keep`` says yes to."""
+    at = df.columns.index(text_col)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for start in range(0, part.num_rows, batches):
+                piece = part.slice(start, batches)
+                yield piece.filter(pa.array(keep(piece.column(at).to_pylist()), pa.bool_()))
+
+    return map_arrow(df, run, df.schema)
+
+
+def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
+    """Tells rows apart that share an id: the id and a hash of the text."""
+    return F.struct(
+        F.col(quoted(id_col)).alias("id"), F.xxhash64(F.col(quoted(text_col))).alias("text_hash")
+    )
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_key(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """The frame with its row key in a new column, and that column's name."""
+    name = free_name(df, "row_key")
+    return df.withColumn(name, row_key(df, id_col, text_col)), name
+
+
+def one_of_each(df: DataFrame, decisions: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows whose key is kept, one of each.
+
+    ``decisions`` has a row per row of ``df`` with its row key ``id`` and ``kept``. Rows that agree
+    in id and text are one document, of which one row stays.
+    """
+    keyed, name = with_row_key(df, id_col, text_col)
+    keys = durable(
+        decisions.groupBy("id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "row-keys"
+    ).withColumnRenamed("id", name)
+    out = keyed.join(keys.where("NOT kept").select(name), name, "left_anti")
+    repeated = keys.where("kept AND n > 1").select(name)
+    if not repeated.isEmpty():
+        once = out.join(repeated, name, "left_semi").dropDuplicates([name])
+        out = out.join(repeated, name, "left_anti").unionByName(once)
+    return out.select(*[F.col(quoted(c)) for c in df.columns])

@@ -38,7 +38,8 @@ def build(strings: dict[bytes, int]) -> DoubleArray:
     base, check, value = (np.full(size, fill, np.int32) for fill in (0, -1, -1))
     used = bytearray(size)
     used[ROOT] = 1
-    hint = 1
+    # The first free slot that every byte can reach; where slots for several children are sought.
+    free, start = 257, 257
     todo = [(ROOT, tree)]
     while todo:
         following = []
@@ -46,23 +47,25 @@ def build(strings: dict[bytes, int]) -> DoubleArray:
             if -1 in node:
                 value[state] = node[-1]
             codes = sorted(c for c in node if c >= 0)
-            if not codes:
-                base[state] = 1
-                continue
-            while used[hint]:
-                hint += 1
-                if hint + 257 >= size:
-                    size, base, check, value, used = _grown(base, check, value, used)
-            at = max(1, hint - codes[0])
-            while any(used[at + c] for c in codes):
-                at += 1
-                if at + 257 >= size:
-                    size, base, check, value, used = _grown(base, check, value, used)
+            while free + 600 >= size or start + 600 >= size:
+                size, base, check, value, used = _grown(base, check, value, used)
+            if len(codes) < 2:  # any free slot does
+                at = free - codes[0] if codes else 1
+            else:
+                at, tries = start, 0
+                while any(used[at + c] for c in codes):
+                    at, tries = at + 1, tries + 1
+                    if at + 600 >= size:
+                        size, base, check, value, used = _grown(base, check, value, used)
+                if tries > 32:  # crowded so far: leave the holes to single children
+                    start = at
             base[state] = at
             for c in codes:
                 used[at + c] = 1
                 check[at + c] = state
                 following.append((at + c, node[c]))
+            while used[free]:
+                free += 1
         todo = following
     # walks may look 256 beyond the last base
     end = int(base.max()) + 257

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import durable, id_and_text, map_arrow, map_texts
+from tablehaul.llm.common import durable, id_and_text, map_arrow, map_texts, one_of_each, with_row_key
 
 MODULI = (2**31 - 1, 2**31 - 19)
 BASES = (1_103_515_245, 747_796_405)
@@ -261,3 +261,9 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         (F.col("top").isNull() | (F.col("top.row") == F.col("row"))).alias("kept"),
         F.col("sha256").alias("text_sha256"),
     )
+
+
+def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of equal texts, with all its columns."""
+    keyed, key = with_row_key(df, id_col, text_col)
+    return one_of_each(df, exact_duplicates(keyed, key, text_col), id_col, text_col)

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import fold, id_and_text, map_texts, quoted
+from tablehaul.llm.common import filter_texts, fold, id_and_text, map_texts, quoted
 
 UNDETERMINED = "und"
 SAMPLES = 128
@@ -122,6 +122,12 @@ class Classifier:
 _STATE: dict[int, Classifier] = {}
 
 
+def _classifier(key: int, sent) -> Classifier:
+    if key not in _STATE:
+        _STATE[key] = Classifier(sent.value)
+    return _STATE[key]
+
+
 def languages(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -143,10 +149,8 @@ def languages(
     key = hash(tuple(contents.items()))
 
     def made(texts):
-        if key not in _STATE:
-            _STATE[key] = Classifier(sent.value)
-        found = [_STATE[key].predict(t) for t in texts]
-        return {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found], "margin": [f[2] for f in found]}
+        found = [_classifier(key, sent).predict(t) for t in texts]
+        return dict(zip(("lang_pred", "score", "margin"), map(list, zip(*found, strict=True)), strict=True))
 
     fields = "lang_pred string, score double, margin double"
     out = map_texts(id_and_text(df, id_col, text_col), made, fields)
@@ -158,3 +162,24 @@ def languages(
         "margin",
         ((F.col("lang_pred") == UNDETERMINED) | (F.col("margin") < margin)).alias("rejected"),
     )
+
+
+def identified(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    folds: int = 4,
+    held_out: int = 2,
+    margin: float = MARGIN,
+) -> DataFrame:
+    """The rows that are not rejected, with all their columns."""
+    contents = learned(df, id_col, text_col, lang_col, folds, held_out)
+    sent = df.sparkSession.sparkContext.broadcast(contents)
+    key = hash(tuple(contents.items()))
+
+    def keep(texts):
+        found = [_classifier(key, sent).predict(t) for t in texts]
+        return [lang != UNDETERMINED and not by < margin for lang, _, by in found]
+
+    return filter_texts(df, text_col, keep)

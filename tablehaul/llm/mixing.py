@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablehaul.llm.common import WORD, durable, quoted
+from tablehaul.llm.common import WORD, durable, free_name, quoted, with_row_key
 
 FAN = 64
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -200,3 +200,21 @@ def mixed(df: DataFrame, **options) -> DataFrame:
         .select("*", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
         .drop("m", "col")
     )
+
+
+def mixture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows as often as the mix takes them, with all their columns."""
+    keyed, key = with_row_key(df, id_col, text_col)
+    wanted = durable(
+        copies(keyed, key, text_col, source_col, **options)
+        .where("copies > 0")
+        .select(F.col("id").alias("wanted_id"), F.col("source").alias("wanted_source"), F.col("copies")),
+        "mix-copies",
+    )
+    names = {c: free_name(keyed, c) for c in wanted.columns}
+    wanted = wanted.withColumnsRenamed(names)
+    same_source = F.col(quoted(source_col)).cast("string").eqNullSafe(F.col(names["wanted_source"]))
+    taken = keyed.join(wanted, (F.col(key) == F.col(names["wanted_id"])) & same_source)
+    times = F.explode(F.sequence(F.lit(1), F.col(names["copies"]).cast("int")))
+    columns = [F.col(quoted(c)) for c in df.columns]
+    return taken.select(*columns, times.alias(names["copies"])).select(*columns)

@@ -181,6 +181,15 @@ _SPLIT = re.compile("[ -]")
 _PLUS = re.compile(r"\bplus (?=[0-9])", re.IGNORECASE)
 
 
+_INNER = tuple(f" {w} " for w in _SPELLED)
+
+
+def _may_have_run(text: str) -> bool:
+    """Whether a spelled digit stands between two separators, as in any run of three."""
+    plain = text.casefold().replace("-", " ")
+    return any(w in plain for w in _INNER)
+
+
 def _digits(m: re.Match) -> str:
     return "".join(_SPELLED[w.lower()] for w in _SPLIT.split(m[0]))
 
@@ -221,7 +230,8 @@ def _in_pieces(mapped: Mapped, pattern: re.Pattern) -> Mapped:
 
 def rewritten(text: str) -> Mapped | None:
     """The text after all transducers, or None where none has anything to do."""
-    odd, run, disguised = _ODD.search(text), _RUN.search(text), _DISGUISED.search(text)
+    odd, disguised = _ODD.search(text), _DISGUISED.search(text)
+    run = _may_have_run(text) and _RUN.search(text)
     if not (odd or run or disguised):
         return None
     out = Mapped.of(text)

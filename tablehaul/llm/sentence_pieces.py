@@ -137,6 +137,8 @@ def encode_units(units: list[bytes], p: Pieces) -> list[np.ndarray]:
         while len(alive):
             inside = i + depth < lengths[rows[alive]]
             alive, states = alive[inside], states[inside]
+            if not len(alive):
+                break
             states = p.trie.step(states, data[rows[alive], i + depth])
             depth += 1
             found = states >= 0

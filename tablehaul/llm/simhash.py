@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import durable, id_and_text, map_arrow, map_texts
+from tablehaul.llm.common import durable, id_and_text, map_arrow, map_texts, one_of_each, with_row_key
 from tablehaul.llm.components import components
 
 SHINGLE = 3
@@ -225,3 +225,11 @@ def near_duplicates(
     )
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(labels, "fp").select("id", hexadecimal, "component_id")
+
+
+def without_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, that of its smallest id, with all its columns."""
+    keyed, key = with_row_key(df, id_col, text_col)
+    found = near_duplicates(keyed, key, text_col)
+    decisions = found.select("id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return one_of_each(df, decisions, id_col, text_col)
