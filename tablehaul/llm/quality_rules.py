@@ -85,7 +85,7 @@ class Weights:
 START_GOOD, START_ON_GOOD, START_ON_BAD = 0.8, 0.999, 0.2
 #: The belief it is drawn to, in votes: so many of each rule, and as a share of all texts that
 #: rules are right on good texts. The latter keeps the two classes from trading places.
-BELIEF, BELIEF_ON_GOOD = 20.0, 0.2
+BELIEF, BELIEF_ON_GOOD = 2.0, 1.0
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> Weights:

@@ -1,0 +1,123 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from tablehaul.llm import simhash as S
+from tablehaul.llm.components import components
+
+
+def slow_fingerprint(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(items, linked):
+    """Union of items by a pairwise test; returns a representative per index."""
+    parent = list(range(len(items)))
+
+    def top(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(len(items)):
+        for j in range(i):
+            if linked(items[i], items[j]):
+                parent[max(top(i), top(j))] = min(top(i), top(j))
+    return [top(i) for i in range(len(items))]
+
+
+def check(found, rows):
+    """Results against all pairs of rows (id, text)."""
+    fps = [slow_fingerprint(t) for _, t in rows]
+    of = groups(fps, lambda a, b: (a ^ b).bit_count() <= 3)
+    least = {}
+    for (i, _), g in zip(rows, of, strict=True):
+        least[g] = min((x for x in (least.get(g), i) if x is not None), default=None)
+    want = sorted(
+        ((i, f"{fp:016x}", least[g]) for (i, _), fp, g in zip(rows, fps, of, strict=True)), key=repr
+    )
+    assert sorted((tuple(r) for r in found), key=repr) == want
+
+
+@pytest.mark.parametrize("limit", [S.LIMIT, 2])
+def test_like_all_pairs(docs, texts, limit):
+    check(S.near_duplicates(docs, limit=limit).collect(), list(texts.items()))
+
+
+def test_edges(edges, nothing):
+    rows = [(r["doc_id"], r["text"]) for r in edges.collect()]
+    check(S.near_duplicates(edges).collect(), rows)
+    assert S.near_duplicates(nothing).count() == 0
+
+
+def clusters(seed, centres, each, bits):
+    rng, out = random.Random(seed), set()
+    for _ in range(centres):
+        fp = rng.getrandbits(64)
+        for _ in range(each):
+            out.add(fp)
+            for b in rng.sample(range(64), rng.randint(1, bits)):
+                fp ^= 1 << b
+            if rng.random() < 0.3:
+                fp = rng.choice(sorted(out))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("limit", [S.LIMIT, 5, 2])
+def test_links_connect_what_all_links_connect(spark, limit):
+    fps = clusters(3, 6, 40, 4)
+    of = groups(fps, lambda a, b: (a ^ b).bit_count() <= 3)
+    frame = spark.createDataFrame([(S._signed(x),) for x in fps], "fp bigint")
+    links = [tuple(r) for r in S.near_links(frame, limit).collect()]
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 3 for a, b in links)
+    at = {S._signed(x): i for i, x in enumerate(fps)}
+    pairs = {(at[a], at[b]) for a, b in links} | {(at[b], at[a]) for a, b in links}
+    assert groups(range(len(fps)), lambda i, j: (i, j) in pairs) == of
+
+
+def test_manhattan_is_a_lower_bound(spark):
+    rng = random.Random(5)
+    rows = [(S._signed(rng.getrandbits(64)), S._signed(rng.getrandbits(64))) for _ in range(200)]
+    frame = spark.createDataFrame(rows, "a bigint, b bigint")
+    found = frame.select("a", "b", S.manhattan(frame.a, frame.b).alias("d")).collect()
+    for r in found:
+        counts = [[(x >> 2 * s & 3).bit_count() for s in range(32)] for x in (r["a"], r["b"])]
+        assert r["d"] == sum(abs(x - y) for x, y in zip(*counts, strict=True))
+        assert r["d"] <= ((r["a"] ^ r["b"]) & (1 << 64) - 1).bit_count()
+
+
+def test_every_close_pair_shares_a_cell():
+    rng = np.random.default_rng(1)
+    masks = np.array(S.grid_masks(), np.int64).view(np.uint64)
+    assert len(masks) == 20
+    for _ in range(300):
+        a = np.uint64(rng.integers(1 << 63))
+        b = a
+        for bit in rng.choice(64, 3, replace=False):
+            b ^= np.uint64(1) << np.uint64(bit)
+        ea, eb = S._embedded(np.array([a])), S._embedded(np.array([b]))
+        assert ((ea & masks) == (eb & masks)).any()
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7)]
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
+
+
+def test_one_row_of_each_component_stays(edges):
+    out = S.without_near_duplicates(edges)
+    assert out.columns == edges.columns
+    rows = [(r["doc_id"], r["text"]) for r in edges.collect()]
+    of = groups([slow_fingerprint(t) for _, t in rows], lambda a, b: (a ^ b).bit_count() <= 3)
+    assert out.count() == len(set(of))
