@@ -7,6 +7,7 @@ files in the session's shared folder and return a frame over what they read back
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
 
@@ -26,8 +27,17 @@ from tablehaul.plans import (
     sent_count_sum,
 )
 from tablehaul.sinks import ParquetOptions, read_written, write_table, written_row_count
-from tablehaul.sources import file_row_counts, row_count, scan_dir, scan_table
-from tablehaul.sources.files import fresh_folder
+from tablehaul.sinks.layout import marker_uri, trigger_uri
+from tablehaul.sources import (
+    file_row_counts,
+    key_columns,
+    leaf_paths,
+    row_count,
+    scan_dir,
+    scan_table,
+    with_keys,
+)
+from tablehaul.sources.files import exists, fresh_folder
 from tablehaul.specs import ExportSpec, delete_specs, export_specs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +125,85 @@ def q_scan_dir(spark, sf_dir):
     )
 
 
+def two_versions(spark, sf_dir, name: str) -> str:
+    """Orders in a folder of two writes, the second with a column the first lacks."""
+    uri = fresh_folder(spark, name)
+    orders = table(spark, sf_dir, "orders")
+    early = F.col("o_orderkey") % 2 == 0
+    orders.where(early).drop("o_orderpriority").write.parquet(uri)
+    orders.where(~early).write.mode("append").parquet(uri)
+    return uri
+
+
+TWO_VERSIONS = """SELECT * REPLACE (
+    CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+) FROM orders"""
+
+
+@query("scan_mixed_columns", TWO_VERSIONS)
+def q_scan_mixed_columns(spark, sf_dir):
+    """A folder of many files, some without a column."""
+    return scan_dir(spark, two_versions(spark, sf_dir, "mixed-scan"), ".PARQUET")
+
+
+@query("export_mixed_columns", TWO_VERSIONS)
+def q_export_mixed_columns(spark, sf_dir):
+    spec = ExportSpec(
+        "orders", two_versions(spark, sf_dir, "mixed"), fresh_folder(spark, "mixed-out"), values="typed"
+    )
+    report = export_tables(spark, [spec]).first()
+    if report.status != "ok":
+        raise RuntimeError(report.message)
+    return scan_table(spark, spec.target)
+
+
+@query(
+    "delete_late_column",
+    f"SELECT * FROM ({TWO_VERSIONS}) WHERE (o_orderpriority = '1-URGENT') IS NOT TRUE",
+)
+def q_delete_late_column(spark, sf_dir):
+    uri = two_versions(spark, sf_dir, "late")
+    delete_from(spark, uri, ("o_orderpriority", "=", "1-URGENT"))
+    return scan_table(spark, uri)
+
+
+@query(
+    "key_columns",
+    """SELECT 'o_orderkey' AS column_name, count(o_orderkey) AS n_filled FROM orders
+       UNION ALL SELECT 'o_custkey', count(o_custkey) FROM orders""",
+)
+def q_key_columns(spark, sf_dir):
+    """Key columns read from the footers of a written copy."""
+    uri = fresh_folder(spark, "keys")
+    write_table(with_keys(table(spark, sf_dir, "orders"), "o_orderkey, o_custkey"), uri)
+    copy = scan_table(spark, uri)
+    return filled(copy, key_columns(copy))
+
+
+def filled(df: DataFrame, names: list[str]) -> DataFrame:
+    """Cells that are not null, per column."""
+    counts = df.agg(*[F.count(F.col(n)).alias(n) for n in names])
+    return counts.unpivot([], names, "column_name", "n_filled")
+
+
+@query(
+    "leaf_columns",
+    """SELECT 'event_id' AS column_name, count(event_id) AS n_filled FROM events
+       UNION ALL SELECT 'who.user_id', count(user_id) FROM events
+       UNION ALL SELECT 'who.event_type', count(event_type) FROM events""",
+)
+def q_leaf_columns(spark, sf_dir):
+    """Leaf columns of a written copy with a nested one."""
+    uri = fresh_folder(spark, "leaves")
+    events = table(spark, sf_dir, "events")
+    write_table(events.select("event_id", F.struct("user_id", "event_type").alias("who")), uri)
+    copy = scan_table(spark, uri)
+    leaves = [".".join(path) for path in leaf_paths(copy)]
+    counts = copy.agg(*[F.count(F.col(n)).alias(n.replace(".", "/")) for n in leaves])
+    rows = counts.unpivot([], [f"`{n.replace('.', '/')}`" for n in leaves], "column_name", "n_filled")
+    return rows.withColumn("column_name", F.replace("column_name", F.lit("/"), F.lit(".")))
+
+
 @query(
     "table_row_count",
     " UNION ALL ".join(
@@ -339,10 +428,36 @@ def q_filter_text_order(spark, sf_dir):
     return orders.where(ops.predicate(("o_custkey", ">=", "'5'"), as_text=True))
 
 
+@query(
+    "filter_mixed_literals",
+    """SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
+       WHERE l_orderkey > 10.5 AND l_linenumber >= 1.5 AND l_linenumber < 5.5
+         AND l_returnflag <> '5' AND CAST(l_quantity AS DECIMAL(12, 2)) > 20.005
+         AND l_shipdate >= TIMESTAMP '1996-01-01'""",
+)
+def q_filter_mixed_literals(spark, sf_dir):
+    """Floats on whole numbers, text on a number, a number on text, decimals, a date."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = lineitem.withColumn("quantity", F.col("l_quantity").cast("decimal(12,2)"))
+    where = ops.all_of(
+        ("l_orderkey", ">", 10.5),
+        ("l_linenumber", ">=", "1.5"),
+        ("l_linenumber", "<", 5.5),
+        ops.any_of(("l_returnflag", ">", 5), ("l_returnflag", "<", 5)),
+        ("quantity", ">", "20.005"),
+        ("l_shipdate", ">=", date(1996, 1, 1)),
+    )
+    kept = lineitem.where(ops.predicate(where, lineitem.schema))
+    return kept.select("l_orderkey", "l_linenumber", "l_returnflag")
+
+
 def dated_orders(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    """A written table whose dates are text, as a source table has them."""
+    uri = fresh_folder(spark, "dated")
+    table(spark, sf_dir, "orders").select(
         "o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("odate")
-    )
+    ).write.parquet(uri)
+    return scan_table(spark, uri)
 
 
 @query(
@@ -357,11 +472,12 @@ def q_days_back_date(spark, sf_dir):
 
 @query(
     "days_back_today_only",
-    """SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS odate FROM orders
-       WHERE strftime(o_orderdate, '%Y%m%d') = '19990110'""",
+    """SELECT o_orderkey, o_orderdate FROM orders
+       WHERE o_orderdate >= TIMESTAMP '1999-01-10' AND o_orderdate < TIMESTAMP '1999-01-11'""",
 )
 def q_days_back_today_only(spark, sf_dir):
-    return dated_orders(spark, sf_dir).where(tf.days_back("odate", 0, date(1999, 1, 10)))
+    orders = table(spark, sf_dir, "orders", columns="o_orderkey, o_orderdate")
+    return orders.where(tf.days_back("o_orderdate", 0, date(1999, 1, 10), "time"))
 
 
 @query(
@@ -370,7 +486,9 @@ def q_days_back_today_only(spark, sf_dir):
        WHERE epoch_us(ts) // 1000 >= 1706054400000""",
 )
 def q_days_back_update_time(spark, sf_dir):
-    events = with_system_columns(table(spark, sf_dir, "events"), "ts")
+    uri = fresh_folder(spark, "epoch")
+    with_system_columns(table(spark, sf_dir, "events"), "ts").write.parquet(uri)
+    events = scan_table(spark, uri)
     return events.where(tf.days_back("_UPT_", 7, EVENTS_TODAY)).select("event_id", "_UPT_")
 
 
@@ -380,9 +498,9 @@ def q_days_back_update_time(spark, sf_dir):
        WHERE (event_type = 'error' OR value > 50) AND ts >= TIMESTAMP '2024-01-21'""",
 )
 def q_days_back_and_query(spark, sf_dir):
-    events = with_system_columns(table(spark, sf_dir, "events"), "ts")
+    events = table(spark, sf_dir, "events")
     wanted = ops.any_of(("event_type", "=", "error"), ("value", ">", 50))
-    criterion = tf.days_back("_UPT_", 10, EVENTS_TODAY)
+    criterion = tf.days_back("ts", 10, EVENTS_TODAY, "time")
     return events.where(ops.predicate(wanted, events.schema) & criterion).select(
         "event_id", "event_type"
     )
@@ -624,10 +742,10 @@ def q_sink_pipe_roundtrip(spark, sf_dir):
     "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_over_limit FROM lineitem",
 )
 def q_max_rows_per_file(spark, sf_dir):
-    """The limit is a fifth of the rows, so that the number of files does not grow with them."""
+    """The limit is so small that even 40 tasks over the smallest data have to split."""
     uri = fresh_folder(spark, "limited")
     lineitem = table(spark, sf_dir, "lineitem")
-    limit = max(1, lineitem.count() // 5)
+    limit = 100
     write_table(lineitem, uri, max_rows=limit)
     return file_row_counts(spark.read.parquet(uri)).agg(
         F.sum("n_rows").alias("n_rows"),
@@ -864,16 +982,79 @@ def q_export_csv_header(spark, sf_dir):
 @query(
     "export_verify_only",
     """SELECT 'orders' AS table_name, count(*) AS n_read, CAST(1 AS BIGINT) AS n_files,
-              'ok' AS status
+              'ok' AS status, '' AS message
        FROM orders
-       UNION ALL SELECT 'lineitem', count(*), 1, 'ok' FROM lineitem""",
+       UNION ALL SELECT 'lineitem', count(*), 1, 'ok', '' FROM lineitem
+       UNION ALL SELECT 'part', count(*), 1, 'failed',
+                        '1 rows were sent but ' || count(*) || ' read' FROM part
+       UNION ALL SELECT 'region', count(*) * 0 - 1, 0, 'failed',
+                        'declared 1 columns, table has 2: not in the table [''r_area''], '
+                        || 'not declared [''r_name'', ''r_regionkey'']' FROM region""",
 )
 def q_export_verify_only(spark, sf_dir):
+    """Nothing is written; wrong row counts and wrong columns still fail."""
+    expected = {"part": {"expected_rows": 1}, "region": {"declared_columns": ("r_area",)}}
     specs = [
-        ExportSpec(t, sf_dir, convert=False, file_suffix=f"{t}.parquet")
-        for t in ("orders", "lineitem")
+        ExportSpec(t, sf_dir, convert=False, file_suffix=f"{t}.parquet", **expected.get(t, {}))
+        for t in ("orders", "lineitem", "part", "region")
     ]
-    return export_tables(spark, specs).select("table_name", "n_read", "n_files", "status")
+    report = export_tables(spark, specs).na.fill({"n_read": -1})
+    return report.select("table_name", "n_read", "n_files", "status", "message")
+
+
+@query(
+    "export_dump_columns",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders",
+)
+def q_export_dump_columns(spark, sf_dir):
+    """A folder of dumped files carries the row key besides the usual system columns."""
+    dump = fresh_folder(spark, "dump")
+    orders = with_system_columns(table(spark, sf_dir, "orders"), "o_orderdate")
+    orders = orders.withColumn("_PK_", F.col("o_orderkey").cast("string"))
+    orders.drop("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority").write.parquet(dump)
+    spec = ExportSpec("orders", dump, fresh_folder(spark, "dump-out"), file_suffix=".parquet")
+    report = export_tables(spark, [spec]).first()
+    if report.status != "ok":
+        raise RuntimeError(report.message)
+    return read_written(spark, spec.target, "parquet")
+
+
+@query(
+    "export_marker_state",
+    """SELECT 'ok' AS run, count(*) AS n_rows, true AS marker, true AS trigger_row FROM orders
+       UNION ALL SELECT 'failed', count(*), false, false FROM orders
+       UNION ALL SELECT 'empty', count(*), false, false FROM orders""",
+)
+def q_export_marker_state(spark, sf_dir):
+    """Marker and trigger row after a good run, and after a failed or empty one on top of it."""
+    root, stamp = fresh_folder(spark, "marker"), "20240131000000"
+    states = []
+    for run, again in (("ok", {}), ("failed", {"expected_rows": -1}), ("empty", {"where": ("o_orderkey", "<", 0)})):
+        good = ExportSpec(
+            run, table_file(sf_dir, "orders"), root, format="pipe", marker=True, stamp=stamp
+        )
+        export_tables(spark, [good])
+        if again:
+            export_tables(spark, [replace(good, **again)])
+        states.append(
+            read_written(spark, good.target, "pipe").agg(
+                F.lit(run).alias("run"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.lit(exists(spark, marker_uri(good.target, run))).alias("marker"),
+                F.lit(exists(spark, trigger_uri(good.target, run, stamp))).alias("trigger_row"),
+            )
+        )
+    return union_all(states)
+
+
+@query("export_overwrite", "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM part WHERE p_size > 10")
+def q_export_overwrite(spark, sf_dir):
+    """A second run takes the place of the first."""
+    root = fresh_folder(spark, "overwrite")
+    for where in (None, ("p_size", ">", 10)):
+        spec = ExportSpec("part", table_file(sf_dir, "part"), root, where=where)
+        export_tables(spark, [spec])
+    return read_written(spark, spec.target, "parquet")
 
 
 @query(
@@ -950,9 +1131,9 @@ def q_delete_by_filter(spark, sf_dir):
        WHERE l_shipdate > TIMESTAMP '2000-11-05'""",
 )
 def q_delete_by_age(spark, sf_dir):
-    lineitem = with_system_columns(table(spark, sf_dir, "lineitem"), "l_shipdate")
-    now = datetime(2001, 11, 5)
-    return ops.retain(lineitem, ops.older_than(365, now)).select("l_orderkey", "l_linenumber")
+    lineitem = table(spark, sf_dir, "lineitem")
+    old = ops.older_than(365, datetime(2001, 11, 5), "l_shipdate", "time")
+    return ops.retain(lineitem, old).select("l_orderkey", "l_linenumber")
 
 
 def copied(spark, df: DataFrame, name: str, *partitions: str) -> str:
@@ -1016,10 +1197,11 @@ def q_delete_dry_run(spark, sf_dir):
 @query(
     "delete_many",
     """SELECT 'orders' AS table_name,
-              count(*) FILTER (WHERE o_orderdate <= TIMESTAMP '1999-11-05') AS n_deleted
+              count(*) FILTER (WHERE o_orderdate <= TIMESTAMP '1999-11-05') AS n_deleted,
+              'ok' AS status
        FROM orders
-       UNION ALL SELECT 'part', count(*) FILTER (WHERE p_size > 25) FROM part
-       UNION ALL SELECT 'nation', count(*) FROM nation""",
+       UNION ALL SELECT 'part', count(*) FILTER (WHERE p_size > 25), 'ok' FROM part
+       UNION ALL SELECT 'nation', count(*), 'ok' FROM nation""",
 )
 def q_delete_many(spark, sf_dir):
     orders = with_system_columns(table(spark, sf_dir, "orders"), "o_orderdate")
@@ -1035,7 +1217,7 @@ def q_delete_many(spark, sf_dir):
         delete_days="731;;",
         now=datetime(2001, 11, 5),
     )
-    return delete_many(spark, specs)
+    return delete_many(spark, specs).select("table_name", "n_deleted", "status")
 
 
 # ---- contract -------------------------------------------------------------------------
@@ -1053,7 +1235,7 @@ def flagship(spark, sf_dir):
         source=with_system_columns(table(spark, sf_dir, "lineitem"), "l_shipdate"),
         root="unused",
         values="typed",
-        days_back=("_UPT_", 731),
+        days_back=("l_shipdate", 731),
         today=LINEITEM_TODAY,
         rename="l_orderkey:order_key",
     )

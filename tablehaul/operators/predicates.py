@@ -7,8 +7,8 @@ A predicate is a comparison ``(column, op, value)`` with op one of ``= > >= < <=
 
 from __future__ import annotations
 
-from datetime import date, datetime
-from decimal import Decimal
+from datetime import date, datetime, time
+from decimal import ROUND_FLOOR, Decimal, InvalidOperation, localcontext
 from functools import reduce
 from typing import Union
 
@@ -57,8 +57,9 @@ def matches_all(pred: Pred) -> bool:
 def predicate(pred: Pred, schema: T.StructType | None = None, as_text: bool = False) -> Column:
     """The predicate as a boolean column.
 
-    With ``schema``, text given for a column of another type is cast to that type, so the
-    literal side is folded and the comparison is pushed to the scan. ``as_text`` compares the
+    With ``schema``, the value is moved to the column's type, so that the comparison is pushed
+    to the scan; where the type is coarser, the bound is rounded so that the same rows match. On
+    a text column every value is compared as text. ``as_text`` compares the
     text forms by bytes instead, quotes removed from the value. That is pushed down for text
     columns and, with ``schema``, for binary ones, which have the same order. ``schema`` also
     lets a comparison name a nested field by its dotted path.
@@ -68,7 +69,8 @@ def predicate(pred: Pred, schema: T.StructType | None = None, as_text: bool = Fa
     if _is_node(pred):
         parts = [predicate(p, schema, as_text) for p in pred[1:]]
         return reduce(lambda a, b: a & b if pred[0] == "and" else a | b, parts)
-    return _COMPARE[pred[1]](*_sides(pred, schema, as_text))
+    op, left, right = _sides(pred, schema, as_text)
+    return _COMPARE[op](left, right)
 
 
 def keep_predicate(
@@ -83,8 +85,8 @@ def keep_predicate(
     if _is_node(pred):
         parts = [keep_predicate(p, schema, as_text) for p in pred[1:]]
         return reduce(lambda a, b: a | b if pred[0] == "and" else a & b, parts)
-    left, right = _sides(pred, schema, as_text)
-    return _OPPOSITE[pred[1]](left, right) | left.isNull()
+    op, left, right = _sides(pred, schema, as_text)
+    return _OPPOSITE[op](left, right) | left.isNull()
 
 
 def _is_node(pred: tuple) -> bool:
@@ -118,15 +120,84 @@ def _field(name: str, schema: T.StructType | None) -> tuple[Column, T.DataType |
     return column, dtype
 
 
-def _sides(pred: tuple, schema: T.StructType | None, as_text: bool) -> tuple[Column, Column]:
-    name, _, value = pred
+def _sides(
+    pred: tuple, schema: T.StructType | None, as_text: bool
+) -> tuple[str, Column, Column]:
+    """The operator and both sides of a comparison."""
+    name, op, value = pred
     left, dtype = _field(name, schema)
     if as_text:
         text = F.lit(str(value).replace("'", ""))
         if isinstance(dtype, T.BinaryType):
-            return left, text.cast("binary")
-        return left.cast("string"), text
-    right = F.lit(value)
-    if isinstance(value, str) and dtype is not None and not isinstance(dtype, T.StringType):
-        right = right.cast(dtype)
-    return left, right
+            return op, left, text.cast("binary")
+        return op, left.cast("string"), text
+    if dtype is None:
+        return op, left, F.lit(value)
+    if isinstance(dtype, T.StringType):
+        return op, left, F.lit(value if isinstance(value, str) else _plain_text(value))
+    if isinstance(dtype, (T.IntegralType, T.DecimalType)):
+        return _exact_number(pred, op, left, value, dtype)
+    if isinstance(dtype, T.DateType) and isinstance(value, datetime):
+        day = F.lit(value.date())
+        if value.time() == time.min:
+            return op, left, day
+        if op == "=":
+            return _never(left)
+        return {">": ">", ">=": ">", "<": "<=", "<=": "<="}[op], left, day
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) and isinstance(value, date):
+        # As text, so that a value without a zone is read as the column's type reads it.
+        return op, left, F.lit(value.isoformat()).cast(dtype)
+    if isinstance(value, str):
+        return op, left, F.lit(value).cast(dtype)
+    return op, left, F.lit(value)
+
+
+def _plain_text(value: Value) -> str:
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def _never(left: Column) -> tuple[str, Column, Column]:
+    """A comparison that no value satisfies; null stays unknown."""
+    return "<", left, left
+
+
+def _always(left: Column) -> tuple[str, Column, Column]:
+    return "<=", left, left
+
+
+def _exact_number(
+    pred: tuple, op: str, left: Column, value: Value, dtype: T.DataType
+) -> tuple[str, Column, Column]:
+    """Compare a whole or decimal column with any number, as the column's own type.
+
+    Between two neighbouring values of the type, "greater" means greater than the lower one and
+    "less" less than the upper one.
+    """
+    try:
+        number = Decimal(str(value).strip() if not isinstance(value, bool) else int(value))
+    except InvalidOperation:
+        number = Decimal("NaN")
+    if number.is_nan():
+        raise ValueError(f"not a number: {pred!r}")
+    decimal = isinstance(dtype, T.DecimalType)
+    scale = dtype.scale if decimal else 0
+    if decimal:
+        least, most = -(10**dtype.precision - 1), 10**dtype.precision - 1
+    else:
+        bits = {"tinyint": 7, "smallint": 15, "int": 31}.get(dtype.simpleString(), 63)
+        least, most = -(2**bits), 2**bits - 1
+    with localcontext() as context:
+        context.prec = 400
+        if number.is_infinite() or not least <= number.scaleb(scale) <= most:
+            above = number > 0
+            if op == "=" or above == (op in (">", ">=")):
+                return _never(left)
+            return _always(left)
+        units = number.scaleb(scale)
+        lower = units.to_integral_value(ROUND_FLOOR)
+        if units != lower:
+            if op == "=":
+                return _never(left)
+            op, units = (">", lower) if op in (">", ">=") else ("<=", lower)
+        bound = Decimal(int(units)).scaleb(-scale)
+    return op, left, F.lit(str(int(bound)) if not decimal else f"{bound:f}").cast(dtype)

@@ -11,8 +11,18 @@ from tablehaul.names import UPDATE_TIME
 from tablehaul.operators.predicates import Pred, keep_predicate, predicate
 
 
-def older_than(days: int, now: datetime, column: str = UPDATE_TIME) -> Pred:
-    """Rows last changed ``days`` days before ``now`` or earlier, by epoch milliseconds."""
+def older_than(
+    days: int, now: datetime, column: str = UPDATE_TIME, kind: str = "epoch_ms"
+) -> Pred:
+    """Rows last changed ``days`` days before ``now`` or earlier.
+
+    The column holds epoch milliseconds or, with ``kind="time"``, dates or timestamps, which are
+    compared with the bound as it stands.
+    """
+    if kind == "time":
+        return (column, "<=", now - timedelta(days=days))
+    if kind != "epoch_ms":
+        raise ValueError(f"unknown kind of age column: {kind!r}")
     if now.tzinfo is None:
         now = now.replace(tzinfo=timezone.utc)
     epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)

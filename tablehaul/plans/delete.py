@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -67,20 +68,20 @@ def _replace_files(
 ) -> None:
     n_files = len(table.inputFiles())
     files = sorted(matches)
-    touched = _read_files(spark, path, files, n_files, table.schema)
+    touched = _read_files(spark, path, files, table.schema)
     totals = _counts_by_file(spark, path, touched)
     mixed = [f for f in files if totals[f] > matches[f]]
     run = uuid.uuid4().hex[:12]
     kept_dir = f"{path.rstrip('/')}/{KEPT}{run}"
     if mixed:
-        _write_kept(spark, path, table, pred, mixed, n_files, kept_dir)
+        _write_kept(spark, path, table, pred, mixed, kept_dir)
         expected = sum(totals[f] - matches[f] for f in mixed)
         written = spark.read.parquet(kept_dir).count()
         if written != expected:
             file_system(spark, path).delete(hadoop_path(spark, kept_dir), True)
             raise RuntimeError(f"{path}: {expected} rows should stay, {written} were written")
     elif len(files) == n_files:
-        _write_empty(_read_files(spark, path, files, n_files), files, kept_dir)
+        _write_empty(_read_files(spark, path, files), files, kept_dir)
     _swap(spark, path, files, kept_dir, run)
 
 
@@ -88,10 +89,9 @@ def _read_files(
     spark: SparkSession,
     path: str,
     files: list[str],
-    n_files: int,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """The named files of the table, which has ``n_files``; all of them by one listing.
+    """The named files of the table.
 
     Without ``schema`` the files' own schemas are merged, so that columns only some of them
     have are not lost.
@@ -99,7 +99,7 @@ def _read_files(
     base = qualified(spark, path)
     reader = spark.read.option("basePath", base)
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-    return reader.parquet(*([base] if len(files) == n_files else [f"{base}/{f}" for f in files]))
+    return reader.parquet(*[f"{base}/{f}" for f in files])
 
 
 def partition_columns(files: Iterable[str]) -> list[str]:
@@ -114,18 +114,18 @@ def _write_kept(
     table: DataFrame,
     pred: Pred | Column,
     files: list[str],
-    n_files: int,
     kept_dir: str,
 ) -> None:
     """Partition values are read as text, so that their folders are named as before."""
     parts = partition_columns(files)
+    codec = _codec(spark, f"{qualified(spark, path)}/{files[0]}")
     if not parts:
-        retain(_read_files(spark, path, files, n_files), pred).write.parquet(kept_dir)
+        retain(_read_files(spark, path, files), pred).write.options(**codec).parquet(kept_dir)
         return
-    merged = _read_files(spark, path, files, n_files).schema
+    merged = _read_files(spark, path, files).schema
     data = [f for f in merged.fields if f.name not in parts]
     as_text = [T.StructField(p, T.StringType()) for p in parts]
-    rows = _read_files(spark, path, files, n_files, T.StructType(data + as_text))
+    rows = _read_files(spark, path, files, T.StructType(data + as_text))
     typed = rows.select(
         *[col(f.name) for f in data],
         *[col(p).cast(table.schema[p].dataType).alias(p) for p in parts],
@@ -133,7 +133,22 @@ def _write_kept(
     )
     kept = retain(typed, pred).drop(*parts)
     kept = kept.withColumnsRenamed({f"{KEPT}{p}": p for p in parts})
-    kept.write.partitionBy(*parts).parquet(kept_dir)
+    kept.write.options(**codec).partitionBy(*parts).parquet(kept_dir)
+
+
+def _codec(spark: SparkSession, file: str) -> dict[str, str]:
+    """The compression of a table's files, by the footer of one of them."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(hadoop_path(spark, file), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        blocks = reader.getFooter().getBlocks()
+        if not len(blocks):
+            return {}
+        return {"compression": blocks[0].getColumns()[0].getCodec().name().lower()}
+    finally:
+        reader.close()
 
 
 def _write_empty(table: DataFrame, files: list[str], kept_dir: str) -> None:
@@ -209,9 +224,25 @@ def roll_back(spark: SparkSession, path: str) -> int:
     return len(undone)
 
 
-def delete_many(spark: SparkSession, specs: Iterable[DeleteSpec]) -> DataFrame:
-    """Run the deletes one after the other: ``(table_name, n_deleted)``."""
-    counts = [
-        (s.table, delete_from(spark, s.path, s.pred, s.real_delete)) for s in specs
-    ]
-    return spark.createDataFrame(counts, "table_name string, n_deleted long")
+def delete_many(
+    spark: SparkSession, specs: Iterable[DeleteSpec], parallel: int = 4
+) -> DataFrame:
+    """Run the deletes, up to ``parallel`` at a time, and report one row per table.
+
+    ``status`` is ``ok`` or ``failed``; one table's failure does not stop the others.
+    """
+
+    def run(spec: DeleteSpec) -> tuple[str, int | None, str, str]:
+        spark.sparkContext.setJobDescription(f"delete from {spec.table}")
+        try:
+            n = delete_from(spark, spec.path, spec.pred, spec.real_delete)
+            return spec.table, n, "ok", ""
+        except Exception as e:
+            message = str(e).strip().splitlines() or [type(e).__name__]
+            return spec.table, None, "failed", message[0]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), specs))
+    return spark.createDataFrame(
+        rows, "table_name string, n_deleted long, status string, message string"
+    )

@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import unquote, urlsplit
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablehaul.functions.dates import days_back
+from tablehaul.functions.dates import days_back, kind_of
 from tablehaul.functions.text import cell_text
 from tablehaul.names import col, split_names, table_stem
 from tablehaul.operators.predicates import matches_all, predicate
 from tablehaul.operators.project import project, rename, rename_mapping, stringify
 from tablehaul.operators.validate import check_columns
 from tablehaul.plans.report import export_details, export_summary
-from tablehaul.sinks.layout import write_marker, write_trigger
+from tablehaul.sinks.layout import marker_uri, trigger_uri, write_marker, write_trigger
 from tablehaul.sinks.writers import format_name, write_table, written_records
-from tablehaul.sources.files import exists, qualified
-from tablehaul.sources.scan import is_empty, key_columns, scan_dir, scan_table, with_keys
+from tablehaul.sources.files import data_files, delete, exists, qualified
+from tablehaul.sources.scan import key_columns, scan_dir, scan_table, with_keys
 from tablehaul.specs import ExportSpec
 
 RESULT_SCHEMA = (
@@ -70,7 +71,9 @@ def _selected(spark: SparkSession, spec: ExportSpec) -> DataFrame:
     if not matches_all(spec.where):
         df = df.where(predicate(spec.where, df.schema, spec.as_text))
     if spec.days_back:
-        df = df.where(days_back(*spec.days_back, today=spec.today, tz=spec.tz))
+        column, days = spec.days_back
+        kind = kind_of(df.schema[column].dataType) if column in df.columns else None
+        df = df.where(days_back(column, days, spec.today, kind, spec.tz))
     df = project(df, spec.columns, spec.skip, spec.skip_system, spec.system_columns)
     names = rename_mapping(spec.rename)
     df = rename(df, names)
@@ -123,21 +126,27 @@ def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
         return _verify_only(spark, spec, result)
     df = _selected(spark, spec)
     result.keys = ",".join(key_columns(df))
-    if is_empty(df):
-        result.n_read = result.n_written = 0
-        result.status = "empty"
-        return result
+    # From here on nothing vouches for the target until the new files are counted.
+    delete(spark, marker_uri(spec.target, spec.table))
+    if spec.stamp:
+        delete(spark, trigger_uri(spec.target, spec.table, spec.stamp))
+    old = data_files(spark, spec.target)
     if spec.n_files is not None:
         df = df.repartition(spec.n_files)
     counted, seen = _counted(df, spec)
     start = time.monotonic()
-    write_table(
-        _as_values(counted, spec), spec.target, fmt, spec.parquet, spec.max_rows, spec.table
-    )
+    values = _as_values(counted, spec)
+    write_table(values, spec.target, fmt, spec.parquet, spec.max_rows, spec.table, mode="append")
     cost_ms = int((time.monotonic() - start) * 1000)
+    new = sorted(set(data_files(spark, spec.target)) - set(old))
     found = seen.get
     result.n_read = found["n_read"]
-    _add_files(spark, result, spec, cost_ms)
+    if not result.n_read:
+        result.n_written = 0
+        result.status = "empty"
+        _remove(spark, spec.target, new)
+        return result
+    _add_files(spark, result, spec, cost_ms, new)
     result.n_written -= found.get("line_breaks", 0)
     if fmt == "csv":
         result.n_written -= result.n_files * (1 + sum(c.count("\n") for c in df.columns))
@@ -147,6 +156,7 @@ def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
         nulls = {c: n for c, n in counts.items() if n}
         result.n_null_cells = sum(nulls.values())
     _judge(result, spec, nulls)
+    _remove(spark, spec.target, old if result.status == "ok" else new)
     if result.status == "ok":
         if spec.marker:
             write_marker(spark, spec.target, spec.table)
@@ -157,9 +167,21 @@ def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
     return result
 
 
-def _add_files(spark: SparkSession, result: _Result, spec: ExportSpec, cost_ms: int) -> None:
-    """Re-read what was written: records or lines, files and bytes."""
-    written = written_records(spark, spec.target, result.format)
+def _remove(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """Delete files of a folder; a run that stops midway leaves the rest to the next one."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        list(pool.map(lambda n: delete(spark, f"{folder.rstrip('/')}/{n}"), names))
+
+
+def _add_files(
+    spark: SparkSession, result: _Result, spec: ExportSpec, cost_ms: int, new: list[str]
+) -> None:
+    """Re-read what was written: records or lines, files and bytes.
+
+    A write job has its own name inside the names of all its files.
+    """
+    job = re.match(r"part-\d+-([0-9a-f-]{36})", new[0])
+    written = written_records(spark, spec.target, result.format, f"part-*-{job[1]}*" if job else "*")
     row = export_summary(export_details(written, spec.table, spec.target, cost_ms)).first()
     result.n_written = 0
     result.cost_ms = cost_ms
@@ -186,6 +208,7 @@ def _judge(result: _Result, spec: ExportSpec, nulls: dict[str, int]) -> None:
 
 def _verify_only(spark: SparkSession, spec: ExportSpec, result: _Result) -> _Result:
     df = source_frame(spark, spec)
+    check_columns(df, spec.declared_columns)
     result.keys = ",".join(key_columns(df))
     row = export_summary(export_details(df, spec.table)).first()
     result.n_read = result.n_written = row.n_rows if row else 0
@@ -194,6 +217,7 @@ def _verify_only(spark: SparkSession, spec: ExportSpec, result: _Result) -> _Res
     else:
         result.n_files, result.size_bytes = row.n_files, row.size_bytes
         result.size_mb = row.size_mb
+    _judge(result, spec, {})
     return result
 
 
@@ -210,11 +234,13 @@ def _check_paths(spark: SparkSession, specs: list[ExportSpec]) -> None:
         for other in sources + targets[i + 1 :]:
             if target.startswith(other) or other.startswith(target):
                 raise ValueError(f"target {target} overlaps {other}")
+    # A frame's input files are checked against every target, its own and those of others.
     for s in specs:
-        if s.convert and isinstance(s.source, DataFrame) and exists(spark, s.target):
-            folder = urlsplit(qualified(spark, s.target)).path + "/"
-            if any(unquote(urlsplit(f).path).startswith(folder) for f in s.source.inputFiles()):
-                raise ValueError(f"{s.table} is read from its target {s.target}")
+        if isinstance(s.source, DataFrame):
+            folders = {f.rpartition("/")[0] for f in s.source.inputFiles()}
+            for folder in sorted(qualified(spark, unquote(f)) + "/" for f in folders):
+                if any(folder.startswith(t) for t in targets):
+                    raise ValueError(f"{s.table} is read from a target, {folder}")
 
 
 def export_tables(
@@ -222,9 +248,11 @@ def export_tables(
 ) -> DataFrame:
     """Export every table, up to ``parallel`` at a time, and report one row per table.
 
-    ``status`` is ``ok``, ``empty`` (nothing to export, the target is left alone) or
-    ``failed``. One table's failure does not stop the others. Markers and trigger rows are
-    written for ``ok`` only, after the written files were counted again.
+    ``status`` is ``ok``, ``empty`` (nothing to export) or ``failed``. One table's failure does
+    not stop the others. The source is evaluated once: new files are written beside the old
+    ones, counted, and then the old ones go; unless the status is ``ok`` the new ones go
+    instead. An older marker and the stamp's trigger row go before anything is written, and new
+    ones are written for ``ok`` only.
     """
     specs = list(specs)
     _check_paths(spark, specs)

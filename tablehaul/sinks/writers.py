@@ -51,31 +51,31 @@ class ParquetOptions:
         }
 
 
-def _writer(df: DataFrame, max_rows: int | None) -> DataFrameWriter:
-    writer = df.write.mode("overwrite")
+def _writer(df: DataFrame, max_rows: int | None, mode: str) -> DataFrameWriter:
+    writer = df.write.mode(mode)
     return writer if max_rows is None else writer.option("maxRecordsPerFile", max_rows)
 
 
-def _write_parquet(df, uri, options, max_rows, table):
+def _write_parquet(df, uri, options, max_rows, table, mode):
     options = options or ParquetOptions()
-    _writer(df, max_rows).options(**options.as_options()).parquet(uri)
+    _writer(df, max_rows, mode).options(**options.as_options()).parquet(uri)
 
 
-def _write_csv(df, uri, options, max_rows, table):
-    _writer(stringify(df), max_rows).options(quoteAll="true", **CSV_OPTIONS).csv(uri)
+def _write_csv(df, uri, options, max_rows, table, mode):
+    _writer(stringify(df), max_rows, mode).options(quoteAll="true", **CSV_OPTIONS).csv(uri)
 
 
-def _write_json(df, uri, options, max_rows, table):
-    _writer(with_text_keys(df), max_rows).json(uri)
+def _write_json(df, uri, options, max_rows, table, mode):
+    _writer(with_text_keys(df), max_rows, mode).json(uri)
 
 
-def _write_pipe(df, uri, options, max_rows, table):
-    _writer(pipe_lines(df), max_rows).option("lineSep", "\n").text(uri)
+def _write_pipe(df, uri, options, max_rows, table, mode):
+    _writer(pipe_lines(df), max_rows, mode).option("lineSep", "\n").text(uri)
 
 
-def _write_avro(df, uri, options, max_rows, table):
+def _write_avro(df, uri, options, max_rows, table, mode):
     namespace, _, name = clean_table_path(table or "table").rpartition("/")
-    writer = _writer(df, max_rows).format("avro").option("recordName", name)
+    writer = _writer(df, max_rows, mode).format("avro").option("recordName", name)
     if namespace:
         writer = writer.option("recordNamespace", namespace.replace("/", "."))
     try:
@@ -111,14 +111,15 @@ def write_table(
     options: ParquetOptions | None = None,
     max_rows: int | None = None,
     table: str | None = None,
+    mode: str = "overwrite",
 ) -> None:
-    """Write ``df`` to the directory ``uri``, replacing what is there.
+    """Write ``df`` to the directory ``uri``, replacing what is there unless ``mode`` is append.
 
     ``max_rows`` is a strict limit of rows per file. ``table`` names the Avro record.
     """
     if max_rows is not None and max_rows < 1:
         raise ValueError(f"max_rows must be positive: {max_rows}")
-    FORMATS[format_name(format)](df, uri, options, max_rows, table)
+    FORMATS[format_name(format)](df, uri, options, max_rows, table, mode)
 
 
 def read_written(
@@ -138,13 +139,17 @@ def read_written(
     return reader.options(multiLine="true", **CSV_OPTIONS).csv(uri)
 
 
-def written_records(spark: SparkSession, uri: str, format: str) -> DataFrame:
+def written_records(
+    spark: SparkSession, uri: str, format: str, names: str = "*"
+) -> DataFrame:
     """An export as a frame to count, without parsing: Parquet and Avro give a row per record,
-    the text formats a row per line, CSV headers and line breaks inside values included."""
+    the text formats a row per line, CSV headers and line breaks inside values included.
+    ``names`` is a glob for the files to count."""
     name = format_name(format)
+    reader = spark.read.option("pathGlobFilter", names)
     if name in ("parquet", "avro"):
-        return read_written(spark, uri, name)
-    return spark.read.option("lineSep", "\n").text(uri)
+        return reader.format(name).load(uri)
+    return reader.option("lineSep", "\n").text(uri)
 
 
 def written_row_count(spark: SparkSession, uri: str, format: str) -> DataFrame:

@@ -5,6 +5,7 @@ from tablehaul.sources.scan import (
     is_empty,
     key_columns,
     leaf_columns,
+    leaf_paths,
     row_count,
     scan_dir,
     scan_table,
@@ -16,6 +17,7 @@ __all__ = [
     "is_empty",
     "key_columns",
     "leaf_columns",
+    "leaf_paths",
     "row_count",
     "scan_dir",
     "scan_table",

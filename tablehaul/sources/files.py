@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -41,6 +42,18 @@ def write_small_text(spark: SparkSession, uri: str, text: str) -> None:
         out.close()
 
 
+def delete(spark: SparkSession, uri: str) -> None:
+    file_system(spark, uri).delete(hadoop_path(spark, uri), True)
+
+
+def data_files(spark: SparkSession, uri: str) -> list[str]:
+    """Names of the files directly in a folder that readers see; none where there is no folder."""
+    if not exists(spark, uri):
+        return []
+    names = (f.getPath().getName() for f in file_system(spark, uri).listStatus(hadoop_path(spark, uri)) if f.isFile())
+    return sorted(n for n in names if n[0] not in "_.")
+
+
 @cache
 def _local_root(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="tablehaul-")
@@ -53,11 +66,14 @@ def shared_folder(spark: SparkSession) -> str:
     a local folder stands in.
     """
     application_id = spark.sparkContext.applicationId
+    master = spark.sparkContext.master
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root(application_id)
+    elif not master.startswith("local") and re.match("file:/+(var/)?tmp(/|$)", root):
+        raise RuntimeError(f"spark.checkpoint.dir is a temporary folder of one machine: {root}")
     return f"{root.rstrip('/')}/tablehaul/{application_id}"
 
 

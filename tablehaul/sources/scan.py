@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,11 +18,16 @@ def scan_table(
     path: str,
     columns: str | list[str] | None = None,
     where: Pred | Column = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A table's rows that match ``where``, with the named columns (all when blank)."""
+    """A table's rows that match ``where``, with the named columns (all when blank).
+
+    The columns of all files are merged; a column whose types do not fit together is an error
+    that names it. A given ``schema`` is taken as it is and saves the look at every footer.
+    """
     if not exists(spark, path):
         raise ValueError(f"no table at {path}")
-    df = spark.read.parquet(path)
+    df = merged(spark, path, schema).parquet(path)
     if isinstance(where, Column):
         df = df.where(where)
     elif not matches_all(where):
@@ -31,6 +36,15 @@ def scan_table(
     return df.select(*[col(c) for c in wanted]) if wanted else df
 
 
+def merged(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrameReader:
+    """A reader that gives the columns of every file, or those of ``schema``."""
+    if schema is not None:
+        return spark.read.schema(schema)
+    if file_system(spark, path).getFileStatus(hadoop_path(spark, path)).isFile():
+        return spark.read
+    return spark.read.option("mergeSchema", "true")
+
+
 def suffix_glob(suffix: str) -> str:
     """A glob for file names with this ending in any letter case."""
 
@@ -42,19 +56,29 @@ def suffix_glob(suffix: str) -> str:
     return "*" + "".join(any_case(ch) for ch in suffix)
 
 
-def scan_dir(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFrame:
+def scan_dir(
+    spark: SparkSession, path: str, suffix: str = ".parquet", schema: T.StructType | None = None
+) -> DataFrame:
     """The Parquet files directly in ``path`` whose names end with ``suffix``, case ignored.
 
-    Having none is an error. Sub-folders are not read, not even ``key=value`` ones.
+    Having none is an error, and so is one with content that readers skip because its name
+    starts with ``_`` or ``.``. Sub-folders are not read, not even ``key=value`` ones. Columns are those of
+    all the files, as in ``scan_table``.
     """
     fs = file_system(spark, path)
     glob = suffix_glob(suffix)
-    found = fs.globStatus(hadoop_path(spark, path, glob))
-    if not found or not any(f.isFile() for f in found):
+    found = [f for f in fs.globStatus(hadoop_path(spark, path, glob)) or [] if f.isFile()]
+    if not found:
         raise ValueError(f"no files ending with {suffix} in {path}")
+    hidden = sorted(
+        f.getPath().getName() for f in found if f.getPath().getName()[0] in "_." and f.getLen() > 0
+    )
+    if hidden:
+        raise ValueError(f"readers skip these files of {path}: {', '.join(hidden)}")
+    reader = merged(spark, path, schema)
     if fs.globStatus(hadoop_path(spark, path, "*=*")):
-        return spark.read.parquet(*[f.getPath().toString() for f in found if f.isFile()])
-    return spark.read.option("pathGlobFilter", glob).parquet(path)
+        return reader.parquet(*[f.getPath().toString() for f in found])
+    return reader.option("pathGlobFilter", glob).parquet(path)
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -77,8 +101,8 @@ def file_row_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def leaf_columns(df: DataFrame) -> list[str]:
-    """The path parts of every leaf column, in order, as the Parquet schema names them."""
+def leaf_paths(df: DataFrame) -> list[list[str]]:
+    """The path of every leaf column, in order, as the Parquet schema names its parts."""
 
     def leaves(dtype: T.DataType, path: list[str]) -> list[list[str]]:
         if isinstance(dtype, T.StructType):
@@ -91,16 +115,27 @@ def leaf_columns(df: DataFrame) -> list[str]:
             )
         return [path]
 
-    return [part for path in leaves(df.schema, []) for part in path]
+    return leaves(df.schema, [])
+
+
+def leaf_columns(df: DataFrame) -> list[str]:
+    """The path parts of every leaf column, in order."""
+    return [part for path in leaf_paths(df) for part in path]
 
 
 def with_keys(df: DataFrame, keys: str | list[str]) -> DataFrame:
     """Mark key columns; the mark is kept in the Parquet footer."""
-    for key in split_names(keys):
+    names = split_names(keys)
+    for key in names:
         if key not in df.columns:
             raise ValueError(f"key column not in the table: {key}")
-        df = df.withMetadata(key, {**df.schema[key].metadata, KEY_FLAG: True})
-    return df
+    marked = [
+        col(f.name).alias(f.name, metadata={**f.metadata, KEY_FLAG: True})
+        if f.name in names
+        else col(f.name)
+        for f in df.schema.fields
+    ]
+    return df.select(*marked) if names else df
 
 
 def key_columns(df: DataFrame) -> list[str]:

@@ -8,7 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 
-from tablehaul.names import SYSTEM_COLUMNS
+from tablehaul.names import DUMP_SYSTEM_COLUMNS, SYSTEM_COLUMNS
 from tablehaul.operators.predicates import Pred, matches_all
 from tablehaul.operators.retention import older_than
 from tablehaul.sinks.layout import target_uri
@@ -20,7 +20,8 @@ class ExportSpec:
     """One table's export.
 
     ``source`` is a Parquet path or a DataFrame; with ``file_suffix`` it is a directory of
-    dumped files. ``values`` is ``text``, ``binary`` (UTF-8 bytes) or ``typed``.
+    dumped files. ``system_columns`` are those ``skip_system`` drops, unset the usual ones and for
+    dumped files the row key too. ``values`` is ``text``, ``binary`` (UTF-8 bytes) or ``typed``.
     ``null_cells`` is ``ignore``, ``warn`` or ``fail``; unset it warns for Parquet and Avro.
     ``convert=False`` only counts the source.
     """
@@ -37,7 +38,7 @@ class ExportSpec:
     declared_columns: tuple[str, ...] = ()
     skip: str | list[str] = ""
     skip_system: bool = True
-    system_columns: tuple[str, ...] = SYSTEM_COLUMNS
+    system_columns: tuple[str, ...] | None = None
     rename: str | Mapping[str, str] | None = None
     where: Pred = None
     as_text: bool = False
@@ -58,6 +59,9 @@ class ExportSpec:
 
     def __post_init__(self):
         format_name(self.format)
+        if self.system_columns is None:
+            names = SYSTEM_COLUMNS if self.file_suffix is None else DUMP_SYSTEM_COLUMNS
+            object.__setattr__(self, "system_columns", names)
         if self.values not in ("text", "binary", "typed"):
             raise ValueError(f"values must be text, binary or typed: {self.values!r}")
         if self.null_cells not in (None, "ignore", "warn", "fail"):

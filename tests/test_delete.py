@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablehaul import delete_specs
 from tablehaul.plans import delete, delete_from, delete_many, roll_back
+from tablehaul.specs import DeleteSpec
 from tests.conftest import SF, table
 
 
@@ -201,3 +202,17 @@ def test_lists_must_have_equal_length(uri):
         delete_specs("a;b", uri, where=[None])
     with pytest.raises(ValueError, match="needs now"):
         delete_specs("a", uri, delete_days="3")
+
+
+def test_delete_many_reports_failures(spark, uri):
+    table(spark, "nation").write.parquet(uri("a"))
+    specs = [DeleteSpec("absent", uri("absent")), DeleteSpec("a", uri("a"), ("n_nationkey", "<", 5))]
+    got = {r.table_name: (r.n_deleted, r.status) for r in delete_many(spark, specs).collect()}
+    assert got == {"absent": (None, "failed"), "a": (5, "ok")}
+
+
+def test_deletes_keep_the_codec(spark, uri):
+    table(spark, "orders").write.option("compression", "gzip").parquet(uri("z"))
+    delete_from(spark, uri("z"), ("o_orderstatus", "=", "F"))
+    files = [p.name for p in Path(uri("z")).glob("*.parquet")]
+    assert files and all(".gz." in f for f in files)

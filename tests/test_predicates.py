@@ -1,4 +1,7 @@
 import itertools
+from datetime import date, datetime
+from decimal import Decimal
+from operator import eq, ge, gt, le, lt
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -6,7 +9,9 @@ from hypothesis import strategies as st
 
 from tablehaul.operators import all_of, any_of, keep_predicate, predicate, retain
 from tablehaul.sources import scan_table
-from tests.conftest import SF, pushed_filters, read_schema
+from pyspark.sql import functions as F
+
+from tests.conftest import SF, pushed_filters, read_schema, table
 
 OPS = {
     "=": lambda a, b: a == b,
@@ -123,3 +128,51 @@ def test_comparisons_reach_the_scan(spark):
 def test_kept_rows_are_filtered_in_the_scan(spark):
     df = retain(scan_table(spark, f"{SF}/lineitem.parquet"), ("l_quantity", "<=", 5))
     assert "Or(GreaterThan(l_quantity,5.0),IsNull(l_quantity))" in pushed_filters(df)
+
+
+BOUNDS = ["5.5", 5.5, 5, -0.5, "7", Decimal("6.999"), 10**30, "-1e25", float("inf"), True]
+
+
+@pytest.mark.parametrize("op", ["=", ">", ">=", "<", "<="])
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint", "decimal(5,2)", "decimal(3,0)"])
+def test_exact_literals(spark, op, kind):
+    """Rows match as exact arithmetic says, and what is not deleted is kept."""
+    compare = {"=": eq, ">": gt, ">=": ge, "<": lt, "<=": le}[op]
+    values = [None, -1, 0, 4, 5, 6, 7, 8, 120] + (["5.49", "5.50", "5.51"] if "," in kind and "2" in kind else [])
+    rows = [(i, None if v is None else str(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i int, v string").withColumn("v", F.col("v").cast(kind)).cache()
+    for bound in BOUNDS:
+        number = Decimal(str(bound)) if not isinstance(bound, bool) else Decimal(1)
+        want = {i for i, v in rows if v is not None and compare(Decimal(v), number)}
+        pred = ("v", op, bound)
+        assert {r.i for r in df.where(predicate(pred, df.schema)).collect()} == want, bound
+        kept = {r.i for r in df.where(keep_predicate(pred, df.schema)).collect()}
+        assert kept == set(range(len(rows))) - want, bound
+
+
+def test_numbers_against_text_and_text_against_numbers(spark):
+    orders = table(spark, "orders")
+    assert orders.where(predicate(("o_orderstatus", "=", 5), orders.schema)).count() == 0
+    with pytest.raises(ValueError, match="not a number"):
+        predicate(("o_orderkey", ">", "many"), orders.schema)
+
+
+@pytest.mark.parametrize(
+    ("pred", "pushed"),
+    [
+        (("l_orderkey", ">", 10.5), "GreaterThan(l_orderkey,10)"),
+        (("l_linenumber", "<", "5.5"), "LessThanOrEqual(l_linenumber,5)"),
+        (("l_returnflag", ">=", 5), "GreaterThanOrEqual(l_returnflag,5)"),
+        (("l_shipdate", ">=", date(1996, 1, 1)), "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00)"),
+    ],
+)
+def test_moved_literals_are_pushed(spark, pred, pushed):
+    df = table(spark, "lineitem")
+    assert pushed in pushed_filters(df.where(predicate(pred, df.schema)))
+
+
+def test_dates_against_times(spark):
+    df = spark.sql("SELECT DATE '2024-01-31' AS d UNION ALL SELECT DATE '2024-02-01'")
+    noon = datetime(2024, 1, 31, 12)
+    counts = {op: df.where(predicate(("d", op, noon), df.schema)).count() for op in ("=", ">", ">=", "<", "<=")}
+    assert counts == {"=": 0, ">": 1, ">=": 1, "<": 1, "<=": 1}

@@ -2,7 +2,15 @@ import shutil
 
 import pytest
 
-from tablehaul.sources import file_row_counts, is_empty, row_count, scan_dir, scan_table
+from tablehaul.sources import (
+    file_row_counts,
+    is_empty,
+    key_columns,
+    row_count,
+    scan_dir,
+    scan_table,
+    with_keys,
+)
 from tablehaul.sources.files import shared_folder
 from tests.conftest import SF, read_schema, table
 
@@ -69,3 +77,34 @@ def test_shared_folder():
     assert local == shared_folder(FakeSession("local[2]")) and local.endswith("/tablehaul/app-1")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(FakeSession("yarn"))
+
+
+def test_columns_of_every_file(spark, uri):
+    orders = table(spark, "orders").select("o_orderkey", "o_custkey")
+    orders.drop("o_custkey").write.parquet(uri("t"))
+    orders.write.mode("append").parquet(uri("t"))
+    for df in (scan_table(spark, uri("t")), scan_dir(spark, uri("t"))):
+        assert df.columns == ["o_orderkey", "o_custkey"] and df.count() == 3000
+        assert df.where("o_custkey IS NOT NULL").count() == 1500
+    given = scan_table(spark, uri("t"), schema=orders.select("o_custkey").schema)
+    assert given.columns == ["o_custkey"]
+    orders.select(orders.o_orderkey.cast("string")).write.mode("append").parquet(uri("t"))
+    with pytest.raises(Exception, match="o_orderkey"):
+        scan_table(spark, uri("t"))
+
+
+def test_hidden_files_are_an_error(spark, folder):
+    shutil.copy(f"{SF}/nation.parquet", folder / ".more.parquet")
+    with pytest.raises(ValueError, match=".more.parquet"):
+        scan_dir(spark, str(folder))
+
+
+def test_key_names_may_have_dots(spark, uri):
+    with_keys(table(spark, "region").withColumnRenamed("r_name", "a.b"), "a.b").write.parquet(uri("k"))
+    assert key_columns(scan_table(spark, uri("k"))) == ["a.b"]
+
+
+def test_local_temporary_folder_on_a_cluster_is_refused():
+    with pytest.raises(RuntimeError, match="temporary folder"):
+        shared_folder(FakeSession("yarn", "file:///tmp/x"))
+    assert shared_folder(FakeSession("yarn", "file:///mnt/x")).startswith("file:///mnt/x/")
