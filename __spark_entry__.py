@@ -24,6 +24,8 @@ from tablehaul.plans import (
     export_frame,
     export_summary,
     export_tables,
+    exported_files,
+    null_rows,
     sent_count_sum,
 )
 from tablehaul.sinks import ParquetOptions, read_written, write_table, written_row_count
@@ -1047,6 +1049,61 @@ def q_export_marker_state(spark, sf_dir):
     return union_all(states)
 
 
+@query(
+    "export_file_details",
+    """SELECT 'orders' AS table_name, count(*) AS n_rows, true AS each_has_size FROM orders
+       UNION ALL SELECT 'part', count(*), true FROM part""",
+)
+def q_export_file_details(spark, sf_dir):
+    """The files of two exports, one row each, added up again."""
+    root = fresh_folder(spark, "files")
+    specs = [
+        ExportSpec(t, table_file(sf_dir, t), root, format=f, max_rows=1000)
+        for t, f in (("orders", "parquet"), ("part", "pipe"))
+    ]
+    export_tables(spark, specs)
+    return (
+        exported_files(spark, specs)
+        .groupBy("table_name")
+        .agg(F.sum("n_rows").alias("n_rows"), F.min(F.col("size_bytes") > 0).alias("each_has_size"))
+    )
+
+
+@query(
+    "export_null_rows",
+    """SELECT o_orderkey AS order_key, 'status' AS column_name FROM orders
+       WHERE o_orderstatus = 'F'""",
+)
+def q_export_null_rows(spark, sf_dir):
+    """The keys behind the null cells of an export that would fail for them."""
+    nulls = table(spark, sf_dir, "orders").withColumn(
+        "o_orderstatus", F.nullif("o_orderstatus", F.lit("F"))
+    )
+    spec = ExportSpec(
+        "orders",
+        nulls,
+        "unused",
+        keys="o_orderkey",
+        rename="o_orderkey:order_key,o_orderstatus:status",
+        null_cells="fail",
+    )
+    return null_rows(spark, spec)
+
+
+@query(
+    "export_named",
+    "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM supplier",
+)
+def q_export_named(spark, sf_dir):
+    """The directory's name carries a prefix and a stamp."""
+    root = fresh_folder(spark, "named")
+    spec = ExportSpec(
+        "sales/supplier", table_file(sf_dir, "supplier"), root, name_prefix="EU_", name_stamp="20240131"
+    )
+    export_tables(spark, [spec])
+    return read_written(spark, f"{root}/sales/EU_supplier_20240131", "parquet")
+
+
 @query("export_overwrite", "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM part WHERE p_size > 10")
 def q_export_overwrite(spark, sf_dir):
     """A second run takes the place of the first."""

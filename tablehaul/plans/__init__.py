@@ -1,7 +1,7 @@
 """Whole jobs: exports, reports and retention deletes."""
 
 from tablehaul.plans.delete import delete_from, delete_many, roll_back
-from tablehaul.plans.export import export_frame, export_tables
+from tablehaul.plans.export import export_frame, export_tables, exported_files, null_rows
 from tablehaul.plans.report import delete_counts, export_details, export_summary, sent_count_sum
 
 __all__ = [
@@ -12,6 +12,8 @@ __all__ = [
     "export_frame",
     "export_summary",
     "export_tables",
+    "exported_files",
+    "null_rows",
     "roll_back",
     "sent_count_sum",
 ]

@@ -7,6 +7,7 @@ import time
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
@@ -19,7 +20,7 @@ from tablehaul.functions.text import cell_text
 from tablehaul.names import col, split_names, table_stem
 from tablehaul.operators.predicates import matches_all, predicate
 from tablehaul.operators.project import project, rename, rename_mapping, stringify
-from tablehaul.operators.validate import check_columns
+from tablehaul.operators.validate import check_columns, null_cell_rows
 from tablehaul.plans.report import export_details, export_summary
 from tablehaul.sinks.layout import marker_uri, trigger_uri, write_marker, write_trigger
 from tablehaul.sinks.writers import format_name, write_table, written_records
@@ -221,6 +222,23 @@ def _verify_only(spark: SparkSession, spec: ExportSpec, result: _Result) -> _Res
     return result
 
 
+def exported_files(spark: SparkSession, specs: Iterable[ExportSpec]) -> DataFrame:
+    """One row per file that the exports left, as ``export_details`` gives them.
+
+    Text formats are counted by lines.
+    """
+    details = [
+        export_details(written_records(spark, s.target, s.format), s.table, s.target) for s in specs
+    ]
+    return reduce(DataFrame.unionAll, details)
+
+
+def null_rows(spark: SparkSession, spec: ExportSpec) -> DataFrame:
+    """Keys and column of every null cell an export would write, under the exported names."""
+    df = _selected(spark, spec)
+    return null_cell_rows(df, key_columns(df))
+
+
 def _check_paths(spark: SparkSession, specs: list[ExportSpec]) -> None:
     """Before anything is written: every source is there, and no target touches a source or
     another target."""

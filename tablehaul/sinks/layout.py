@@ -10,16 +10,27 @@ from tablehaul.sources.files import write_small_text
 
 
 def target_uri(
-    root: str, table: str, env: str | None = None, delta_date: str | None = None
+    root: str,
+    table: str,
+    env: str | None = None,
+    delta_date: str | None = None,
+    name_prefix: str = "",
+    name_stamp: str = "",
 ) -> str:
     """``root/table``; with ``env`` ``root/env/full-data/table``, or
-    ``root/env/delta-data/date/table`` for a delta load."""
+    ``root/env/delta-data/date/table`` for a delta load.
+
+    ``name_prefix`` goes before the last part of the table's path and ``name_stamp``, with an
+    underscore, behind it: Spark names the files, so the directory carries them.
+    """
     parts = [root.rstrip("/")]
     if env:
         parts += [env, "delta-data", delta_date] if delta_date else [env, "full-data"]
     elif delta_date:
         raise ValueError("a delta target needs an environment name")
-    return "/".join(parts + [clean_table_path(table)])
+    folder, sep, name = clean_table_path(table).rpartition("/")
+    stamped = f"{name_prefix}{name}" + (f"_{name_stamp}" if name_stamp else "")
+    return "/".join([*parts, f"{folder}{sep}{stamped}"])
 
 
 def marker_uri(uri: str, table: str) -> str:

@@ -56,6 +56,8 @@ class ExportSpec:
     marker: bool = False
     stamp: str | None = None
     trigger_prefix: str | None = None
+    name_prefix: str = ""
+    name_stamp: str = ""
 
     def __post_init__(self):
         format_name(self.format)
@@ -77,7 +79,9 @@ class ExportSpec:
 
     @property
     def target(self) -> str:
-        return target_uri(self.root, self.table, self.env, self.delta_date)
+        return target_uri(
+            self.root, self.table, self.env, self.delta_date, self.name_prefix, self.name_stamp
+        )
 
     @property
     def null_policy(self) -> str:
