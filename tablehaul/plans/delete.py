@@ -2,11 +2,13 @@
 
 Only files that hold rows to delete are touched: files that match as a whole are dropped
 without being read, the others are rewritten with the rows that stay. Untouched files are
-never read beyond their statistics.
+never read beyond their statistics. The driver holds one number per folder of the table and,
+at a time, the file names of one folder.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -14,16 +16,26 @@ from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.names import col
 from tablehaul.operators.predicates import Pred
 from tablehaul.operators.retention import removed, retain
-from tablehaul.sources.files import file_system, hadoop_path, qualified
+from tablehaul.sources.files import (
+    data_files,
+    delete,
+    file_system,
+    hadoop_path,
+    qualified,
+    read_small_text,
+    write_small_text,
+)
 from tablehaul.sources.scan import file_row_counts, scan_table
 from tablehaul.specs import DeleteSpec
 
-KEPT, EXPIRED, DROPPED = "_kept_", "_expired_", "_dropped_"
+#: Name of the note that a delete leaves in the table's folder while it works on a folder.
+NOTE = "_delete_"
 
 
 def delete_from(
@@ -31,109 +43,117 @@ def delete_from(
 ) -> int:
     """Delete the rows where ``pred`` is true and return their number.
 
-    Rows for which it is unknown stay. Match-all deletes every row and keeps the schema.
-    With ``real_delete=False`` rows are only counted. Kept rows are written and counted
-    before any old file moves; a run that stops between is undone by ``roll_back``. No other
-    job may write the table meanwhile.
+    Rows for which it is unknown stay. Match-all deletes every row and keeps the schema. With
+    ``real_delete=False`` rows are only counted.
+
+    Folders are worked on one after the other. In each, a write job adds the kept rows as new
+    files, these are counted, and only then the old files go, without any rename by the driver.
+    A note says what is under way; ``roll_back`` undoes or finishes a run that stopped. Readers
+    may see kept rows twice for the moment between, and no other job may write the table
+    meanwhile. Any file system will do where Spark's write jobs commit safely: HDFS and local
+    ones as they are, object stores with a committer made for them.
     """
-    fs = file_system(spark, path)
-    if fs.globStatus(hadoop_path(spark, path, EXPIRED + "*")):
+    if _notes(spark, path):
         raise RuntimeError(f"{path} has an unfinished delete, call roll_back first")
     table = scan_table(spark, path)
     if not real_delete:
         return removed(table, pred).count()
-    matches = _counts_by_file(spark, path, removed(table, pred))
-    if matches:
-        _replace_files(spark, path, table, pred, matches)
-    return sum(matches.values())
+    matches = _counts_by_folder(spark, path, removed(table, pred))
+    total = sum(matches.values())
+    emptied = bool(matches) and table.count() == total  # footers only
+    for i, folder in enumerate(sorted(matches)):
+        _delete_in(spark, path, folder, table.schema, pred, emptied and not i)
+    return total
+
 
+def _counts_by_folder(spark: SparkSession, path: str, df: DataFrame) -> dict[str, int]:
+    """Rows per folder, by path below the table: one entry for each folder with rows."""
+    base = qualified(spark, path)
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    rows = df.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {unquote(r.folder): r.n for r in rows}
+    for found in counts:
+        if not f"{found}/".startswith(f"{base}/"):
+            raise ValueError(f"{found} does not lie in {path}")
+    return {found[len(base) :].strip("/"): n for found, n in counts.items()}
 
-def _counts_by_file(spark: SparkSession, path: str, df: DataFrame) -> dict[str, int]:
-    """Rows per file, by path below the table: one entry for each file with rows."""
-    base = qualified(spark, path) + "/"
+
+def _counts_by_file(df: DataFrame) -> dict[str, int]:
+    """Rows per file of one folder, by name: one entry for each file with rows."""
     rows = file_row_counts(df).select("file_path", "n_rows").collect()
-    counts = {unquote(r.file_path): r.n_rows for r in rows}
-    for file in counts:
-        if not file.startswith(base):
-            raise ValueError(f"{file} does not lie in {path}")
-    return {file[len(base) :]: n for file, n in counts.items()}
+    return {unquote(r.file_path).rpartition("/")[2]: r.n_rows for r in rows}
 
 
-def _replace_files(
-    spark: SparkSession,
-    path: str,
-    table: DataFrame,
-    pred: Pred | Column,
-    matches: dict[str, int],
-) -> None:
-    n_files = len(table.inputFiles())
-    files = sorted(matches)
-    touched = _read_files(spark, path, files, table.schema)
-    totals = _counts_by_file(spark, path, touched)
-    mixed = [f for f in files if totals[f] > matches[f]]
-    run = uuid.uuid4().hex[:12]
-    kept_dir = f"{path.rstrip('/')}/{KEPT}{run}"
-    if mixed:
-        _write_kept(spark, path, table, pred, mixed, kept_dir)
-        expected = sum(totals[f] - matches[f] for f in mixed)
-        written = spark.read.parquet(kept_dir).count()
-        if written != expected:
-            file_system(spark, path).delete(hadoop_path(spark, kept_dir), True)
-            raise RuntimeError(f"{path}: {expected} rows should stay, {written} were written")
-    elif len(files) == n_files:
-        _write_empty(_read_files(spark, path, files), files, kept_dir)
-    _swap(spark, path, files, kept_dir, run)
-
-
-def _read_files(
-    spark: SparkSession,
-    path: str,
-    files: list[str],
-    schema: T.StructType | None = None,
+def _read(
+    spark: SparkSession, path: str, files: list[str], schema: T.StructType | None = None
 ) -> DataFrame:
-    """The named files of the table.
+    """Files or folders of the table, with its partition columns.
 
     Without ``schema`` the files' own schemas are merged, so that columns only some of them
     have are not lost.
     """
-    base = qualified(spark, path)
-    reader = spark.read.option("basePath", base)
+    reader = spark.read.option("basePath", qualified(spark, path))
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-    return reader.parquet(*[f"{base}/{f}" for f in files])
-
-
-def partition_columns(files: Iterable[str]) -> list[str]:
-    """Names of ``key=value`` folders above the files, which all have the same."""
-    first = next(iter(files))
-    return [part.partition("=")[0] for part in first.split("/")[:-1] if "=" in part]
+    return reader.parquet(*files)
 
 
-def _write_kept(
+def _delete_in(
     spark: SparkSession,
     path: str,
-    table: DataFrame,
+    folder: str,
+    schema: T.StructType,
     pred: Pred | Column,
-    files: list[str],
-    kept_dir: str,
+    keep_schema: bool,
 ) -> None:
-    """Partition values are read as text, so that their folders are named as before."""
-    parts = partition_columns(files)
-    codec = _codec(spark, f"{qualified(spark, path)}/{files[0]}")
-    if not parts:
-        retain(_read_files(spark, path, files), pred).write.options(**codec).parquet(kept_dir)
-        return
-    merged = _read_files(spark, path, files).schema
-    data = [f for f in merged.fields if f.name not in parts]
-    as_text = [T.StructField(p, T.StringType()) for p in parts]
-    rows = _read_files(spark, path, files, T.StructType(data + as_text))
-    typed = rows.select(
-        *[col(f.name) for f in data],
-        *[col(p).cast(table.schema[p].dataType).alias(p) for p in parts],
-        *[col(p).alias(f"{KEPT}{p}") for p in parts],
-    )
-    kept = retain(typed, pred).drop(*parts)
-    kept = kept.withColumnsRenamed({f"{KEPT}{p}": p for p in parts})
-    kept.write.options(**codec).partitionBy(*parts).parquet(kept_dir)
+    """Delete in one folder; ``keep_schema`` leaves a file without rows where none would stay."""
+    home = f"{qualified(spark, path)}/{folder}".rstrip("/")
+    parts = [p.partition("=")[0] for p in folder.split("/") if "=" in p]
+    matches = _counts_by_file(removed(_read(spark, path, [home], schema), pred))
+    old = [f"{home}/{name}" for name in sorted(matches)]
+    totals = _counts_by_file(_read(spark, path, old, schema))
+    mixed = [f"{home}/{name}" for name in sorted(matches) if totals[name] > matches[name]]
+    note = f"{qualified(spark, path)}/{NOTE}{uuid.uuid4().hex[:12]}"
+    before = data_files(spark, home)
+    _write_note(spark, note, folder, before, [])
+    expected = 0
+    if mixed or keep_schema:
+        columns = [c for c in _read(spark, path, mixed or old).columns if c not in parts]
+        kept = retain(_read(spark, path, mixed or old, schema), pred).select(*map(col, columns))
+        kept = kept if mixed else kept.limit(0)
+        expected = sum(totals[n] - matches[n] for n in matches)
+        kept.write.options(**_codec(spark, old[0])).mode("append").parquet(home)
+    new = sorted(set(data_files(spark, home)) - set(before))
+    written = sum(_counts_by_file(spark.read.parquet(*[f"{home}/{n}" for n in new])).values()) if new else 0
+    if written != expected:
+        _undo(spark, note, home, before)
+        raise RuntimeError(f"{path}: {expected} rows should stay, {written} were written")
+    _write_note(spark, note, folder, before, sorted(matches))
+    _finish(spark, note, home, sorted(matches))
+
+
+def _write_note(spark: SparkSession, note: str, folder: str, before: list[str], old: list[str]) -> None:
+    """Which files a folder had and, once the new ones are counted, which of them go."""
+    write_small_text(spark, note, json.dumps({"folder": folder, "before": before, "old": old}))
+
+
+def _notes(spark: SparkSession, path: str) -> list[str]:
+    found = file_system(spark, path).globStatus(hadoop_path(spark, path, NOTE + "*"))
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def _remove(spark: SparkSession, home: str, names: Iterable[str]) -> None:
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        list(pool.map(lambda n: delete(spark, f"{home}/{n}"), names))
+
+
+def _finish(spark: SparkSession, note: str, home: str, old: list[str]) -> None:
+    _remove(spark, home, old)
+    delete(spark, note)
+
+
+def _undo(spark: SparkSession, note: str, home: str, before: list[str]) -> None:
+    _remove(spark, home, ["_temporary", *sorted(set(data_files(spark, home)) - set(before))])
+    delete(spark, note)
 
 
 def _codec(spark: SparkSession, file: str) -> dict[str, str]:
@@ -151,77 +171,24 @@ def _codec(spark: SparkSession, file: str) -> dict[str, str]:
         reader.close()
 
 
-def _write_empty(table: DataFrame, files: list[str], kept_dir: str) -> None:
-    """A file without rows, in the folder of an old one, keeps the schema of an emptied table."""
-    folder, sep, _ = files[0].rpartition("/")
-    empty = table.drop(*partition_columns(files)).limit(0)
-    empty.write.parquet(f"{kept_dir}{sep}{folder}")
-
-
-def _move(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
-    if not pairs:
-        return
-    fs = file_system(spark, pairs[0][0])
-
-    def move(pair: tuple[str, str]) -> None:
-        source, target = hadoop_path(spark, pair[0]), hadoop_path(spark, pair[1])
-        fs.mkdirs(target.getParent())
-        if not fs.rename(source, target):
-            raise RuntimeError(f"could not move {pair[0]} to {pair[1]}")
-
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        list(pool.map(move, pairs))
-
-
-def _files_below(spark: SparkSession, folder: str) -> list[str]:
-    """Every file below ``folder``, by path relative to it."""
-    fs = file_system(spark, folder)
-    if not fs.exists(hadoop_path(spark, folder)):
-        return []
-    base = qualified(spark, folder) + "/"
-    found, it = [], fs.listFiles(hadoop_path(spark, folder), True)
-    while it.hasNext():
-        found.append(it.next().getPath().toString()[len(base) :])
-    return found
-
-
-def _swap(spark: SparkSession, path: str, files: list[str], kept_dir: str, run: str) -> None:
-    """Move the old files out and the kept ones in; the rename to "dropped" is the commit."""
-    base, fs = qualified(spark, path), file_system(spark, path)
-    expired, dropped = f"{base}/{EXPIRED}{run}", f"{base}/{DROPPED}{run}"
-    _move(spark, [(f"{base}/{f}", f"{expired}/{f}") for f in files])
-    new = [f for f in _files_below(spark, kept_dir) if f.endswith(".parquet")]
-    _move(spark, [(f"{kept_dir}/{f}", f"{base}/{_kept_name(f, run)}") for f in new])
-    if not fs.rename(hadoop_path(spark, expired), hadoop_path(spark, dropped)):
-        raise RuntimeError(f"could not finish the delete on {path}, call roll_back")
-    fs.delete(hadoop_path(spark, dropped), True)
-    fs.delete(hadoop_path(spark, kept_dir), True)
-
-
-def _kept_name(file: str, run: str) -> str:
-    folder, sep, name = file.rpartition("/")
-    return f"{folder}{sep}kept-{run}-{name}"
-
-
 def roll_back(spark: SparkSession, path: str) -> int:
-    """Undo deletes that stopped midway; returns how many. Leftovers of finished ones go."""
-    base, fs = qualified(spark, path), file_system(spark, path)
-
-    def leftovers(prefix: str) -> list[str]:
-        found = fs.globStatus(hadoop_path(spark, base, prefix + "*")) or []
-        return [f.getPath().getName() for f in found]
-
-    undone = leftovers(EXPIRED)
-    for name in undone:
-        run = name[len(EXPIRED) :]
-        for file in _files_below(spark, base):
-            if file.rpartition("/")[2].startswith(f"kept-{run}-"):
-                fs.delete(hadoop_path(spark, f"{base}/{file}"), False)
-        old = _files_below(spark, f"{base}/{name}")
-        _move(spark, [(f"{base}/{name}/{f}", f"{base}/{f}") for f in old])
-    for name in undone + leftovers(KEPT) + leftovers(DROPPED):
-        fs.delete(hadoop_path(spark, f"{base}/{name}"), True)
-    return len(undone)
+    """Undo what a stopped delete left unfinished in a folder; returns how many were undone.
+
+    Where the new files were already counted, the old ones go instead.
+    """
+    undone = 0
+    for note in _notes(spark, path):
+        left = json.loads(read_small_text(spark, note) or "{}")
+        if not left:  # stopped before the note was written: nothing else was
+            delete(spark, note)
+            continue
+        home = f"{qualified(spark, path)}/{left['folder']}".rstrip("/")
+        if left["old"]:
+            _finish(spark, note, home, left["old"])
+        else:
+            _undo(spark, note, home, left["before"])
+            undone += 1
+    return undone
 
 
 def delete_many(

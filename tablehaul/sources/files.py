@@ -42,6 +42,14 @@ def write_small_text(spark: SparkSession, uri: str, text: str) -> None:
         out.close()
 
 
+def read_small_text(spark: SparkSession, uri: str) -> str:
+    source = file_system(spark, uri).open(hadoop_path(spark, uri))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def delete(spark: SparkSession, uri: str) -> None:
     file_system(spark, uri).delete(hadoop_path(spark, uri), True)
 
