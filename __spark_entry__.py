@@ -820,7 +820,7 @@ def q_reconcile_counts(spark, sf_dir):
         write_table(df, uri, fmt)
         read.append(named_count(df, name))
         written.append(
-            written_row_count(spark, uri, fmt).select(
+            written_row_count(spark, uri, fmt, df).select(
                 F.lit(name).alias("table_name"), F.col("n_rows").alias("n")
             )
         )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablehaul.functions.text import cell_text, json_ready
 from tablehaul.names import col, table_stem
@@ -35,3 +36,16 @@ def trigger_line(df: DataFrame, table: str, stamp: str, prefix: str | None = Non
     """The trigger row of a table as a one-row DataFrame."""
     head = trigger_text(table, stamp, "", prefix)
     return df.agg(F.concat(F.lit(head), F.count(F.lit(1)).cast("string")).alias("line"))
+
+
+def line_breaks(df: DataFrame) -> Column:
+    """Line breaks in all cells. Only text and bytes can hold any: JSON escapes them."""
+    breaks = [
+        F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+        for text in (
+            cell_text(col(f.name), f.dataType)
+            for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))
+        )
+    ]
+    return F.sum(sum((F.coalesce(n, F.lit(0)) for n in breaks), F.lit(0)))

@@ -11,13 +11,12 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablehaul.functions.dates import days_back, kind_of
-from tablehaul.functions.text import cell_text
 from tablehaul.names import col, split_names, table_stem
+from tablehaul.operators.lines import line_breaks
 from tablehaul.operators.predicates import matches_all, predicate
 from tablehaul.operators.project import project, rename, rename_mapping, stringify
 from tablehaul.operators.validate import check_columns, null_cell_rows
@@ -102,24 +101,11 @@ def _counted(df: DataFrame, spec: ExportSpec) -> tuple[DataFrame, Observation]:
     if spec.null_policy != "ignore":
         metrics += [F.count(col(c)).alias(f"filled_{i}") for i, c in enumerate(df.columns)]
     if format_name(spec.format) in ("csv", "pipe"):
-        metrics.append(_line_breaks(df).alias("line_breaks"))
+        metrics.append(line_breaks(df).alias("line_breaks"))
     seen = Observation()
     return df.observe(seen, *metrics), seen
 
 
-def _line_breaks(df: DataFrame) -> Column:
-    """Line breaks in all cells. Only text and bytes can hold any: JSON escapes them."""
-    breaks = [
-        F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
-        for text in (
-            cell_text(col(f.name), f.dataType)
-            for f in df.schema.fields
-            if isinstance(f.dataType, (T.StringType, T.BinaryType))
-        )
-    ]
-    return F.sum(sum((F.coalesce(n, F.lit(0)) for n in breaks), F.lit(0)))
-
-
 def _export_one(spark: SparkSession, spec: ExportSpec) -> _Result:
     fmt = format_name(spec.format)
     result = _Result(spec.table, spec.target if spec.convert else None, fmt)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.names import clean_table_path
-from tablehaul.operators.lines import pipe_lines, with_text_keys
+from tablehaul.operators.lines import line_breaks, pipe_lines, with_text_keys
 from tablehaul.operators.project import stringify
+from tablehaul.sources.scan import file_row_counts
 
 # The option names for the two Parquet page versions.
 PARQUET_VERSIONS = {"v1": "PARQUET_1_0", "v2": "PARQUET_2_0"}
@@ -152,8 +153,20 @@ def written_records(
     return reader.option("lineSep", "\n").text(uri)
 
 
-def written_row_count(spark: SparkSession, uri: str, format: str) -> DataFrame:
-    """The records of an export as ``n_rows``; CSV is parsed for line breaks in quotes."""
+def written_row_count(
+    spark: SparkSession, uri: str, format: str, source: DataFrame | None = None
+) -> DataFrame:
+    """The records of an export as ``n_rows``.
+
+    CSV lines are counted, less the headers and the line breaks inside the cells of ``source``,
+    the frame that was written. Without it CSV is parsed, each file in one task.
+    """
+    if format_name(format) == "csv" and source is not None:
+        header = 1 + sum(c.count("\n") for c in source.columns)
+        files = file_row_counts(written_records(spark, uri, format))
+        records = files.agg(F.sum(F.col("n_rows") - header).alias("n"))
+        inside = source.agg((-line_breaks(source)).alias("n"))
+        return records.unionAll(inside).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
     if format_name(format) == "csv":
         one_column = T.StructType([T.StructField("c", T.StringType())])
         written = read_written(spark, uri, format, one_column)

@@ -183,3 +183,12 @@ def test_gzip_is_not_used_for_text(spark, nasty, uri):
     write_table(nasty, uri("t"), "pipe")
     with pytest.raises(gzip.BadGzipFile):
         gzip.open(data_files(uri("t"))[0]).read()
+
+
+def test_csv_rows_are_counted_by_lines(spark, uri):
+    df = spark.createDataFrame(
+        [("a\nb", 'q"x\n\n'), (None, ""), ("c", "d")], 'one string, "t\nwo" string'.replace('"', "`")
+    )
+    write_table(df.repartition(2), uri("c"), "csv")
+    assert written_row_count(spark, uri("c"), "csv", df).first().n_rows == 3
+    assert written_row_count(spark, uri("c"), "csv").first().n_rows == 3
