@@ -1,6 +1,9 @@
 """Every registered query against its SQL, on the smallest data set."""
 
 import math
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -47,3 +50,13 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(entry_module.queries()) - set(optional()) <= set(entry_module.oracle_sql())
+
+
+def test_entry_without_the_optional_subpackage():
+    code = (
+        "import sys; sys.modules['tablehaul.llm'] = sys.modules['corpus_pipeline'] = None\n"
+        "import __spark_entry__ as e\n"
+        "assert len(e.queries()) > 60 and set(e.queries()) == set(e.oracle_sql())"
+    )
+    root = Path(entry_module.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
