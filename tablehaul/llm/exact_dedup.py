@@ -32,7 +32,7 @@ COMPARED = 1 << 16
 #: Bits of the filter that picks the texts to compare: at most 16 MB, whatever the table.
 FILTER_BITS = 27
 #: Groups with more rows are spread over SALTS tasks while they are compared.
-HOT_ROWS = 10_000
+HOT_ROWS = 1_000
 SALTS = 256
 
 CHUNK_SCHEMA = (
