@@ -7,10 +7,13 @@ runs test about the middle of the alphabet and a test of lag-one serial correlat
 p-values, combined by Fisher's method.
 
 How random ordinary writing of the same length and alphabet looks is measured, not assumed:
-windows spread over every whole text are tested in the same way and counted. A token's
-p-value is the share of such windows, of its length class and alphabet, that look as random;
-within each class the false discovery rate is controlled at ``rate`` (Benjamini-Hochberg). The
-counts are a table of classes by BINS, bounded whatever the input.
+the writing of every whole text, without the spans and tokens found in it, is cut into
+consecutive windows of every length class, which are tested in the same way. Equal windows
+count once, however many texts repeat them: the windows' hashes are shuffled and counted
+distinct, packed by the thousand. A token's p-value is the share of such windows, of its length
+class and alphabet, that look as random; within each class the false discovery rate is
+controlled at ``rate`` (Benjamini-Hochberg). The counts are a table of classes by BINS, bounded
+whatever the input.
 
 Defined results: a null text counts as empty and has no spans. Texts of any length are searched
 whole. Offsets are code points, ends exclusive; spans are ordered by start, then by kind as in
@@ -20,14 +23,20 @@ from all rows. An empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
+from functools import cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablehaul.llm.common import durable, id_and_text, map_texts
+from tablehaul.llm.common import durable, id_and_text, map_arrow, map_texts
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
@@ -45,8 +54,12 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 LENGTHS = (20, 24, 32, 48, 80)
 #: Logarithmic classes of the combined p-value: four to a power of ten.
 BINS = 41
-#: One window of each alphabet for so many characters of text.
-WINDOW_EVERY = 4000
+#: Length classes whose windows are counted in one pass: the more passes, the less disk at a time.
+PASSES = ((20, 32), (24, 48, 80))
+#: Windows are tested so many characters at a time; a multiple of all of LENGTHS, so none is torn.
+PIECE = 480 * 128
+#: Window hashes a task gathers before it hands them on, and the bits of their buckets.
+GATHER, BUCKET_BITS = 1 << 20, 10
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
@@ -146,55 +159,266 @@ def length_class(n: int) -> int:
     return sum(n >= least for least in LENGTHS) - 1
 
 
-def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int, str, int]]:
-    """(start, end, class, bin) of long tokens that no pattern has found."""
-    out = []
+def _tested(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[re.Match, str]]:
+    """Long tokens that no pattern has found, and their alphabets."""
     for m in TOKEN.finditer(text):
         token = m[0].rstrip("=")
         name = encoding(token) if len(token) >= LEAST else None
         if name is None or any(m.start() < e and s < m.end() for _, s, e in taken):
             continue
+        yield m, name
+
+
+def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int, str, int]]:
+    """(start, end, class, bin) of long tokens that no pattern has found."""
+    out = []
+    for m, name in _tested(text, taken):
+        token = m[0].rstrip("=")
         out.append((*m.span(), f"{name}:{length_class(len(token))}", p_bin(randomness(token, name))))
     return out
 
 
-_NOT_HEX, _NOT_WORDS = re.compile(r"[^0-9a-f]+"), re.compile(r"[^A-Za-z0-9]+")
+def _value_table(letters: str, fold=str) -> np.ndarray:
+    """Value by byte, of the letters as they are folded; 255 for other bytes."""
+    out = np.full(256, 255, np.uint8)
+    for b in range(128):
+        if chr(b).isalnum() and fold(chr(b)) in letters:
+            out[b] = letters.index(fold(chr(b)))
+    return out
+
 
+_HEX_VALUE = _value_table(ALPHABETS["hex"])
+_BASE32_VALUE = _value_table(ALPHABETS["base32"], str.upper)
+_FIRST_VALUE, _NEXT_VALUE = _value_table(BASE62, str.upper), _value_table(BASE62, str.lower)
+_OTHER = {
+    id(t): bytes(np.flatnonzero(t == 255).astype(np.uint8)) for t in (_HEX_VALUE, _BASE32_VALUE)
+}
+#: The alphabets that each stream of ``streams`` is tested over.
+STREAMS = (("hex",), ("base32",), ("base62", "base64"))
 
-def ordinary(text: str) -> Counter:
-    """How random windows of the writing itself look: counts of (class, bin).
 
-    The windows are the text's own hexadecimal characters, its letters in capitals, and its
-    words run together with capitals, spread evenly over the whole text.
+def streams(text: str) -> list[np.ndarray]:
+    """The writing as values of each alphabet of STREAMS.
+
+    These are the text's own hexadecimal characters, its letters in capitals, and its words run
+    together with capitals.
     """
+    raw = text.encode("ascii", "replace")
+    out = [
+        np.frombuffer(raw.translate(table.tobytes(), _OTHER[id(table)]), np.uint8)
+        for table in (_HEX_VALUE, _BASE32_VALUE)
+    ]
+    codes = np.frombuffer(raw, np.uint8)
+    value = _NEXT_VALUE[codes]
+    inside = value != 255
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    value[first] = _FIRST_VALUE[codes[first]]
+    return [*out, value[inside]]
+
+
+def writing(text: str) -> str:
+    """The text with a blank for each span of a known kind and each run that holds a candidate."""
+    spans = base_spans(text)
+    cut = sorted([(s, e) for _, s, e in spans] + [m.span() for m, _ in _tested(text, spans)])
+    out, last = [], 0
+    for s, e in cut:
+        if s > last:
+            out.append(text[last:s])
+        last = max(last, e)
+    return " ".join([*out, text[last:]]) if cut else text
+
+
+@cache
+def _uniform_half(n: int, k: int) -> np.ndarray:
+    """-log of the p-value of ``uniformity`` by the sum of squared counts."""
+    out = np.zeros(n * n + 1)
+    for squares in range(n, n * n + 1):
+        x, df = squares * k / n - n, k - 1
+        z = ((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)) if x > 0 else -5.0
+        out[squares] = -math.log(max(0.5 * math.erfc(z / math.sqrt(2)), 1e-300))
+    return out
+
+
+@cache
+def _runs_half(n: int) -> np.ndarray:
+    """-log of the p-value of ``runs`` by the number of high symbols and of changes."""
+    out = np.full((n + 1, n), -math.log(2.0 ** (1 - n)))
+    for a in range(1, n):
+        mean = 2 * a * (n - a) / n + 1
+        var = (mean - 1) * (mean - 2) / (n - 1)
+        for changes in range(n):
+            p = _two_sided((changes + 1 - mean) / math.sqrt(var)) if var > 0 else 1.0
+            out[a, changes] = -math.log(max(p, 1e-300))
+    return out
+
+
+_MULTIPLIER = 0x9E3779B97F4A7C15
+_SYMBOLS = np.array([int.from_bytes(hashlib.blake2b(bytes([i]), digest_size=8).digest()) for i in range(256)], np.uint64)
+
+
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, modulo 2^64."""
+    inverse = pow(_MULTIPLIER, -1, 1 << 64)
+    return tuple(
+        np.cumprod(np.array([1] + [m] * (size - 1), np.uint64), dtype=np.uint64) for m in (_MULTIPLIER, inverse)
+    )
+
+
+def _sums(values: np.ndarray, kind) -> np.ndarray:
+    out = np.zeros(len(values) + 1, kind)
+    np.cumsum(values, out=out[1:], dtype=kind)
+    return out
+
+
+def windows(pieces: list[np.ndarray], stream: int, lengths: Iterable[int] = LENGTHS) -> Iterator[np.ndarray]:
+    """For each length, a key per consecutive window of each piece.
+
+    A key is BUCKET_BITS bits of the window's hash, four of stream and length, six for each of
+    two bins, and the rest of the hash; equal windows have equal keys.
+    """
+    pieces = [p for p in pieces if len(p) >= LEAST]
+    if not pieces:
+        return
+    values, sizes = np.concatenate(pieces), np.array([len(p) for p in pieces])
+    offsets = np.cumsum(sizes) - sizes
+    powers, inverses = (p[: len(values)] for p in _powers(1 << (len(values) - 1).bit_length()))
+    wide = values.astype(np.int32)
+    total, squares = _sums(wide, np.int32), _sums(wide * wide, np.int32)
+    lagged = _sums(wide[:-1] * wide[1:], np.int32)
+    hashed = _sums(_SYMBOLS[values] * powers, np.uint64)
+    halves = {}
+    for name in STREAMS[stream]:
+        high = 2 * wide >= len(ALPHABETS[name])
+        halves[name] = _sums(high, np.int32), _sums(high[1:] != high[:-1], np.int32)
+    for n in lengths:
+        counts = sizes // n
+        before = np.cumsum(counts) - counts
+        at = np.repeat(offsets - n * before, counts) + n * np.arange(counts.sum())
+        if not len(at):
+            continue
+        end = at + n
+        cells = np.lib.stride_tricks.sliding_window_view(values, n)[at] + 64 * np.arange(len(at))[:, None]
+        often = np.bincount(cells.ravel(), minlength=64 * len(at)).reshape(-1, 64)
+        same = np.einsum("ij,ij->i", often, often)
+        s, mean = total[end] - total[at], (total[end] - total[at]) / n
+        spread = n * (squares[end] - squares[at]) - s * s
+        product = lagged[end - 1] - lagged[at] - mean * (2 * s - wide[at] - wide[end - 1]) + (n - 1) * mean * mean
+        z = (product * n / np.maximum(spread, 1) + 1 / n) * math.sqrt(n)
+        p = np.array([math.erfc(x) for x in (np.abs(z) / math.sqrt(2)).tolist()])
+        serial_half = -np.log(np.maximum(np.where(spread > 0, p, 0.0), 1e-300))
+        bins = []
+        for name in STREAMS[stream]:
+            high, changes = halves[name]
+            half = serial_half + _uniform_half(n, len(ALPHABETS[name]))[same]
+            half += _runs_half(n)[high[end] - high[at], changes[end - 1] - changes[at]]
+            p = np.exp(-half) * (1 + half + half * half / 2)
+            bins.append(np.maximum(0, BINS - 1 + np.ceil(4 * np.log10(np.maximum(p, 1e-12)))).astype(np.uint64))
+        key = (hashed[end] - hashed[at]) * inverses[at]
+        key ^= key >> np.uint64(29)
+        key *= np.uint64(0xBF58476D1CE4E5B9)
+        key ^= key >> np.uint64(32)
+        code = np.uint64((stream * len(LENGTHS) + length_class(n)) << 12) | bins[0] << np.uint64(6) | bins[-1]
+        low = np.uint64(64 - BUCKET_BITS - 16)
+        top = key >> np.uint64(64 - BUCKET_BITS) << np.uint64(64 - BUCKET_BITS)
+        yield top | code << low | key & np.uint64((1 << int(low)) - 1)
+
+
+def window_keys(texts: Iterable[str | None], lengths: Iterable[int] = LENGTHS) -> Iterator[np.ndarray]:
+    """Keys of all windows of the texts' writing, some PIECE of characters at a time."""
+    held, size = [[] for _ in STREAMS], 0
+    for text in texts:
+        for stream, values in enumerate(streams(writing(text or ""))):
+            for at in range(0, len(values), PIECE):
+                held[stream].append(values[at : at + PIECE])
+                size += len(held[stream][-1])
+                if size >= PIECE:
+                    for k, pieces in enumerate(held):
+                        yield from windows(pieces, k, lengths)
+                    held, size = [[] for _ in STREAMS], 0
+    for k, pieces in enumerate(held):
+        yield from windows(pieces, k, lengths)
+
+
+def _packed_keys(df: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """Bucket and the distinct keys of a task's windows in it, as planes of bytes."""
+
+    def run(parts):
+        held = []
+
+        def packed():
+            keys = np.unique(np.concatenate(held))
+            buckets, starts = np.unique(keys >> np.uint64(64 - BUCKET_BITS), return_index=True)
+            ends = [*starts[1:].tolist(), len(keys)]
+            planes = keys.view(np.uint8).reshape(-1, 8)[:, :7]
+            blobs = [planes[s:e].T.tobytes() for s, e in zip(starts.tolist(), ends, strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(buckets.astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "keys"]
+            )
+
+        texts = (t.as_py() for part in parts for t in part.column(0))
+        for keys in window_keys(texts, lengths):
+            held.append(keys)
+            if sum(map(len, held)) >= GATHER:
+                yield packed()
+                held.clear()
+        if held:
+            yield packed()
+
+    return map_arrow(df.select("text"), run, "bucket int, keys binary")
+
+
+def _distinct_keys(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the distinct keys by code; the rows come bucket by bucket."""
+    found: Counter = Counter()
+    held, last = [], None
+
+    def count():
+        keys = np.zeros((sum(k.shape[1] for k in held), 8), np.uint8)
+        keys[:, :7] = np.concatenate(held, axis=1).T
+        keys = np.unique(keys.view(np.uint64).ravel())
+        codes = keys >> np.uint64(48 - BUCKET_BITS) & np.uint64(0xFFFF)
+        for code, n in zip(*np.unique(codes, return_counts=True), strict=True):
+            found[int(code)] += int(n)
+
+    for part in parts:
+        for bucket, blob in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+            if bucket != last and held:
+                count()
+                held.clear()
+            last = bucket
+            held.append(np.frombuffer(blob.as_buffer(), np.uint8).reshape(7, -1))
+    if held:
+        count()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], ["code", "n"]
+    )
+
+
+def ordinary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict:
+    """How random the writing itself looks: distinct windows of the whole table by (class, bin)."""
     out: Counter = Counter()
-    if len(text) < LEAST:
-        return out
-    wanted = max(1, len(text) // WINDOW_EVERY)
-    words = _NOT_WORDS.split(text)
-    joined = "".join([w.capitalize() for w in words])
-    capitals = "".join(words).upper().translate({ord(c): None for c in "0189"})
-    streams = {
-        "hex": _NOT_HEX.sub("", text),
-        "base32": capitals,
-        "base62": joined,
-        "base64": joined,
-    }
-    for name, stream in streams.items():
-        for i in range(wanted):
-            n = LENGTHS[(i + len(text)) % len(LENGTHS)]
-            at = i * (len(stream) // wanted)
-            window = stream[at : at + n]
-            if len(window) == n:
-                out[f"{name}:{length_class(n)}", p_bin(randomness(window, name))] += 1
+    for lengths in PASSES:
+        packed = _packed_keys(id_and_text(df, id_col, text_col), lengths)
+        met = packed.repartition("bucket").sortWithinPartitions("bucket")
+        counted = map_arrow(met, _distinct_keys, "code int, n bigint")
+        for r in counted.groupBy("code").agg(F.sum("n").alias("n")).collect():
+            stream, size = divmod(r["code"] >> 12, len(LENGTHS))
+            for name, b in zip(STREAMS[stream], (r["code"] >> 6 & 63, r["code"] & 63), strict=False):
+                out[f"{name}:{size}", b] += r["n"]
+        # Shuffle files go when the frames that made them do: before the next pass makes its own.
+        del packed, met, counted
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 
 def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, base spans, candidates and the counts of ordinary windows of each row."""
+    """id, base spans and candidates of each row."""
 
     def made(texts):
-        base, found, normal = [], [], []
+        base, found = [], []
         for text in texts:
             text = text or ""
             spans = base_spans(text)
@@ -202,15 +426,13 @@ def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             found.append(
                 [{"start": s, "end": e, "class": c, "bin": b} for s, e, c, b in candidates(text, spans)]
             )
-            normal.append([{"class": c, "bin": b, "n": n} for (c, b), n in ordinary(text).items()])
-        return {"base": base, "found": found, "normal": normal}
+        return {"base": base, "found": found}
 
     return map_texts(
         id_and_text(df, id_col, text_col),
         made,
         "base array<struct<kind:string,start:bigint,end:bigint>>,"
-        " found array<struct<start:bigint,end:bigint,class:string,bin:int>>,"
-        " normal array<struct<class:string,bin:int,n:bigint>>",
+        " found array<struct<start:bigint,end:bigint,class:string,bin:int>>",
     )
 
 
@@ -233,11 +455,11 @@ def thresholds(tokens: dict, normal: dict, rate: float) -> dict[str, int]:
     return out
 
 
-def _counts(rows: DataFrame, column: str) -> dict:
-    """(class, bin) to count: at most classes times BINS rows."""
-    each = rows.select(F.explode(column).alias("x")).select("x.*")
-    n = F.sum("n") if column == "normal" else F.count("*")
-    return {(r["class"], r["bin"]): r["total"] for r in each.groupBy("class", "bin").agg(n.alias("total")).collect()}
+def _counts(rows: DataFrame) -> dict:
+    """Candidates by (class, bin): at most classes times BINS rows."""
+    each = rows.select(F.explode("found").alias("x")).select("x.*")
+    counted = each.groupBy("class", "bin").agg(F.count("*").alias("total"))
+    return {(r["class"], r["bin"]): r["total"] for r in counted.collect()}
 
 
 def _joined(spans: Column) -> Column:
@@ -249,7 +471,8 @@ def find_secrets(
 ) -> DataFrame:
     """Per row: id, base (spans of the known kinds), spans (those and random tokens)."""
     rows = durable(scanned(df, id_col, text_col), "secret-spans")
-    least = thresholds(_counts(rows, "found"), _counts(rows, "normal"), rate)
+    tokens = _counts(rows)
+    least = thresholds(tokens, ordinary(df, id_col, text_col), rate) if tokens else {}
     kept = F.array()
     if least:
         limit = F.create_map(*[F.lit(x) for kv in sorted(least.items()) for x in kv])

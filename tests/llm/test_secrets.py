@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -123,3 +124,40 @@ def test_planted_tokens_are_found(spark):
     hit = [i for i, at in planted.items() if at in spans[i]]
     assert len(hit) >= 0.8 * len(planted)
     assert not any(s for i, s in spans.items() if i not in planted)
+
+
+def slow_ordinary(texts):
+    """Distinct consecutive windows of every length over each whole stream, by (class, bin)."""
+    met = set()
+    for text in texts:
+        text = S.writing(text or "")
+        words = re.split("[^A-Za-z0-9]+", text)
+        joined_words = "".join(w.capitalize() for w in words)
+        streams = {
+            "hex": re.sub("[^0-9a-f]", "", text),
+            "base32": re.sub("[0189]", "", "".join(words).upper()),
+            "base62": joined_words,
+            "base64": joined_words,
+        }
+        for name, stream in streams.items():
+            for n in S.LENGTHS:
+                met |= {(name, n, stream[i : i + n]) for i in range(0, len(stream) - n + 1, n)}
+    return Counter((f"{k}:{S.length_class(n)}", S.p_bin(S.randomness(w, k))) for k, n, w in met)
+
+
+@pytest.mark.parametrize("piece", [480, 480 * 128])
+def test_every_window_of_the_writing_counts_once(spark, texts, monkeypatch, piece):
+    monkeypatch.setattr(S, "PIECE", piece)
+    some = [*list(texts.values())[:12], None, "", "ünï Ⅳ " * 30, "abcdef " * 400]
+    want = slow_ordinary(some)
+    keys = np.unique(np.concatenate(list(S.window_keys([*some, *some[:5]]))))
+    assert len(keys) == sum(n for (c, _), n in want.items() if not c.startswith("base64"))
+    frame = spark.createDataFrame(list(enumerate([*some, *some[:5] * 40])), "doc_id bigint, text string")
+    assert S.ordinary(frame.repartition(5)) == want
+
+
+def test_what_is_found_is_left_out_of_the_writing():
+    token = "q7Xk2LmP9rTb4VnW8sYc1ZdF"
+    text = f"some words password=hunter2hunter2 then {token} and {'ab12' * 10} end"
+    assert S.writing(text) == "some words   then   and   end"
+    assert S.writing("nothing here") == "nothing here"
