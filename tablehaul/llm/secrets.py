@@ -1,8 +1,9 @@
 """Secrets in texts: patterns of known kinds, and a battery of randomness tests for the rest.
 
 The patterns find assignments to secret names, access key ids and long hexadecimal strings. Any
-other long run of token characters is tested for being random: its encoding (hexadecimal,
-base32, base62, base64) is inferred, and over that alphabet a chi-squared test of uniformity, a
+other long run of token characters is cut at inner "=" and tested for being random, whole and
+in its parts between the signs "/", "_", "-" and "+" that may join it to words; of parts that
+lie in each other the longest without words is reported. The encoding (hexadecimal, base32, base62, base64) is inferred, and over that alphabet a chi-squared test of uniformity, a
 runs test about the middle of the alphabet and a test of lag-one serial correlation give three
 p-values, combined by Fisher's method.
 
@@ -23,18 +24,21 @@ from all rows. An empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
 import re
+import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablehaul.llm.common import durable, id_and_text, map_arrow, map_texts
 
@@ -54,12 +58,10 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 LENGTHS = (20, 24, 32, 48, 80)
 #: Logarithmic classes of the combined p-value: four to a power of ten.
 BINS = 41
-#: Length classes whose windows are counted in one pass: the more passes, the less disk at a time.
-PASSES = ((20, 32), (24, 48, 80))
 #: Windows are tested so many characters at a time; a multiple of all of LENGTHS, so none is torn.
-PIECE = 480 * 128
-#: Window hashes a task gathers before it hands them on, and the bits of their buckets.
-GATHER, BUCKET_BITS = 1 << 20, 10
+PIECE = 480 * 256
+#: Window hashes a task gathers before it hands them on, and the bits of their buckets and in all.
+GATHER, BUCKET_BITS, HASH_BITS = 1 << 22, 10, 40
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
@@ -159,23 +161,75 @@ def length_class(n: int) -> int:
     return sum(n >= least for least in LENGTHS) - 1
 
 
-def _tested(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[re.Match, str]]:
-    """Long tokens that no pattern has found, and their alphabets."""
+_VALUE_PART, _ATOM = re.compile("[^=]+"), re.compile("[^/_+-]+")
+#: Where a run is cut, besides at "=": not at all, or at so many signs that may join words.
+_CUTS = (_VALUE_PART, *(re.compile(f"[^{signs}]+") for signs in ("/", "/+", "_-", "/_-", "/_+-")))
+_WORD_ATOM = re.compile("[A-Za-z]?[a-z]{2,}|[A-Z]{3,}|[vV][0-9]{1,4}")
+
+
+def _parts(piece: str) -> list[tuple[bool, int, int, str]]:
+    """(whether words are joined to it, start, end, alphabet) of a piece's parts, best first.
+
+    A part is the piece, what lies between signs of one kind, or a stretch without words.
+    """
+    spans = {m.span() for cut in _CUTS for m in cut.finditer(piece) if m.end() - m.start() >= LEAST}
+    atoms = [(m.start(), m.end(), bool(_WORD_ATOM.fullmatch(m[0]))) for m in _ATOM.finditer(piece)]
+    words, at = [0], None
+    for s, e, word in [*atoms, (len(piece), len(piece), True)]:
+        words.append(words[-1] + word)
+        if word and at is not None:
+            spans.add((at, last))
+            at = None
+        elif not word and at is None:
+            at = s
+        last = e
+    starts, out = [s for s, _, _ in atoms], []
+    for s, e in spans:
+        name = encoding(piece[s:e]) if e - s >= LEAST else None
+        if name is not None:
+            i, j = bisect_left(starts, s), bisect_left(starts, e)
+            out.append((j - i > 1 and words[j] > words[i], s, e, name))
+    return sorted(out, key=lambda x: (x[0], x[1] - x[2], x[1]))
+
+
+def _tested(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, part, alphabet) of long parts of runs, clear of what the patterns have found.
+
+    Parts of one piece may lie in each other; the better ones come first. "=" at the end of a
+    run belongs to its last part.
+    """
+    ends = list(accumulate((e for _, _, e in taken), max))
+    begins = [s for _, s, _ in taken]
     for m in TOKEN.finditer(text):
-        token = m[0].rstrip("=")
-        name = encoding(token) if len(token) >= LEAST else None
-        if name is None or any(m.start() < e and s < m.end() for _, s, e in taken):
-            continue
-        yield m, name
+        run = m[0].rstrip("=")
+        for piece in _VALUE_PART.finditer(run) if len(run) >= LEAST else ():
+            if piece.end() - piece.start() < LEAST:
+                continue
+            for _, s, e, name in _parts(piece[0]):
+                part, s, e = piece[0][s:e], m.start() + piece.start() + s, m.start() + piece.start() + e
+                e = m.end() if e == m.start() + len(run) else e
+                before = bisect_left(begins, e)
+                if not before or ends[before - 1] <= s:
+                    yield s, e, part, name
 
 
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int, str, int]]:
-    """(start, end, class, bin) of long tokens that no pattern has found."""
-    out = []
-    for m, name in _tested(text, taken):
-        token = m[0].rstrip("=")
-        out.append((*m.span(), f"{name}:{length_class(len(token))}", p_bin(randomness(token, name))))
-    return out
+    """(start, end, class, bin) of long parts of tokens that no pattern has found."""
+    return [
+        (s, e, f"{name}:{length_class(len(part))}", p_bin(randomness(part, name)))
+        for s, e, part, name in _tested(text, taken)
+    ]
+
+
+def chosen(found: Iterable[tuple[int, int, str, int]], least: dict[str, int]) -> list[tuple[int, int]]:
+    """Spans of the candidates that pass, without those that meet a better one."""
+    kept: list[tuple[int, int]] = []
+    for s, e, kind, b in found:
+        if b >= least.get(kind, BINS):
+            i = bisect_left(kept, (e, 0))
+            if not i or kept[i - 1][1] <= s:
+                kept.insert(i, (s, e))
+    return kept
 
 
 def _value_table(letters: str, fold=str) -> np.ndarray:
@@ -218,9 +272,9 @@ def streams(text: str) -> list[np.ndarray]:
 
 
 def writing(text: str) -> str:
-    """The text with a blank for each span of a known kind and each run that holds a candidate."""
+    """The text with a blank for each span of a known kind and each candidate."""
     spans = base_spans(text)
-    cut = sorted([(s, e) for _, s, e in spans] + [m.span() for m, _ in _tested(text, spans)])
+    cut = sorted([(s, e) for _, s, e in spans] + [(s, e) for s, e, _, _ in _tested(text, spans)])
     out, last = [], 0
     for s, e in cut:
         if s > last:
@@ -253,6 +307,19 @@ def _runs_half(n: int) -> np.ndarray:
     return out
 
 
+@cache
+def _tails() -> np.ndarray:
+    return np.array([-math.log(max(_two_sided(i / 1000), 1e-300)) for i in range(12_002)])
+
+
+def _serial_half(z: np.ndarray) -> np.ndarray:
+    """-log of two-sided p-values, between points a thousandth apart (right to 1e-6)."""
+    at = np.minimum(z * 1000, 12_000.0)
+    i = at.astype(np.int64)
+    low = _tails()[i]
+    return low + (at - i) * (_tails()[i + 1] - low)
+
+
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _SYMBOLS = np.array([int.from_bytes(hashlib.blake2b(bytes([i]), digest_size=8).digest()) for i in range(256)], np.uint64)
 
@@ -272,11 +339,11 @@ def _sums(values: np.ndarray, kind) -> np.ndarray:
     return out
 
 
-def windows(pieces: list[np.ndarray], stream: int, lengths: Iterable[int] = LENGTHS) -> Iterator[np.ndarray]:
+def windows(pieces: list[np.ndarray], stream: int) -> Iterator[np.ndarray]:
     """For each length, a key per consecutive window of each piece.
 
-    A key is BUCKET_BITS bits of the window's hash, four of stream and length, six for each of
-    two bins, and the rest of the hash; equal windows have equal keys.
+    A key is HASH_BITS bits of the window's hash, then four of stream and length and six for
+    each of two bins; equal windows have equal keys.
     """
     pieces = [p for p in pieces if len(p) >= LEAST]
     if not pieces:
@@ -288,26 +355,25 @@ def windows(pieces: list[np.ndarray], stream: int, lengths: Iterable[int] = LENG
     total, squares = _sums(wide, np.int32), _sums(wide * wide, np.int32)
     lagged = _sums(wide[:-1] * wide[1:], np.int32)
     hashed = _sums(_SYMBOLS[values] * powers, np.uint64)
-    halves = {}
+    halves, k = {}, len(ALPHABETS[STREAMS[stream][-1]])
     for name in STREAMS[stream]:
         high = 2 * wide >= len(ALPHABETS[name])
         halves[name] = _sums(high, np.int32), _sums(high[1:] != high[:-1], np.int32)
-    for n in lengths:
+    for n in LENGTHS:
         counts = sizes // n
         before = np.cumsum(counts) - counts
         at = np.repeat(offsets - n * before, counts) + n * np.arange(counts.sum())
         if not len(at):
             continue
         end = at + n
-        cells = np.lib.stride_tricks.sliding_window_view(values, n)[at] + 64 * np.arange(len(at))[:, None]
-        often = np.bincount(cells.ravel(), minlength=64 * len(at)).reshape(-1, 64)
+        cells = np.lib.stride_tricks.sliding_window_view(values, n)[at] + k * np.arange(len(at))[:, None]
+        often = np.bincount(cells.ravel(), minlength=k * len(at)).reshape(-1, k)
         same = np.einsum("ij,ij->i", often, often)
         s, mean = total[end] - total[at], (total[end] - total[at]) / n
         spread = n * (squares[end] - squares[at]) - s * s
         product = lagged[end - 1] - lagged[at] - mean * (2 * s - wide[at] - wide[end - 1]) + (n - 1) * mean * mean
         z = (product * n / np.maximum(spread, 1) + 1 / n) * math.sqrt(n)
-        p = np.array([math.erfc(x) for x in (np.abs(z) / math.sqrt(2)).tolist()])
-        serial_half = -np.log(np.maximum(np.where(spread > 0, p, 0.0), 1e-300))
+        serial_half = np.where(spread > 0, _serial_half(np.abs(z)), 300 * math.log(10))
         bins = []
         for name in STREAMS[stream]:
             high, changes = halves[name]
@@ -320,12 +386,10 @@ def windows(pieces: list[np.ndarray], stream: int, lengths: Iterable[int] = LENG
         key *= np.uint64(0xBF58476D1CE4E5B9)
         key ^= key >> np.uint64(32)
         code = np.uint64((stream * len(LENGTHS) + length_class(n)) << 12) | bins[0] << np.uint64(6) | bins[-1]
-        low = np.uint64(64 - BUCKET_BITS - 16)
-        top = key >> np.uint64(64 - BUCKET_BITS) << np.uint64(64 - BUCKET_BITS)
-        yield top | code << low | key & np.uint64((1 << int(low)) - 1)
+        yield key >> np.uint64(64 - HASH_BITS) << np.uint64(16) | code
 
 
-def window_keys(texts: Iterable[str | None], lengths: Iterable[int] = LENGTHS) -> Iterator[np.ndarray]:
+def window_keys(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
     """Keys of all windows of the texts' writing, some PIECE of characters at a time."""
     held, size = [[] for _ in STREAMS], 0
     for text in texts:
@@ -335,82 +399,87 @@ def window_keys(texts: Iterable[str | None], lengths: Iterable[int] = LENGTHS) -
                 size += len(held[stream][-1])
                 if size >= PIECE:
                     for k, pieces in enumerate(held):
-                        yield from windows(pieces, k, lengths)
+                        yield from windows(pieces, k)
                     held, size = [[] for _ in STREAMS], 0
     for k, pieces in enumerate(held):
-        yield from windows(pieces, k, lengths)
+        yield from windows(pieces, k)
 
 
-def _packed_keys(df: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
-    """Bucket and the distinct keys of a task's windows in it, as planes of bytes."""
+def _packed_keys(df: DataFrame) -> DataFrame:
+    """Bucket and the distinct keys of a task's windows in it, as planes of bytes of the steps."""
 
     def run(parts):
-        held = []
+        held, size = [], 0
 
         def packed():
             keys = np.unique(np.concatenate(held))
-            buckets, starts = np.unique(keys >> np.uint64(64 - BUCKET_BITS), return_index=True)
-            ends = [*starts[1:].tolist(), len(keys)]
-            planes = keys.view(np.uint8).reshape(-1, 8)[:, :7]
-            blobs = [planes[s:e].T.tobytes() for s, e in zip(starts.tolist(), ends, strict=True)]
+            bits = np.uint64(16 + HASH_BITS - BUCKET_BITS)
+            buckets, starts = np.unique(keys >> bits, return_index=True)
+            hashes, codes = keys >> np.uint64(16), (keys & np.uint64(0xFFFF)).astype("<u2")
+            steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
+            steps[starts] = hashes[starts]
+            steps, codes = steps.view(np.uint8).reshape(-1, 8)[:, :5], codes.view(np.uint8).reshape(-1, 2)
+            blobs = [
+                zlib.compress(steps[s:e].T.tobytes() + codes[s:e].T.tobytes(), 1)
+                for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True)
+            ]
             return pa.RecordBatch.from_arrays(
                 [pa.array(buckets.astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "keys"]
             )
 
-        texts = (t.as_py() for part in parts for t in part.column(0))
-        for keys in window_keys(texts, lengths):
+        for keys in window_keys(t.as_py() for part in parts for t in part.column(0)):
             held.append(keys)
-            if sum(map(len, held)) >= GATHER:
+            size += len(keys)
+            if size >= GATHER:
                 yield packed()
-                held.clear()
+                held, size = [], 0
         if held:
             yield packed()
 
     return map_arrow(df.select("text"), run, "bucket int, keys binary")
 
 
+def _unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(7, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :5] = planes[:5].T
+    codes = np.ascontiguousarray(planes[5:].T).view("<u2").ravel()
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64) << np.uint64(16) | codes.astype(np.uint64)
+
+
 def _distinct_keys(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the distinct keys by code; the rows come bucket by bucket."""
-    found: Counter = Counter()
+    found = np.zeros(1 << 16, np.int64)
     held, last = [], None
 
     def count():
-        keys = np.zeros((sum(k.shape[1] for k in held), 8), np.uint8)
-        keys[:, :7] = np.concatenate(held, axis=1).T
-        keys = np.unique(keys.view(np.uint64).ravel())
-        codes = keys >> np.uint64(48 - BUCKET_BITS) & np.uint64(0xFFFF)
-        for code, n in zip(*np.unique(codes, return_counts=True), strict=True):
-            found[int(code)] += int(n)
+        keys = np.unique(np.concatenate(held))
+        found[:] += np.bincount((keys & np.uint64(0xFFFF)).astype(np.int64), minlength=len(found))
 
     for part in parts:
-        for bucket, blob in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+        for bucket, blob in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
             if bucket != last and held:
                 count()
                 held.clear()
             last = bucket
-            held.append(np.frombuffer(blob.as_buffer(), np.uint8).reshape(7, -1))
+            held.append(_unpacked(blob))
     if held:
         count()
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], ["code", "n"]
-    )
+    codes = np.flatnonzero(found)
+    yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(found[codes])], ["code", "n"])
 
 
 def ordinary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """How random the writing itself looks: distinct windows of the whole table by (class, bin)."""
     out: Counter = Counter()
-    for lengths in PASSES:
-        packed = _packed_keys(id_and_text(df, id_col, text_col), lengths)
-        met = packed.repartition("bucket").sortWithinPartitions("bucket")
-        counted = map_arrow(met, _distinct_keys, "code int, n bigint")
-        for r in counted.groupBy("code").agg(F.sum("n").alias("n")).collect():
-            stream, size = divmod(r["code"] >> 12, len(LENGTHS))
-            for name, b in zip(STREAMS[stream], (r["code"] >> 6 & 63, r["code"] & 63), strict=False):
-                out[f"{name}:{size}", b] += r["n"]
-        # Shuffle files go when the frames that made them do: before the next pass makes its own.
-        del packed, met, counted
-        gc.collect()
-        df.sparkSession.sparkContext._jvm.System.gc()
+    packed = _packed_keys(id_and_text(df, id_col, text_col))
+    counted = map_arrow(
+        packed.repartition("bucket").sortWithinPartitions("bucket"), _distinct_keys, "code int, n bigint"
+    )
+    for r in counted.groupBy("code").agg(F.sum("n").alias("n")).collect():
+        stream, size = divmod(r["code"] >> 12, len(LENGTHS))
+        for name, b in zip(STREAMS[stream], (r["code"] >> 6 & 63, r["code"] & 63), strict=False):
+            out[f"{name}:{size}", b] += r["n"]
     return out
 
 
@@ -473,26 +542,26 @@ def find_secrets(
     rows = durable(scanned(df, id_col, text_col), "secret-spans")
     tokens = _counts(rows)
     least = thresholds(tokens, ordinary(df, id_col, text_col), rate) if tokens else {}
-    kept = F.array()
-    if least:
-        limit = F.create_map(*[F.lit(x) for kv in sorted(least.items()) for x in kv])
-        kept = F.filter("found", lambda x: x["bin"] >= limit[x["class"]])
-    added = F.transform(
-        kept,
-        lambda x: F.struct(
-            F.lit("random").alias("kind"), x["start"].alias("start"), x["end"].alias("end")
-        ),
-    )
-    both = F.concat("base", added) if least else F.col("base")
-    order = F.array(*map(F.lit, KINDS))
-    keyed = F.transform(
-        both,
-        lambda x: F.struct(
-            x["start"].alias("start"), F.array_position(order, x["kind"]).alias("at"),
-            x["end"].alias("end"), x["kind"].alias("kind"),
-        ),
-    )
-    return rows.select("id", "base", F.sort_array(keyed).alias("spans"))
+    plain = T.StructType.fromDDL("spans array<struct<start:bigint,at:bigint,end:bigint,kind:string>>")
+    schema = T.StructType([*rows.select("id", "base").schema.fields, *plain.fields])
+
+    def run(parts):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        for part in parts:
+            spans = []
+            for base, found in zip(*(part.column(c).to_pylist() for c in ("base", "found")), strict=True):
+                each = [(x["kind"], x["start"], x["end"]) for x in base]
+                each += [("random", *x) for x in chosen((tuple(x.values()) for x in found), least)]
+                each.sort(key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+                spans.append([{"start": s, "at": KINDS.index(k) + 1, "end": e, "kind": k} for k, s, e in each])
+            arrow = to_arrow_schema(schema)
+            arrays = [part.column("id"), part.column("base"), pa.array(spans, arrow.field("spans").type)]
+            yield pa.RecordBatch.from_arrays(
+                [a.cast(f.type) for a, f in zip(arrays, arrow, strict=True)], schema=arrow
+            )
+
+    return map_arrow(rows, run, schema)
 
 
 def secret_digest(df: DataFrame, **options) -> DataFrame:

@@ -161,3 +161,42 @@ def test_what_is_found_is_left_out_of_the_writing():
     text = f"some words password=hunter2hunter2 then {token} and {'ab12' * 10} end"
     assert S.writing(text) == "some words   then   and   end"
     assert S.writing("nothing here") == "nothing here"
+
+
+TOKEN40 = "q7Xk2LmP9rTb4VnW8sYc1ZdFh5GjK3uR6aEoB0iS"
+AWS = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+
+
+@pytest.mark.parametrize(
+    ("text", "token"),
+    [
+        (f"export DB_PASS={TOKEN40} now", TOKEN40),
+        (f"AWS_SECRET_ACCESS_KEY={AWS}", AWS),
+        (f"see example.com/get?a=1&sig={TOKEN40}== end", f"{TOKEN40}=="),
+        (f"my-app/v1/{TOKEN40}", TOKEN40),
+        (f"prod_access_{TOKEN40}", TOKEN40),
+        (f"config-main-{AWS}", AWS),
+        (f"/srv/data/{TOKEN40}_{TOKEN40[::-1]}/file", f"{TOKEN40}_{TOKEN40[::-1]}"),
+        (f"{TOKEN40}=", f"{TOKEN40}="),
+    ],
+)
+def test_tokens_joined_to_other_things_have_their_own_span(text, token):
+    everything = {f"{name}:{k}": 0 for name in S.ALPHABETS for k in range(len(S.LENGTHS))}
+    spans = S.chosen(S.candidates(text, S.base_spans(text)), everything)
+    assert token in [text[s:e] for s, e in spans]
+
+
+def test_joined_planted_tokens_are_found(spark):
+    rng = random.Random(12)
+    rows, planted = [], {}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    for i, text in docs.collect():
+        if i % 4 == 0:
+            token = "".join(rng.choices(S.BASE62, k=40))
+            text += (" DB_PASS=", " my-app/v1/", " prod_access_", " ?a=1&sig=")[i // 4 % 4] + token
+            planted[i] = (len(text) - len(token), len(text))
+        rows.append((i, text))
+    found = S.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    spans = {r["id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "random"] for r in found}
+    assert sum(at in spans[i] for i, at in planted.items()) >= 0.8 * len(planted)
+    assert not any(s for i, s in spans.items() if i not in planted)
