@@ -175,27 +175,28 @@ _SPELLED = {
     for value, word in enumerate(words.split())
 }
 _WORD = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
-#: Three or more spelled digits in a row.
-_RUN = re.compile(rf"\b{_WORD}(?:[ -]{_WORD}){{2,}}\b", re.IGNORECASE)
+_AT, _DOT = "(?:at|arroba|chez|ät)", "(?:dot|punto|point|punkt)"
+_OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
+#: Spelled digits; they count beside another one, a digit or a dot, and the patterns decide.
+_RUN = re.compile(rf"\b{_WORD}\b(?:[ -]{_WORD}\b)*", re.IGNORECASE)
 _SPLIT = re.compile("[ -]")
 _PLUS = re.compile(r"\bplus (?=[0-9])", re.IGNORECASE)
+_ANY_DOT = rf"(?: {_DOT} | ?{_OPEN} ?{_DOT} ?{_CLOSE} ?|\.)"
+_BEFORE = re.compile(rf"(?:[0-9][ -]?|{_ANY_DOT})\Z", re.IGNORECASE)
+_AFTER = re.compile(rf"[ -]?[0-9]|{_ANY_DOT}[A-Za-z0-9]", re.IGNORECASE)
+#: The longest that _BEFORE needs to see.
+_NEAR = 12
 
 
-_INNER = tuple(f" {w} " for w in _SPELLED)
-
-
-def _may_have_run(text: str) -> bool:
-    """Whether a spelled digit stands between two separators, as in any run of three."""
-    plain = text.casefold().replace("-", " ")
-    return any(w in plain for w in _INNER)
-
-
-def _digits(m: re.Match) -> str:
-    return "".join(_SPELLED[w.lower()] for w in _SPLIT.split(m[0]))
+def _digits(m: re.Match) -> str | None:
+    words = _SPLIT.split(m[0])
+    a, b = m.span()
+    if len(words) == 1 and not _BEFORE.search(m.string[max(0, a - _NEAR) : a]) and not _AFTER.match(m.string, b):
+        return None
+    digits = [_SPELLED.get(w.casefold()) for w in words]
+    return None if None in digits else "".join(digits)
 
 
-_AT, _DOT = "(?:at|arroba|chez|ät)", "(?:dot|punto|point|punkt)"
-_OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _BRACKETED_AT = re.compile(rf" ?{_OPEN} ?{_AT} ?{_CLOSE} ?", re.IGNORECASE)
 _BRACKETED_DOT = re.compile(rf" ?{_OPEN} ?{_DOT} ?{_CLOSE} ?", re.IGNORECASE)
 _BARE_DOT = re.compile(rf" {_DOT} ", re.IGNORECASE)
@@ -231,7 +232,7 @@ def _in_pieces(mapped: Mapped, pattern: re.Pattern) -> Mapped:
 def rewritten(text: str) -> Mapped | None:
     """The text after all transducers, or None where none has anything to do."""
     odd, disguised = _ODD.search(text), _DISGUISED.search(text)
-    run = _may_have_run(text) and _RUN.search(text)
+    run = any(_digits(m) is not None for m in _RUN.finditer(text))
     if not (odd or run or disguised):
         return None
     out = Mapped.of(text)

@@ -128,3 +128,23 @@ def test_time_is_in_proportion_to_the_text(unit):
     began = time.process_time()
     P.all_spans(text, P.plain_spans(text))
     assert time.process_time() - began < 10
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("host one nine two dot one six eight dot one dot one up", "ip", "one nine two dot one six eight dot one dot one"),
+        ("at 127 dot zero dot zero dot one now", "ip", "127 dot zero dot zero dot one"),
+        ("at ten (dot) or zero (dot) zero (dot) zero (dot) one", "ip", "zero (dot) zero (dot) zero (dot) one"),
+        ("call +49 30 nine zero 18 two zero please", "phone", "+49 30 nine zero 18 two zero"),
+        ("card 4111 one one 11 1111 one 1 one 1 ok", "card", "4111 one one 11 1111 one 1 one 1"),
+    ],
+)
+def test_short_groups_of_spelled_digits(text, kind, source):
+    spans = P.all_spans(text, P.plain_spans(text))
+    assert (kind, source) in [(k, text[s:e]) for k, s, e in spans]
+
+
+@pytest.mark.parametrize("text", ["ſix ſeven", "One of two. Three dots, six points", "un deux dot com", "1 one"])
+def test_spelled_digits_alone_are_no_spans(text):
+    assert P.all_spans(text, P.plain_spans(text)) == []
