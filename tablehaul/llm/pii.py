@@ -200,22 +200,25 @@ def _digits(m: re.Match) -> str | None:
 _BRACKETED_AT = re.compile(rf" ?{_OPEN} ?{_AT} ?{_CLOSE} ?", re.IGNORECASE)
 _BRACKETED_DOT = re.compile(rf" ?{_OPEN} ?{_DOT} ?{_CLOSE} ?", re.IGNORECASE)
 _BARE_DOT = re.compile(rf" {_DOT} ", re.IGNORECASE)
-#: A bare "at" counts only where a disguised dot follows in the domain.
+#: A bare "at" counts only where a disguised dot follows in the domain, after real ones or none.
 _BARE_AT = re.compile(
-    rf"(?<=[A-Za-z0-9_%+-]) {_AT} (?=[A-Za-z0-9-]++ {_DOT} [A-Za-z0-9-])", re.IGNORECASE
+    rf"(?<=[A-Za-z0-9_%+-]) {_AT} (?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+"
+    rf"(?: {_DOT} | ?{_OPEN} ?{_DOT} ?{_CLOSE} ?)[A-Za-z0-9-])",
+    re.IGNORECASE,
 )
-#: Bare dots are rewritten around an @, up to eight on a side, and between numbers.
-_DOTTED_DOMAIN = re.compile(rf"@[A-Za-z0-9-]+(?:(?: {_DOT} |\.)[A-Za-z0-9-]+){{1,8}}", re.IGNORECASE)
+#: Bare dots are rewritten around an @ and between numbers. Labels before an @ are matched as
+#: a whole chain, with an @ behind it or not, so that no chain is looked at twice.
+_DOTTED_DOMAIN = re.compile(rf"@[A-Za-z0-9-]++(?:(?: {_DOT} |\.)[A-Za-z0-9-]++)++", re.IGNORECASE)
 _DOTTED_LOCAL = re.compile(
-    rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?: {_DOT} [A-Za-z0-9_%+-]++){{1,8}}@", re.IGNORECASE
+    rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?: {_DOT} [A-Za-z0-9_%+-]++)++@?+", re.IGNORECASE
 )
 _DOTTED_NUMBER = re.compile(rf"(?<=[0-9]) {_DOT} (?=[0-9])", re.IGNORECASE)
 _DISGUISED = re.compile(rf"{_OPEN} ?(?:{_AT}|{_DOT}) ?{_CLOSE}| {_DOT} ", re.IGNORECASE)
 
 
 def _in_pieces(mapped: Mapped, pattern: re.Pattern) -> Mapped:
-    """Rewrite the bare dots inside the pattern's matches only."""
-    inside = [m.span() for m in pattern.finditer(mapped.text)]
+    """Rewrite the bare dots inside those of the pattern's matches only that hold an @."""
+    inside = [m.span() for m in pattern.finditer(mapped.text) if "@" in m[0]]
     if not inside:
         return mapped
     spans = iter(inside)
@@ -240,8 +243,8 @@ def rewritten(text: str) -> Mapped | None:
         out = out.rewritten(_ODD, _plain_character)
     out = out.rewritten(_RUN, _digits).rewritten(_PLUS, lambda m: "+")
     if odd or disguised:
-        out = out.rewritten(_BRACKETED_AT, lambda m: "@").rewritten(_BRACKETED_DOT, lambda m: ".")
-        out = out.rewritten(_BARE_AT, lambda m: "@")
+        out = out.rewritten(_BRACKETED_AT, lambda m: "@").rewritten(_BARE_AT, lambda m: "@")
+        out = out.rewritten(_BRACKETED_DOT, lambda m: ".")
         out = _in_pieces(_in_pieces(out, _DOTTED_DOMAIN), _DOTTED_LOCAL)
         out = out.rewritten(_DOTTED_NUMBER, lambda m: ".")
     return out

@@ -148,3 +148,29 @@ def test_short_groups_of_spelled_digits(text, kind, source):
 @pytest.mark.parametrize("text", ["ſix ſeven", "One of two. Three dots, six points", "un deux dot com", "1 one"])
 def test_spelled_digits_alone_are_no_spans(text):
     assert P.all_spans(text, P.plain_spans(text)) == []
+
+
+@pytest.mark.parametrize(
+    ("text", "source"),
+    [
+        ("to " + "a dot " * 12 + "b at " + "c dot " * 12 + "org now", "a dot " * 12 + "b at " + "c dot " * 12 + "org"),
+        ("ask jane at mail.example dot com today", "jane at mail.example dot com"),
+        ("ask jane at a.b.example (dot) co.uk today", "jane at a.b.example (dot) co.uk"),
+    ],
+)
+def test_disguises_have_no_cap(text, source):
+    spans = P.all_spans(text, P.plain_spans(text))
+    assert ("email", source) in [(k, text[s:e]) for k, s, e in spans]
+
+
+@pytest.mark.parametrize("text", ["joe at example.com", "a dot b dot c", "we met at noon.then dot"])
+def test_a_bare_at_needs_a_disguised_dot(text):
+    assert P.all_spans(text, P.plain_spans(text)) == []
+
+
+@pytest.mark.parametrize("unit", ["a at b.", "a at b dot ", "@a dot ", "one dot ", "1 one ", " (dot) ", "x dot y@"])
+def test_uncapped_patterns_stay_linear(unit):
+    text = unit * (200_000 // len(unit))
+    began = time.process_time()
+    P.all_spans(text, P.plain_spans(text))
+    assert time.process_time() - began < 10
