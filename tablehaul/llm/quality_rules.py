@@ -83,9 +83,10 @@ class Weights:
 
 #: Where the estimate starts: few good texts are called bad, and a bad text is caught by few rules.
 START_GOOD, START_ON_GOOD, START_ON_BAD = 0.8, 0.999, 0.2
-#: The belief it is drawn to, in votes: so many of each rule, and as a share of all texts that
-#: rules are right on good texts. The latter keeps the two classes from trading places.
-BELIEF, BELIEF_ON_GOOD = 2.0, 1.0
+#: The belief it is drawn to, in votes: so many of each rule, and so many that rules are right on
+#: good texts. The latter keeps the two classes of a small table from trading places; it does
+#: not grow with the table, so that many texts outweigh it.
+BELIEF, BELIEF_ON_GOOD = 2.0, 200.0
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> Weights:
@@ -96,7 +97,7 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) ->
         share = [1 / (1 + math.exp(-min(500, max(-500, w.log_odds(v))))) for v, _ in patterns]
         goods = sum(p * n for p, (_, n) in zip(share, patterns, strict=True))
         total = sum(n for _, n in patterns)
-        firm = BELIEF + BELIEF_ON_GOOD * total
+        firm = BELIEF + BELIEF_ON_GOOD
         on_good, on_bad = [], []
         for j in range(n_rules):
             yes_g = sum(p * n for p, (v, n) in zip(share, patterns, strict=True) if v[j] > 0)

@@ -140,3 +140,23 @@ def test_classifier_edges(spark, edges, nothing):
         assert len(rows) == edges.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert {r["score"] for r in C.quality_scores(edges, labels.where("false")).collect()} == {0.5}
     assert C.quality_scores(nothing, labels).count() == 0
+
+
+@pytest.mark.parametrize("wrong", [0.2, 0.3])
+def test_a_rule_that_errs_on_good_texts_is_found_out(wrong):
+    rng, n_rules = random.Random(5), len(R.RULES)
+    on_bad = [0.1 + 0.08 * j for j in range(n_rules)]
+    votes = Counter()
+    for _ in range(40_000):
+        good = rng.random() < 0.85
+        on_good = [1 - wrong if j == 4 else 0.998 for j in range(n_rules)]
+        votes[
+            tuple(
+                0 if rng.random() < 0.1 else (1 if rng.random() < (g if good else 1 - b) else -1)
+                for g, b in zip(on_good, on_bad, strict=True)
+            )
+        ] += 1
+    w = R.estimate(sorted(votes.items()))
+    assert w.right_on_good[4] == pytest.approx(1 - wrong, abs=0.03)
+    assert w.good == pytest.approx(0.85, abs=0.03)
+    assert w.log_odds([-1 if j == 4 else 1 for j in range(n_rules)]) > 0
