@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tablehaul.sources.files import fresh_folder
 
@@ -116,6 +117,29 @@ def filter_texts(
     return map_arrow(df, run, df.schema)
 
 
+def ranked(df: DataFrame, by: list[str], order: list[str], name: str = "rank") -> DataFrame:
+    """The frame with each row's place, from 1, among the rows that agree in ``by``.
+
+    ``order`` names columns, nulls first; equal rows take turns. The rows are dealt out by range, so that a
+    group, however large, lies in as many chunks as it fills, is numbered in each, and the
+    chunks' totals, a row for each, say where the numbers of the next begin.
+    """
+    row, chunk, before = (free_name(df, c) for c in ("row", "chunk", "before"))
+    places = [*by, *order, row]
+    dealt = df.withColumn(row, F.monotonically_increasing_id()).repartitionByRange(*places)
+    dealt = durable(dealt.withColumn(chunk, F.spark_partition_id()), "ranked")
+    n = free_name(df, "n")
+    totals = dealt.groupBy(*by, chunk).agg(F.count("*").alias(n))
+    earlier = Window.partitionBy(*by).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn(before, F.sum(n).over(earlier)).where(F.col(before) > 0).drop(n)
+    totals = durable(totals, "ranked-totals")
+    within = F.row_number().over(Window.partitionBy(*by, chunk).orderBy(*order, row))
+    numbered = dealt.withColumn(name, within)
+    same = [numbered[c].eqNullSafe(totals[c]) for c in (*by, chunk)]
+    joined = numbered.join(totals, same, "left").select(*[numbered[c] for c in numbered.columns], before)
+    return joined.withColumn(name, F.col(name) + F.coalesce(before, F.lit(0))).drop(row, chunk, before)
+
+
 def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
     """Tells rows apart that share an id: the id and a hash of the text."""
     return F.struct(
