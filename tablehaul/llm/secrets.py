@@ -3,18 +3,21 @@
 The patterns find assignments to secret names, access key ids and long hexadecimal strings. Any
 other long run of token characters is cut at inner "=" and tested for being random, whole and
 in its parts between the signs "/", "_", "-" and "+" that may join it to words; of parts that
-lie in each other the longest without words is reported. The encoding (hexadecimal, base32, base62, base64) is inferred, and over that alphabet a chi-squared test of uniformity, a
-runs test about the middle of the alphabet and a test of lag-one serial correlation give three
-p-values, combined by Fisher's method.
+lie in each other the longest without words is reported. The encoding (hexadecimal, base32, base62, base64) is
+inferred, and over that alphabet a chi-squared test of uniformity, the same over the kinds of symbols (capitals,
+small letters, digits, signs), a runs test about the middle of the alphabet and a test of lag-one serial
+correlation give four p-values, combined by Fisher's method.
 
 How random ordinary writing of the same length and alphabet looks is measured, not assumed:
 the writing of every whole text, without the spans and tokens found in it, is cut into
 consecutive windows of every length class, which are tested in the same way. Equal windows
-count once, however many texts repeat them: the windows' hashes are shuffled and counted
-distinct, packed by the thousand. A token's p-value is the share of such windows, of its length
-class and alphabet, that look as random; within each class the false discovery rate is
-controlled at ``rate`` (Benjamini-Hochberg). The counts are a table of classes by BINS, bounded
-whatever the input.
+count once, however many texts repeat them. In the upper bins, where thresholds lie, they are
+counted by their shuffled 64-bit hashes. In the others a task enters them into a sketch of a fixed size
+(HyperLogLog, a standard error of 3.3 % of the count), and sketches merge by maximum, so
+neither a task's memory nor, but for the few upper windows, what is shuffled grows with the text. A token's
+p-value is the share of such windows, of its length class and alphabet, that look as random;
+within each class the false discovery rate is controlled at ``rate`` (Benjamini-Hochberg). The counts are a table
+of classes by BINS, bounded whatever the input.
 
 Defined results: a null text counts as empty and has no spans. Texts of any length are searched
 whole. Offsets are code points, ends exclusive; spans are ordered by start, then by kind as in
@@ -28,7 +31,7 @@ import hashlib
 import math
 import re
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -60,8 +63,11 @@ LENGTHS = (20, 24, 32, 48, 80)
 BINS = 41
 #: Windows are tested so many characters at a time; a multiple of all of LENGTHS, so none is torn.
 PIECE = 480 * 256
-#: Window hashes a task gathers before it hands them on, and the bits of their buckets and in all.
-GATHER, BUCKET_BITS, HASH_BITS = 1 << 22, 10, 40
+#: By length class, the bin from which windows are counted exactly. Of writing in any script seen so far a few
+#: per cent lie there, and a threshold lies where ``rate`` of it does. A task hands on GATHER hashes at once.
+EXACT, GATHER = (37, 35, 30, 20, 20), 1 << 20
+#: Below, by sketches of 2^SKETCH_BITS registers: a standard error of 1.04 / 2^(SKETCH_BITS / 2), 3.3 %.
+SKETCH_BITS = 10
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
@@ -73,6 +79,8 @@ ALPHABETS = {
     "base64": BASE62 + "+/",
 }
 _VALUE = {name: {c: i for i, c in enumerate(letters)} for name, letters in ALPHABETS.items()}
+#: Where the kinds of symbols of an alphabet (capitals, small letters, digits, signs) end.
+SORTS = {"hex": (10, 16), "base32": (26, 32), "base62": (26, 52, 62), "base64": (26, 52, 62, 64)}
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -144,12 +152,31 @@ def serial(values: list[int]) -> float:
     return _two_sided((r + 1 / n) * math.sqrt(n))
 
 
+def _chi_tail(x: float, df: int) -> float:
+    """Chance that a chi-squared value of one to three degrees of freedom exceeds x."""
+    x = max(x, 0.0)
+    if df == 2:
+        return math.exp(-x / 2)
+    return math.erfc(math.sqrt(x / 2)) + (math.sqrt(2 * x / math.pi) * math.exp(-x / 2) if df == 3 else 0.0)
+
+
+def sorts(values: list[int], name: str) -> float:
+    """Chi-squared test that each kind of symbol is as frequent as it is in the alphabet.
+
+    It has power where a token is too short for the alphabet's single symbols.
+    """
+    ends, n = SORTS[name], len(values)
+    counts = Counter(bisect_right(ends, v) for v in values)
+    x = sum(counts[i] ** 2 * ends[-1] / (e - s) for i, (s, e) in enumerate(zip((0, *ends), ends, strict=False))) / n - n
+    return _chi_tail(x, len(ends) - 1)
+
+
 def randomness(token: str, name: str) -> float:
     """Combined p-value of the battery: small for tokens that are not random."""
     values, k = _values(token, name), len(ALPHABETS[name])
-    parts = (uniformity(values, k), runs(values, k), serial(values))
+    parts = (uniformity(values, k), sorts(values, name), runs(values, k), serial(values))
     half = -sum(math.log(max(p, 1e-300)) for p in parts)
-    return math.exp(-half) * (1 + half + half * half / 2)
+    return math.exp(-half) * (1 + half + half * half / 2 + half**3 / 6)
 
 
 def p_bin(p: float) -> int:
@@ -320,6 +347,24 @@ def _serial_half(z: np.ndarray) -> np.ndarray:
     return low + (at - i) * (_tails()[i + 1] - low)
 
 
+@cache
+def _sorts_half(df: int) -> np.ndarray:
+    return np.array([-math.log(max(_chi_tail(i / 32, df), 1e-300)) for i in range(32 * 600)])
+
+
+def _sorts(counts: list[np.ndarray], n: int, name: str) -> np.ndarray:
+    """-log of the p-value of ``sorts`` by the symbols below each end but the last."""
+    ends = SORTS[name]
+    x, before = np.full(len(counts[0]), -float(n)), 0
+    for s, e, upto in zip((0, *ends), ends, [*counts[: len(ends) - 1], n], strict=False):
+        x += (upto - before) ** 2 * (ends[-1] / (e - s) / n)
+        before = upto
+    at = np.clip(x * 32, 0, 32 * 600 - 2)
+    i = at.astype(np.int64)
+    table = _sorts_half(len(ends) - 1)
+    return table[i] + (at - i) * (table[i + 1] - table[i])
+
+
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _SYMBOLS = np.array([int.from_bytes(hashlib.blake2b(bytes([i]), digest_size=8).digest()) for i in range(256)], np.uint64)
 
@@ -339,12 +384,8 @@ def _sums(values: np.ndarray, kind) -> np.ndarray:
     return out
 
 
-def windows(pieces: list[np.ndarray], stream: int) -> Iterator[np.ndarray]:
-    """For each length, a key per consecutive window of each piece.
-
-    A key is HASH_BITS bits of the window's hash, then four of stream and length and six for
-    each of two bins; equal windows have equal keys.
-    """
+def windows(pieces: list[np.ndarray], stream: int) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+    """For each length: its class, the bin of each consecutive window of each piece by alphabet, and their hashes."""
     pieces = [p for p in pieces if len(p) >= LEAST]
     if not pieces:
         return
@@ -356,6 +397,7 @@ def windows(pieces: list[np.ndarray], stream: int) -> Iterator[np.ndarray]:
     lagged = _sums(wide[:-1] * wide[1:], np.int32)
     hashed = _sums(_SYMBOLS[values] * powers, np.uint64)
     halves, k = {}, len(ALPHABETS[STREAMS[stream][-1]])
+    below = [_sums(values < e, np.int32) for e in SORTS[STREAMS[stream][-1]][:-1]]
     for name in STREAMS[stream]:
         high = 2 * wide >= len(ALPHABETS[name])
         halves[name] = _sums(high, np.int32), _sums(high[1:] != high[:-1], np.int32)
@@ -374,23 +416,32 @@ def windows(pieces: list[np.ndarray], stream: int) -> Iterator[np.ndarray]:
         product = lagged[end - 1] - lagged[at] - mean * (2 * s - wide[at] - wide[end - 1]) + (n - 1) * mean * mean
         z = (product * n / np.maximum(spread, 1) + 1 / n) * math.sqrt(n)
         serial_half = np.where(spread > 0, _serial_half(np.abs(z)), 300 * math.log(10))
-        bins = []
+        upto, bins = [b[end] - b[at] for b in below], []
         for name in STREAMS[stream]:
             high, changes = halves[name]
-            half = serial_half + _uniform_half(n, len(ALPHABETS[name]))[same]
+            half = serial_half + _uniform_half(n, len(ALPHABETS[name]))[same] + _sorts(upto, n, name)
             half += _runs_half(n)[high[end] - high[at], changes[end - 1] - changes[at]]
-            p = np.exp(-half) * (1 + half + half * half / 2)
-            bins.append(np.maximum(0, BINS - 1 + np.ceil(4 * np.log10(np.maximum(p, 1e-12)))).astype(np.uint64))
+            p = np.exp(-half) * (1 + half + half * half / 2 + half**3 / 6)
+            bins.append(np.maximum(0, BINS - 1 + np.ceil(4 * np.log10(np.maximum(p, 1e-12)))).astype(np.int64))
         key = (hashed[end] - hashed[at]) * inverses[at]
         key ^= key >> np.uint64(29)
         key *= np.uint64(0xBF58476D1CE4E5B9)
         key ^= key >> np.uint64(32)
-        code = np.uint64((stream * len(LENGTHS) + length_class(n)) << 12) | bins[0] << np.uint64(6) | bins[-1]
-        yield key >> np.uint64(64 - HASH_BITS) << np.uint64(16) | code
+        yield length_class(n), bins, key
+
 
+def tested_windows(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cells and hashes of all windows of the texts' writing, some PIECE of characters at a time.
+
+    A window is in the cell of its alphabet, length class and bin, one for each alphabet of its stream.
+    """
+
+    def cells(held):
+        for stream, pieces in enumerate(held):
+            for size, bins, hashes in windows(pieces, stream):
+                for name, b in zip(STREAMS[stream], bins, strict=True):
+                    yield _first_cell(name, size) + b, hashes
 
-def window_keys(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-    """Keys of all windows of the texts' writing, some PIECE of characters at a time."""
     held, size = [[] for _ in STREAMS], 0
     for text in texts:
         for stream, values in enumerate(streams(writing(text or ""))):
@@ -398,88 +449,94 @@ def window_keys(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
                 held[stream].append(values[at : at + PIECE])
                 size += len(held[stream][-1])
                 if size >= PIECE:
-                    for k, pieces in enumerate(held):
-                        yield from windows(pieces, k)
+                    yield from cells(held)
                     held, size = [[] for _ in STREAMS], 0
-    for k, pieces in enumerate(held):
-        yield from windows(pieces, k)
+    yield from cells(held)
 
 
-def _packed_keys(df: DataFrame) -> DataFrame:
-    """Bucket and the distinct keys of a task's windows in it, as planes of bytes of the steps."""
+def _first_cell(name: str, size: int) -> int:
+    return (list(ALPHABETS).index(name) * len(LENGTHS) + size) * BINS
 
-    def run(parts):
-        held, size = [], 0
-
-        def packed():
-            keys = np.unique(np.concatenate(held))
-            bits = np.uint64(16 + HASH_BITS - BUCKET_BITS)
-            buckets, starts = np.unique(keys >> bits, return_index=True)
-            hashes, codes = keys >> np.uint64(16), (keys & np.uint64(0xFFFF)).astype("<u2")
-            steps = np.diff(hashes, prepend=np.uint64(0)).astype("<u8")
-            steps[starts] = hashes[starts]
-            steps, codes = steps.view(np.uint8).reshape(-1, 8)[:, :5], codes.view(np.uint8).reshape(-1, 2)
-            blobs = [
-                zlib.compress(steps[s:e].T.tobytes() + codes[s:e].T.tobytes(), 1)
-                for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True)
-            ]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(buckets.astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "keys"]
-            )
 
-        for keys in window_keys(t.as_py() for part in parts for t in part.column(0)):
-            held.append(keys)
-            size += len(keys)
-            if size >= GATHER:
-                yield packed()
-                held, size = [], 0
-        if held:
-            yield packed()
+# ---- distinct windows -------------------------------------------------------------------
+
 
-    return map_arrow(df.select("text"), run, "bucket int, keys binary")
+def _registers() -> np.ndarray:
+    return np.zeros(len(ALPHABETS) * len(LENGTHS) * BINS << SKETCH_BITS, np.uint8)
 
 
-def _unpacked(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(7, -1)
-    steps = np.zeros((planes.shape[1], 8), np.uint8)
-    steps[:, :5] = planes[:5].T
-    codes = np.ascontiguousarray(planes[5:].T).view("<u2").ravel()
-    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64) << np.uint64(16) | codes.astype(np.uint64)
+def sketch(registers: np.ndarray, cells: np.ndarray, hashes: np.ndarray) -> None:
+    """Enter hashes: a register keeps the longest run of leading zeros among those that it gets."""
+    rest = (hashes >> np.uint64(SKETCH_BITS)).astype(np.float64)
+    zeros = 65 - SKETCH_BITS - np.frexp(rest)[1]
+    at = (cells << SKETCH_BITS) | (hashes & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+    np.maximum.at(registers, at, zeros.astype(np.uint8))
 
 
-def _distinct_keys(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the distinct keys by code; the rows come bucket by bucket."""
-    found = np.zeros(1 << 16, np.int64)
-    held, last = [], None
+def estimated(registers: np.ndarray) -> float:
+    """How many distinct hashes a sketch of one cell has seen."""
+    m = len(registers)
+    found = 0.7213 / (1 + 1.079 / m) * m * m / np.exp2(-registers.astype(np.float64)).sum()
+    empty = int((registers == 0).sum())
+    return m * math.log(m / empty) if found <= 2.5 * m and empty else float(found)
 
-    def count():
-        keys = np.unique(np.concatenate(held))
-        found[:] += np.bincount((keys & np.uint64(0xFFFF)).astype(np.int64), minlength=len(found))
 
+def _seen(df: DataFrame) -> DataFrame:
+    """What a task has seen: a sketch per cell, and the distinct hashes of the upper bins themselves."""
+
+    def run(parts):
+        registers, held, size, least = _registers(), [], 0, np.array(EXACT)
+
+        def exact():
+            rows = np.unique(np.concatenate(held, axis=1), axis=1)
+            columns = [pa.array(rows[0].astype(np.int32)), pa.array(rows[1]), pa.nulls(rows.shape[1], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["cell", "hash", "registers"])
+
+        for cells, hashes in tested_windows(t.as_py() for part in parts for t in part.column(0)):
+            upper = cells % BINS >= least[cells // BINS % len(LENGTHS)]
+            sketch(registers, cells[~upper], hashes[~upper])
+            if upper.any():
+                held.append(np.stack([cells[upper], hashes[upper].view(np.int64)]))
+                size += held[-1].shape[1]
+            if size >= GATHER:
+                yield exact()
+                held, size = [], 0
+        if held:
+            yield exact()
+        sketches = registers.reshape(-1, 1 << SKETCH_BITS)
+        used = np.flatnonzero(sketches.any(axis=1))
+        blobs = pa.array([zlib.compress(sketches[c].tobytes(), 1) for c in used], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used.astype(np.int32)), pa.nulls(len(used), pa.int64()), blobs], ["cell", "hash", "registers"]
+        )
+
+    return map_arrow(df.select("text"), run, "cell int, hash bigint, registers binary")
+
+
+def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The estimate of each cell from its tasks' sketches, register by register the larger."""
+    found: dict[int, np.ndarray] = {}
     for part in parts:
-        for bucket, blob in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-            if bucket != last and held:
-                count()
-                held.clear()
-            last = bucket
-            held.append(_unpacked(blob))
-    if held:
-        count()
-    codes = np.flatnonzero(found)
-    yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(found[codes])], ["code", "n"])
+        for cell, blob in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            registers = np.frombuffer(zlib.decompress(blob), np.uint8)
+            found[cell] = np.maximum(found[cell], registers) if cell in found else registers
+    values = [round(estimated(r)) for r in found.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(values, pa.int64())], ["cell", "n"])
 
 
 def ordinary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """How random the writing itself looks: distinct windows of the whole table by (class, bin)."""
-    out: Counter = Counter()
-    packed = _packed_keys(id_and_text(df, id_col, text_col))
-    counted = map_arrow(
-        packed.repartition("bucket").sortWithinPartitions("bucket"), _distinct_keys, "code int, n bigint"
-    )
-    for r in counted.groupBy("code").agg(F.sum("n").alias("n")).collect():
-        stream, size = divmod(r["code"] >> 12, len(LENGTHS))
-        for name, b in zip(STREAMS[stream], (r["code"] >> 6 & 63, r["code"] & 63), strict=False):
-            out[f"{name}:{size}", b] += r["n"]
+    """How random the writing itself looks: distinct windows of the whole table by (class, bin).
+
+    Exact from the bins EXACT up, estimated below.
+    """
+    seen = durable(_seen(id_and_text(df, id_col, text_col)), "secret-windows")
+    exact = seen.where("hash IS NOT NULL").select("cell", "hash").distinct().groupBy("cell").agg(F.count("*").alias("n"))
+    sketches = seen.where("registers IS NOT NULL").select("cell", "registers").repartition("cell")
+    out = {}
+    for r in exact.unionByName(map_arrow(sketches, _merged, "cell int, n bigint")).collect():
+        kind, b = divmod(r["cell"], BINS)
+        name, size = divmod(kind, len(LENGTHS))
+        out[f"{list(ALPHABETS)[name]}:{size}", b] = r["n"]
     return out
 
 

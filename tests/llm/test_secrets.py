@@ -147,13 +147,72 @@ def slow_ordinary(texts):
 
 @pytest.mark.parametrize("piece", [480, 480 * 128])
 def test_every_window_of_the_writing_counts_once(spark, texts, monkeypatch, piece):
+    """Exactly in the upper bins, within five standard errors of the sketch below."""
     monkeypatch.setattr(S, "PIECE", piece)
-    some = [*list(texts.values())[:12], None, "", "ünï Ⅳ " * 30, "abcdef " * 400]
+    some = [*list(texts.values())[:12], None, "", "ünï Ⅳ " * 30, "abcdef " * 400, "Zq7 xK2 Lm9 rT4 " * 3]
     want = slow_ordinary(some)
-    keys = np.unique(np.concatenate(list(S.window_keys([*some, *some[:5]]))))
-    assert len(keys) == sum(n for (c, _), n in want.items() if not c.startswith("base64"))
+    seen = [np.stack([c, h.view(np.int64)]) for c, h in S.tested_windows([*some, *some[:5]])]
+    exact = Counter((np.unique(np.concatenate(seen, axis=1), axis=1)[0]).tolist())
+    cell = lambda kind, b: S._first_cell(kind[:-2], int(kind[-1])) + b
+    assert exact == {cell(*k): n for k, n in want.items()}
     frame = spark.createDataFrame(list(enumerate([*some, *some[:5] * 40])), "doc_id bigint, text string")
-    assert S.ordinary(frame.repartition(5)) == want
+    found = S.ordinary(frame.repartition(5))
+    assert set(found) == set(want)
+    for (kind, b), n in want.items():
+        upper = b >= S.EXACT[int(kind[-1])]
+        assert found[kind, b] == n if upper else abs(found[kind, b] - n) <= max(3, 5 * 0.033 * n)
+
+
+@pytest.mark.parametrize("n", [0, 1, 30, 1000, 2500, 100_000])
+def test_sketches_merge_and_keep_their_error(n):
+    rng = np.random.default_rng(n)
+    hashes = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n, dtype=np.uint64)
+    parts = []
+    for some in (hashes[: n // 2], hashes[n // 3 :], hashes[:10]):
+        registers = S._registers()
+        S.sketch(registers, np.full(len(some), 5), some)
+        parts.append(registers)
+    merged = np.maximum.reduce(parts).reshape(-1, 1 << S.SKETCH_BITS)
+    assert not merged[:5].any() and not merged[6:].any()
+    assert S.estimated(merged[5]) == pytest.approx(n, rel=4 * 0.033, abs=1)
+
+
+LETTERS = {**S.ALPHABETS, "HEX": "0123456789ABCDEF"}
+
+
+@pytest.fixture(scope="module")
+def recall(spark):
+    """Share of planted tokens found, by encoding and length, and spans beside them."""
+    rng = random.Random(21)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    kinds = [(name, n) for name in sorted(LETTERS) for n in (20, 24, 32, 40)]
+    rows, planted = [], {}
+    for k, (i, text) in enumerate(docs.collect()):
+        if k % 2:
+            name, n = kinds[k // 2 % len(kinds)]
+            planted[i] = (name, n, (len(text) + 1, len(text) + 1 + n))
+            text = f"{text} {''.join(rng.choices(LETTERS[name], k=n))}"
+        rows.append((i, text))
+    found = S.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    spans = {r["id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] != "assign"] for r in found}
+    tried, hit = Counter(), Counter()
+    for i, (name, n, at) in planted.items():
+        tried[name, n] += 1
+        hit[name, n] += at in spans[i]
+    others = sum(len(s) for i, s in spans.items() if i not in planted)
+    return {k: hit[k] / tried[k] for k in kinds}, others
+
+
+@pytest.mark.parametrize("name", sorted(LETTERS))
+def test_recall_by_length_and_encoding(recall, name):
+    share, _ = recall
+    print(share)
+    assert all(share[name, n] >= 0.8 for n in (24, 32, 40)), share
+    assert share[name, 20] >= 0.6, share
+
+
+def test_little_else_is_reported(recall):
+    assert recall[1] <= 10
 
 
 def test_what_is_found_is_left_out_of_the_writing():
