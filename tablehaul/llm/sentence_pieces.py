@@ -14,6 +14,11 @@ No piece has another character before a marker or holds a line break, which is c
 segmentation of a text is that of its units between such places. Units are encoded once per
 batch, many side by side, and remembered; a text is then a gather over its units.
 
+A long unit (text without spaces) is cut into runs that overlap. The trie is walked from all places at once, and the
+runs' lattices advance side by side over the matches alone, in whole numbers. A run is right where, over the
+longest piece before it, its sums differ from those of the run before it by a constant, for then
+all choices after that are the same. A run that fails this is continued from the sums of the run before it.
+
 Defined results: a null or empty text has no pieces and decodes to an empty text. Texts of any
 length are encoded whole. A text that holds the marker itself decodes with spaces in its place
 (``lossless`` is false). Repeated rows are encoded alike; an empty table gives no rows; other
@@ -38,8 +43,12 @@ MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 #: Below the worst piece, so that an unknown character is the last resort.
 UNKNOWN_PENALTY = 10.0
-#: Units up to this many bytes are encoded side by side, longer ones each for itself.
+#: Units up to this many bytes are encoded whole, longer ones in runs.
 SIDE_BY_SIDE = 48
+#: Bytes that a run of a long unit answers for, and bytes of runs that advance side by side.
+OWN, SLAB = 1024, 1 << 17
+#: Scores in runs are multiples of 2^-24, so that sums are exact; sums below are of no path.
+SHARES, NO_PATH = float(1 << 24), -(1 << 60)
 #: Units that a worker remembers before it starts afresh.
 REMEMBERED = 300_000
 
@@ -56,6 +65,7 @@ class Pieces:
     bytes_at: np.ndarray
     surface: list[bytes]
     is_byte: np.ndarray
+    longest: int
 
     def score(self, numbers: np.ndarray, lengths) -> np.ndarray:
         preferred = np.float32(lengths * self.best - 0.1)
@@ -96,8 +106,9 @@ def load_pieces(model: bytes) -> Pieces:
     surface = [text[i].encode() for i in range(n)]
     for i in byte_ids:
         surface[i] = bytes([int(text[i][3:5], 16)])
+    spelled = {surface[i]: int(i) for i in np.flatnonzero(normal | defined)}
     return Pieces(
-        build({surface[i]: int(i) for i in np.flatnonzero(normal | defined)}),
+        build(spelled),
         scores,
         defined,
         float(scores[normal].max()),
@@ -105,6 +116,7 @@ def load_pieces(model: bytes) -> Pieces:
         bytes_at,
         surface,
         np.isin(np.arange(n), byte_ids),
+        max(4, *map(len, spelled)),
     )
 
 
@@ -188,37 +200,158 @@ def _traced(units, lengths, start, piece, p: Pieces) -> list[np.ndarray]:
     return out
 
 
-def encode_long(unit: bytes, p: Pieces) -> np.ndarray:
-    """The same for one long unit, byte after byte."""
-    base, check, value = p.trie.base, p.trie.check, p.trie.value
-    n = len(unit)
-    best = np.full(n + 1, -np.inf, np.float32)
-    best[0] = 0
-    start, piece = np.zeros(n + 1, np.int64), np.full(n + 1, -1, np.int32)
-    chars = _character_lengths(np.frombuffer(unit, np.uint8)).tolist()
-    for i in range(n):
-        if not chars[i]:
-            continue
-        state, unknown = ROOT, True
-        for j in range(i, n):
-            to = int(base[state]) + unit[j]
-            if check[to] != state:
-                break
-            state, number = to, int(value[to])
-            if number >= 0:
-                unknown = unknown and j + 1 - i != chars[i]
-                score = p.score(np.array([number]), j + 1 - i)[0] if p.defined[number] else p.scores[number]
-                if best[i] + score > best[j + 1]:
-                    best[j + 1], start[j + 1], piece[j + 1] = best[i] + score, i, number
-        end = i + chars[i]
-        if unknown and best[i] + np.float32(p.unknown) > best[end]:
-            best[end], start[end], piece[end] = best[i] + np.float32(p.unknown), i, -1
-    numbers, at = [], n
-    while at:
-        a = int(start[at])
-        numbers.append([int(piece[at])] if piece[at] >= 0 else p.bytes_at[list(unit[a:at])].tolist())
-        at = a
-    return np.array([x for part in reversed(numbers) for x in part], np.int32)
+def matches(data: np.ndarray, ends: np.ndarray, p: Pieces) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, places, piece numbers) of all pieces at all places; -1 for a character without a piece.
+
+    ``ends`` says for each place where its unit or run ends.
+    """
+    chars = _character_lengths(data)
+    places = np.flatnonzero(chars)
+    alive, states, length = places, np.full(len(places), ROOT), 0
+    unknown, out = chars > 0, []
+    while len(alive):
+        inside = alive + length < ends[alive]
+        alive, states = alive[inside], states[inside]
+        states = p.trie.step(states, data[alive + length])
+        length += 1
+        found = states >= 0
+        alive, states = alive[found], states[found]
+        numbers = p.trie.value[states]
+        piece = numbers >= 0
+        if piece.any():
+            out.append((length, alive[piece], numbers[piece]))
+            unknown[alive[piece][chars[alive[piece]] == length]] = False
+    for n in range(1, 5):
+        at = places[unknown[places] & (chars[places] == n)]
+        if len(at):
+            out.append((n, at, np.full(len(at), -1, np.int32)))
+    return out
+
+
+@dataclass
+class Run:
+    """A stretch of a unit: it starts to sum at ``lo`` and answers for what ends in (a, b]."""
+
+    unit: int
+    lo: int
+    a: int
+    b: int
+    lengths: np.ndarray | None = None
+    numbers: np.ndarray | None = None
+    before: np.ndarray | None = None
+    last: np.ndarray | None = None
+
+
+def _lattices(chunks: list[bytes], p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and numbers of the pieces that end at each place of each chunk, the longest first."""
+    sizes = np.array([len(c) for c in chunks])
+    offsets = np.cumsum(sizes) - sizes
+    row = np.repeat(np.arange(len(chunks)), sizes)
+    found = matches(np.frombuffer(b"".join(chunks), np.uint8), (offsets + sizes)[row], p)
+    most = max(n for n, _, _ in found)
+    shape = (int(sizes.max()) + 1, most, len(chunks))
+    scores, numbers = np.full(shape, 2 * NO_PATH, np.int64), np.full(shape, -1, np.int32)
+    for n, at, which in found:
+        score = np.where(which >= 0, p.score(which, n), np.float32(p.unknown)).astype(np.float64)
+        to = (at - offsets[row[at]] + n, most - n, row[at])
+        scores[to], numbers[to] = np.rint(score * SHARES), which
+    return scores, numbers
+
+
+def _advance(runs: list[Run], chunks: list[bytes], p: Pieces) -> None:
+    """Sum the runs' lattices side by side; equal sums keep the piece that starts earliest."""
+    scores, numbers = _lattices(chunks, p)
+    steps, most, width = scores.shape
+    best = np.full((most + steps, width), 4 * NO_PATH, np.int64)
+    best[most] = 0
+    lengths, chosen = np.zeros((steps, width), np.int32), np.full((steps, width), -1, np.int32)
+    rows = np.arange(width)
+    for t in range(1, steps):
+        sums = best[t : t + most] + scores[t]
+        k = sums.argmax(axis=0)
+        top = sums[k, rows]
+        best[most + t] = np.where(top > NO_PATH, top, 4 * NO_PATH)
+        lengths[t], chosen[t] = most - k, numbers[t, k, rows]
+    for r, run in enumerate(runs):
+        own = slice(run.a - run.lo + 1, run.b - run.lo + 1)
+        run.lengths, run.numbers = lengths[own, r].copy(), chosen[own, r].copy()
+        sums = best[most:, r]
+        run.before = sums[max(0, run.a - run.lo + 1 - p.longest) : run.a - run.lo + 1].copy()
+        run.last = sums[max(0, run.b - run.lo + 1 - p.longest) : run.b - run.lo + 1].copy()
+
+
+def _agree(before: Run, run: Run) -> bool:
+    """Whether the sums of a run differ from those of the run before it by a constant."""
+    n = min(len(before.last), len(run.before))
+    a, b = before.last[len(before.last) - n :], run.before[len(run.before) - n :]
+    path = a > NO_PATH
+    return bool((path == (b > NO_PATH)).all()) and len(set((a - b)[path].tolist())) <= 1
+
+
+def _continued(before: Run, run: Run, unit: bytes, p: Pieces) -> None:
+    """The run again, from the sums of the run before it."""
+    known = len(before.last)
+    lo = run.a + 1 - known
+    scores, numbers = (x[:, :, 0].tolist() for x in _lattices([unit[lo : run.b]], p))
+    most = len(scores[0])
+    best = [4 * NO_PATH] * most + before.last.tolist()
+    for t in range(known, run.b - lo + 1):
+        top, kept = 4 * NO_PATH, 0
+        for k, score in enumerate(scores[t]):
+            if best[t + k] + score > top:
+                top, kept = best[t + k] + score, k
+        best.append(top if top > NO_PATH else 4 * NO_PATH)
+        at = t - known
+        run.lengths[at], run.numbers[at] = most - kept, numbers[t][kept]
+    run.last = np.array(best[-p.longest :], np.int64)
+
+
+def encode_long(units: list[bytes], p: Pieces) -> list[np.ndarray]:
+    """Piece numbers of long units."""
+    runs: list[Run] = []
+    warm = 4 * p.longest
+    for u, unit in enumerate(units):
+        a = 0
+        while a < len(unit):
+            b = a + OWN if len(unit) - a > 2 * OWN else len(unit)
+            while b < len(unit) and unit[b] & 0xC0 == 0x80:
+                b += 1
+            lo = max(0, a - warm)
+            while unit[lo] & 0xC0 == 0x80:
+                lo += 1
+            runs.append(Run(u, lo, a, b))
+            a = b
+    slab: list[Run] = []
+    for run in [*sorted(runs, key=lambda r: r.b - r.lo), None]:
+        if slab and (run is None or (run.b - run.lo) * (len(slab) + 1) > SLAB):
+            _advance(slab, [units[r.unit][r.lo : r.b] for r in slab], p)
+            slab = []
+        if run is not None:
+            slab.append(run)
+    of_unit: list[list[Run]] = [[] for _ in units]
+    for run in runs:
+        mine = of_unit[run.unit]
+        if mine and not _agree(mine[-1], run):
+            _continued(mine[-1], run, units[run.unit], p)
+        mine.append(run)
+    return [_followed(unit, mine, p) for unit, mine in zip(units, of_unit, strict=True)]
+
+
+def _followed(unit: bytes, runs: list[Run], p: Pieces) -> np.ndarray:
+    """The chosen pieces, found from the end of the unit back."""
+    stops, at = [], len(unit)
+    for run in reversed(runs):
+        lengths, a = run.lengths.tolist(), run.a
+        while at > a:
+            stops.append(at)
+            at -= lengths[at - a - 1]
+    stops = np.array(stops[::-1])
+    chosen = np.concatenate([r.numbers for r in runs])[stops - 1]
+    if (chosen >= 0).all():
+        return chosen
+    pieces = zip(chosen.tolist(), [0, *stops[:-1].tolist()], stops.tolist(), strict=True)
+    spelled = [[n] if n >= 0 else p.bytes_at[list(unit[s:e])].tolist() for n, s, e in pieces]
+    return np.array([n for piece in spelled for n in piece], np.int32)
 
 
 class Encoder:
@@ -240,7 +373,7 @@ class Encoder:
         short = [d for n, d, _ in data if n <= SIDE_BY_SIDE]
         for at in range(0, len(short), 4096):  # sorted, so a slice has units of like lengths
             made += encode_units(short[at : at + 4096], self.pieces)
-        made += [encode_long(d, self.pieces) for n, d, _ in data if n > SIDE_BY_SIDE]
+        made += encode_long([d for n, d, _ in data if n > SIDE_BY_SIDE], self.pieces)
         for i, (_, _, u) in enumerate(data):
             self.known[u] = len(self.start) + i
         counts = np.array([len(m) for m in made], np.int64)
