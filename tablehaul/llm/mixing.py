@@ -5,7 +5,10 @@ number of copies and a fraction. The fractions of a source are rounded together:
 are paired, words move from one to the other at random until one of them has a whole number of
 copies, and the other meets the next. Which way the words move is drawn so that every document
 keeps its expected copies, and the words of the pair stay the same, so a source misses its
-target by half of one document at most.
+target by half of one row at most.
+
+Rows that agree in id, source and size are one item. Of its m rows a fixed number get one copy more,
+as many as m fractions make up in whole; only what remains, less than one row's copy, is rounded with the others.
 
 Pairing is a reduction tree. A source's documents fall into blocks of about FAN; each block is
 folded to rounded documents and one residual, FAN residuals make a block of the next level, and
@@ -18,9 +21,9 @@ all sizes; none exceeds ``most`` times its source's size, and what that leaves o
 again among the others by weight.
 
 Defined results: a null text has size 0; documents of size 0 take no words and get the whole
-part of their copies. Rows that repeat id, source and size are one item, rounded together, each
-row with the item's copies. A null source is a source. An empty table gives no rows. Draws are
-hashes of the seed and the row, so reruns agree. Other columns are not read.
+part of their copies. The rows of an item differ by one copy at most. Texts of any length are counted whole.
+Blocks break ties of size by hash. A null source is a source. An empty table gives no rows. Draws are
+hashes of the seed and the item, so reruns agree. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,11 +32,12 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tablehaul.llm.common import WORD, durable, free_name, quoted, with_row_key
+from tablehaul.llm.common import WORD, durable, free_name, quoted, ranked, with_row_key
 
 FAN = 64
+#: Rows of an item that are made as one group.
+PORTION = 50_000
 WEIGHTS = (3.0, 1.0, 2.0)
 
 
@@ -49,9 +53,8 @@ def source_targets(items: DataFrame, weights=WEIGHTS, share: float = 1.5, most:
         ),
         "mix-sources",
     )
-    # One row per source: the window ranks sources, not documents.
-    turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (turn % len(weights) + 1).cast("int"))
+    sources = ranked(sources.withColumn("absent", F.col("source").isNull()), [], ["absent", "source"], "turn")
+    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("turn") - 1) % len(weights) + 1).cast("int"))
     sources = durable(
         sources.withColumn("weight", weight).withColumn("most", F.col("source_size") * F.lit(most)),
         "mix-weights",
@@ -116,12 +119,12 @@ def _folded(level: DataFrame, k: int, seed: int) -> DataFrame:
     item = F.struct(
         (-F.col("w")).alias("order"),
         F.xxhash64("id", "size").alias("tie"),
-        *["id", "size", "m", "whole", "p", "w"],
+        *["id", "size", "m", "whole", "sure", "p", "w"],
         _uniform(seed, k, "id", "size", "source").alias("u"),
     )
     blocks = level.groupBy(*_GROUP).agg(F.sort_array(F.collect_list(item)).alias("block_items"))
     blocks = blocks.withColumn("fold", F.expr(_FOLD))
-    pick = "named_struct('id', x.id, 'size', x.size, 'm', x.m, 'whole', x.whole, 'up', {})"
+    pick = "named_struct('id', x.id, 'size', x.size, 'm', x.m, 'whole', x.whole, 'more', x.sure + {})"
     done = "transform(fold.done, d -> transform(array(block_items[d.at]), x -> " + pick.format("d.up") + ")[0])"
     return blocks.select(
         *_GROUP,
@@ -141,7 +144,10 @@ def copies(
     most: float = 2.0,
     seed: int = 2,
 ) -> DataFrame:
-    """One row per item: id, source, size, m (rows of the item), source_size, target, copies."""
+    """One row per item: id, source, size, m (rows of the item), source_size, target, whole, more.
+
+    Each row of the item gets ``whole`` copies, and ``more`` of them one in addition.
+    """
     rows = df.select(
         F.col(quoted(id_col)).alias("id"),
         F.col(quoted(source_col)).cast("string").alias("source"),
@@ -155,26 +161,27 @@ def copies(
         items.join(targets, items.source.eqNullSafe(targets.source))
         .drop(targets.source)
         .withColumn("whole", F.floor(wanted).cast("int"))
-        .withColumn("p", wanted - F.col("whole"))
-        .withColumn("w", (F.col("size") * F.col("m")).cast("double"))
+        .withColumn("fractions", F.col("m") * (wanted - F.col("whole")))
+        .withColumn("sure", F.when(F.col("size") > 0, F.floor("fractions")).otherwise(F.lit(0)).cast("long"))
+        .withColumn("p", F.col("fractions") - F.floor("fractions"))
+        .withColumn("w", F.col("size").cast("double"))
         .withColumn("blocks", F.ceil(F.col("n") / FAN).cast("long"))
         .withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "id", "size"), F.col("blocks")))
     )
     needed = (F.col("p") > 0) & (F.col("w") > 0)
-    out_columns = ["id", "source", "size", "m", "source_size", "target"]
-    rounded = [start.where(~needed).select(*out_columns, F.col("whole").alias("copies"))]
+    out_columns = ["id", "source", "size", "m", "source_size", "target", "whole"]
+    rounded = [start.where(~needed).select(*out_columns, F.col("sure").alias("more"))]
     most_blocks = targets.agg(F.max(F.ceil(F.col("n") / FAN))).first()[0] or 1
-    level, k = start.where(needed).select("id", "size", "m", "whole", "p", "w", *_GROUP), 0
+    level, k = start.where(needed).select("id", "size", "m", "whole", "sure", "p", "w", *_GROUP), 0
     while True:
         folded = durable(_folded(level, k, seed), "mix-level")
         rounded.append(
             folded.select(*_GROUP, F.explode("done").alias("d")).select(
-                "d.id", "source", "d.size", "d.m", "source_size", "target",
-                (F.col("d.whole") + F.col("d.up")).alias("copies"),
+                "d.id", "source", "d.size", "d.m", "source_size", "target", "d.whole", "d.more"
             )
         )
         level = folded.select(
-            *[F.col(f"rest.{c}").alias(c) for c in ("id", "size", "m", "whole")],
+            *[F.col(f"rest.{c}").alias(c) for c in ("id", "size", "m", "whole", "sure")],
             "p",
             F.col("rest.w").alias("w"),
             *_GROUP[:3],
@@ -184,8 +191,8 @@ def copies(
         if most_blocks <= 1:
             break
         most_blocks, k = ceil(most_blocks / FAN), k + 1
-    nearest = F.col("whole") + F.when(F.col("p") >= 0.5, 1).otherwise(0)
-    rounded.append(level.select(*out_columns, nearest.alias("copies")))
+    nearest = F.col("sure") + F.when(F.col("p") >= 0.5, 1).otherwise(0)
+    rounded.append(level.select(*out_columns, nearest.alias("more")))
     out = rounded[0]
     for part in rounded[1:]:
         out = out.unionByName(part)
@@ -194,27 +201,46 @@ def copies(
 
 def mixed(df: DataFrame, **options) -> DataFrame:
     """Per row: id, source, size, source_size, target, copies and taken (words the mix takes)."""
-    return (
-        copies(df, **options)
-        .withColumn("taken", F.col("size") * F.col("copies"))
-        .select("*", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
-        .drop("m", "col")
+    items = durable(copies(df, **options), "mix-rounded")
+    first = F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / PORTION))
+    portions = items.select("*", F.explode(first).alias("portion"))
+    if (items.agg(F.max("m")).first()[0] or 0) > PORTION:  # the rows of a hot item are made in many tasks
+        portions = portions.repartition("id", "source", "size", "portion")
+    begin = F.col("portion") * PORTION
+    place = F.explode(F.sequence(begin + 1, F.least(begin + PORTION, F.col("m"))))
+    rows = portions.select("*", place.alias("place"))
+    rows = rows.withColumn("copies", F.col("whole") + F.when(F.col("place") <= F.col("more"), 1).otherwise(0))
+    return rows.select(
+        "id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
 def mixture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows as often as the mix takes them, with all their columns."""
     keyed, key = with_row_key(df, id_col, text_col)
-    wanted = durable(
+    items = durable(
         copies(keyed, key, text_col, source_col, **options)
-        .where("copies > 0")
-        .select(F.col("id").alias("wanted_id"), F.col("source").alias("wanted_source"), F.col("copies")),
+        .where("whole > 0 OR more > 0")
+        .select(F.col("id").alias("wanted_id"), F.col("source").alias("wanted_source"), "whole", "more", "m"),
         "mix-copies",
     )
-    names = {c: free_name(keyed, c) for c in wanted.columns}
-    wanted = wanted.withColumnsRenamed(names)
-    same_source = F.col(quoted(source_col)).cast("string").eqNullSafe(F.col(names["wanted_source"]))
-    taken = keyed.join(wanted, (F.col(key) == F.col(names["wanted_id"])) & same_source)
-    times = F.explode(F.sequence(F.lit(1), F.col(names["copies"]).cast("int")))
+    names = {c: free_name(keyed, c) for c in [*items.columns, "row", "place"]}
+    items = items.withColumnsRenamed({c: names[c] for c in items.columns})
+    whole, more, m, row, place = (names[c] for c in ("whole", "more", "m", "row", "place"))
+    source = F.col(quoted(source_col)).cast("string")
+    same = (F.col(key) == F.col(names["wanted_id"])) & source.eqNullSafe(F.col(names["wanted_source"]))
     columns = [F.col(quoted(c)) for c in df.columns]
-    return taken.select(*columns, times.alias(names["copies"])).select(*columns)
+
+    def repeated(rows: DataFrame, times: Column) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(1), times.cast("int")))
+        return rows.where(times > 0).select(*columns, each.alias(place)).select(*columns)
+
+    once = repeated(keyed.join(items.where(F.col(m) == 1), same), F.col(whole) + F.col(more))
+    several = items.where(F.col(m) > 1)
+    if several.isEmpty():
+        return once
+    # Rows of one item take turns: the first ``more`` of them get a copy in addition.
+    rows = durable(keyed.join(several, same).withColumn(row, F.monotonically_increasing_id()), "mix-repeated")
+    turns = ranked(rows.select(names["wanted_id"], names["wanted_source"], row), [names["wanted_id"], names["wanted_source"]], [row], place)
+    rows = rows.join(turns.select(row, place), row)
+    return once.unionByName(repeated(rows, F.col(whole) + F.when(F.col(place) <= F.col(more), 1).otherwise(0)))
