@@ -3,7 +3,11 @@
 A text's fingerprint is a polynomial of its UTF-8 bytes modulo two primes. Chunks are hashed
 side by side and combined by length-shifted arithmetic, ``H(ab) = H(a) * B^|b| + H(b)``, so a
 huge text is a tree of chunk hashes. Texts with equal fingerprints are then compared chunk by
-chunk in a sorted stream; only texts that share a fingerprint are shuffled for that.
+chunk in a sorted stream; only texts that share a fingerprint are shuffled for that. A filter of 16 bits a shared
+fingerprint picks them, or a semi-join where that would take more than 2^MOST_BITS bits.
+
+A group with more than HOT_ROWS rows, or a hundred-thousandth of all, is dealt over as many streams as it holds such
+portions, by a hash of task and row; what is left of each stream meets once more.
 
 Defined results: a null text counts as empty, and empty texts equal each other. Of equal texts
 the row with the largest id stays (null ids are smallest); of several rows with that id one
@@ -29,11 +33,10 @@ BASES = (1_103_515_245, 747_796_405)
 CHUNK = 4096
 #: Bytes of a text compared at once.
 COMPARED = 1 << 16
-#: Bits of the filter that picks the texts to compare: at most 16 MB, whatever the table.
-FILTER_BITS = 27
-#: Groups with more rows are spread over SALTS tasks while they are compared.
-HOT_ROWS = 1_000
-SALTS = 256
+#: The filter that picks the texts to compare has 2^LEAST_BITS to 2^MOST_BITS bits: 32 MB at most.
+LEAST_BITS, MOST_BITS = 16, 28
+#: Groups with more rows are dealt over several streams while they are compared; there are at most MOST_HOT of them.
+HOT_ROWS, MOST_HOT = 1_000, 100_000
 
 CHUNK_SCHEMA = (
     "fingerprint bigint, n_bytes bigint, salt int, at bigint, sha256 string, chunk binary"
@@ -114,47 +117,69 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _bitmap(groups: DataFrame) -> bytes:
-    """A bit per low-order fingerprint bits that occur in the groups, FILTER_BITS wide."""
+def filter_bits(n: int) -> int:
+    """Logarithm of the bits of a filter for n fingerprints, 16 for each."""
+    return max(LEAST_BITS, (16 * max(1, n) - 1).bit_length())
+
+
+def _bitmap(groups: DataFrame, width: int) -> bytes:
+    """A bit per low-order fingerprint bits that occur in the groups, 2^width in all."""
     # Positions start at 1, as do the bucket numbers; a bucket holds 2^15 bits.
-    at = F.col("fingerprint").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
+    at = F.col("fingerprint").bitwiseAND(F.lit((1 << width) - 1)) + 1
     rows = (
         groups.select(at.alias("at"))
         .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
         .collect()
     )
-    out = bytearray(1 << (FILTER_BITS - 3))
+    out = bytearray(1 << (width - 3))
     for r in rows:
         out[(r["bucket"] - 1) << 12 : r["bucket"] << 12] = bytes(r["bits"])
     return bytes(out)
 
 
 def _has(bitmap: np.ndarray, value: int) -> bool:
-    at = value & ((1 << FILTER_BITS) - 1)
+    at = value & (len(bitmap) * 8 - 1)
     return bool(bitmap[at >> 3] >> (at & 7) & 1)
 
 
-def _chunks(df: DataFrame, wanted: bytes, hot: bytes, id_col: str, text_col: str) -> DataFrame:
-    """Chunks of the texts whose fingerprint may be shared."""
-    spark = df.sparkSession
+def _hot(shared: DataFrame, n_rows: int) -> dict[int, int]:
+    """Number of streams of each fingerprint with many rows: at most MOST_HOT fingerprints."""
+    portion = max(HOT_ROWS, n_rows // MOST_HOT)
+    many = shared.groupBy("fingerprint").agg(F.sum("count").alias("n")).where(F.col("n") > portion)
+    return {r["fingerprint"]: -(-r["n"] // portion) for r in many.collect()}
+
+
+def spread(task: int, row: int) -> int:
+    """A number that is even over tasks and rows, whichever of them a group has."""
+    x = (task * 0x9E3779B97F4A7C15 + row * 0xD1B54A32D192ED03 + 1) & 0xFFFFFFFFFFFFFFFF
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ x >> shift) * factor & 0xFFFFFFFFFFFFFFFF
+    return x ^ x >> 31
+
+
+def _chunks(texts: DataFrame, wanted: bytes | None, hot: dict[int, int]) -> DataFrame:
+    """Chunks of the texts whose fingerprint may be shared: of all if there is no filter."""
+    spark = texts.sparkSession
     wanted, hot = spark.sparkContext.broadcast(wanted), spark.sparkContext.broadcast(hot)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        any_, many = (np.frombuffer(b.value, np.uint8) for b in (wanted, hot))
+        from pyspark import TaskContext
+
+        any_ = None if wanted.value is None else np.frombuffer(wanted.value, np.uint8)
+        task, at_row = TaskContext.get().partitionId(), 0
         names = ["fingerprint", "n_bytes", "salt", "at", "sha256", "chunk"]
         for part in parts:
-            rows, held, seen = [], 0, 0
+            rows, held = [], 0
             for text in part.column("text"):
+                at_row += 1
                 data = (text.as_py() or "").encode("utf-8")
                 key = _joined(fingerprint(data))
-                if not _has(any_, key):
+                if any_ is not None and not _has(any_, key):
                     continue
                 sha = hashlib.sha256(data).hexdigest()
-                salt = 0
-                if _has(many, key):
-                    seen += 1
-                    salt = 1 + seen % SALTS
+                streams = hot.value.get(key, 0)
+                salt = 1 + spread(task, at_row) % streams if streams else 0
                 for at in range(0, max(1, len(data)), COMPARED):
                     rows.append((key, len(data), salt, at, sha, data[at : at + COMPARED]))
                     held += COMPARED if len(data) > COMPARED else len(data)
@@ -164,7 +189,20 @@ def _chunks(df: DataFrame, wanted: bytes, hot: bytes, id_col: str, text_col: str
             if rows:
                 yield _batch(rows, names)
 
-    return map_arrow(id_and_text(df, id_col, text_col).select("text"), run, CHUNK_SCHEMA)
+    return map_arrow(texts.select("text"), run, CHUNK_SCHEMA)
+
+
+def _compared_texts(df: DataFrame, shared: DataFrame, n_rows: int, id_col: str, text_col: str) -> DataFrame:
+    """Chunks of the texts that share a fingerprint."""
+    texts, n = id_and_text(df, id_col, text_col), shared.count()
+    if filter_bits(n) <= MOST_BITS:
+        return _chunks(texts, _bitmap(shared, filter_bits(n)), _hot(shared, n_rows))
+
+    def made(some):
+        return {"fingerprint": [_joined(fingerprint((t or "").encode("utf-8"))) for t in some], "text": some}
+
+    known = map_texts(texts, made, "fingerprint bigint, text string").select("fingerprint", "text")
+    return _chunks(known.join(shared.select("fingerprint"), "fingerprint", "left_semi"), None, _hot(shared, n_rows))
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -209,21 +247,10 @@ def _collided(chunks: DataFrame) -> DataFrame:
     sorted_ = chunks.repartition(n, *key[:3]).sortWithinPartitions(*key)
     first = map_arrow(sorted_, _compare, schema)
     first = durable(first.where(F.col("differs") | (F.col("salt") > 0)), "dedup-firsts")
-    # The salts of a hot group are compared with each other; other groups are done.
-    sorted_ = (
-        first.where("NOT differs")
-        .drop("differs")
-        .withColumn("salt", F.lit(0))
-        .repartition(n, *key[:2])
-        .sortWithinPartitions(*key)
-    )
-    second = map_arrow(sorted_, _compare, schema)
-    return (
-        first.where("differs")
-        .unionByName(second.where("differs"))
-        .select("fingerprint", "n_bytes")
-        .distinct()
-    )
+    # What is left of the streams of a hot group: equal chunks merge where they are, and are shuffled once.
+    key = ["fingerprint", "n_bytes", "at"]
+    left = first.where("NOT differs").select(*key, "chunk").distinct().groupBy(*key).count().where("count > 1")
+    return first.where("differs").select("fingerprint", "n_bytes").unionByName(left.select("fingerprint", "n_bytes")).distinct()
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,9 +262,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = durable(
         rows.groupBy("fingerprint", "n_bytes").count().where("count > 1"), "dedup-shared"
     )
-    chunks = _chunks(
-        df, _bitmap(shared), _bitmap(shared.where(F.col("count") > HOT_ROWS)), id_col, text_col
-    )
+    chunks = _compared_texts(df, shared, rows.count(), id_col, text_col)
     collided = durable(_collided(chunks), "dedup-collided")
     key = ["fingerprint", "n_bytes"]
     if collided.isEmpty():

@@ -1,6 +1,8 @@
 import hashlib
-from collections import defaultdict
+import random
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -73,16 +75,43 @@ def test_different_texts_under_one_fingerprint_are_found(spark, salts):
 
 
 def test_filter_bits(spark):
-    low = (1 << X.FILTER_BITS) - 1
+    assert [X.filter_bits(n) for n in (0, 1, 1 << 12, 1 << 24, (1 << 24) + 1)] == [16, 16, 16, 28, 29]
+    low = (1 << 20) - 1
     values = [0, 1, 32767, 32768, low, low << 5 | 3]
-    bitmap = X._bitmap(spark.createDataFrame([(v,) for v in values], "fingerprint bigint"))
-    import numpy as np
-
+    bitmap = X._bitmap(spark.createDataFrame([(v,) for v in values], "fingerprint bigint"), 20)
     bits = np.frombuffer(bitmap, np.uint8)
     assert all(X._has(bits, v) for v in values)
     assert int(np.bitwise_count(bits).sum()) == len({v & low for v in values})
 
 
+def test_very_many_groups_are_picked_by_a_join(monkeypatch, edges):
+    monkeypatch.setattr(X, "MOST_BITS", 4)
+    check(X.exact_duplicates(edges).collect(), [(r["doc_id"], r["text"]) for r in edges.collect()])
+
+
+@pytest.mark.parametrize("share", [0.001, 0.01, 0.3])
+def test_streams_of_a_hot_group_are_even(share):
+    rng = random.Random(1)
+    streams = Counter()
+    for task in range(200):
+        for row in range(1, 5001):
+            if rng.random() < share:
+                streams[X.spread(task, row) % max(1, round(share * 1000))] += 1
+    assert max(streams.values()) <= 2 * streams.total() / max(1, round(share * 1000))
+
+
+def test_streams_follow_the_size_of_the_group(spark, monkeypatch):
+    monkeypatch.setattr(X, "HOT_ROWS", 100)
+    rows = [(i, "hot" if i % 3 == 0 else "warm" if i % 100 == 1 else str(i % 7000)) for i in range(30_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    shared = X.fingerprints(df).groupBy("fingerprint", "n_bytes").count().where("count > 1")
+    chunks = X._compared_texts(df, shared, 30_000, "doc_id", "text").where("n_bytes >= 3 AND salt > 0")
+    found = {(bytes(r["chunk"]), r["salt"]): r["count"] for r in chunks.groupBy("chunk", "salt").count().collect()}
+    for text, n in ((b"hot", 10_000), (b"warm", 200)):
+        mine = [c for (t, _), c in found.items() if t == text]
+        assert sum(mine) == n and len(mine) == n // 100 and max(mine) <= 2 * 100
+
+
 def test_one_row_of_each_group_stays(edges, nothing):
     out = X.without_copies(edges)
     assert out.columns == edges.columns
