@@ -3,7 +3,7 @@
 Each class has a Gaussian over the transformed counts of a text. Its covariance is shrunk
 towards the pooled covariance and towards a multiple of the identity, then factored once
 (Cholesky); the score is a logistic function of the difference of the two log densities, whose
-Mahalanobis terms come from triangular solves with the cached factors.
+Mahalanobis terms come from solving with the cached factors, a batch of rows at a time.
 
 The training rows are never collected: sums and products per class are aggregated in Spark, so
 the driver sees one row of d(d+3)/2 + 1 numbers per class.
@@ -11,7 +11,8 @@ the driver sees one row of d(d+3)/2 + 1 numbers per class.
 Defined results: a null text counts as empty and gets a score like any other. Labels other than
 0 and 1 and null labels are not learned from; a document with several labels counts once for
 each. Without labels of both classes every score is the share of label 1 among them (0.5 with
-none). Repeated rows get equal scores; an empty table gives no rows; other columns are not read.
+none). Repeated rows get equal scores, texts of any length are counted whole; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations

@@ -1,24 +1,31 @@
 """Quality by weak supervision: rules vote or abstain, and expectation-maximisation weighs them.
 
 Each rule looks at a few counts of a text and votes good (1), bad (-1) or abstains (0). How
-often a rule votes rightly on good and on bad texts is not known; it is estimated together with
-the share of good texts by expectation-maximisation over the vote patterns of all texts that pass the base rule.
-The posterior probability of being good then decides, instead of asking that all rules pass.
+often a rule votes rightly is not known; it is estimated together with the share of good texts by
+expectation-maximisation over the vote patterns of all texts with words. The posterior probability of being good
+then decides, instead of asking that all rules pass: a single bad vote of a rule that errs on
+good texts is outweighed, and several that each would not do drop a text together.
+
+Rules that see the same fault agree more often than chance, which a model with one kind of bad text takes for many
+independent witnesses. Bad texts are therefore a mixture of KINDS, each with rates of its own, in
+which the rules of a fault fire together. Rules start from a belief, of a fixed number of votes, about
+which of them tell a kind.
 
 There are at most 3^rules patterns however many texts there are, so their counts are what the
 driver sees; the posterior is a plain column expression over the votes.
 
-Defined results: a null or wordless text has no words, fails the base rule and is not kept.
-Texts on which every rule abstains get the estimated share of good texts as posterior. An empty
-table gives no rows. Repeated rows count as often as they occur; other columns are not read.
+Defined results: a null or wordless text has no words, fails the base rule, has no part in the estimate and is not kept.
+Texts on which every rule abstains get the estimated share of good texts as posterior. A posterior equal to ``least``
+keeps the text. Texts of any length are counted whole. An empty table gives no rows. Repeated rows count as often as they
+occur; other columns are not read.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +33,8 @@ from tablehaul.llm.common import durable
 from tablehaul.llm.text_stats import with_stats
 
 
-def _share(of: str, by: str) -> Column:
-    return F.col(of) / F.greatest(F.col(by), F.lit(1))
+def _share(of: str | Column, by: str) -> Column:
+    return (F.col(of) if isinstance(of, str) else of) / F.greatest(F.col(by), F.lit(1))
 
 
 @dataclass(frozen=True)
@@ -35,9 +42,10 @@ class Rule:
     name: str
     bad: Callable[[], Column]
     good: Callable[[], Column]
+    least_words: int = 1
 
     def vote(self) -> Column:
-        return F.when(F.col("n_words") == 0, 0).when(self.bad(), -1).when(self.good(), 1).otherwise(0)
+        return F.when(F.col("n_words") < self.least_words, 0).when(self.bad(), -1).when(self.good(), 1).otherwise(0)
 
 
 def _high(name: str, of: str, by: str, bad: float, good: float) -> Rule:
@@ -45,77 +53,94 @@ def _high(name: str, of: str, by: str, bad: float, good: float) -> Rule:
     return Rule(name, lambda: _share(of, by) > bad, lambda: _share(of, by) < good)
 
 
+def _within(name: str, share: Callable[[], Column], bad: tuple, good: tuple, least_words: int = 1) -> Rule:
+    """A rule against a share outside ``bad``, for one within ``good``."""
+    return Rule(name, lambda: ~share().between(*bad), lambda: share().between(*good), least_words)
+
+
+def _alphanumeric() -> Column:
+    return _share(F.col("word_chars") - F.col("n_symbols") - F.col("n_marks") - F.col("n_exclaim"), "word_chars")
+
+
+def _variety() -> Column:
+    return F.log("n_distinct") / F.log(F.greatest("n_words", F.lit(2)))
+
+
 RULES = (
-    _high("symbols", "n_symbols", "n_words", 0.2, 0.05),
-    _high("dup_lines", "n_dup_lines", "n_lines", 0.35, 0.1),
-    _high("repeats", "n_repeat_words", "n_words", 0.3, 0.1),
-    _high("upper", "n_upper", "word_chars", 0.4, 0.15),
-    _high("exclaim", "n_exclaim", "n_words", 0.2, 0.05),
-    _high("adjacent", "n_adjacent", "n_words", 0.15, 0.05),
-    Rule(
-        "word_length",
-        lambda: ~_share("word_chars", "n_words").between(2.5, 12),
-        lambda: _share("word_chars", "n_words").between(3.5, 8),
-    ),
-    Rule(
-        "marks",
-        lambda: (F.col("n_words") >= 50) & (_share("n_marks", "n_words") < 0.01),
-        lambda: _share("n_marks", "n_words").between(0.03, 0.4),
-    ),
+    _high("symbols", "n_symbols", "n_words", 0.1, 0.02),
+    _high("dup_lines", "n_dup_lines", "n_lines", 0.3, 0.1),
+    _high("repeats", "n_repeat_words", "n_words", 0.25, 0.1),
+    _high("upper", "n_upper", "word_chars", 0.2, 0.08),
+    _high("exclaim", "n_exclaim", "n_words", 0.1, 0.03),
+    _high("adjacent", "n_adjacent", "n_words", 0.06, 0.03),
+    _high("digits", "n_digits", "word_chars", 0.1, 0.03),
+    _within("word_length", lambda: _share("word_chars", "n_words"), (3.5, 7), (4, 6.5)),
+    _within("marks", lambda: _share("n_marks", "n_words"), (0.05, 0.35), (0.07, 0.25)),
+    _within("alphanumeric", _alphanumeric, (0.91, 1), (0.93, 1)),
+    _within("variety", _variety, (0.8, 1), (0.9, 1), 20),
+    _within("line_length", lambda: _share("n_words", "n_lines"), (5, 300), (8, 150), 20),
 )
+#: Kinds of bad texts, and the rules that are believed to tell each.
+KINDS = {
+    "noise": ("symbols", "alphanumeric", "word_length", "digits", "marks"),
+    "shouting": ("upper", "exclaim", "marks"),
+    "repetition": ("dup_lines", "repeats", "adjacent", "variety", "line_length"),
+}
+#: The belief estimates start from and are drawn to: the share of good texts, and how often a rule votes bad on good
+#: texts, on texts of a kind it tells, and on others; and how many votes, of each rule, it weighs.
+GOOD, BAD_ON_GOOD, BAD_ON_KIND, BAD_ON_OTHER = 0.8, 0.02, 0.6, 0.1
+VOTES_ON_GOOD, VOTES_ON_KIND = 200.0, 20.0
 
 
 @dataclass(frozen=True)
 class Weights:
-    """Share of good texts; per rule, how often its votes are right on good and on bad texts."""
+    """Shares of good texts and of each kind of bad ones, and on each how often a rule's vote is bad."""
+
+    shares: np.ndarray
+    bad: np.ndarray
 
-    good: float
-    right_on_good: tuple[float, ...]
-    right_on_bad: tuple[float, ...]
+    @property
+    def good(self) -> float:
+        return float(self.shares[0])
 
-    def log_odds(self, votes) -> float:
-        """Of good against bad, given one vote per rule."""
-        total = math.log(self.good / (1 - self.good))
-        for v, g, b in zip(votes, self.right_on_good, self.right_on_bad, strict=True):
-            total += math.log(g / (1 - b)) if v > 0 else math.log((1 - g) / b) if v < 0 else 0.0
-        return total
+    def log_odds(self, votes: np.ndarray) -> np.ndarray:
+        """Of each kind of bad texts against good ones, one row per row of votes."""
+        votes = np.atleast_2d(votes)
+        logs = np.log(self.shares) + (votes < 0) @ np.log(self.bad).T + (votes > 0) @ np.log(1 - self.bad).T
+        return logs[:, 1:] - logs[:, :1]
 
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """Probability of being good."""
+        return 1 / (1 + np.exp(np.clip(self.log_odds(votes), -500, 500)).sum(axis=1))
 
-#: Where the estimate starts: few good texts are called bad, and a bad text is caught by few rules.
-START_GOOD, START_ON_GOOD, START_ON_BAD = 0.8, 0.999, 0.2
-#: The belief it is drawn to, in votes: so many of each rule, and so many that rules are right on
-#: good texts. The latter keeps the two classes of a small table from trading places; it does
-#: not grow with the table, so that many texts outweigh it.
-BELIEF, BELIEF_ON_GOOD = 2.0, 200.0
 
+def belief() -> Weights:
+    """What is believed before any text is seen."""
+    bad = np.full((1 + len(KINDS), len(RULES)), BAD_ON_OTHER)
+    bad[0] = BAD_ON_GOOD
+    for k, rules in enumerate(KINDS.values()):
+        bad[k + 1, [r.name in rules for r in RULES]] = BAD_ON_KIND
+    return Weights(np.array([GOOD] + [(1 - GOOD) / len(KINDS)] * len(KINDS)), bad)
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> Weights:
+
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 500) -> Weights:
     """Expectation-maximisation over (votes, number of texts)."""
-    n_rules = len(patterns[0][0]) if patterns else len(RULES)
-    w = Weights(START_GOOD, (START_ON_GOOD,) * n_rules, (START_ON_BAD,) * n_rules)
-    for _ in range(rounds if patterns else 0):
-        share = [1 / (1 + math.exp(-min(500, max(-500, w.log_odds(v))))) for v, _ in patterns]
-        goods = sum(p * n for p, (_, n) in zip(share, patterns, strict=True))
-        total = sum(n for _, n in patterns)
-        firm = BELIEF + BELIEF_ON_GOOD
-        on_good, on_bad = [], []
-        for j in range(n_rules):
-            yes_g = sum(p * n for p, (v, n) in zip(share, patterns, strict=True) if v[j] > 0)
-            all_g = sum(p * n for p, (v, n) in zip(share, patterns, strict=True) if v[j])
-            no_b = sum((1 - p) * n for p, (v, n) in zip(share, patterns, strict=True) if v[j] < 0)
-            all_b = sum((1 - p) * n for p, (v, n) in zip(share, patterns, strict=True) if v[j])
-            on_good.append((yes_g + firm * START_ON_GOOD) / (all_g + firm))
-            on_bad.append((no_b + BELIEF * START_ON_BAD) / (all_b + BELIEF))
-        good = (goods + BELIEF * START_GOOD) / (total + BELIEF)
-        new = Weights(good, tuple(on_good), tuple(on_bad))
-        moved = max(
-            abs(x - y)
-            for x, y in zip(
-                (new.good, *new.right_on_good, *new.right_on_bad),
-                (w.good, *w.right_on_good, *w.right_on_bad),
-                strict=True,
-            )
+    prior = w = belief()
+    if not patterns:
+        return w
+    votes = np.array([v for v, _ in patterns])
+    n = np.array([c for _, c in patterns], float)
+    firm = np.array([VOTES_ON_GOOD] + [VOTES_ON_KIND] * len(KINDS))
+    for _ in range(rounds):
+        odds = np.exp(np.clip(w.log_odds(votes), -500, 500))
+        member = np.concatenate([np.ones((len(n), 1)), odds], axis=1)
+        member *= (n / member.sum(axis=1))[:, None]
+        bad, cast = member.T @ (votes < 0), member.T @ (votes != 0)
+        new = Weights(
+            (member.sum(axis=0) + VOTES_ON_KIND * prior.shares) / (n.sum() + VOTES_ON_KIND),
+            (bad + firm[:, None] * prior.bad) / (cast + firm[:, None]),
         )
+        moved = max(np.abs(new.shares - w.shares).max(), np.abs(new.bad - w.bad).max())
         w = new
         if moved < 1e-9:
             break
@@ -131,13 +156,14 @@ def vote_patterns(voted: DataFrame) -> list[tuple[tuple[int, ...], int]]:
 
 def posterior(w: Weights) -> Column:
     """Probability that a text is good, from its vote columns."""
-    total = F.lit(math.log(w.good / (1 - w.good)))
-    for rule, g, b in zip(RULES, w.right_on_good, w.right_on_bad, strict=True):
-        vote = F.col(f"vote_{rule.name}")
-        total += (
-            F.when(vote > 0, math.log(g / (1 - b))).when(vote < 0, math.log((1 - g) / b)).otherwise(0.0)
-        )
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+    total = F.lit(1.0)
+    for share, bad in zip(w.shares[1:], w.bad[1:], strict=True):
+        odds = F.lit(float(np.log(share / w.shares[0])))
+        for rule, b, g in zip(RULES, bad.tolist(), w.bad[0].tolist(), strict=True):
+            vote = F.col(f"vote_{rule.name}")
+            odds += F.when(vote < 0, float(np.log(b / g))).when(vote > 0, float(np.log((1 - b) / (1 - g)))).otherwise(0.0)
+        total += F.exp(F.least(odds, F.lit(500.0)))
+    return F.lit(1.0) / total
 
 
 def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -152,6 +178,6 @@ def judged(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (
         voted.withColumn("base_failed", failed)
-        .withColumn("p_good", posterior(estimate(vote_patterns(voted.where(~failed)))))
+        .withColumn("p_good", posterior(estimate(vote_patterns(voted.where("n_words > 0")))))
         .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least))
     )

@@ -59,40 +59,76 @@ def test_repeated_words_of_small_alphabets():
             assert repeated_words([w.encode() for w in words]) == slow_base(" ".join(words))[4]
 
 
-@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
-def test_posterior_finds_the_labels(spark, folder):
+@pytest.mark.parametrize(("folder", "lost"), [(SF, 0), ("/root/testdata/sf0.01", 0.01)])
+def test_posterior_finds_the_labels(spark, folder, lost):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     rows = R.judged(docs).join(labels.withColumnRenamed("doc_id", "id"), "id").collect()
     rows = [r for r in rows if not r["base_failed"]]
-    assert all(r["kept"] for r in rows if r["quality"] == 1)
+    good = [r["kept"] for r in rows if r["quality"] == 1]
+    assert good.count(False) <= lost * len(good)
     assert all(not r["kept"] for r in rows if r["quality"] == 0)
 
 
-def test_expectation_maximisation_finds_the_rates():
-    rng, n_rules = random.Random(1), len(R.RULES)
-    on_bad = [0.1 + 0.08 * j for j in range(n_rules)]
+def test_verdict_is_not_that_all_rules_must_pass(spark):
+    """On a whole table: kept in spite of bad votes, dropped by votes that each alone would not do, and, by the
+    labels, right at least as often."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    names = [f"vote_{r.name}" for r in R.RULES]
+    judged = R.judged(docs)
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    rows = [r for r in judged.collect() if not r["base_failed"]]
+    against = lambda r: frozenset(c for c in names if r[c] < 0)
+    spared = [r for r in rows if r["kept"] and against(r)]
+    alone = {next(iter(against(r))) for r in spared if len(against(r)) == 1}
+    together = [r for r in rows if not r["kept"] and len(against(r)) > 1 and against(r) <= alone]
+    right = lambda verdict: sum(verdict(r) == bool(known[r["id"]]) for r in rows if known.get(r["id"]) is not None)
+    by_posterior, by_all = right(lambda r: r["kept"]), right(lambda r: not against(r))
+    print(len(spared), len(together), by_posterior, by_all, len(rows))
+    assert len(spared) >= 10 and by_posterior >= by_all
+
+
+def drawn(rng, n, w):
+    """Patterns of n texts drawn from the model, with a tenth of votes missing."""
     votes = Counter()
-    for _ in range(40_000):
-        good = rng.random() < 0.85
-        votes[
-            tuple(
-                0 if rng.random() < 0.1 else (1 if rng.random() < (0.998 if good else 1 - b) else -1)
-                for b in on_bad
-            )
-        ] += 1
-    w = R.estimate(sorted(votes.items()))
-    assert w.good == pytest.approx(0.85, abs=0.03)
-    assert w.right_on_bad == pytest.approx(on_bad, abs=0.06)
-    assert min(w.right_on_good) > 0.99
+    for kind in rng.choices(range(len(w.shares)), w.shares, k=n):
+        votes[tuple(0 if rng.random() < 0.1 else (-1 if rng.random() < b else 1) for b in w.bad[kind])] += 1
+    return sorted(votes.items())
+
+
+def test_expectation_maximisation_finds_the_rates():
+    w = R.belief()
+    shares = np.array([0.85, 0.06, 0.04, 0.05])
+    bad = np.where(w.bad >= 0.5, 0.75, 0.03)
+    bad[0] = 0.004
+    found = R.estimate(drawn(random.Random(1), 60_000, R.Weights(shares, bad)))
+    assert found.shares == pytest.approx(shares, abs=0.01)
+    assert found.bad == pytest.approx(bad, abs=0.06)
+
+
+@pytest.mark.parametrize("wrong", [0.2, 0.3])
+def test_a_rule_that_errs_on_good_texts_is_found_out(wrong):
+    w = R.belief()
+    bad = np.where(w.bad >= 0.5, 0.75, 0.03)
+    bad[0] = [wrong if j == 4 else 0.004 for j in range(len(R.RULES))]
+    found = R.estimate(drawn(random.Random(5), 40_000, R.Weights(np.array([0.85, 0.06, 0.04, 0.05]), bad)))
+    assert found.bad[0, 4] == pytest.approx(wrong, abs=0.03)
+    one_against = np.array([-1 if j == 4 else 1 for j in range(len(R.RULES))])
+    assert found.posterior(one_against)[0] > 0.9
+
+
+def test_estimate_without_texts():
+    w = R.estimate([])
+    assert w.good == R.GOOD and w.posterior(np.zeros(len(R.RULES)))[0] == pytest.approx(R.GOOD)
 
 
 def test_column_and_plain_posterior_agree(spark):
-    w = R.Weights(0.7, (0.9,) * len(R.RULES), (0.4,) * len(R.RULES))
+    w = R.estimate(drawn(random.Random(3), 500, R.belief()))
     rng = random.Random(2)
     rows = [tuple(rng.choice((-1, 0, 1)) for _ in R.RULES) for _ in range(50)]
     frame = spark.createDataFrame(rows, ", ".join(f"vote_{r.name} int" for r in R.RULES))
     for r in frame.withColumn("p", R.posterior(w)).collect():
-        assert r["p"] == pytest.approx(1 / (1 + math.exp(-w.log_odds(r[:-1]))))
+        assert r["p"] == pytest.approx(w.posterior(np.array(r[:-1]))[0])
 
 
 def test_counts_of_an_empty_text():
@@ -142,21 +178,41 @@ def test_classifier_edges(spark, edges, nothing):
     assert C.quality_scores(nothing, labels).count() == 0
 
 
-@pytest.mark.parametrize("wrong", [0.2, 0.3])
-def test_a_rule_that_errs_on_good_texts_is_found_out(wrong):
-    rng, n_rules = random.Random(5), len(R.RULES)
-    on_bad = [0.1 + 0.08 * j for j in range(n_rules)]
-    votes = Counter()
-    for _ in range(40_000):
-        good = rng.random() < 0.85
-        on_good = [1 - wrong if j == 4 else 0.998 for j in range(n_rules)]
-        votes[
-            tuple(
-                0 if rng.random() < 0.1 else (1 if rng.random() < (g if good else 1 - b) else -1)
-                for g, b in zip(on_good, on_bad, strict=True)
-            )
-        ] += 1
-    w = R.estimate(sorted(votes.items()))
-    assert w.right_on_good[4] == pytest.approx(1 - wrong, abs=0.03)
-    assert w.good == pytest.approx(0.85, abs=0.03)
-    assert w.log_odds([-1 if j == 4 else 1 for j in range(n_rules)]) > 0
+def test_scores_from_raw_rows(spark):
+    """Features, class covariances, shrinkage and densities computed anew from the labelled texts."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    found = {r["id"]: r["score"] for r in C.quality_scores(docs, labels).collect()}
+    at = {name: i for i, name in enumerate(FIELDS)}
+
+    def row(text):
+        s = text_stats(text)
+        share = lambda of, by: math.log(s[at[of]] / max(s[at[by]], 1) + 0.01)
+        return [
+            math.log1p(s[at["n_words"]]),
+            math.log(s[at["word_chars"]] / max(s[at["n_words"]], 1) + 1),
+            share("n_symbols", "n_words"), share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words"),
+            share("n_adjacent", "n_words"), share("n_distinct", "n_words"), share("n_upper", "word_chars"),
+            share("n_exclaim", "n_words"), share("n_marks", "n_words"), share("n_digits", "word_chars"),
+            share("n_lines", "n_words"),
+        ]
+
+    x = {r["doc_id"]: row(r["text"]) for r in docs.collect()}
+    learned = {0: [], 1: []}
+    for r in labels.collect():
+        if r["quality"] in (0, 1) and r["doc_id"] in x and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            learned[r["quality"]].append(x[r["doc_id"]])
+    part = {k: np.array(v) for k, v in learned.items()}
+    own = {k: np.cov(v.T, bias=True) for k, v in part.items()}
+    n = {k: len(v) for k, v in part.items()}
+    pooled = sum(n[k] * own[k] for k in (0, 1)) / (n[0] + n[1])
+    density = {}
+    for k in (0, 1):
+        c = 0.9 * own[k] + 0.1 * pooled
+        c = 0.98 * c + 0.02 * max(np.trace(c) / 12, 1e-6) * np.eye(12)
+        off = np.array(list(x.values())) - part[k].mean(axis=0)
+        density[k] = -0.5 * (np.einsum("ij,jk,ik->i", off, np.linalg.inv(c), off) + np.linalg.slogdet(c)[1])
+    share = (n[1] + 0.5) / (n[0] + n[1] + 1)
+    odds = math.log(share / (1 - share)) + density[1] - density[0]
+    want = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+    assert [found[i] for i in x] == pytest.approx(want.tolist(), abs=1e-6)
