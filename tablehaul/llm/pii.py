@@ -1,8 +1,9 @@
 """Personal data in texts, also where it is disguised, with offsets of the source text.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers. Then transducers rewrite
-the text: look-alike and full-width characters become ASCII, invisible ones vanish, spelled
-digits become digits, and disguised "at" and "dot" become their signs. Each rewritten character
+the text: look-alike and full-width characters become ASCII, invisible ones vanish, decimal digits of any script and spelled
+digits become digits, and disguised "at" and "dot" (words or signs, in brackets, between underscores or
+spaced out) become their signs. Each rewritten character
 remembers the source characters it stands for, so what the patterns find in the rewritten text
 is mapped back to spans of the source. Only spans whose text was rewritten are added.
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -135,33 +137,50 @@ class Mapped:
         )
 
 
-#: Letters of other scripts that look like Latin ones.
+#: Letters of other scripts that look like Latin ones, and full stops of other scripts.
 LOOK_ALIKE = dict(
     zip(
-        "аеорсухіјѕԁԛԝһАВЕКМНОРСТХІЈЅαονικρτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ",
-        "aeopcyxijsdqwhABEKMHOPCTXIJSaovikptuxABEZHIKMNOPTYX",
+        "аеорсухіјѕԁԛԝһАВЕКМНОРСТХІЈЅαονικρτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧօսհոⲟⲣⲥꓳꓑꓚꓰ",
+        "aeopcyxijsdqwhABEKMHOPCTXIJSaovikptuxABEZHIKMNOPTYXouhnopcOPCE",
         strict=True,
     )
-)
-_INVISIBLE = re.compile("[­​-‏⁠-⁤﻿]+")
-_ODD = re.compile(
-    "[­²³¹Ͱ-ϿЀ-ԯ٠-٩۰-۹०-९"
-    "​-‏⁠-₟℀-⅏①-⓿﹐-﹫﻿！-～"
-    "\U0001d400-\U0001d7ff]"
+) | dict.fromkeys("。｡۔।", ".")
+#: Characters whose names say which Latin letter they show; where Unicode has a plain form, NFKC tells.
+_NAMED = re.compile(
+    r"LATIN LETTER SMALL CAPITAL ([A-Z])|LATIN SMALL LETTER (?:SCRIPT|DOTLESS) ([A-Z])"
+    r"|(?:NEGATIVE |PARENTHESIZED )?(?:CIRCLED |SQUARED |PARENTHESIZED )?LATIN (?:CAPITAL|SMALL) LETTER ([A-Z])"
+    r"|REGIONAL INDICATOR SYMBOL LETTER ([A-Z])"
 )
 
 
-def _plain_character(m: re.Match) -> str | None:
-    c = m[0]
+@lru_cache(maxsize=1 << 16)
+def _plain_character(c: str) -> str | None:
+    """What a character beyond ASCII is rewritten to; None for those that stay."""
     if c in LOOK_ALIKE:
         return LOOK_ALIKE[c]
-    if _INVISIBLE.match(c):
+    if unicodedata.category(c) == "Cf":  # joiners, marks of direction, soft hyphens and the like
         return ""
     digit = unicodedata.digit(c, None)
     if digit is not None:
         return str(digit)
     folded = unicodedata.normalize("NFKC", c)
-    return folded if folded.isascii() and len(folded) == 1 else None
+    if folded.isascii() and len(folded) == 1:
+        return folded
+    named = _NAMED.fullmatch(unicodedata.name(c, ""))
+    return next(filter(None, named.groups())).lower() if named else None
+
+
+@lru_cache(maxsize=1 << 12)
+def _any_of(characters: frozenset[str]) -> re.Pattern:
+    return re.compile("[" + "".join(map(re.escape, sorted(characters))) + "]")
+
+
+def _odd(text: str) -> re.Pattern | None:
+    """Finds the characters of the text that are rewritten, if it has any."""
+    if text.isascii():
+        return None
+    odd = frozenset(c for c in set(text) if c > "\x7f" and _plain_character(c) is not None)
+    return _any_of(odd) if odd else None
 
 
 _SPELLED = {
@@ -173,15 +192,17 @@ _SPELLED = {
         "zéro un deux trois quatre cinq six sept huit neuf",
     )
     for value, word in enumerate(words.split())
-}
+} | {"oh": "0"}
 _WORD = "(?:" + "|".join(sorted(_SPELLED, key=len, reverse=True)) + ")"
 _AT, _DOT = "(?:at|arroba|chez|ät)", "(?:dot|punto|point|punkt)"
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
+#: The same words between underscores, and either the words or the signs in brackets.
+_IN_AT, _IN_DOT = rf"(?:{_AT}|@)", rf"(?:{_DOT}|\.)"
 #: Spelled digits; they count beside another one, a digit or a dot, and the patterns decide.
 _RUN = re.compile(rf"\b{_WORD}\b(?:[ -]{_WORD}\b)*", re.IGNORECASE)
 _SPLIT = re.compile("[ -]")
 _PLUS = re.compile(r"\bplus (?=[0-9])", re.IGNORECASE)
-_ANY_DOT = rf"(?: {_DOT} | ?{_OPEN} ?{_DOT} ?{_CLOSE} ?|\.)"
+_ANY_DOT = rf"(?: {_DOT} | ?{_OPEN} ?{_IN_DOT} ?{_CLOSE} ?|_{_DOT}_| \. |\.)"
 _BEFORE = re.compile(rf"(?:[0-9][ -]?|{_ANY_DOT})\Z", re.IGNORECASE)
 _AFTER = re.compile(rf"[ -]?[0-9]|{_ANY_DOT}[A-Za-z0-9]", re.IGNORECASE)
 #: The longest that _BEFORE needs to see.
@@ -197,8 +218,23 @@ def _digits(m: re.Match) -> str | None:
     return None if None in digits else "".join(digits)
 
 
-_BRACKETED_AT = re.compile(rf" ?{_OPEN} ?{_AT} ?{_CLOSE} ?", re.IGNORECASE)
-_BRACKETED_DOT = re.compile(rf" ?{_OPEN} ?{_DOT} ?{_CLOSE} ?", re.IGNORECASE)
+#: "(a)" counts only close between an address's parts.
+_BRACKETED_AT = re.compile(
+    rf" ?{_OPEN} ?{_IN_AT} ?{_CLOSE} ?"
+    rf"|(?<=[A-Za-z0-9_%+-]){_OPEN}a{_CLOSE}(?=[A-Za-z0-9-]++(?:\.| ?{_OPEN} ?{_IN_DOT} ?{_CLOSE}))",
+    re.IGNORECASE,
+)
+_BRACKETED_DOT = re.compile(rf" ?{_OPEN} ?{_IN_DOT} ?{_CLOSE} ?", re.IGNORECASE)
+#: Words between underscores make an address only where both are there: at, then dot.
+_UNDERSCORED = re.compile(
+    rf"(?<=[A-Za-z0-9])_{_AT}_(?=[A-Za-z0-9-]++(?:(?:_{_DOT}_|\.)[A-Za-z0-9-]++)*_{_DOT}_[A-Za-z0-9])", re.IGNORECASE
+)
+_UNDERSCORED_DOT = re.compile(rf"_{_DOT}_", re.IGNORECASE)
+#: Addresses with a space between all their characters, or around their signs.
+_SPACED_LETTERS = re.compile(r"(?<!\s[A-Za-z0-9._%+-] )(?<!\S)(?:[A-Za-z0-9._%+-] ){2,}+@(?: [A-Za-z0-9.-]){3,}(?![^\s.,;:!?])")
+_SPACED_SIGNS = re.compile(r"(?<=[A-Za-z0-9_%+-]) @ (?=[A-Za-z0-9-]++(?: \. [A-Za-z0-9-]++)+)")
+_SPACED_DOT = re.compile(r" \. ")
+_SPACE = re.compile(" ")
 _BARE_DOT = re.compile(rf" {_DOT} ", re.IGNORECASE)
 #: A bare "at" counts only where a disguised dot follows in the domain, after real ones or none.
 _BARE_AT = re.compile(
@@ -213,11 +249,13 @@ _DOTTED_LOCAL = re.compile(
     rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?: {_DOT} [A-Za-z0-9_%+-]++)++@?+", re.IGNORECASE
 )
 _DOTTED_NUMBER = re.compile(rf"(?<=[0-9]) {_DOT} (?=[0-9])", re.IGNORECASE)
-_DISGUISED = re.compile(rf"{_OPEN} ?(?:{_AT}|{_DOT}) ?{_CLOSE}| {_DOT} ", re.IGNORECASE)
+_DISGUISED = re.compile(
+    rf"{_OPEN} ?(?:{_AT}|{_DOT}|[@.]|a) ?{_CLOSE}| {_DOT} |_{_DOT}_| @ ", re.IGNORECASE
+)
 
 
-def _in_pieces(mapped: Mapped, pattern: re.Pattern) -> Mapped:
-    """Rewrite the bare dots inside those of the pattern's matches only that hold an @."""
+def _inside(mapped: Mapped, pattern: re.Pattern, what: re.Pattern, new: str) -> Mapped:
+    """Rewrite ``what`` inside those of the pattern's matches only that hold an @."""
     inside = [m.span() for m in pattern.finditer(mapped.text) if "@" in m[0]]
     if not inside:
         return mapped
@@ -227,27 +265,40 @@ def _in_pieces(mapped: Mapped, pattern: re.Pattern) -> Mapped:
     def replace(m):
         while state[0] is not None and state[0][1] <= m.start():
             state[0] = next(spans, None)
-        return "." if state[0] is not None and state[0][0] <= m.start() else None
+        return new if state[0] is not None and state[0][0] <= m.start() else None
+
+    return mapped.rewritten(what, replace)
+
 
-    return mapped.rewritten(_BARE_DOT, replace)
+_UNDERSCORED_DOMAIN = re.compile(rf"@[A-Za-z0-9-]++(?:(?:_{_DOT}_|\.)[A-Za-z0-9-]++)++", re.IGNORECASE)
+_SPACED_DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?: \. [A-Za-z0-9-]++)++")
+
+
+def _signs(out: Mapped) -> Mapped:
+    """Disguised signs in their own form."""
+    at, dot = (lambda m: "@"), (lambda m: ".")
+    if " @ " in out.text:
+        out = _inside(out, _SPACED_LETTERS, _SPACE, "")
+        out = _inside(out.rewritten(_SPACED_SIGNS, at), _SPACED_DOMAIN, _SPACED_DOT, ".")
+    if "_" in out.text:
+        out = _inside(out.rewritten(_UNDERSCORED, at), _UNDERSCORED_DOMAIN, _UNDERSCORED_DOT, ".")
+    out = out.rewritten(_BRACKETED_AT, at).rewritten(_BARE_AT, at).rewritten(_BRACKETED_DOT, dot)
+    for pattern in (_DOTTED_DOMAIN, _DOTTED_LOCAL):
+        out = _inside(out, pattern, _BARE_DOT, ".")
+    return out.rewritten(_DOTTED_NUMBER, dot)
 
 
 def rewritten(text: str) -> Mapped | None:
     """The text after all transducers, or None where none has anything to do."""
-    odd, disguised = _ODD.search(text), _DISGUISED.search(text)
+    odd, disguised = _odd(text), _DISGUISED.search(text)
     run = any(_digits(m) is not None for m in _RUN.finditer(text))
     if not (odd or run or disguised):
         return None
     out = Mapped.of(text)
     if odd:
-        out = out.rewritten(_ODD, _plain_character)
+        out = out.rewritten(odd, lambda m: _plain_character(m[0]))
     out = out.rewritten(_RUN, _digits).rewritten(_PLUS, lambda m: "+")
-    if odd or disguised:
-        out = out.rewritten(_BRACKETED_AT, lambda m: "@").rewritten(_BARE_AT, lambda m: "@")
-        out = out.rewritten(_BRACKETED_DOT, lambda m: ".")
-        out = _in_pieces(_in_pieces(out, _DOTTED_DOMAIN), _DOTTED_LOCAL)
-        out = out.rewritten(_DOTTED_NUMBER, lambda m: ".")
-    return out
+    return _signs(out) if odd or disguised else out
 
 
 def all_spans(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:

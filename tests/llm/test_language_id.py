@@ -1,8 +1,13 @@
+import math
+import re
 import zlib
 
 import numpy as np
+import pytest
+import zstandard
 
 from tablehaul.llm import language_id as L
+from tests.conftest import SF
 
 
 def test_held_out_texts_are_recognised(spark):
@@ -56,3 +61,36 @@ def test_rows_keep_their_columns(edges, nothing):
     want = sorted((r["id"] for r in L.languages(edges).collect() if not r["rejected"]), key=repr)
     assert kept == want
     assert L.identified(nothing).count() == 0
+
+
+def slow_prediction(text, contents):
+    """A fresh compressor for each block and language; sizes in order of the dictionaries."""
+    if not any(map(str.isalpha, text or "")):
+        return "und", 0.0, 0.0
+    data = re.sub(r"[\W\d_]+", " ", text).lower().encode()
+    sizes = {}
+    for lang, content in contents.items():
+        total = 0
+        for at in range(0, len(data), L.BLOCK):
+            made = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            made.precompute_compress(level=L.LEVEL)
+            options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
+            total += len(zstandard.ZstdCompressor(dict_data=made, **options).compress(data[at : at + L.BLOCK]))
+        sizes[lang] = total
+    lang = min(sizes, key=sizes.get)
+    best = sizes[lang]
+    score = 1 / sum(math.exp((best - s) / (L.SCALE * best)) for s in sizes.values())
+    others = [s for k, s in sizes.items() if k != lang]
+    return lang, score, (min(others) - best) / best
+
+
+def test_query_like_brute_force(spark, docs):
+    """The registered query on a whole table, each text compressed anew."""
+    from tablehaul.llm.queries import QUERIES
+
+    contents = L.learned(docs, "doc_id", "text", "lang", 4, 2)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in QUERIES["op5_language_id"](spark, SF).collect():
+        lang, score, margin = slow_prediction(texts[r["doc_id"]], contents)
+        assert r["lang_pred"] == lang and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert r["score"] == pytest.approx(score) and r["margin"] == pytest.approx(margin)

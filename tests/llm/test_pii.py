@@ -86,6 +86,22 @@ def test_edges(spark, edges, nothing):
         ("joе@exаmple.com", "email", "joе@exаmple.com"),
         ("ｊｏｅ＠ｅｘａｍｐｌｅ．ｃｏｍ", "email", "ｊｏｅ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
         ("joe​@exa‍mple.com", "email", "joe​@exa‍mple.com"),
+        ("ask joe@example[.]com today", "email", "joe@example[.]com"),
+        ("ask joe[@]example[.]com today", "email", "joe[@]example[.]com"),
+        ("from 192[.]168[.]1[.]1 on", "ip", "192[.]168[.]1[.]1"),
+        ("joe@example․com", "email", "joe@example․com"),
+        ("joe@example。com", "email", "joe@example。com"),
+        ("host ১৯২.১৬৮.১.১ up", "ip", "১৯২.১৬৮.১.১"),
+        ("host ๑๙๒.๑๖๘.๑.๑ up", "ip", "๑๙๒.๑๖๘.๑.๑"),
+        ("call plus four nine three oh nine oh one eight two oh now", "phone", "plus four nine three oh nine oh one eight two oh"),
+        ("joe(a)example.com", "email", "joe(a)example.com"),
+        ("joe_at_example_dot_com", "email", "joe_at_example_dot_com"),
+        ("x joe_at_mail.example_dot_com y", "email", "joe_at_mail.example_dot_com"),
+        ("write j o e @ e x a m p l e . c o m now", "email", "j o e @ e x a m p l e . c o m"),
+        ("write joe @ example . com now", "email", "joe @ example . com"),
+        ("jᴏe@example.com", "email", "jᴏe@example.com"),
+        ("ⓙⓞⓔ@example.com", "email", "ⓙⓞⓔ@example.com"),
+        ("🅹🅾🅴@example.com", "email", "🅹🅾🅴@example.com"),
         ("ruf an: plus four nine three zero nine zero one eight two zero bitte", "phone",
          "plus four nine three zero nine zero one eight two zero"),
         ("host ten is 10 dot 20 dot 30 dot 40 ok", "ip", "10 dot 20 dot 30 dot 40"),
@@ -174,3 +190,29 @@ def test_uncapped_patterns_stay_linear(unit):
     began = time.process_time()
     P.all_spans(text, P.plain_spans(text))
     assert time.process_time() - began < 10
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "see section 3(a) of the act, point (b) and 4(a)",
+        "snake_at_case and look_at_me_dot",
+        "a . b . c and x @ y",
+        "He came (at) last. It was 5 [.] or so",
+        "oh no, oh well, oh 1",
+        "Größe, façade, naïve, Ünïcödé 日本語",
+    ],
+)
+def test_ordinary_writing_is_left_alone(text):
+    assert P.all_spans(text, P.plain_spans(text)) == []
+
+
+@pytest.mark.parametrize("unit", ["a_at_", "j o e @ ", "x(a)", "[.]", " . ", "_dot_", "৯.", "joe @ e . ", "a "])
+def test_new_disguises_take_linear_time(unit):
+    took = []
+    for n in (4_000, 16_000):
+        text = unit * n + " @ "
+        start = time.process_time()
+        P.all_spans(text, P.plain_spans(text))
+        took.append(time.process_time() - start)
+    assert took[1] < 8 * took[0] + 0.3, (unit, took)
