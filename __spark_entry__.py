@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablehaul import functions as tf
 from tablehaul import operators as ops
@@ -34,13 +35,14 @@ from tablehaul.sources import (
     file_row_counts,
     key_columns,
     leaf_paths,
+    listed_files,
     row_count,
     scan_dir,
     scan_table,
     with_keys,
 )
 from tablehaul.sources.files import exists, fresh_folder
-from tablehaul.specs import ExportSpec, delete_specs, export_specs
+from tablehaul.specs import DeleteSpec, ExportSpec, delete_specs, export_specs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,6 +171,32 @@ def q_delete_late_column(spark, sf_dir):
     return scan_table(spark, uri)
 
 
+@query("export_given_schema", f"SELECT o_orderkey, o_orderpriority FROM ({TWO_VERSIONS}) WHERE o_orderkey > 100")
+def q_export_given_schema(spark, sf_dir):
+    """The columns of a source as they are given; no footer is asked for them."""
+    uri = two_versions(spark, sf_dir, "given")
+    schema = "o_orderkey long, o_orderpriority string"
+    spec = ExportSpec(
+        "orders", uri, "unused", values="typed", where=("o_orderkey", ">", 100), schema=StructType.fromDDL(schema)
+    )
+    return export_frame(spark, spec)
+
+
+@query(
+    "delete_given_schema",
+    """SELECT * EXCLUDE (o_orderpriority) FROM orders
+       WHERE NOT (o_orderstatus = 'F' AND o_totalprice > 100000)""",
+)
+def q_delete_given_schema(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").drop("o_orderpriority")
+    uri = copied(spark, orders, "given-delete")
+    where = ops.all_of(("o_orderstatus", "=", "F"), ("o_totalprice", ">", 100000))
+    report = delete_many(spark, [DeleteSpec("orders", uri, where, schema=orders.schema)]).first()
+    if report.status != "ok":
+        raise RuntimeError(report.message)
+    return spark.read.schema(orders.schema).parquet(uri)
+
+
 @query(
     "key_columns",
     """SELECT 'o_orderkey' AS column_name, count(o_orderkey) AS n_filled FROM orders
@@ -238,6 +266,20 @@ def q_file_row_counts(spark, sf_dir):
     )
 
 
+@query(
+    "file_row_counts_empty",
+    "SELECT count(*) AS n_rows, true AS has_bytes FROM orders UNION ALL SELECT 0, true FROM region WHERE r_regionkey = 0",
+)
+def q_file_row_counts_empty(spark, sf_dir):
+    """A folder with a file that has no rows."""
+    uri = fresh_folder(spark, "with-empty")
+    orders = table(spark, sf_dir, "orders").coalesce(1)
+    orders.write.parquet(uri)
+    orders.limit(0).write.mode("append").parquet(uri)
+    counts = file_row_counts(scan_table(spark, uri), listed_files(spark, uri))
+    return counts.select("n_rows", (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
 # ---- projections ----------------------------------------------------------------------
 
 
@@ -435,12 +477,17 @@ def q_filter_text_order(spark, sf_dir):
     """SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
        WHERE l_orderkey > 10.5 AND l_linenumber >= 1.5 AND l_linenumber < 5.5
          AND l_returnflag <> '5' AND CAST(l_quantity AS DECIMAL(12, 2)) > 20.005
-         AND l_shipdate >= TIMESTAMP '1996-01-01'""",
+         AND l_shipdate >= TIMESTAMP '1996-01-01'
+         AND CAST(l_shipdate AS DATE) < TIMESTAMP '2001-06-05 12:00:00'
+         AND CAST(l_shipdate AS DATE) >= TIMESTAMP '1996-03-01 00:00:01'
+         AND CAST(l_shipdate AS DATE) <> DATE '1996-05-05'""",
 )
 def q_filter_mixed_literals(spark, sf_dir):
-    """Floats on whole numbers, text on a number, a number on text, decimals, a date."""
+    """Floats on whole numbers, text on a number, a number on text, decimals, a date, and texts with
+    and without a time on a column of dates."""
     lineitem = table(spark, sf_dir, "lineitem")
     lineitem = lineitem.withColumn("quantity", F.col("l_quantity").cast("decimal(12,2)"))
+    lineitem = lineitem.withColumn("day", F.col("l_shipdate").cast("date"))
     where = ops.all_of(
         ("l_orderkey", ">", 10.5),
         ("l_linenumber", ">=", "1.5"),
@@ -448,6 +495,9 @@ def q_filter_mixed_literals(spark, sf_dir):
         ops.any_of(("l_returnflag", ">", 5), ("l_returnflag", "<", 5)),
         ("quantity", ">", "20.005"),
         ("l_shipdate", ">=", date(1996, 1, 1)),
+        ("day", "<", "2001-06-05 12:00:00"),
+        ("day", ">=", "1996-03-01T00:00:01"),
+        ops.any_of(("day", "<", "1996-05-05"), ("day", ">", "1996-05-05 00:00:00")),
     )
     kept = lineitem.where(ops.predicate(where, lineitem.schema))
     return kept.select("l_orderkey", "l_linenumber", "l_returnflag")
@@ -1302,17 +1352,15 @@ def flagship(spark, sf_dir):
 try:
     from tablehaul.llm.queries import QUERIES as LLM_QUERIES
     from tablehaul.llm.queries import SQL as LLM_SQL
-except ModuleNotFoundError as e:  # that subpackage may be left out
-    if e.name not in ("tablehaul.llm", "tablehaul.llm.queries"):
-        raise
+except ImportError:  # that subpackage, or a library that only it needs, may be left out
+    pass
 else:
     _QUERIES.update(LLM_QUERIES)
     _SQL.update(LLM_SQL)
     try:
         import corpus_pipeline
-    except ModuleNotFoundError as e:
-        if e.name != "corpus_pipeline":
-            raise
+    except ImportError:
+        pass
     else:
         _QUERIES["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL is not None:

@@ -7,6 +7,7 @@ A predicate is a comparison ``(column, op, value)`` with op one of ``= > >= < <=
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, time
 from decimal import ROUND_FLOOR, Decimal, InvalidOperation, localcontext
 from functools import reduce
@@ -137,6 +138,8 @@ def _sides(
         return op, left, F.lit(value if isinstance(value, str) else _plain_text(value))
     if isinstance(dtype, (T.IntegralType, T.DecimalType)):
         return _exact_number(pred, op, left, value, dtype)
+    if isinstance(dtype, T.DateType) and isinstance(value, str):
+        value = _moment(value)
     if isinstance(dtype, T.DateType) and isinstance(value, datetime):
         day = F.lit(value.date())
         if value.time() == time.min:
@@ -152,6 +155,19 @@ def _sides(
     return op, left, F.lit(value)
 
 
+_WITH_TIME = re.compile(r"\d{4}-\d\d-\d\d[ T]\d.*")
+
+
+def _moment(text: str) -> str | datetime:
+    """A text that has a time besides the date as that moment, without a zone; others stay."""
+    if not _WITH_TIME.fullmatch(text.strip()):
+        return text
+    found = datetime.fromisoformat(text.strip())
+    if found.tzinfo is not None:
+        raise ValueError(f"a date has no zone: {text!r}")
+    return found
+
+
 def _plain_text(value: Value) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
 

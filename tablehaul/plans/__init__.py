@@ -1,6 +1,6 @@
 """Whole jobs: exports, reports and retention deletes."""
 
-from tablehaul.plans.delete import delete_from, delete_many, roll_back
+from tablehaul.plans.delete import delete_from, delete_many, finish_delete
 from tablehaul.plans.export import export_frame, export_tables, exported_files, null_rows
 from tablehaul.plans.report import delete_counts, export_details, export_summary, sent_count_sum
 
@@ -13,7 +13,7 @@ __all__ = [
     "export_summary",
     "export_tables",
     "exported_files",
+    "finish_delete",
     "null_rows",
-    "roll_back",
     "sent_count_sum",
 ]

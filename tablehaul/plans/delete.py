@@ -1,159 +1,181 @@
 """Retention deletes on Parquet directories.
 
-Only files that hold rows to delete are touched: files that match as a whole are dropped
-without being read, the others are rewritten with the rows that stay. Untouched files are
-never read beyond their statistics. The driver holds one number per folder of the table and,
-at a time, the file names of one folder.
+Folders (the table's own, or those of its partitions) that hold no row to delete are left alone. The
+others are replaced: the rows that stay are written beside the table and counted, then Spark
+overwrites these folders with that copy. Which folders change comes from a join of two counts per
+folder, so the driver holds one row per changed folder and never a list of files.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablehaul.names import col
 from tablehaul.operators.predicates import Pred
 from tablehaul.operators.retention import removed, retain
-from tablehaul.sources.files import (
-    data_files,
-    delete,
-    file_system,
-    hadoop_path,
-    qualified,
-    read_small_text,
-    write_small_text,
-)
-from tablehaul.sources.scan import file_row_counts, scan_table
+from tablehaul.sources.files import delete, exists, hadoop_path, qualified
+from tablehaul.sources.scan import scan_table
 from tablehaul.specs import DeleteSpec
 
-#: Name of the note that a delete leaves in the table's folder while it works on a folder.
-NOTE = "_delete_"
+FOLDERS = "folder string, n_kept long, keep_schema boolean"
 
 
 def delete_from(
-    spark: SparkSession, path: str, pred: Pred | Column, real_delete: bool = True
+    spark: SparkSession,
+    path: str,
+    pred: Pred | Column,
+    real_delete: bool = True,
+    schema: T.StructType | None = None,
 ) -> int:
     """Delete the rows where ``pred`` is true and return their number.
 
     Rows for which it is unknown stay. Match-all deletes every row and keeps the schema. With
-    ``real_delete=False`` rows are only counted.
-
-    Folders are worked on one after the other. In each, a write job adds the kept rows as new
-    files, these are counted, and only then the old files go, without any rename by the driver.
-    A note says what is under way; ``roll_back`` undoes or finishes a run that stopped. Readers
-    may see kept rows twice for the moment between, and no other job may write the table
-    meanwhile. Any file system will do where Spark's write jobs commit safely: HDFS and local
-    ones as they are, object stores with a committer made for them.
+    ``real_delete=False`` rows are only counted. ``schema`` names all of the table's columns and
+    saves the look at every footer.
+
+    The rows that stay in folders with matches are copied beside the table, and Spark's own
+    overwrite puts the copy in these folders' place; partitions overwrite only themselves. A
+    run that stops before the copy is whole has changed nothing, later ``finish_delete`` completes it. While a
+    folder is replaced readers may miss its rows, and no other job may write the table.
     """
-    if _notes(spark, path):
-        raise RuntimeError(f"{path} has an unfinished delete, call roll_back first")
-    table = scan_table(spark, path)
+    staged = _staged(spark, path)
+    if exists(spark, staged):
+        raise RuntimeError(f"{path} has an unfinished delete, call finish_delete first")
+    table = scan_table(spark, path, schema=schema)
+    matches = removed(table, pred)
     if not real_delete:
-        return removed(table, pred).count()
-    matches = _counts_by_folder(spark, path, removed(table, pred))
-    total = sum(matches.values())
-    emptied = bool(matches) and table.count() == total  # footers only
-    for i, folder in enumerate(sorted(matches)):
-        _delete_in(spark, path, folder, table.schema, pred, emptied and not i)
+        return matches.count()
+    folders = _changed(spark, path, table, matches)
+    total = sum(n_match for _, n_match, _ in folders)
+    if total:
+        kept = [(folder, n_rows - n_match) for folder, n_match, n_rows in folders]
+        emptied = not any(n for _, n in kept) and table.count() == total  # footers only
+        file = unquote(matches.select("_metadata.file_path").first()[0])
+        _check_schema(spark, file, schema)
+        _stage(spark, path, kept, emptied, table.schema, pred, _codec(spark, file))
+        _replace(spark, path)
     return total
 
 
-def _counts_by_folder(spark: SparkSession, path: str, df: DataFrame) -> dict[str, int]:
-    """Rows per folder, by path below the table: one entry for each folder with rows."""
+def _staged(spark: SparkSession, path: str) -> str:
+    """Where a delete keeps the copy: beside the table, under a name that readers skip."""
+    parent, _, name = qualified(spark, path).rpartition("/")
+    return f"{parent}/_{name}_delete"
+
+
+def _check_schema(spark: SparkSession, file: str, schema: T.StructType | None) -> None:
+    """Columns that a given schema leaves out would be lost."""
+    lost = set(spark.read.parquet(file).columns) - set(schema.names) if schema is not None else ()
+    if lost:
+        raise ValueError(f"the schema lacks columns of the table: {sorted(lost)}")
+
+
+def _changed(
+    spark: SparkSession, path: str, table: DataFrame, matches: DataFrame
+) -> list[tuple[str, int, int]]:
+    """(folder below the table, matching rows, rows) of each folder with a match."""
     base = qualified(spark, path)
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-    rows = df.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = {unquote(r.folder): r.n for r in rows}
-    for found in counts:
+
+    def by_folder(df: DataFrame, name: str) -> DataFrame:
+        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
+        return df.groupBy(folder).agg(F.count(F.lit(1)).alias(name))
+
+    rows = by_folder(matches, "n_match").join(by_folder(table, "n_rows"), "folder").collect()
+    out = []
+    for r in sorted(rows, key=lambda r: r.folder):
+        found = unquote(r.folder)
         if not f"{found}/".startswith(f"{base}/"):
             raise ValueError(f"{found} does not lie in {path}")
-    return {found[len(base) :].strip("/"): n for found, n in counts.items()}
+        out.append((found[len(base) :].strip("/"), r.n_match, r.n_rows))
+    return out
 
 
-def _counts_by_file(df: DataFrame) -> dict[str, int]:
-    """Rows per file of one folder, by name: one entry for each file with rows."""
-    rows = file_row_counts(df).select("file_path", "n_rows").collect()
-    return {unquote(r.file_path).rpartition("/")[2]: r.n_rows for r in rows}
+def _partitions(folder: str) -> list[str]:
+    """Names of the partition columns in a folder's path."""
+    return [p.partition("=")[0] for p in folder.split("/") if "=" in p]
 
 
-def _read(
-    spark: SparkSession, path: str, files: list[str], schema: T.StructType | None = None
-) -> DataFrame:
-    """Files or folders of the table, with its partition columns.
+def _texts(schema: T.StructType, names: list[str]) -> T.StructType:
+    """The schema with these columns as text, so that a folder's name stays as it is written."""
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name in names else f for f in schema])
 
-    Without ``schema`` the files' own schemas are merged, so that columns only some of them
-    have are not lost.
-    """
-    reader = spark.read.option("basePath", qualified(spark, path))
-    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-    return reader.parquet(*files)
 
-
-def _delete_in(
+def _stage(
     spark: SparkSession,
     path: str,
-    folder: str,
+    folders: list[tuple[str, int]],
+    emptied: bool,
     schema: T.StructType,
     pred: Pred | Column,
-    keep_schema: bool,
+    options: dict[str, str],
 ) -> None:
-    """Delete in one folder; ``keep_schema`` leaves a file without rows where none would stay."""
-    home = f"{qualified(spark, path)}/{folder}".rstrip("/")
-    parts = [p.partition("=")[0] for p in folder.split("/") if "=" in p]
-    matches = _counts_by_file(removed(_read(spark, path, [home], schema), pred))
-    old = [f"{home}/{name}" for name in sorted(matches)]
-    totals = _counts_by_file(_read(spark, path, old, schema))
-    mixed = [f"{home}/{name}" for name in sorted(matches) if totals[name] > matches[name]]
-    note = f"{qualified(spark, path)}/{NOTE}{uuid.uuid4().hex[:12]}"
-    before = data_files(spark, home)
-    _write_note(spark, note, folder, before, [])
-    expected = 0
-    if mixed or keep_schema:
-        columns = [c for c in _read(spark, path, mixed or old).columns if c not in parts]
-        kept = retain(_read(spark, path, mixed or old, schema), pred).select(*map(col, columns))
-        kept = kept if mixed else kept.limit(0)
-        expected = sum(totals[n] - matches[n] for n in matches)
-        kept.write.options(**_codec(spark, old[0])).mode("append").parquet(home)
-    new = sorted(set(data_files(spark, home)) - set(before))
-    written = sum(_counts_by_file(spark.read.parquet(*[f"{home}/{n}" for n in new])).values()) if new else 0
-    if written != expected:
-        _undo(spark, note, home, before)
-        raise RuntimeError(f"{path}: {expected} rows should stay, {written} were written")
-    _write_note(spark, note, folder, before, sorted(matches))
-    _finish(spark, note, home, sorted(matches))
-
-
-def _write_note(spark: SparkSession, note: str, folder: str, before: list[str], old: list[str]) -> None:
-    """Which files a folder had and, once the new ones are counted, which of them go."""
-    write_small_text(spark, note, json.dumps({"folder": folder, "before": before, "old": old}))
-
-
-def _notes(spark: SparkSession, path: str) -> list[str]:
-    found = file_system(spark, path).globStatus(hadoop_path(spark, path, NOTE + "*"))
-    return sorted(f.getPath().toString() for f in found or [])
-
-
-def _remove(spark: SparkSession, home: str, names: Iterable[str]) -> None:
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        list(pool.map(lambda n: delete(spark, f"{home}/{n}"), names))
-
-
-def _finish(spark: SparkSession, note: str, home: str, old: list[str]) -> None:
-    _remove(spark, home, old)
-    delete(spark, note)
-
-
-def _undo(spark: SparkSession, note: str, home: str, before: list[str]) -> None:
-    _remove(spark, home, ["_temporary", *sorted(set(data_files(spark, home)) - set(before))])
-    delete(spark, note)
+    """Copy what stays of the folders; the list of folders, written last, says that the copy is whole."""
+    base, staged = qualified(spark, path), _staged(spark, path)
+    parts = _partitions(folders[0][0])
+    data = [c for c in schema.names if c not in parts]
+    raw = spark.read.option("basePath", base).schema(_texts(schema, parts))
+    raw = raw.parquet(*[f"{base}/{folder}".rstrip("/") for folder, _ in folders])
+    written = {p: f"{p} as written" for p in parts}
+    typed = raw.select(
+        *[col(f.name).cast(f.dataType).alias(f.name) if f.name in parts else col(f.name) for f in schema],
+        *[col(p).alias(name) for p, name in written.items()],
+    )
+    kept = retain(typed, pred).select(*map(col, data), *[col(name).alias(p) for p, name in written.items()])
+    kept.select(*map(col, data)).limit(0).write.options(**options).parquet(f"{staged}/schema")
+    expected, found = sum(n for _, n in folders), 0
+    if expected:
+        seen = Observation()
+        counted = kept.observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.options(**options).partitionBy(*parts).parquet(f"{staged}/rows")
+        found = seen.get["n"]
+    if found != expected:
+        delete(spark, staged)
+        raise RuntimeError(f"{path}: {expected} rows should stay, {found} were written")
+    rows = [(folder, n, emptied and not i) for i, (folder, n) in enumerate(folders)]
+    spark.createDataFrame(rows, FOLDERS).coalesce(1).write.parquet(f"{staged}/folders")
+
+
+def _replace(spark: SparkSession, path: str) -> None:
+    """Put a whole copy in its folders' place. It may be run again after it stopped."""
+    base, staged = qualified(spark, path), _staged(spark, path)
+    folders = spark.read.schema(FOLDERS).parquet(f"{staged}/folders").collect()
+    parts = _partitions(folders[0].folder)
+    if any(f.n_kept for f in folders):
+        schema = spark.read.parquet(f"{staged}/rows").schema
+        rows = spark.read.schema(_texts(schema, parts)).parquet(f"{staged}/rows")
+        file = unquote(rows.select("_metadata.file_path").first()[0])
+        writer = rows.write.options(**_codec(spark, file)).mode("overwrite")
+        if parts:
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+        writer.parquet(base)
+    for f in folders:
+        home = f"{base}/{f.folder}".rstrip("/")
+        if f.keep_schema:
+            spark.read.parquet(f"{staged}/schema").write.mode("overwrite").parquet(home)
+        elif not f.n_kept:
+            delete(spark, home)
+    delete(spark, staged)
+
+
+def finish_delete(spark: SparkSession, path: str) -> bool:
+    """Complete a delete that stopped while it replaced folders; one that stopped before is dropped.
+
+    Returns whether there was one to complete.
+    """
+    staged = _staged(spark, path)
+    if exists(spark, f"{staged}/folders/_SUCCESS"):
+        _replace(spark, path)
+        return True
+    if exists(spark, staged):
+        delete(spark, staged)
+    return False
 
 
 def _codec(spark: SparkSession, file: str) -> dict[str, str]:
@@ -171,26 +193,6 @@ def _codec(spark: SparkSession, file: str) -> dict[str, str]:
         reader.close()
 
 
-def roll_back(spark: SparkSession, path: str) -> int:
-    """Undo what a stopped delete left unfinished in a folder; returns how many were undone.
-
-    Where the new files were already counted, the old ones go instead.
-    """
-    undone = 0
-    for note in _notes(spark, path):
-        left = json.loads(read_small_text(spark, note) or "{}")
-        if not left:  # stopped before the note was written: nothing else was
-            delete(spark, note)
-            continue
-        home = f"{qualified(spark, path)}/{left['folder']}".rstrip("/")
-        if left["old"]:
-            _finish(spark, note, home, left["old"])
-        else:
-            _undo(spark, note, home, left["before"])
-            undone += 1
-    return undone
-
-
 def delete_many(
     spark: SparkSession, specs: Iterable[DeleteSpec], parallel: int = 4
 ) -> DataFrame:
@@ -202,7 +204,7 @@ def delete_many(
     def run(spec: DeleteSpec) -> tuple[str, int | None, str, str]:
         spark.sparkContext.setJobDescription(f"delete from {spec.table}")
         try:
-            n = delete_from(spark, spec.path, spec.pred, spec.real_delete)
+            n = delete_from(spark, spec.path, spec.pred, spec.real_delete, spec.schema)
             return spec.table, n, "ok", ""
         except Exception as e:
             message = str(e).strip().splitlines() or [type(e).__name__]

@@ -11,6 +11,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from tablehaul.plans.report import export_details, export_summary
 from tablehaul.sinks.layout import marker_uri, trigger_uri, write_marker, write_trigger
 from tablehaul.sinks.writers import format_name, write_table, written_records
 from tablehaul.sources.files import data_files, delete, exists, qualified
-from tablehaul.sources.scan import key_columns, scan_dir, scan_table, with_keys
+from tablehaul.sources.scan import key_columns, listed_files, scan_dir, scan_table, with_keys
 from tablehaul.specs import ExportSpec
 
 RESULT_SCHEMA = (
@@ -56,8 +57,8 @@ def source_frame(spark: SparkSession, spec: ExportSpec) -> DataFrame:
     if isinstance(spec.source, DataFrame):
         return spec.source
     if spec.file_suffix is not None:
-        return scan_dir(spark, spec.source, spec.file_suffix)
-    return scan_table(spark, spec.source)
+        return scan_dir(spark, spec.source, spec.file_suffix, spec.schema)
+    return scan_table(spark, spec.source, schema=spec.schema)
 
 
 def _selected(spark: SparkSession, spec: ExportSpec) -> DataFrame:
@@ -197,11 +198,12 @@ def _verify_only(spark: SparkSession, spec: ExportSpec, result: _Result) -> _Res
     df = source_frame(spark, spec)
     check_columns(df, spec.declared_columns)
     result.keys = ",".join(key_columns(df))
-    row = export_summary(export_details(df, spec.table)).first()
+    files = listed_files(spark, spec.source, spec.file_suffix) if isinstance(spec.source, str) else None
+    row = export_summary(export_details(df, spec.table, files=files)).first()
     result.n_read = result.n_written = row.n_rows if row else 0
-    if row is None:
+    if not result.n_read:
         result.status = "empty"
-    else:
+    if row is not None:
         result.n_files, result.size_bytes = row.n_files, row.size_bytes
         result.size_mb = row.size_mb
     _judge(result, spec, {})
@@ -225,6 +227,18 @@ def null_rows(spark: SparkSession, spec: ExportSpec) -> DataFrame:
     return null_cell_rows(df, key_columns(df))
 
 
+def source_folders(df: DataFrame) -> set[str]:
+    """The folders whose files a frame reads: a row for each reaches the driver, whatever its files.
+
+    A join or an aggregate does not tell its rows' files; there the plan's files are asked for.
+    """
+    try:
+        folder = df.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+    except AnalysisException:
+        return {f.rpartition("/")[0] for f in df.inputFiles()}
+    return {r["folder"] for r in folder.distinct().collect()}
+
+
 def _check_paths(spark: SparkSession, specs: list[ExportSpec]) -> None:
     """Before anything is written: every source is there, and no target touches a source or
     another target."""
@@ -241,7 +255,7 @@ def _check_paths(spark: SparkSession, specs: list[ExportSpec]) -> None:
     # A frame's input files are checked against every target, its own and those of others.
     for s in specs:
         if isinstance(s.source, DataFrame):
-            folders = {f.rpartition("/")[0] for f in s.source.inputFiles()}
+            folders = source_folders(s.source)
             for folder in sorted(qualified(spark, unquote(f)) + "/" for f in folders):
                 if any(folder.startswith(t) for t in targets):
                     raise ValueError(f"{s.table} is read from a target, {folder}")

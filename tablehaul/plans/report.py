@@ -30,12 +30,17 @@ def delete_counts(tables: dict[str, tuple[DataFrame, Pred | Column]]) -> DataFra
 
 
 def export_details(
-    df: DataFrame, table: str, target: str | None = None, cost_ms: int | None = None
+    df: DataFrame,
+    table: str,
+    target: str | None = None,
+    cost_ms: int | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """One row per file behind ``df``, a scan of an export. ``cost_ms`` is the table's write
-    time: Spark writes files side by side, so a file has none of its own."""
+    time: Spark writes files side by side, so a file has none of its own and each repeats the table's.
+    ``files`` lists those without rows too."""
     cost = F.lit(cost_ms).cast("long")
-    return file_row_counts(df).select(
+    return file_row_counts(df, files).select(
         F.lit(table).alias("table_name"),
         "file_path",
         F.lit(target).alias("target_path"),

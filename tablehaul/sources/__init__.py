@@ -5,6 +5,7 @@ from tablehaul.sources.scan import (
     is_empty,
     key_columns,
     leaf_columns,
+    listed_files,
     leaf_paths,
     row_count,
     scan_dir,
@@ -17,6 +18,7 @@ __all__ = [
     "is_empty",
     "key_columns",
     "leaf_columns",
+    "listed_files",
     "leaf_paths",
     "row_count",
     "scan_dir",

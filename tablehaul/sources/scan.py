@@ -65,6 +65,12 @@ def scan_dir(
     starts with ``_`` or ``.``. Sub-folders are not read, not even ``key=value`` ones. Columns are those of
     all the files, as in ``scan_table``.
     """
+    paths, options = _dir_paths(spark, path, suffix)
+    return merged(spark, path, schema).options(**options).parquet(*paths)
+
+
+def _dir_paths(spark: SparkSession, path: str, suffix: str) -> tuple[list[str], dict[str, str]]:
+    """What ``scan_dir`` gives a reader to read, and with which options."""
     fs = file_system(spark, path)
     glob = suffix_glob(suffix)
     found = [f for f in fs.globStatus(hadoop_path(spark, path, glob)) or [] if f.isFile()]
@@ -75,10 +81,19 @@ def scan_dir(
     )
     if hidden:
         raise ValueError(f"readers skip these files of {path}: {', '.join(hidden)}")
-    reader = merged(spark, path, schema)
     if fs.globStatus(hadoop_path(spark, path, "*=*")):
-        return reader.parquet(*[f.getPath().toString() for f in found])
-    return reader.option("pathGlobFilter", glob).parquet(path)
+        return [f.getPath().toString() for f in found], {}
+    return [path], {"pathGlobFilter": glob}
+
+
+def listed_files(spark: SparkSession, path: str, suffix: str | None = None) -> DataFrame:
+    """``(file_path, size_bytes)`` of the files behind ``scan_table`` or, with ``suffix``, ``scan_dir``.
+
+    They come from the listing, those without rows too; no content is read.
+    """
+    paths, options = ([path], {}) if suffix is None else _dir_paths(spark, path, suffix)
+    files = spark.read.format("binaryFile").options(**options).load(paths)
+    return files.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("size_bytes"))
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -90,15 +105,20 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
-def file_row_counts(df: DataFrame) -> DataFrame:
-    """``(file_path, n_rows, size_bytes)`` for each file behind a scan that has rows.
+def file_row_counts(df: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """``(file_path, n_rows, size_bytes)`` for each file behind a scan.
 
-    Counts are partial per task before the shuffle, and no column is read.
+    Counts are partial per task before the shuffle, and no column is read. A scan shows no file without
+    rows; ``files`` from ``listed_files`` adds those.
     """
-    return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+    counts = df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.max("_metadata.file_size").alias("size_bytes"),
     )
+    if files is None:
+        return counts
+    n_rows = F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows")
+    return files.join(counts.drop("size_bytes"), "file_path", "left").select("file_path", n_rows, "size_bytes")
 
 
 def leaf_paths(df: DataFrame) -> list[list[str]]:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from tablehaul.names import DUMP_SYSTEM_COLUMNS, SYSTEM_COLUMNS
 from tablehaul.operators.predicates import Pred, matches_all
@@ -23,7 +24,8 @@ class ExportSpec:
     dumped files. ``system_columns`` are those ``skip_system`` drops, unset the usual ones and for
     dumped files the row key too. ``values`` is ``text``, ``binary`` (UTF-8 bytes) or ``typed``.
     ``null_cells`` is ``ignore``, ``warn`` or ``fail``; unset it warns for Parquet and Avro.
-    ``convert=False`` only counts the source.
+    ``convert=False`` only counts the source. ``schema`` names the source's columns and saves the
+    look at every footer.
     """
 
     table: str
@@ -58,6 +60,7 @@ class ExportSpec:
     trigger_prefix: str | None = None
     name_prefix: str = ""
     name_stamp: str = ""
+    schema: StructType | None = None
 
     def __post_init__(self):
         format_name(self.format)
@@ -93,7 +96,7 @@ class ExportSpec:
 @dataclass(frozen=True)
 class DeleteSpec:
     """One table's retention delete. ``delete_days`` takes the place of ``where``; with neither,
-    or with a match-all ``where``, every row goes."""
+    or with a match-all ``where``, every row goes. ``schema`` names all of the table's columns."""
 
     table: str
     path: str
@@ -101,6 +104,7 @@ class DeleteSpec:
     delete_days: int | None = None
     now: datetime | None = None
     real_delete: bool = True
+    schema: StructType | None = None
 
     def __post_init__(self):
         if self.delete_days is not None and self.now is None:

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablehaul import delete_specs
-from tablehaul.plans import delete, delete_from, delete_many, roll_back
+from tablehaul.plans import delete, delete_from, delete_many, finish_delete
 from tablehaul.specs import DeleteSpec
 from tests.conftest import SF, table
 
@@ -41,16 +41,27 @@ def test_deleted_and_kept_make_the_whole(spark, lineitem):
     assert not [p for p in Path(lineitem).iterdir() if p.is_dir()]
 
 
-def test_only_files_with_matches_change(spark, lineitem):
-    old = names(lineitem)
-    low, high = spark.read.parquet(lineitem).agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
-    cut = low + (high - low) // 4
-    left = rows(spark.read.parquet(lineitem).where(f"l_orderkey > {cut}"))
-    delete_from(spark, lineitem, ("l_orderkey", "<=", cut))
-    new = names(lineitem)
-    # One file goes as a whole, one is rewritten, four are not touched.
-    assert len(old & new) == 4 and len(new - old) == 1
-    assert rows(spark.read.parquet(lineitem)) == left
+def test_only_folders_with_matches_change(spark, uri):
+    df = table(spark, "lineitem").repartitionByRange(4, "l_orderkey")
+    df.write.partitionBy("l_returnflag", "l_linestatus").parquet(uri("t"))
+    old = names(uri("t"))
+    kept = {p.name for p in Path(uri("t"), "l_returnflag=N").rglob("*.parquet")}
+    want = rows(spark.read.parquet(uri("t")).where("NOT (l_returnflag = 'A' OR (l_returnflag = 'R' AND l_quantity > 20))"))
+    pred = ("or", ("l_returnflag", "=", "A"), ("and", ("l_returnflag", "=", "R"), ("l_quantity", ">", 20)))
+    delete_from(spark, uri("t"), pred)
+    # One folder goes as a whole, one is replaced, one is not touched.
+    assert not Path(uri("t"), "l_returnflag=A").exists() or not names(Path(uri("t"), "l_returnflag=A"))
+    assert names(uri("t")) & old == kept
+    assert rows(spark.read.parquet(uri("t"))) == want
+    assert not Path(uri("t")).with_name("_t_delete").exists()
+
+
+def test_a_schema_must_have_every_column(spark, lineitem):
+    schema = spark.read.parquet(lineitem).schema
+    with pytest.raises(ValueError, match="l_tax"):
+        delete_from(spark, lineitem, ("l_orderkey", "<", 9), schema=type(schema)([f for f in schema if f.name != "l_tax"]))
+    assert spark.read.parquet(lineitem).count() == 6000
+    assert delete_from(spark, lineitem, ("l_orderkey", "<", 9), schema=schema) > 0
 
 
 def test_nothing_to_delete_changes_nothing(spark, lineitem):
@@ -133,41 +144,37 @@ def test_failed_write_leaves_the_table_as_it_was(spark, lineitem, monkeypatch):
     assert rows(spark.read.parquet(lineitem)) == before
 
 
-@pytest.mark.parametrize("stop_at", ["write", "count", "first old file", "last old file"])
-def test_roll_back_after_a_stop(spark, lineitem, monkeypatch, stop_at):
-    """Before the new files are counted all is undone, afterwards the delete is finished."""
-    before = rows(spark.read.parquet(lineitem))
-    want = [r for r in before if r[4] is None or r[4] <= 40]
-    remove, note = delete._remove, delete._write_note
+@pytest.mark.parametrize("partitions", [(), ("l_returnflag",)])
+@pytest.mark.parametrize("stop_at", ["copy", "replace", "midway"])
+def test_an_interrupted_delete_is_finished_or_dropped(spark, uri, monkeypatch, stop_at, partitions):
+    """Before the copy is whole nothing has changed; afterwards the delete can be completed, however often it stops."""
+    table(spark, "lineitem").repartition(3).write.partitionBy(*partitions).parquet(uri("t"))
+    pred = ("or", ("l_returnflag", "=", "A"), ("l_quantity", ">", 40))
+    before = spark.read.parquet(uri("t"))
+    untouched = rows(before)
+    want = rows(before.where("NOT (l_returnflag = 'A' OR l_quantity > 40)"))
 
     def stop(*_):
+        if stop_at == "midway":  # the overwrite has removed files and written none
+            for p in list(Path(uri("t")).rglob("*.parquet"))[:2]:
+                p.unlink()
         raise OSError("the driver is gone")
 
-    def removing(spark_, home, names):
-        names = list(names)
-        remove(spark_, home, names[:1] if stop_at == "first old file" else names[:-1])
-        stop()
-
-    def noting(spark_, *args):
-        if args[-1] and stop_at == "count":
-            stop()
-        note(spark_, *args)
-
     with monkeypatch.context() as m:
-        m.setattr(delete, "_write_note", noting)
-        if stop_at == "write":
-            m.setattr(delete, "retain", stop)
-        elif stop_at != "count":
-            m.setattr(delete, "_remove", removing)
+        m.setattr(delete, "retain" if stop_at == "copy" else "_replace", stop)
         with pytest.raises(OSError):
-            delete_from(spark, lineitem, ("l_quantity", ">", 40))
-    with pytest.raises(RuntimeError, match="unfinished"):
-        delete_from(spark, lineitem, ("l_quantity", ">", 40))
-    undone = stop_at in ("write", "count")
-    assert roll_back(spark, lineitem) == int(undone)
-    assert rows(spark.read.parquet(lineitem)) == (before if undone else sorted(want, key=repr))
-    assert roll_back(spark, lineitem) == 0
-    assert (delete_from(spark, lineitem, ("l_quantity", ">", 40)) > 0) == undone
+            delete_from(spark, uri("t"), pred)
+        if stop_at != "copy":
+            with pytest.raises(OSError):
+                finish_delete(spark, uri("t"))
+    if stop_at == "copy":
+        assert rows(spark.read.parquet(uri("t"))) == untouched
+    else:
+        with pytest.raises(RuntimeError, match="unfinished"):
+            delete_from(spark, uri("t"), pred)
+    assert finish_delete(spark, uri("t")) == (stop_at != "copy")
+    assert rows(spark.read.parquet(uri("t"))) == (untouched if stop_at == "copy" else want)
+    assert not finish_delete(spark, uri("t"))
 
 
 def test_a_table_of_many_small_files(spark, uri):

@@ -1,8 +1,10 @@
+import os
 from dataclasses import replace
 from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablehaul import ExportSpec, export_specs
 from tablehaul.plans import export_frame, export_tables
@@ -276,3 +278,31 @@ def test_time_columns_count_days_back(spark, uri):
     assert run(spark, spec)["orders"].status == "ok"
     want = table(spark, "orders").where("o_orderdate >= TIMESTAMP_NTZ '1998-12-11'").count()
     assert spark.read.parquet(spec.target).count() == want > 0
+
+
+def test_source_folders_of_many_files(spark, uri):
+    """Ten thousand files, one row per folder on the driver."""
+    from tablehaul.plans.export import source_folders
+
+    first = table(spark, "region").coalesce(1)
+    first.write.parquet(uri("many/a"))
+    seed = next(Path(uri("many/a")).glob("*.parquet"))
+    for folder, n in (("a", 9_000), ("b", 1_000)):
+        Path(uri(f"many/{folder}")).mkdir(exist_ok=True)
+        for i in range(n):
+            os.link(seed, Path(uri(f"many/{folder}")) / f"part-{i:05d}.parquet")
+    df = spark.read.schema(first.schema).parquet(uri("many/a"), uri("many/b")).withColumn("x", F.lit(1))
+    found = source_folders(df)
+    assert {f.rpartition("/")[2] for f in found} == {"a", "b"}
+    assert source_folders(first.groupBy("r_name").count()) and not source_folders(spark.range(3))
+
+
+def test_verify_only_counts_files_without_rows(spark, uri):
+    nation = table(spark, "nation").coalesce(1)
+    nation.write.parquet(uri("t"))
+    nation.limit(0).write.mode("append").parquet(uri("t"))
+    report = export_tables(spark, [ExportSpec("t", uri("t"), convert=False)]).first()
+    assert (report.n_read, report.n_files, report.status) == (25, 2, "ok")
+    nation.limit(0).write.parquet(uri("none"))
+    report = export_tables(spark, [ExportSpec("t", uri("none"), convert=False)]).first()
+    assert (report.n_read, report.n_files, report.status) == (0, 1, "empty")

@@ -60,3 +60,14 @@ def test_entry_without_the_optional_subpackage():
     )
     root = Path(entry_module.__file__).parent
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
+@pytest.mark.parametrize("absent", ["zstandard", "xxhash", "public_tokenizers", "corpus_pipeline"])
+def test_entry_without_an_optional_library(absent):
+    code = (
+        f"import sys; sys.modules[{absent!r}] = None\n"
+        "import __spark_entry__ as e\n"
+        "assert len([q for q in e.queries() if not q.startswith('op') and q != 'pipeline']) > 70"
+    )
+    root = Path(entry_module.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

@@ -176,3 +176,27 @@ def test_dates_against_times(spark):
     noon = datetime(2024, 1, 31, 12)
     counts = {op: df.where(predicate(("d", op, noon), df.schema)).count() for op in ("=", ">", ">=", "<", "<=")}
     assert counts == {"=": 0, ">": 1, ">=": 1, "<": 1, "<=": 1}
+
+
+DAYS = [None, *[date(2024, 1, d) for d in (1, 2, 3)]]
+
+
+@pytest.mark.parametrize("op", list(OPS))
+@pytest.mark.parametrize(
+    "text", ["2024-01-02", " 2024-01-02 ", "2024-01-02 00:00:00", "2024-01-02 12:00:00", "2024-01-02T00:00:00.001", "2024-01-02 23:59"]
+)
+def test_texts_on_dates_are_moments(spark, op, text):
+    """A date is its midnight, as for a datetime of the same text; kept and matching rows make the whole."""
+    df = spark.createDataFrame([(d,) for d in DAYS], "d date")
+    moment = datetime.fromisoformat(text.strip())
+    want = {d for d in DAYS if d and OPS[op](datetime(d.year, d.month, d.day), moment)}
+    for value in (text, moment):
+        pred = ("d", op, value)
+        assert {r.d for r in df.where(predicate(pred, df.schema)).collect()} == want
+        assert {r.d for r in retain(df, pred).collect()} == set(DAYS) - want
+
+
+def test_a_text_with_a_zone_is_no_date(spark):
+    df = spark.createDataFrame([(DAYS[1],)], "d date")
+    with pytest.raises(ValueError, match="zone"):
+        predicate(("d", "<", "2024-01-01 12:00:00+02:00"), df.schema)

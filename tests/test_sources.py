@@ -6,6 +6,7 @@ from tablehaul.sources import (
     file_row_counts,
     is_empty,
     key_columns,
+    listed_files,
     row_count,
     scan_dir,
     scan_table,
@@ -108,3 +109,34 @@ def test_local_temporary_folder_on_a_cluster_is_refused():
     with pytest.raises(RuntimeError, match="temporary folder"):
         shared_folder(FakeSession("yarn", "file:///tmp/x"))
     assert shared_folder(FakeSession("yarn", "file:///mnt/x")).startswith("file:///mnt/x/")
+
+
+@pytest.mark.parametrize("partitions", [(), ("n_regionkey",)])
+def test_files_without_rows_are_counted(spark, uri, partitions):
+    nation = table(spark, "nation").coalesce(1)
+    path = uri("a b%é")
+    nation.write.partitionBy(*partitions).parquet(path)
+    home = f"{path}/n_regionkey=3" if partitions else path
+    nation.drop(*partitions).limit(0).write.mode("append").parquet(home)
+    df = scan_table(spark, path)
+    found = file_row_counts(df, listed_files(spark, path))
+    assert read_schema(found) == "struct<>"
+    rows = found.collect()
+    assert sorted(r.n_rows for r in rows) == ([0, 5, 5, 5, 5, 5] if partitions else [0, 25])
+    assert all(r.size_bytes > 0 and r.file_path.endswith(".parquet") for r in rows)
+    assert file_row_counts(df).count() == len(rows) - 1
+
+
+def test_listed_files_of_a_suffix(spark, folder):
+    nation = table(spark, "nation")
+    nation.limit(0).coalesce(1).write.parquet(str(folder / "made"))
+    empty = next((folder / "made").glob("*.parquet"))
+    shutil.copy(empty, folder / "three.parquet")
+    shutil.rmtree(folder / "made")
+    for _ in range(2):
+        found = file_row_counts(scan_dir(spark, str(folder)), listed_files(spark, str(folder), ".parquet"))
+        assert sorted((r.file_path.rpartition("/")[2], r.n_rows) for r in found.collect()) == [
+            ("TWO.Parquet", 25), ("one.parquet", 25), ("three.parquet", 0)
+        ]
+        (folder / "p=1").mkdir(exist_ok=True)
+        shutil.copy(f"{SF}/nation.parquet", folder / "p=1" / "y.parquet")
