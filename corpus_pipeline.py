@@ -1,13 +1,13 @@
 """A corpus made ready for training, stage by stage.
 
 Each stage takes all rows the one before it kept, and its decisions take effect. What a stage
-returns is written to the shared folder and read again as the next stage's documents. All but
-the last keep the columns of documents, extra ones included.
+returns is written to the shared folder and read again as the next stage's documents; once that
+stage is written, the one before it is removed. All but the last keep the columns of documents, extra ones included.
 
 Defined results: null, empty and wordless texts have no letter, so the first stage rejects
 them. Equal texts keep one row (largest id), near duplicates one row (smallest id), and the mix
-may take a row twice or not at all. Rows that agree in id and text are one document. An empty
-table gives no rows.
+may take a row twice or not at all. Rows that agree in id and text are one document. Texts of any
+length pass whole through every stage. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablehaul.llm.common import documents, durable
+from tablehaul.llm.common import documents
 from tablehaul.llm.exact_dedup import without_copies
 from tablehaul.llm.language_id import identified
 from tablehaul.llm.mixing import mixture
 from tablehaul.llm.sentence_pieces import encoded
 from tablehaul.llm.simhash import without_near_duplicates
+from tablehaul.sources.files import delete, fresh_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +64,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for i, (_, stage) in enumerate(STAGES):
-        docs = durable(stage(spark, docs, sf_dir), f"stage-{i}")
+        made, uri = stage(spark, docs, sf_dir), fresh_folder(spark, f"stage-{i}")
+        made.write.parquet(uri)
+        docs = spark.read.schema(made.schema).parquet(uri)
+        if before is not None:
+            delete(spark, before)
+        before = uri
     return docs
