@@ -24,7 +24,7 @@ from tablehaul.sources.files import delete, exists, hadoop_path, qualified
 from tablehaul.sources.scan import scan_table
 from tablehaul.specs import DeleteSpec
 
-FOLDERS = "folder string, n_kept long, keep_schema boolean"
+FOLDERS = "folder string, n_kept long, keep_schema boolean, compression string"
 
 
 def delete_from(
@@ -128,7 +128,8 @@ def _stage(
         *[col(p).alias(name) for p, name in written.items()],
     )
     kept = retain(typed, pred).select(*map(col, data), *[col(name).alias(p) for p, name in written.items()])
-    kept.select(*map(col, data)).limit(0).write.options(**options).parquet(f"{staged}/schema")
+    if emptied:
+        kept.select(*map(col, data)).limit(0).write.options(**options).parquet(f"{staged}/schema")
     expected, found = sum(n for _, n in folders), 0
     if expected:
         seen = Observation()
@@ -138,7 +139,8 @@ def _stage(
     if found != expected:
         delete(spark, staged)
         raise RuntimeError(f"{path}: {expected} rows should stay, {found} were written")
-    rows = [(folder, n, emptied and not i) for i, (folder, n) in enumerate(folders)]
+    codec = options.get("compression")
+    rows = [(folder, n, emptied and not i, codec) for i, (folder, n) in enumerate(folders)]
     spark.createDataFrame(rows, FOLDERS).coalesce(1).write.parquet(f"{staged}/folders")
 
 
@@ -150,8 +152,9 @@ def _replace(spark: SparkSession, path: str) -> None:
     if any(f.n_kept for f in folders):
         schema = spark.read.parquet(f"{staged}/rows").schema
         rows = spark.read.schema(_texts(schema, parts)).parquet(f"{staged}/rows")
-        file = unquote(rows.select("_metadata.file_path").first()[0])
-        writer = rows.write.options(**_codec(spark, file)).mode("overwrite")
+        writer = rows.write.mode("overwrite")
+        if folders[0].compression:
+            writer = writer.option("compression", folders[0].compression)
         if parts:
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
         writer.parquet(base)
