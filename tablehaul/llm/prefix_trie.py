@@ -281,24 +281,44 @@ def _blocks(turns: DataFrame, convs: DataFrame, step: int) -> DataFrame:
 
 
 def _cuts(blocks: DataFrame) -> DataFrame:
-    """Blocks of long conversations with group and next_group, which name the turns before and up to their end."""
+    """Blocks of long conversations with group and next_group, which name the turns before and up to their end.
+
+    A name is the exclusive or of the hashes of the blocks it covers. The blocks are dealt out by range, so that a conversation,
+    however long, lies in as many chunks as it fills; the chunks' own names, a row each, say where the next one begins.
+    """
     digest = F.sha2(F.concat(F.col("block").cast("string"), F.lit(":"), F.col("path")).cast("binary"), 256)
-    half = lambda at: F.conv(F.substring(digest, at, 16), 16, -10).cast("long")
-    halves = blocks.withColumn("high", half(1)).withColumn("low", half(17))
-    order = Window.partitionBy("conv").orderBy("block")
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    halves = ("high", "low")
+    hashed = blocks.select(
+        "*", *[F.conv(F.substring(digest, at, 16), 16, -10).cast("long").alias(c) for c, at in zip(halves, (1, 17), strict=True)]
+    )
+    dealt = durable(
+        hashed.repartitionByRange("conv", "block").withColumn("chunk", F.spark_partition_id()), "trie-hashed"
+    )
+    zero = F.lit(0).cast("long")
 
-    def name(high: Column, low: Column) -> Column:
-        return F.concat(F.lpad(F.hex(high), 16, "0"), F.lpad(F.hex(low), 16, "0"))
+    def before(c: str, order) -> Column:
+        return F.coalesce(F.bit_xor(c).over(order.rowsBetween(Window.unboundedPreceding, -1)), zero)
+
+    chunks = dealt.groupBy("conv", "chunk").agg(*[F.bit_xor(c).alias(c) for c in halves], F.max("block").alias("last"))
+    of_conv = Window.partitionBy("conv")
+    chunks = durable(
+        chunks.select(
+            "conv", "chunk", F.max("last").over(of_conv).alias("last"),
+            *[before(c, of_conv.orderBy("chunk")).alias(f"{c}_of_chunk") for c in halves],
+        ),
+        "trie-chunks",
+    )
+    inside = Window.partitionBy("conv", "chunk").orderBy("block")
+    cuts = dealt.select("*", *[before(c, inside).alias(f"{c}_inside") for c in halves]).join(chunks, ["conv", "chunk"])
+
+    def name(*parts: str) -> Column:
+        both = [reduce(Column.bitwiseXOR, [F.col(f"{c}{part}") for part in parts]) for c in halves]
+        return F.concat(*[F.lpad(F.hex(c), 16, "0") for c in both])
 
-    before = [F.coalesce(F.bit_xor(c).over(earlier), F.lit(0).cast("long")) for c in ("high", "low")]
-    cuts = halves.select(
-        "*", before[0].alias("high0"), before[1].alias("low0"), F.lead("block").over(order).isNull().alias("ends")
-    )
     return cuts.select(
-        "conv", "block", "path", "lens", "ends",
-        name(F.col("high0"), F.col("low0")).alias("group"),
-        name(F.col("high0").bitwiseXOR(F.col("high")), F.col("low0").bitwiseXOR(F.col("low"))).alias("next_group"),
+        "conv", "block", "path", "lens", (F.col("block") == F.col("last")).alias("ends"),
+        name("_of_chunk", "_inside").alias("group"),
+        name("_of_chunk", "_inside", "").alias("next_group"),
     )
 
 

@@ -15,7 +15,8 @@ of it, so the links grow with the members and none is lost.
 
 Defined results: null and wordless texts have fingerprint zero and link like any other; texts of
 one or two words have one shingle. A component's id is its smallest id (null if all are null).
-Repeated rows share a fingerprint. An empty table gives no rows; other columns are not read.
+Repeated rows share a fingerprint. Texts of any length are hashed whole. An empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ splits by PATTERN. Its added tokens are cut out of the texts first, as the libra
 default. Nothing is added, truncated or padded. The library's model does the merges of the rest.
 
 Defined results: a null text counts as empty and has no tokens; texts of any length are counted
-whole; rows are counted each for itself, so repeated rows and other columns do not matter.
+whole; rows are counted each for itself, so repeated rows and other columns do not matter. An empty
+table gives no rows.
 """
 
 from __future__ import annotations

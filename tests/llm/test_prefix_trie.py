@@ -124,3 +124,28 @@ def test_ranks_run_on_over_chunks(spark):
         mine = sorted((r["rank"], r["o"] is not None, r["o"]) for r in found if r["g"] == g)
         assert [m[0] for m in mine] == list(range(1, len(mine) + 1))
         assert [m[1:] for m in mine] == sorted((m[1:] for m in mine), key=lambda m: (m[0], m[1] or 0))
+
+
+def test_names_of_cuts_run_on_over_chunks(spark):
+    """A conversation that fills several chunks gets the names that one pass over it gives."""
+    rng = random.Random(5)
+    lengths = {1: 400, 2: 400, 3: 2}
+    paths = {(c, b): "".join(rng.choices("0123456789ABCDEF", k=64)) for c in lengths for b in range(lengths[c])}
+    paths |= {(2, b): paths[1, b] for b in range(300)}
+    rows = [(c, b, p, [1, 2]) for (c, b), p in paths.items()]
+    rng.shuffle(rows)
+    blocks = spark.createDataFrame(rows, "conv bigint, block int, path string, lens array<bigint>").repartition(4)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would join the small chunks
+    try:
+        found = {(r["conv"], r["block"]): r for r in P._cuts(blocks).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(found) == len(rows)
+    for c, n in lengths.items():
+        name = 0
+        for b in range(n):
+            r = found[c, b]
+            assert r["group"] == f"{name:032X}"
+            name ^= int(hashlib.sha256(f"{b}:{paths[c, b]}".encode()).hexdigest()[:32], 16)
+            assert (r["next_group"], r["ends"], r["path"]) == (f"{name:032X}", b == n - 1, paths[c, b])
