@@ -1,8 +1,8 @@
 """Retention deletes on Parquet directories.
 
 Folders (the table's own, or those of its partitions) that hold no row to delete are left alone. The
-others are replaced: the rows that stay are written beside the table and counted, then Spark
-overwrites these folders with that copy. Which folders change comes from a join of two counts per
+others are replaced: the rows that stay are written beside the table and counted, then each folder
+gives way to its copy. Which folders change comes from a join of two counts per
 folder, so the driver holds one row per changed folder and never a list of files.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from hashlib import md5
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
@@ -20,11 +22,28 @@ from pyspark.sql import types as T
 from tablehaul.names import col
 from tablehaul.operators.predicates import Pred
 from tablehaul.operators.retention import removed, retain
-from tablehaul.sources.files import delete, exists, hadoop_path, qualified
+from tablehaul.sources.files import delete, exists, file_system, hadoop_path, qualified
 from tablehaul.sources.scan import scan_table
 from tablehaul.specs import DeleteSpec
 
-FOLDERS = "folder string, n_kept long, keep_schema boolean, compression string"
+#: File systems that rename a folder in one step; elsewhere Spark overwrites it from the copy.
+RENAMES = ("file", "hdfs", "abfs", "abfss")
+#: A folder below the table, its copy below the staged folder (null where nothing stays) and the codec of its files.
+REPLACED = "folder string, copy string, compression string"
+
+
+class Changed(NamedTuple):
+    """A folder with matches: where it lies below the table, its URI, one of its files, and its rows."""
+
+    folder: str
+    uri: str
+    file: str
+    n_match: int
+    n_rows: int
+
+    @property
+    def n_kept(self) -> int:
+        return self.n_rows - self.n_match
 
 
 def delete_from(
@@ -40,10 +59,10 @@ def delete_from(
     ``real_delete=False`` rows are only counted. ``schema`` names all of the table's columns and
     saves the look at every footer.
 
-    The rows that stay in folders with matches are copied beside the table, and Spark's own
-    overwrite puts the copy in these folders' place; partitions overwrite only themselves. A
-    run that stops before the copy is whole has changed nothing, later ``finish_delete`` completes it. While a
-    folder is replaced readers may miss its rows, and no other job may write the table.
+    The rows that stay in folders with matches are copied beside the table, and each copy takes its
+    folder's place, by a rename where the store has one. A run that stops before the copy is whole has changed
+    nothing, later ``finish_delete`` completes it. While a folder is replaced readers may miss its rows, and no
+    other job may write the table.
     """
     staged = _staged(spark, path)
     if exists(spark, staged):
@@ -52,15 +71,12 @@ def delete_from(
     matches = removed(table, pred)
     if not real_delete:
         return matches.count()
-    folders = _changed(spark, path, table, matches)
-    total = sum(n_match for _, n_match, _ in folders)
+    changed = _changed(spark, path, table, matches)
+    total = sum(c.n_match for c in changed)
     if total:
-        kept = [(folder, n_rows - n_match) for folder, n_match, n_rows in folders]
-        emptied = not any(n for _, n in kept) and table.count() == total  # footers only
-        file = unquote(matches.select("_metadata.file_path").first()[0])
-        _check_schema(spark, file, schema)
-        _stage(spark, path, kept, emptied, table.schema, pred, _codec(spark, file))
-        _replace(spark, path)
+        emptied = not any(c.n_kept for c in changed) and table.count() == total  # footers only
+        _check_schema(spark, changed[0].file, schema)
+        _replace(spark, path, _stage(spark, path, changed, emptied, table.schema, pred))
     return total
 
 
@@ -77,96 +93,99 @@ def _check_schema(spark: SparkSession, file: str, schema: T.StructType | None) -
         raise ValueError(f"the schema lacks columns of the table: {sorted(lost)}")
 
 
-def _changed(
-    spark: SparkSession, path: str, table: DataFrame, matches: DataFrame
-) -> list[tuple[str, int, int]]:
-    """(folder below the table, matching rows, rows) of each folder with a match."""
-    base = qualified(spark, path)
+def _folder() -> Column:
+    """The URI of the folder a row's file lies in."""
+    return F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
 
-    def by_folder(df: DataFrame, name: str) -> DataFrame:
-        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
-        return df.groupBy(folder).agg(F.count(F.lit(1)).alias(name))
 
-    rows = by_folder(matches, "n_match").join(by_folder(table, "n_rows"), "folder").collect()
+def _changed(spark: SparkSession, path: str, table: DataFrame, matches: DataFrame) -> list[Changed]:
+    """Each folder with a match."""
+    base = qualified(spark, path)
+    n = F.count(F.lit(1))
+    file = F.min("_metadata.file_path").alias("file")
+    of_matches = matches.groupBy(_folder().alias("uri")).agg(n.alias("n_match"), file)
+    of_all = table.groupBy(_folder().alias("uri")).agg(n.alias("n_rows"))
     out = []
-    for r in sorted(rows, key=lambda r: r.folder):
-        found = unquote(r.folder)
+    for r in of_matches.join(of_all, "uri").collect():
+        found = unquote(r.uri)
         if not f"{found}/".startswith(f"{base}/"):
             raise ValueError(f"{found} does not lie in {path}")
-        out.append((found[len(base) :].strip("/"), r.n_match, r.n_rows))
-    return out
-
-
-def _partitions(folder: str) -> list[str]:
-    """Names of the partition columns in a folder's path."""
-    return [p.partition("=")[0] for p in folder.split("/") if "=" in p]
-
-
-def _texts(schema: T.StructType, names: list[str]) -> T.StructType:
-    """The schema with these columns as text, so that a folder's name stays as it is written."""
-    return T.StructType([T.StructField(f.name, T.StringType()) if f.name in names else f for f in schema])
+        out.append(Changed(found[len(base) :].strip("/"), r.uri, unquote(r.file), r.n_match, r.n_rows))
+    return sorted(out)
 
 
 def _stage(
     spark: SparkSession,
     path: str,
-    folders: list[tuple[str, int]],
+    changed: list[Changed],
     emptied: bool,
     schema: T.StructType,
     pred: Pred | Column,
-    options: dict[str, str],
-) -> None:
-    """Copy what stays of the folders; the list of folders, written last, says that the copy is whole."""
+) -> list[tuple]:
+    """Copy what stays of the folders; the list of folders, written last, says that the copy is whole.
+
+    A copy is named by a hash of its folder, so that the folder's own name, whoever wrote it, stays as it is.
+    """
     base, staged = qualified(spark, path), _staged(spark, path)
-    parts = _partitions(folders[0][0])
-    data = [c for c in schema.names if c not in parts]
-    raw = spark.read.option("basePath", base).schema(_texts(schema, parts))
-    raw = raw.parquet(*[f"{base}/{folder}".rstrip("/") for folder, _ in folders])
-    written = {p: f"{p} as written" for p in parts}
-    typed = raw.select(
-        *[col(f.name).cast(f.dataType).alias(f.name) if f.name in parts else col(f.name) for f in schema],
-        *[col(p).alias(name) for p, name in written.items()],
-    )
-    kept = retain(typed, pred).select(*map(col, data), *[col(name).alias(p) for p, name in written.items()])
+    codec = _codec(spark, changed[0].file)
+    options = {"compression": codec} if codec else {}
+    parts = [p.partition("=")[0] for p in changed[0].folder.split("/") if "=" in p]
+    data = [col(c) for c in schema.names if c not in parts]
+    source = spark.read.option("basePath", base).schema(schema)
+    source = source.parquet(*[f"{base}/{c.folder}".rstrip("/") for c in changed])
+    kept = retain(source, pred)
     if emptied:
-        kept.select(*map(col, data)).limit(0).write.options(**options).parquet(f"{staged}/schema")
-    expected, found = sum(n for _, n in folders), 0
+        kept.select(*data).limit(0).write.options(**options).parquet(f"{staged}/schema")
+    by = "copy"
+    while by.lower() in {c.lower() for c in schema.names}:
+        by += "_"
+    copies = {c: f"rows/{by}={md5(c.uri.encode()).hexdigest()}" for c in changed if c.n_kept}
+    expected, found = sum(c.n_kept for c in changed), 0
     if expected:
         seen = Observation()
         counted = kept.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.options(**options).partitionBy(*parts).parquet(f"{staged}/rows")
+        if parts:
+            hashed = F.md5(_folder().cast("binary")).alias(by)
+            counted.select(*data, hashed).write.options(**options).partitionBy(by).parquet(f"{staged}/rows")
+        else:
+            counted.select(*data).write.options(**options).parquet(f"{staged}/{copies[changed[0]]}")
         found = seen.get["n"]
     if found != expected:
         delete(spark, staged)
         raise RuntimeError(f"{path}: {expected} rows should stay, {found} were written")
-    codec = options.get("compression")
-    rows = [(folder, n, emptied and not i, codec) for i, (folder, n) in enumerate(folders)]
-    spark.createDataFrame(rows, FOLDERS).coalesce(1).write.parquet(f"{staged}/folders")
+    rows = [(c.folder, "schema" if emptied and not i else copies.get(c), codec) for i, c in enumerate(changed)]
+    spark.createDataFrame(rows, REPLACED).coalesce(1).write.parquet(f"{staged}/folders")
+    return rows
 
 
-def _replace(spark: SparkSession, path: str) -> None:
-    """Put a whole copy in its folders' place. It may be run again after it stopped."""
+def _replace(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    """Put whole copies in their folders' place. It may be run again after it stopped."""
     base, staged = qualified(spark, path), _staged(spark, path)
-    folders = spark.read.schema(FOLDERS).parquet(f"{staged}/folders").collect()
-    parts = _partitions(folders[0].folder)
-    if any(f.n_kept for f in folders):
-        schema = spark.read.parquet(f"{staged}/rows").schema
-        rows = spark.read.schema(_texts(schema, parts)).parquet(f"{staged}/rows")
-        writer = rows.write.mode("overwrite")
-        if folders[0].compression:
-            writer = writer.option("compression", folders[0].compression)
-        if parts:
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-        writer.parquet(base)
-    for f in folders:
-        home = f"{base}/{f.folder}".rstrip("/")
-        if f.keep_schema:
-            spark.read.parquet(f"{staged}/schema").write.mode("overwrite").parquet(home)
-        elif not f.n_kept:
+
+    def put(row: tuple) -> None:
+        folder, copy, codec = row
+        home = f"{base}/{folder}".rstrip("/")
+        if copy is None:
             delete(spark, home)
+        elif exists(spark, f"{staged}/{copy}"):  # else it was renamed before a run stopped
+            _put(spark, f"{staged}/{copy}", home, codec)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(inheritable_thread_target(spark)(put), rows))
     delete(spark, staged)
 
 
+def _put(spark: SparkSession, copy: str, home: str, codec: str | None) -> None:
+    """Replace one folder by its copy."""
+    if home.partition(":")[0] in RENAMES:
+        delete(spark, home)
+        if not file_system(spark, home).rename(hadoop_path(spark, copy), hadoop_path(spark, home)):
+            raise OSError(f"{copy} could not be renamed to {home}")
+        return
+    writer = spark.read.parquet(copy).write.mode("overwrite")
+    (writer.option("compression", codec) if codec else writer).parquet(home)
+
+
 def finish_delete(spark: SparkSession, path: str) -> bool:
     """Complete a delete that stopped while it replaced folders; one that stopped before is dropped.
 
@@ -174,14 +193,15 @@ def finish_delete(spark: SparkSession, path: str) -> bool:
     """
     staged = _staged(spark, path)
     if exists(spark, f"{staged}/folders/_SUCCESS"):
-        _replace(spark, path)
+        rows = spark.read.schema(REPLACED).parquet(f"{staged}/folders").collect()
+        _replace(spark, path, [tuple(r) for r in rows])
         return True
     if exists(spark, staged):
         delete(spark, staged)
     return False
 
 
-def _codec(spark: SparkSession, file: str) -> dict[str, str]:
+def _codec(spark: SparkSession, file: str) -> str | None:
     """The compression of a table's files, by the footer of one of them."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -189,9 +209,7 @@ def _codec(spark: SparkSession, file: str) -> dict[str, str]:
     reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
     try:
         blocks = reader.getFooter().getBlocks()
-        if not len(blocks):
-            return {}
-        return {"compression": blocks[0].getColumns()[0].getCodec().name().lower()}
+        return blocks[0].getColumns()[0].getCodec().name().lower() if len(blocks) else None
     finally:
         reader.close()
 

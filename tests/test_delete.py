@@ -1,6 +1,8 @@
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -177,6 +179,43 @@ def test_an_interrupted_delete_is_finished_or_dropped(spark, uri, monkeypatch, s
     assert not finish_delete(spark, uri("t"))
 
 
+@pytest.mark.parametrize("renames", [delete.RENAMES, ()])
+def test_stopped_between_two_folders(spark, uri, monkeypatch, renames):
+    """Folders that were replaced before the run stopped stay replaced, the others follow; also by overwriting."""
+    monkeypatch.setattr(delete, "RENAMES", renames)
+    spark.range(100).selectExpr("id", "id % 5 AS p").write.partitionBy("p").parquet(uri("t"))
+    put, done = delete._put, []
+
+    def stop(spark, copy, home, codec):
+        if len(done) > 1:
+            raise OSError("the driver is gone")
+        done.append(home)
+        put(spark, copy, home, codec)
+
+    with monkeypatch.context() as m:
+        m.setattr(delete, "_put", stop)
+        with pytest.raises(OSError):
+            delete_from(spark, uri("t"), ("or", ("id", "<", 50), ("p", "=", 4)))
+    assert finish_delete(spark, uri("t"))
+    left = spark.read.parquet(uri("t"))
+    assert sorted(r.id for r in left.collect()) == [i for i in range(50, 100) if i % 5 != 4]
+    assert not Path(uri("t")).with_name("_t_delete").exists()
+
+
+@pytest.mark.parametrize("renames", [delete.RENAMES, ()])
+def test_folder_names_of_other_writers(spark, uri, monkeypatch, renames):
+    """Names that Spark would write in another way are kept, and so are columns named like the copy's."""
+    monkeypatch.setattr(delete, "RENAMES", renames)
+    data = {"id": list(range(12)), "Copy": ["c"] * 12, "p": ["a b", "é", "x/y", "plus+"] * 3, "q": [1, 2] * 6}
+    pq.write_to_dataset(pa.table(data), uri("t"), partition_cols=["p", "q"])
+    folders = {str(f) for f in Path(uri("t")).rglob("*=*/*=*")}
+    assert any("%20" in f for f in folders)
+    want = rows(spark.read.parquet(uri("t")).where("id >= 4"))
+    assert len(want) == 8 and delete_from(spark, uri("t"), ("id", "<", 4)) == 4
+    assert rows(spark.read.parquet(uri("t"))) == want
+    assert {str(f) for f in Path(uri("t")).rglob("*=*/*=*")} == folders
+
+
 def test_a_table_of_many_small_files(spark, uri):
     df = spark.range(4000).selectExpr("id", "id % 40 AS p")
     df.repartition(50).write.partitionBy("p").parquet(uri("many"))
