@@ -11,7 +11,6 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,15 +227,23 @@ def null_rows(spark: SparkSession, spec: ExportSpec) -> DataFrame:
 
 
 def source_folders(df: DataFrame) -> set[str]:
-    """The folders whose files a frame reads: a row for each reaches the driver, whatever its files.
+    """The tables' folders (or single files) that a frame reads, as they were given to its readers.
 
-    A join or an aggregate does not tell its rows' files; there the plan's files are asked for.
+    They come from the frame's plan, so nothing is evaluated and no file is listed. Only for sources
+    that are not plain files (tables of a metastore) the plan's files are asked for.
     """
-    try:
-        folder = df.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
-    except AnalysisException:
-        return {f.rpartition("/")[0] for f in df.inputFiles()}
-    return {r["folder"] for r in folder.distinct().collect()}
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found, others = set(), False
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        relation = leaf.relation() if leaf.getClass().getSimpleName() == "LogicalRelation" else None
+        if relation is not None and relation.getClass().getSimpleName() == "HadoopFsRelation":
+            roots = relation.location().rootPaths()
+            found |= {roots.apply(i).toString() for i in range(roots.size())}
+        else:
+            others = True
+    if others:
+        found |= {unquote(f.rpartition("/")[0]) for f in df.inputFiles()}
+    return found
 
 
 def _check_paths(spark: SparkSession, specs: list[ExportSpec]) -> None:
@@ -252,12 +259,11 @@ def _check_paths(spark: SparkSession, specs: list[ExportSpec]) -> None:
         for other in sources + targets[i + 1 :]:
             if target.startswith(other) or other.startswith(target):
                 raise ValueError(f"target {target} overlaps {other}")
-    # A frame's input files are checked against every target, its own and those of others.
+    # A frame's folders are checked against every target, its own and those of others.
     for s in specs:
         if isinstance(s.source, DataFrame):
-            folders = source_folders(s.source)
-            for folder in sorted(qualified(spark, unquote(f)) + "/" for f in folders):
-                if any(folder.startswith(t) for t in targets):
+            for folder in sorted(qualified(spark, f) + "/" for f in source_folders(s.source)):
+                if any(folder.startswith(t) or t.startswith(folder) for t in targets):
                     raise ValueError(f"{s.table} is read from a target, {folder}")
 
 

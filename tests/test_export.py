@@ -297,6 +297,29 @@ def test_source_folders_of_many_files(spark, uri):
     assert source_folders(first.groupBy("r_name").count()) and not source_folders(spark.range(3))
 
 
+def test_source_folders_are_found_without_a_job(spark, uri):
+    """Through joins, unions, aggregates and names with special characters; a target above or below them is refused."""
+    from tablehaul.plans.export import source_folders
+
+    for name in ("a b%é", "c"):
+        table(spark, "region").withColumn("p", F.col("r_regionkey") % 2).write.partitionBy("p").parquet(uri(name))
+    a, c = spark.read.parquet(uri("a b%é")), spark.read.parquet(uri("c"))
+    both = a.join(c, "r_regionkey").select("r_regionkey").union(spark.range(3)).groupBy("r_regionkey").count()
+    group = "source-folders"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = source_folders(both)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {Path(f.removeprefix("file:")) for f in found} >= {Path(uri("a b%é")), Path(uri("c"))}
+    below = spark.read.parquet(uri("c/p=0")).select("r_regionkey")
+    for frame, name, root in ((both, "c", uri("")), (both, "x", uri("c")), (below, "c", uri(""))):
+        with pytest.raises(ValueError, match="read from a target"):
+            export_tables(spark, [ExportSpec(name, frame, root)])
+    assert c.count() == 5
+
+
 def test_verify_only_counts_files_without_rows(spark, uri):
     nation = table(spark, "nation").coalesce(1)
     nation.write.parquet(uri("t"))
