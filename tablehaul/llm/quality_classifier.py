@@ -2,8 +2,9 @@
 
 Each class has a Gaussian over the transformed counts of a text. Its covariance is shrunk
 towards the pooled covariance and towards a multiple of the identity, then factored once
-(Cholesky); the score is a logistic function of the difference of the two log densities, whose
-Mahalanobis terms come from solving with the cached factors, a batch of rows at a time.
+(Cholesky); the score is a logistic function of the difference of the two log densities. Their
+Mahalanobis terms are squared lengths after the inverse of the factor, which a worker works out
+once and applies to a batch of rows at a time.
 
 The training rows are never collected: sums and products per class are aggregated in Spark, so
 the driver sees one row of d(d+3)/2 + 1 numbers per class.
@@ -18,6 +19,7 @@ columns are not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -51,17 +53,22 @@ def features() -> list[Column]:
 
 @dataclass(frozen=True)
 class Model:
-    """Prior log odds, and per class its mean, Cholesky factor and log determinant."""
+    """Prior log odds, and per class its mean and Cholesky factor."""
 
     bias: float
     means: tuple[np.ndarray, ...] = ()
     factors: tuple[np.ndarray, ...] = ()
 
+    @cached_property
+    def inverses(self) -> list[tuple[np.ndarray, float]]:
+        """Per class the inverse of its factor, and the log of the factor's determinant."""
+        return [(np.linalg.inv(f), float(np.log(np.diag(f)).sum())) for f in self.factors]
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         odds = np.full(len(x), self.bias)
-        for sign, mean, factor in zip((-1, 1), self.means, self.factors, strict=False):
-            z = np.linalg.solve(factor, (x - mean).T)
-            odds += sign * (-0.5 * (z * z).sum(0) - np.log(np.diag(factor)).sum())
+        for sign, mean, (inverse, log_det) in zip((-1, 1), self.means, self.inverses, strict=False):
+            z = (x - mean) @ inverse.T
+            odds += sign * (-0.5 * (z * z).sum(1) - log_det)
         return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
 
 

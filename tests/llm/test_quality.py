@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 import re
 import zlib
@@ -153,6 +154,21 @@ def test_scores_are_the_log_density_difference():
     assert model.scores(x) == pytest.approx(1 / (1 + np.exp(-odds)))
 
 
+def test_factors_are_inverted_once(monkeypatch):
+    """However many batches are scored, also after the model was sent to a worker."""
+    rng, sums = np.random.default_rng(8), {}
+    for k in (0, 1):
+        x = rng.normal(k, 1, (200, 3))
+        sums[k] = (200.0, x.sum(0), x.T @ x)
+    model = pickle.loads(pickle.dumps(C.fit(sums, 0.1, 0.02)))
+    calls, inv = [], np.linalg.inv
+    monkeypatch.setattr(np.linalg, "inv", lambda f: calls.append(1) or inv(f))
+    x = rng.normal(0, 1, (40, 3))
+    parts = [model.scores(x[i : i + 7]) for i in range(0, 40, 7)]
+    assert len(calls) == 2 and np.concatenate(parts) == pytest.approx(model.scores(x))
+    assert len(model.scores(x[:0])) == 0
+
+
 def test_held_out_labels_are_predicted(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
