@@ -8,10 +8,14 @@ leave RADIUS groups out. Candidates of a cell pass the Manhattan bound over all
 and are then verified on the bits.
 
 A cell of two is one candidate. Larger cells yield a spanning forest of their links, which is
-all that components need. Cells of more than LIMIT fingerprints are not gathered: their members
-are joined through midpoints. Two fingerprints within 3 bits have a point within 1 bit of one
-and 2 bits of the other; whatever lies around one point is linked to a fingerprint within 1 bit
-of it, so the links grow with the members and none is lost.
+all that components need. Cells of more than LIMIT fingerprints are not gathered but divided: their
+members agree in the groups the grid fixes, so the segments of the others are grouped anew, and again
+two linked fingerprints agree in all but RADIUS of these finer groups. Each member lies in as many
+finer cells as there are ways to leave RADIUS of them out, whatever the cell's size.
+
+The members of finer cells that still exceed LIMIT are joined through midpoints. Two fingerprints
+within 3 bits have a point within 1 bit of one and 2 bits of the other; whatever lies around one point
+is linked to a fingerprint within 1 bit of it, so the links grow with the members and none is lost.
 
 Defined results: null and wordless texts have fingerprint zero and link like any other; texts of
 one or two words have one shingle. A component's id is its smallest id (null if all are null).
@@ -21,9 +25,8 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-from itertools import combinations
+from collections.abc import Iterable, Iterator
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -70,10 +73,20 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _group_masks() -> list[int]:
-    """Masks of the groups: runs of two-bit segments, as even as 32 allows."""
-    edges = [round(32 * g / GROUPS) for g in range(GROUPS + 1)]
-    return [sum(3 << (2 * s) for s in range(a, b)) for a, b in zip(edges, edges[1:], strict=False)]
+def _joined(segments: Iterable[int]) -> int:
+    """A mask of two-bit segments."""
+    return sum(3 << (2 * s) for s in segments)
+
+
+def _groups(segments: list[int]) -> list[list[int]]:
+    """Runs of these segments, as even as their number allows."""
+    edges = [round(len(segments) * g / GROUPS) for g in range(GROUPS + 1)]
+    return [segments[a:b] for a, b in pairwise(edges)]
+
+
+def _fixed(segments: list[int]) -> list[list[int]]:
+    """The segments that each grid over these keeps: all groups but RADIUS."""
+    return [[s for g in groups for s in g] for groups in combinations(_groups(segments), GROUPS - RADIUS)]
 
 
 def _signed(x: int) -> int:
@@ -82,8 +95,16 @@ def _signed(x: int) -> int:
 
 def grid_masks() -> list[int]:
     """What each grid keeps of an embedding."""
-    kept = combinations(_group_masks(), GROUPS - RADIUS)
-    return [_signed(reduce(int.__or__, groups)) for groups in kept]
+    return [_signed(_joined(kept)) for kept in _fixed(list(range(32)))]
+
+
+def finer_masks() -> list[list[int]]:
+    """What the grids that divide a cell of each grid keep: its segments, and groups of the others."""
+    out = []
+    for kept in _fixed(list(range(32))):
+        others = [s for s in range(32) if s not in kept]
+        out.append([_signed(_joined(kept + more)) for more in _fixed(others)])
+    return out
 
 
 def embedding(fp: Column) -> Column:
@@ -171,16 +192,25 @@ def _midpoint_links(fps: DataFrame) -> DataFrame:
     return near.join(centre, "point").where("a <> b").select("a", "b")
 
 
-def near_links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Links a, b among the distinct fingerprints of column fp.
-
-    They connect exactly what all links within RADIUS bits connect.
-    """
+def _cells(fps: DataFrame) -> DataFrame:
+    """fp, grid, cell: the cells each fingerprint lies in."""
     keys = [
         F.struct(F.lit(i).alias("grid"), embedding(F.col("fp")).bitwiseAND(F.lit(m)).alias("cell"))
         for i, m in enumerate(grid_masks())
     ]
-    cells = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.grid", "k.cell")
+    return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.grid", "k.cell")
+
+
+def _finer_cells(cells: DataFrame) -> DataFrame:
+    """fp, grid, cell of the grids that divide these cells."""
+    masks = F.array(*[F.array(*map(F.lit, of_grid)) for of_grid in finer_masks()])
+    each = cells.select("fp", "grid", F.posexplode(F.get(masks, F.col("grid"))).alias("i", "mask"))
+    grid = F.col("grid") * len(grid_masks()) + F.col("i")
+    return each.select("fp", grid.alias("grid"), embedding(F.col("fp")).bitwiseAND(F.col("mask")).alias("cell"))
+
+
+def _links_within(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Links a, b found in cells of up to ``limit`` fingerprints, and the rows of larger cells, if there are any."""
     counted = durable(
         cells.groupBy("grid", "cell")
         .agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
@@ -198,10 +228,23 @@ def near_links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
         .select("members")
     )
     links = pairs.unionByName(map_arrow(members, _cell_links, "a bigint, b bigint"))
-    hot = counted.where(F.col("n") > limit).select(*key)
-    if not hot.isEmpty():
-        crowded = durable(cells.join(hot, key, "left_semi").select("fp").distinct(), "simhash-hot")
-        links = links.unionByName(_midpoint_links(crowded))
+    hot = counted.where(F.col("n") > F.greatest(F.lit(limit), F.lit(2))).select(*key)
+    if hot.isEmpty():
+        return links, None
+    return links, durable(cells.join(hot, key, "left_semi"), "simhash-hot")
+
+
+def near_links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Links a, b among the distinct fingerprints of column fp.
+
+    They connect exactly what all links within RADIUS bits connect.
+    """
+    links, crowded = _links_within(_cells(fps), limit)
+    if crowded is not None:
+        finer, crowded = _links_within(_finer_cells(crowded), limit)
+        links = links.unionByName(finer)
+    if crowded is not None:
+        links = links.unionByName(_midpoint_links(crowded.select("fp").distinct()))
     return links
 
 

@@ -109,6 +109,44 @@ def test_every_close_pair_shares_a_cell():
         assert ((ea & masks) == (eb & masks)).any()
 
 
+def test_every_close_pair_of_a_cell_shares_a_finer_cell():
+    rng = np.random.default_rng(2)
+    masks = np.array(S.grid_masks(), np.int64).view(np.uint64)
+    finer = np.array(S.finer_masks(), np.int64).view(np.uint64)
+    assert finer.shape == (20, 20) and ((finer & masks[:, None]) == masks[:, None]).all()
+    for _ in range(300):
+        a = b = np.uint64(rng.integers(1 << 63))
+        for bit in rng.choice(64, 3, replace=False):
+            b ^= np.uint64(1) << np.uint64(bit)
+        ea, eb = S._embedded(np.array([a])), S._embedded(np.array([b]))
+        shared = (ea & masks) == (eb & masks)
+        assert ((ea & finer) == (eb & finer)).any(1)[shared].all()
+
+
+def crowded(seed, n):
+    """Fingerprints that agree in the lower half, some of them a few bits from others."""
+    rng = random.Random(seed)
+    fps = {rng.getrandbits(32) << 32 for _ in range(n)}
+    for fp in rng.sample(sorted(fps), n // 4):
+        for b in rng.sample(range(32, 64), rng.randint(1, 4)):
+            fp ^= 1 << b
+        fps.add(fp)
+    return sorted(fps)
+
+
+def test_a_crowded_cell_is_divided_before_midpoints_are_made(spark, monkeypatch):
+    monkeypatch.setattr(S, "_midpoint_links", lambda fps: pytest.fail("finer cells would do"))
+    fps = crowded(6, 400)
+    of = groups(fps, lambda a, b: (a ^ b).bit_count() <= 3)
+    assert len(set(of)) < len(fps)
+    frame = spark.createDataFrame([(S._signed(x),) for x in fps], "fp bigint")
+    assert S._links_within(S._cells(frame), 100)[1].count() >= len(fps)
+    links = [tuple(r) for r in S.near_links(frame, 100).collect()]
+    at = {S._signed(x): i for i, x in enumerate(fps)}
+    pairs = {(at[a], at[b]) for a, b in links} | {(at[b], at[a]) for a, b in links}
+    assert groups(range(len(fps)), lambda i, j: (i, j) in pairs) == of
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
