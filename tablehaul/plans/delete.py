@@ -22,12 +22,10 @@ from pyspark.sql import types as T
 from tablehaul.names import col
 from tablehaul.operators.predicates import Pred
 from tablehaul.operators.retention import removed, retain
-from tablehaul.sources.files import delete, exists, file_system, hadoop_path, qualified
+from tablehaul.sources.files import RENAMES, delete, exists, hadoop_path, qualified, rename_over
 from tablehaul.sources.scan import scan_table
 from tablehaul.specs import DeleteSpec
 
-#: File systems that rename a folder in one step; elsewhere Spark overwrites it from the copy.
-RENAMES = ("file", "hdfs", "abfs", "abfss")
 #: A folder below the table, its copy below the staged folder (null where nothing stays) and the codec of its files.
 REPLACED = "folder string, copy string, compression string"
 
@@ -176,11 +174,9 @@ def _replace(spark: SparkSession, path: str, rows: list[tuple]) -> None:
 
 
 def _put(spark: SparkSession, copy: str, home: str, codec: str | None) -> None:
-    """Replace one folder by its copy."""
+    """Replace one folder by its copy; where the store does not rename in one step, Spark overwrites it."""
     if home.partition(":")[0] in RENAMES:
-        delete(spark, home)
-        if not file_system(spark, home).rename(hadoop_path(spark, copy), hadoop_path(spark, home)):
-            raise OSError(f"{copy} could not be renamed to {home}")
+        rename_over(spark, copy, home)
         return
     writer = spark.read.parquet(copy).write.mode("overwrite")
     (writer.option("compression", codec) if codec else writer).parquet(home)

@@ -8,7 +8,6 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,7 +23,7 @@ from tablehaul.plans.report import export_details, export_summary
 from tablehaul.sinks.layout import marker_uri, trigger_uri, write_marker, write_trigger
 from tablehaul.sinks.writers import format_name, write_table, written_records
 from tablehaul.sources.files import data_files, delete, exists, qualified
-from tablehaul.sources.scan import key_columns, listed_files, scan_dir, scan_table, with_keys
+from tablehaul.sources.scan import key_columns, listed_files, scan_dir, scan_table, source_folders, with_keys
 from tablehaul.specs import ExportSpec
 
 RESULT_SCHEMA = (
@@ -226,26 +225,6 @@ def null_rows(spark: SparkSession, spec: ExportSpec) -> DataFrame:
     return null_cell_rows(df, key_columns(df))
 
 
-def source_folders(df: DataFrame) -> set[str]:
-    """The tables' folders (or single files) that a frame reads, as they were given to its readers.
-
-    They come from the frame's plan, so nothing is evaluated and no file is listed. Only for sources
-    that are not plain files (tables of a metastore) the plan's files are asked for.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    found, others = set(), False
-    for leaf in (leaves.apply(i) for i in range(leaves.size())):
-        relation = leaf.relation() if leaf.getClass().getSimpleName() == "LogicalRelation" else None
-        if relation is not None and relation.getClass().getSimpleName() == "HadoopFsRelation":
-            roots = relation.location().rootPaths()
-            found |= {roots.apply(i).toString() for i in range(roots.size())}
-        else:
-            others = True
-    if others:
-        found |= {unquote(f.rpartition("/")[0]) for f in df.inputFiles()}
-    return found
-
-
 def _check_paths(spark: SparkSession, specs: list[ExportSpec]) -> None:
     """Before anything is written: every source is there, and no target touches a source or
     another target."""

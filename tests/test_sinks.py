@@ -5,6 +5,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tablehaul.operators import stringify
 from tablehaul.sinks import (
@@ -139,6 +140,31 @@ def test_max_rows_and_overwrite(spark, uri, fmt):
         write_table(orders, uri("t"), fmt, max_rows=0)
 
 
+def test_failed_limited_write_leaves_the_earlier_rows(spark, uri, tmp_path):
+    rows = spark.range(40).coalesce(1)
+    write_table(rows, uri("t"), max_rows=7)
+    bad = F.when(F.col("id") == 30, F.raise_error(F.lit("bad row")).cast("long")).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="bad row"):
+        write_table(rows.select(bad.alias("id")), uri("t"), max_rows=7)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert sorted(r.id for r in spark.read.parquet(uri("t")).collect()) == list(range(40))
+    with pytest.raises(ValueError, match="while it is read"):
+        write_table(spark.read.parquet(uri("t")), uri("t"), max_rows=7)
+
+
+def test_limited_write_replaces_rows_and_cached_reads(spark, uri, tmp_path):
+    write_table(spark.range(40), uri("t"), max_rows=7)
+    seen = spark.read.parquet(uri("t")).cache()
+    assert seen.count() == 40
+    write_table(spark.range(9).repartition(2), uri("t"), max_rows=2)
+    assert seen.count() == 9
+    seen.unpersist()
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.suffix != ".crc" and p.name[0] == "_") == ["_SUCCESS"]
+    sizes = [pq.ParquetFile(p).metadata.num_rows for p in data_files(uri("t"))]
+    assert sum(sizes) == 9 and max(sizes) <= 2
+
+
 def test_unknown_format_and_missing_avro(spark, nasty, uri):
     with pytest.raises(ValueError, match="unknown format"):
         write_table(nasty, uri("t"), "xlsx")

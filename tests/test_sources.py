@@ -12,6 +12,7 @@ from tablehaul.sources import (
     scan_table,
     with_keys,
 )
+from tablehaul.sources import scan
 from tablehaul.sources.files import shared_folder
 from tests.conftest import SF, read_schema, table
 
@@ -140,3 +141,20 @@ def test_listed_files_of_a_suffix(spark, folder):
         ]
         (folder / "p=1").mkdir(exist_ok=True)
         shutil.copy(f"{SF}/nation.parquet", folder / "p=1" / "y.parquet")
+
+
+def test_small_files_are_counted_by_few_tasks(spark, tmp_path, monkeypatch):
+    spark.range(60).repartition(30).write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(scan, "TASKS_PER_CORE", 1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        counts = file_row_counts(spark.read.parquet(str(tmp_path / "t")))
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "Coalesce 4" in plan
+        found = counts.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.n_rows for r in found] == [1] * 60
+    assert all(r.size_bytes > 0 for r in found)
