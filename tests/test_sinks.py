@@ -1,4 +1,5 @@
 import gzip
+import os
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -20,6 +21,8 @@ from tablehaul.sinks import (
     write_trigger,
     written_row_count,
 )
+from tablehaul.sinks import writers
+from tablehaul.sources import key_columns, with_keys
 from tests.conftest import table
 
 NASTY = [
@@ -165,6 +168,78 @@ def test_limited_write_replaces_rows_and_cached_reads(spark, uri, tmp_path):
     assert sum(sizes) == 9 and max(sizes) <= 2
 
 
+def test_small_files_are_those_of_spark(spark, uri, monkeypatch):
+    rows = spark.sql(
+        """SELECT id, int(id) AS i, smallint(id) AS sh, tinyint(id % 100) AS b, float(id) AS f, nullif(id % 7, 3) / 2D AS d,
+                  nullif(string(id % 9), '4') AS s, binary('a' || id) AS bi, id > 3 AS bo, date_add(DATE'1400-01-01', int(id)) AS dt,
+                  timestamp_ntz'1500-01-02 03:04:05.678901' AS t, string(null) AS nothing FROM range(250)"""
+    ).coalesce(1)
+    rows = with_keys(rows, "id, s").withColumnRenamed("s", "a.b ,%")
+    for options in (None, ParquetOptions(version="v1"), ParquetOptions("zstd", dictionary=False), ParquetOptions("none")):
+        write_table(rows, uri("small file%20"), options=options, max_rows=60)
+        with monkeypatch.context() as patch:
+            patch.setattr(writers, "fits", lambda *a: False)
+            write_table(rows, uri("spark"), options=options, max_rows=60)
+        small, big = ([pq.ParquetFile(p) for p in data_files(uri(d))] for d in ("small file%20", "spark"))
+        assert [f.metadata.num_rows for f in small] == [60] * 4 + [10]
+        assert {f.metadata.created_by[:17] for f in small} == {"parquet-cpp-arrow"}
+        for a, b in zip(small, big, strict=True):
+            assert a.schema.equals(b.schema) and a.metadata.metadata == b.metadata.metadata and a.read().equals(b.read())
+            kinds = [[f.metadata.row_group(0).column(i).compression for i in range(12)] for f in (a, b)]
+            assert kinds[0] == kinds[1]
+        assert {p.stat().st_mode for p in data_files(uri("small file%20"))} == {p.stat().st_mode for p in data_files(uri("spark"))}
+        back = spark.read.parquet(uri("small file%20"))
+        assert key_columns(back) == ["id", "a.b ,%"]
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    encodings = {c.path_in_schema: c.encodings for c in map(small[0].metadata.row_group(0).column, range(12))}
+    assert "DELTA_BINARY_PACKED" in encodings["id"] and "RLE_DICTIONARY" in encodings["a.b ,%"]
+
+
+@pytest.mark.parametrize("kind", ["nested", "timestamp", "many rows", "session"])
+def test_other_files_are_left_to_spark(spark, uri, kind):
+    value = {"nested": "array(id)", "timestamp": "TIMESTAMP'2024-01-01 00:00:00'"}.get(kind, "id")
+    rows = spark.range(40).coalesce(1).selectExpr("id", f"{value} AS v")
+    if kind == "session":
+        spark.conf.set("parquet.bloom.filter.enabled", "true")
+    try:
+        write_table(rows, uri("t"), max_rows=5000 if kind == "many rows" else 7)
+    finally:
+        spark.conf.unset("parquet.bloom.filter.enabled")
+    files = [pq.ParquetFile(p) for p in data_files(uri("t"))]
+    assert {f.metadata.created_by[:10] for f in files} == {"parquet-mr"}
+    assert len(files) == (1 if kind == "many rows" else 6)
+
+
+def test_small_files_of_other_attempts_are_left_out(spark, uri, tmp_path, monkeypatch):
+    rename, home = os.rename, []
+
+    def rename_after_a_lost_attempt(old, new):
+        """Between the last result and the closing, an attempt without a result has left its mark and a file."""
+        if str(old).endswith("_attempts"):
+            home.append(Path(old).parent)
+            (Path(old) / "999999").touch()
+            made = next(home[0].glob("part-*"))
+            (home[0] / "part-00000-lost-999999-c000.gz.parquet").write_bytes(made.read_bytes())
+        rename(old, new)
+
+    monkeypatch.setattr(os, "rename", rename_after_a_lost_attempt)
+    write_table(spark.range(40).repartition(3), uri("t"), max_rows=7)
+    assert home and not home[0].exists()
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert sorted(r.id for r in spark.read.parquet(uri("t")).collect()) == list(range(40))
+    assert {p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith(("part-", "."))} == {"_SUCCESS"}
+
+
+@pytest.mark.parametrize("frame", ["range", "no partitions", "some empty partitions"])
+def test_limited_write_of_no_rows(spark, uri, frame):
+    rows = spark.createDataFrame([], "id long") if frame == "no partitions" else spark.range(0, 1000, 1, 4)
+    rows = rows.where("id >= 990") if frame == "some empty partitions" else rows.where("id < 0")
+    write_table(rows, uri("t"), max_rows=7)
+    back = spark.read.parquet(uri("t"))
+    assert back.columns == ["id"] and back.count() == (10 if frame == "some empty partitions" else 0)
+    assert all(pq.ParquetFile(p).metadata.num_rows <= 7 for p in data_files(uri("t")))
+
+
 def test_unknown_format_and_missing_avro(spark, nasty, uri):
     with pytest.raises(ValueError, match="unknown format"):
         write_table(nasty, uri("t"), "xlsx")

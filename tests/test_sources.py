@@ -158,3 +158,46 @@ def test_small_files_are_counted_by_few_tasks(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [r.n_rows for r in found] == [1] * 60
     assert all(r.size_bytes > 0 for r in found)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("parted", [False, True])
+def test_many_small_files_are_counted_by_footers(spark, tmp_path, monkeypatch, parted):
+    at = tmp_path / "t 1%20#"
+    writer = spark.range(60).selectExpr("id", "id % 3 AS `a b`").repartition(5).write
+    (writer.partitionBy("a b") if parted else writer).parquet(str(at))
+    made = sorted(at.rglob("part-*.parquet"))
+    shutil.copyfile(made[0], made[0].with_name("part %41 #é?.parquet"))
+    shutil.copyfile(made[0], made[0].with_name("_hidden.parquet"))
+    made[0].with_name("nothing.parquet").touch()
+    spark.range(0).selectExpr("id", *([] if parted else ["id AS `a b`"])).write.parquet(str(tmp_path / "empty"))
+    shutil.copyfile(next((tmp_path / "empty").glob("part-*")), made[0].with_name("empty.parquet"))
+    df = spark.read.parquet(str(at))
+    assert "MapInArrow" not in plan_of(file_row_counts(df))
+    want = sorted(map(tuple, file_row_counts(df).collect()))
+    monkeypatch.setattr(scan, "MANY_FILES", 3)
+    counts = file_row_counts(df)
+    assert "MapInArrow" in plan_of(counts) and "FileScan" not in plan_of(counts)
+    assert counts.columns == ["file_path", "n_rows", "size_bytes"]
+    assert sorted(map(tuple, counts.collect())) == want
+    assert sum(r[1] for r in want) > 60 and len(want) == len(made) + 1
+    listed = file_row_counts(df, listed_files(spark, str(at))).where("n_rows > 0")
+    assert sorted(map(tuple, listed.collect())) == want
+
+
+def test_footers_are_only_for_whole_small_local_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scan, "MANY_FILES", 1)
+    at = str(tmp_path / "t")
+    spark.range(60).repartition(3).write.parquet(at)
+    spark.range(60).write.json(str(tmp_path / "json"))
+    df = spark.read.parquet(at)
+    others = [df.where("id < 9"), spark.read.parquet(at, at), spark.read.json(str(tmp_path / "json"))]
+    for other in others:
+        assert "MapInArrow" not in plan_of(file_row_counts(other))
+    assert sum(r.n_rows for r in file_row_counts(others[0]).collect()) == 9
+    assert sum(r.n_rows for r in file_row_counts(others[1]).collect()) == 120
+    monkeypatch.setattr(scan, "SMALL_BYTES", 10)
+    assert "MapInArrow" not in plan_of(file_row_counts(df))
